@@ -75,5 +75,16 @@ def zone_offset(timestamp: Column, zone: Column) -> Offset:
 
 
 def named_offset(timestamp: Column, zone: str) -> Offset:
-    """Offset in one zone that is known when the plan is made."""
-    return zone_offset(timestamp, F.lit(zone))
+    """Offset in one zone that is known when the plan is made.
+
+    Only the rule that applies is put into the plan: a fixed offset is a literal.
+    """
+    literal = F.lit(zone)
+    if zone.upper() in ("Z", "UTC") or zone[:1] in ("+", "-"):
+        return fixed_offset(literal)
+    named = is_zone_name(literal)
+    usable = F.when(named, literal).otherwise(F.lit("UTC"))
+    micros = F.unix_micros(F.from_utc_timestamp(timestamp, usable)) - F.unix_micros(timestamp)
+    fits = (micros % 60_000_000 == 0) & (F.abs(micros) <= MAX_OFFSET_MINUTES * 60_000_000)
+    code = F.when(~named | (timestamp.isNotNull() & ~fits), F.lit(P.TIMEZONE))
+    return Offset(F.when(named & fits, quotient(micros, 60_000_000).cast("int")), code)

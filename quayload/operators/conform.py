@@ -39,6 +39,16 @@ def conform_table(df: DataFrame, plan: LoadPlan, keep: list[str] | None = None)
     )
 
 
+def conform_columns(df: DataFrame, plan: LoadPlan, keep: list[str] | None = None) -> DataFrame:
+    """Value and ``<name>_code`` of every planned column, side by side."""
+    columns = []
+    for planned in plan.columns:
+        checked = conform_column(planned, plan.options)
+        columns += [checked.value.alias(planned.column_name),
+                    checked.code.cast("string").alias(f"{planned.column_name}_code")]
+    return df.select(*(keep or []), *columns)
+
+
 def diagnostic(code: Column, index: int, name: str) -> Column:
     """One violation of a row."""
     return F.struct(

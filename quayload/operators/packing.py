@@ -74,7 +74,7 @@ def pack_ranges_unbounded(df: DataFrame, batch: str, order: list[str], row_bytes
         levels.append(below.groupBy("parent").applyInPandas(_combine, SEGMENT_SCHEMA.format(b=kind)).checkpoint())
         top //= FAN_IN
     entry_schema = ENTRY_SCHEMA.format(b=kind)
-    entries = levels[-1].groupBy(F.lit(0)).applyInPandas(_enter_first, entry_schema)
+    entries = levels[-1].withColumn("parent", F.lit(0)).groupBy("parent").applyInPandas(_enter_first, entry_schema)
     for level in reversed(levels[:-1]):
         members = level.withColumn("parent", F.call_function("div", F.col("segment"), F.lit(FAN_IN)))
         entries = (

@@ -60,7 +60,7 @@ def mixed_int(row: Column) -> Column:
     # Beyond this row number the product no longer fits a long: wrap exactly.
     wide = (
         row.cast("decimal(20,0)") * F.lit(MIX_FACTOR).cast("decimal(10,0)") + F.lit(MIX_OFFSET)
-    ) % F.lit(UINT64_MAX + 1).cast("decimal(20,0)")
+    ) % F.lit(str(UINT64_MAX + 1)).cast("decimal(20,0)")
     wrapped = (wide % F.lit(MIX_RANGE)).cast("bigint")
     return F.when(row < 8_000_000_000, plain).otherwise(wrapped).cast("int")
 
@@ -165,7 +165,7 @@ def extended_primitive(r: Column) -> list[Column]:
 
 def uint64_policy(r: Column) -> list[Column]:
     step = (r % 1_000_000).cast("decimal(20,0)")
-    full = (F.lit(UINT64_MAX).cast("decimal(20,0)") - step).cast("decimal(20,0)")
+    full = (F.lit(str(UINT64_MAX)).cast("decimal(20,0)") - step).cast("decimal(20,0)")
     mid = (F.lit(INT64_MAX).cast("decimal(20,0)") - step).cast("decimal(20,0)")
     return [
         mixed_int(r).alias("row_id"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from quayload.operators import conform, reconcile
 from quayload.policy import LoadPlan
@@ -44,8 +44,9 @@ def staged_load(df: DataFrame, target: str, load_id: str) -> int:
     attempt = uuid.uuid4().hex
     staging = f"{target}/data/load_id={load_id}/attempt={attempt}"
     spark = df.sparkSession
-    expected = df.count()
-    df.write.mode("errorifexists").parquet(staging)
+    seen = Observation("staged_load")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(staging)
+    expected = int(seen.get["rows"])
     found = spark.read.parquet(staging).count() if expected else 0
     reconcile.require_reconciled(expected, found, staging)
     row = spark.createDataFrame([(load_id, attempt, expected)], MANIFEST_SCHEMA)

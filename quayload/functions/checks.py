@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, functions as F
 
 from quayload import policy as P
+from quayload.functions.exact import LONG_MAX
+from quayload.functions.hold import DECODED, JUDGED, NULL_JUDGED, Holder, inline
 
 
 @dataclass(frozen=True)
@@ -20,11 +22,6 @@ class Checked:
     value: Column
     code: Column
 
-    def guarded(self) -> "Checked":
-        return Checked(F.when(self.code.isNull(), self.value), self.code)
-
-
-
 
 def no_code() -> Column:
     return F.lit(None).cast("string")
@@ -39,9 +36,9 @@ def widen(column: Column, spark_type: str) -> Checked:
     return Checked(column.cast(spark_type), no_code())
 
 
-def tinyint(column: Column) -> Checked:
+def tinyint(column: Column, hold: Holder = inline) -> Checked:
     """Unsigned byte: 0..255 carried in a smallint."""
-    code = code_when(~column.between(0, 255), P.INTEGER_RANGE)
+    code = hold(JUDGED, code_when(~column.between(0, 255), P.INTEGER_RANGE))
     return Checked(F.when(code.isNull(), column.cast("smallint")), code)
 
 
@@ -50,18 +47,22 @@ def uint64_as_decimal(column: Column) -> Checked:
     return Checked(column.cast("decimal(20,0)"), no_code())
 
 
-def uint64_as_bigint(column: Column) -> Checked:
-    """Unsigned 64-bit value as bigint, when it is small enough."""
-    value = column.cast("decimal(20,0)").try_cast("bigint")
-    code = code_when(column.isNotNull() & (value.isNull() | (value < 0)), P.INTEGER_RANGE)
-    return Checked(F.when(code.isNull(), value), code)
+def uint64_as_bigint(column: Column, hold: Holder = inline) -> Checked:
+    """Unsigned 64-bit value as bigint, when it is small enough.
+
+    The range is compared, not tried: a cast that fails costs an exception per row.
+    """
+    limit = F.lit(str(LONG_MAX)).cast("decimal(20,0)")
+    outside = ~column.between(F.lit(0).cast("decimal(20,0)"), limit)
+    code = hold(JUDGED, code_when(outside, P.INTEGER_RANGE))
+    return Checked(F.when(code.isNull(), column.cast("bigint")), code)
 
 
-def finite(column: Column, spark_type: str) -> Checked:
+def finite(column: Column, spark_type: str, hold: Holder = inline) -> Checked:
     """Float that is neither NaN nor infinite."""
     value = column.cast(spark_type)
     bad = F.isnan(value) | (F.abs(value) == F.lit(float("inf")).cast(spark_type))
-    code = code_when(bad, P.NON_FINITE)
+    code = hold(JUDGED, code_when(bad, P.NON_FINITE))
     return Checked(F.when(code.isNull(), value), code)
 
 
@@ -74,66 +75,64 @@ def utf16_units(column: Column) -> Column:
     )
 
 
-def nvarchar(column: Column, length: int | None) -> Checked:
+def nvarchar(column: Column, length: int | None, hold: Holder = inline) -> Checked:
     """Text of at most ``length`` UTF-16 units; never cut short."""
     if length is None:
         return Checked(column, no_code())
     # More code points than units is already too long, and needs no encoding.
     bad = (F.char_length(column) > length) | (utf16_units(column) > length)
-    code = code_when(bad, P.TOO_LONG)
+    code = hold(JUDGED, code_when(bad, P.TOO_LONG))
     return Checked(F.when(code.isNull(), column), code)
 
 
-def varbinary(column: Column, length: int | None) -> Checked:
+def varbinary(column: Column, length: int | None, hold: Holder = inline) -> Checked:
     """Bytes of at most ``length``."""
     if length is None:
         return Checked(column, no_code())
-    code = code_when(F.octet_length(column) > length, P.TOO_LONG)
+    code = hold(JUDGED, code_when(F.octet_length(column) > length, P.TOO_LONG))
     return Checked(F.when(code.isNull(), column), code)
 
 
-def fixed_binary(column: Column, length: int) -> Checked:
+def fixed_binary(column: Column, length: int, hold: Holder = inline) -> Checked:
     """Bytes of exactly ``length``."""
-    code = code_when(F.octet_length(column) != length, P.TYPE_MISMATCH)
+    code = hold(JUDGED, code_when(F.octet_length(column) != length, P.TYPE_MISMATCH))
     return Checked(F.when(code.isNull(), column), code)
 
 
-def decimal(column: Column, precision: int, scale: int) -> Checked:
+def decimal(column: Column, precision: int, scale: int, hold: Holder = inline) -> Checked:
     """Decimal of unchanged scale whose digits fit ``precision``."""
     if scale >= P.MAX_DECIMAL_PRECISION:
         code = code_when(column.isNotNull(), P.DECIMAL_RANGE)
         return Checked(F.lit(None).cast(f"decimal({precision},{scale})"), code)
-    value = column.try_cast(f"decimal({precision},{scale})")
-    code = code_when(column.isNotNull() & value.isNull(), P.DECIMAL_RANGE)
+    value = hold(DECODED, column.try_cast(f"decimal({precision},{scale})"))
+    code = hold(JUDGED, code_when(column.isNotNull() & value.isNull(), P.DECIMAL_RANGE))
     return Checked(value, code)
 
 
-def negative_scale_decimal(unscaled: Column, precision: int, digits: int) -> Checked:
+def negative_scale_decimal(unscaled: Column, precision: int, digits: int, hold: Holder = inline) -> Checked:
     """``unscaled`` x 10^digits as an integer decimal of ``precision`` digits."""
     factor = F.lit("1" + "0" * digits).cast("decimal(38,0)")
     product = F.try_multiply(unscaled.cast("decimal(38,0)"), factor)
-    value = product.try_cast(f"decimal({precision},0)")
-    code = code_when(unscaled.isNotNull() & value.isNull(), P.DECIMAL_RANGE)
+    value = hold(DECODED, product.try_cast(f"decimal({precision},0)"))
+    code = hold(JUDGED, code_when(unscaled.isNotNull() & value.isNull(), P.DECIMAL_RANGE))
     return Checked(value, code)
 
 
-def wide_decimal(unscaled_text: Column, precision: int, scale: int) -> Checked:
+def wide_decimal(unscaled_text: Column, precision: int, scale: int, hold: Holder = inline) -> Checked:
     """Unscaled integer text of any width, brought down to decimal(p,s)."""
     shifted = F.concat(unscaled_text, F.lit(f"E{-scale}"))
     target = max(scale, 0)
     if target >= P.MAX_DECIMAL_PRECISION:
         value = F.lit(None).cast(f"decimal({precision},{target})")
     else:
-        value = shifted.try_cast(f"decimal({precision},{target})")
-    code = code_when(unscaled_text.isNotNull() & value.isNull(), P.DECIMAL_RANGE)
+        value = hold(DECODED, shifted.try_cast(f"decimal({precision},{target})"))
+    code = hold(JUDGED, code_when(unscaled_text.isNotNull() & value.isNull(), P.DECIMAL_RANGE))
     return Checked(value, code)
 
 
-def not_null(checked: Checked, source: Column, nullable: bool) -> Checked:
+def not_null(checked: Checked, source: Column, nullable: bool, hold: Holder = inline) -> Checked:
     """NULL where the target column takes none."""
     if nullable:
         return checked
-    return Checked(
-        checked.value,
-        F.when(source.isNull(), F.lit(P.NULL_VALUE)).otherwise(checked.code),
-    )
+    code = F.when(source.isNull(), F.lit(P.NULL_VALUE)).otherwise(checked.code)
+    return Checked(checked.value, hold(NULL_JUDGED, code))

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from quayload import policy as P
 from quayload.functions.checks import Checked, code_when
 from quayload.functions.exact import floor_div, floor_mod, quotient
+from quayload.functions.hold import DECODED, JUDGED, ROUNDED, SCALED, SPLIT, Holder, inline
 
 # 100 ns ticks, and the day numbers of the target's calendars.
 TICKS_PER_DAY = 864_000_000_000
@@ -26,6 +27,7 @@ EPOCH_DAY_FROM_1900 = 25_567
 MIN_DAY_FROM_1900 = -53_690
 MAX_DAY_FROM_1900 = 2_958_463
 FRAGMENTS_PER_DAY = 25_920_000
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00")
 
 
 @dataclass(frozen=True)
@@ -37,32 +39,45 @@ class Instant:
     code: Column | None = None
 
 
-def instant_from_units(value: Column, unit: str) -> Instant:
+def instant_from_units(value: Column, unit: str, hold: Holder = inline) -> Instant:
     """Seconds, milliseconds or microseconds since the epoch."""
     value = value.cast("bigint")
     per_day = UNITS_PER_DAY[unit]
-    return Instant(floor_div(value, per_day), floor_mod(value, per_day) * TICKS_PER_UNIT[unit])
+    return Instant(
+        hold(SPLIT, floor_div(value, per_day)),
+        hold(SPLIT, floor_mod(value, per_day) * TICKS_PER_UNIT[unit]),
+    )
 
 
-def instant_from_nanos(value: Column, nanosecond: str) -> Instant:
+def instant_from_nanos(value: Column, nanosecond: str, hold: Holder = inline) -> Instant:
     """Nanoseconds since the epoch, brought to 100 ns under the policy."""
     ticks, code = nanos_to_ticks(value.cast("bigint"), nanosecond)
-    return Instant(floor_div(ticks, TICKS_PER_DAY), floor_mod(ticks, TICKS_PER_DAY), code)
+    ticks = hold(DECODED, ticks)
+    return Instant(
+        hold(SPLIT, floor_div(ticks, TICKS_PER_DAY)), hold(SPLIT, floor_mod(ticks, TICKS_PER_DAY)), code
+    )
+
 
+def instant_from_ntz(value: Column, hold: Holder = inline) -> Instant:
+    """Timestamp without zone, whatever the session's zone is.
 
-def instant_from_ntz(value: Column) -> Instant:
-    """Timestamp without zone, read by its fields: the session zone plays no part."""
+    In a UTC session the wall clock is the instant, and one cast decodes it. In
+    any other session the fields are read, as that cast would apply the zone.
+    """
+    session = SparkSession.getActiveSession()
+    if session is not None and session.conf.get("spark.sql.session.timeZone") in UTC_NAMES:
+        return instant_from_units(hold(DECODED, F.unix_micros(value.cast("timestamp"))), "us", hold)
     seconds = (F.hour(value) * 60 + F.minute(value)).cast("bigint") * 60
     fraction = F.extract(F.lit("SECOND"), value).cast("decimal(18,6)") * F.lit(10_000_000)
     return Instant(
-        F.unix_date(value.cast("date")).cast("bigint"),
-        seconds * 10_000_000 + fraction.cast("bigint"),
+        hold(SPLIT, F.unix_date(value.cast("date")).cast("bigint")),
+        hold(SPLIT, seconds * 10_000_000 + fraction.cast("bigint")),
     )
 
 
-def instant_from_timestamp(value: Column) -> Instant:
+def instant_from_timestamp(value: Column, hold: Holder = inline) -> Instant:
     """Timestamp with zone: already an instant on the UTC line."""
-    return instant_from_units(F.unix_micros(value), "us")
+    return instant_from_units(hold(DECODED, F.unix_micros(value)), "us", hold)
 
 
 def nanos_to_ticks(value: Column, nanosecond: str) -> tuple[Column, Column | None]:
@@ -75,50 +90,51 @@ def nanos_to_ticks(value: Column, nanosecond: str) -> tuple[Column, Column | Non
     return base, code_when(rest != 0, P.LOSSY)
 
 
-def date_number(value: Column) -> Checked:
+def date_number(value: Column, hold: Holder = inline) -> Checked:
     """Day number from 0001-01-01 of a date, which must lie in 0001..9999."""
     day = F.unix_date(value) + EPOCH_DAY_FROM_0001
-    code = code_when(~day.between(0, MAX_DAY_FROM_0001), P.TIMESTAMP_RANGE)
+    code = hold(JUDGED, code_when(~day.between(0, MAX_DAY_FROM_0001), P.TIMESTAMP_RANGE))
     return Checked(F.when(code.isNull(), day), code)
 
 
-def date64_midnight(value: Column) -> Checked:
+def date64_midnight(value: Column, hold: Holder = inline) -> Checked:
     """Milliseconds as a date day number; anything but midnight is lossy."""
     value = value.cast("bigint")
     day = floor_div(value, UNITS_PER_DAY["ms"]) + EPOCH_DAY_FROM_0001
-    code = F.when(
+    code = hold(JUDGED, F.when(
         floor_mod(value, UNITS_PER_DAY["ms"]) != 0, F.lit(P.LOSSY)
-    ).when(~day.between(0, MAX_DAY_FROM_0001), F.lit(P.TIMESTAMP_RANGE))
+    ).when(~day.between(0, MAX_DAY_FROM_0001), F.lit(P.TIMESTAMP_RANGE)))
     return Checked(F.when(code.isNull(), day.cast("int")), code)
 
 
-def time_of_day(value: Column, unit: str, nanosecond: str = "reject") -> Checked:
+def time_of_day(value: Column, unit: str, nanosecond: str = "reject", hold: Holder = inline) -> Checked:
     """Increments since midnight at time(0/3/6/7); a full day is out of range."""
     value = value.cast("bigint")
     outside = ~value.between(0, UNITS_PER_DAY[unit] - 1)
     if unit != "ns":
-        code = code_when(outside, P.TIMESTAMP_RANGE)
+        code = hold(JUDGED, code_when(outside, P.TIMESTAMP_RANGE))
         return Checked(F.when(code.isNull(), value), code)
     ticks, lossy = nanos_to_ticks(value, nanosecond)
+    ticks = hold(DECODED, ticks)
     code = F.when(outside, F.lit(P.TIMESTAMP_RANGE))
     if lossy is not None:
         code = code.when(lossy.isNotNull(), lossy)
-    code = code.when(ticks >= TICKS_PER_DAY, F.lit(P.TIMESTAMP_RANGE))
+    code = hold(JUDGED, code.when(ticks >= TICKS_PER_DAY, F.lit(P.TIMESTAMP_RANGE)))
     return Checked(F.when(code.isNull(), ticks), code)
 
 
-def datetime2(instant: Instant, precision: int) -> Checked:
+def datetime2(instant: Instant, precision: int, hold: Holder = inline) -> Checked:
     """Day number and increments of 10^-p s, rounded half up.
 
     The lower bound is tested before rounding, the upper bound after it.
     """
     factor = 10 ** (7 - precision)
     per_day = TICKS_PER_DAY // factor
-    rounded = instant.ticks if factor == 1 else quotient(instant.ticks + factor // 2, factor)
+    rounded = instant.ticks if factor == 1 else hold(ROUNDED, quotient(instant.ticks + factor // 2, factor))
     carried = rounded >= per_day
     first = instant.day + EPOCH_DAY_FROM_0001
     number = first + F.when(carried, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    code = _range_code(instant, (first < 0) | (number > MAX_DAY_FROM_0001))
+    code = hold(JUDGED, _range_code(instant, (first < 0) | (number > MAX_DAY_FROM_0001)))
     value = F.struct(
         number.cast("int").alias("day"),
         F.when(carried, F.lit(0).cast("bigint")).otherwise(rounded).alias("increments"),
@@ -126,21 +142,21 @@ def datetime2(instant: Instant, precision: int) -> Checked:
     return Checked(F.when(code.isNull() & instant.day.isNotNull(), value), code)
 
 
-def datetime_fragments(instant: Instant, rounding: str) -> Checked:
+def datetime_fragments(instant: Instant, rounding: str, hold: Holder = inline) -> Checked:
     """Days since 1900 and 1/300 s fragments.
 
     ``two_step`` rounds to a millisecond before it rounds to a fragment;
     ``one_step`` rounds once.
     """
     if rounding == "two_step":
-        millis = quotient(instant.ticks + 5_000, 10_000)
-        rounded = quotient(millis * 3 + 5, 10)
+        millis = hold(SCALED, quotient(instant.ticks + 5_000, 10_000))
+        rounded = hold(ROUNDED, quotient(millis * 3 + 5, 10))
     else:
-        rounded = quotient(instant.ticks * 300 + 5_000_000, 10_000_000)
+        rounded = hold(ROUNDED, quotient(instant.ticks * 300 + 5_000_000, 10_000_000))
     carried = rounded >= FRAGMENTS_PER_DAY
     first = instant.day + EPOCH_DAY_FROM_1900
     days = first + F.when(carried, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    code = _range_code(instant, (first < MIN_DAY_FROM_1900) | (days > MAX_DAY_FROM_1900))
+    code = hold(JUDGED, _range_code(instant, (first < MIN_DAY_FROM_1900) | (days > MAX_DAY_FROM_1900)))
     value = F.struct(
         days.cast("int").alias("day"),
         F.when(carried, F.lit(0).cast("bigint")).otherwise(rounded).cast("int").alias("fragments"),
@@ -148,12 +164,13 @@ def datetime_fragments(instant: Instant, rounding: str) -> Checked:
     return Checked(F.when(code.isNull() & instant.day.isNotNull(), value), code)
 
 
-def datetimeoffset(instant: Instant, offset_minutes: Column, offset_code: Column) -> Checked:
+def datetimeoffset(instant: Instant, offset_minutes: Column, offset_code: Column,
+                   hold: Holder = inline) -> Checked:
     """UTC day number and ticks plus the offset; the local day is checked as well.
 
     A zone that cannot be used is reported for NULL cells, too.
     """
-    local_ticks = instant.ticks + offset_minutes.cast("bigint") * 600_000_000
+    local_ticks = hold(ROUNDED, instant.ticks + offset_minutes.cast("bigint") * 600_000_000)
     local_day = instant.day + floor_div(local_ticks, TICKS_PER_DAY) + EPOCH_DAY_FROM_0001
     number = instant.day + EPOCH_DAY_FROM_0001
     outside = ~(
@@ -162,7 +179,7 @@ def datetimeoffset(instant: Instant, offset_minutes: Column, offset_code: Column
     code = F.when(offset_code.isNotNull(), offset_code)
     if instant.code is not None:
         code = code.when(instant.code.isNotNull(), instant.code)
-    code = code.when(outside, F.lit(P.TIMESTAMP_RANGE))
+    code = hold(JUDGED, code.when(outside, F.lit(P.TIMESTAMP_RANGE)))
     value = F.struct(
         number.cast("int").alias("day"),
         instant.ticks.alias("increments"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, functions as F
 
 from quayload import policy as P
 from quayload.functions.exact import quotient
+from quayload.functions.hold import DECODED, SCALED, SPLIT, Holder, inline
 
 # Offsets are at most 14 hours; these three-letter names are zones
 # of the tz database, other three-letter names are only abbreviations.
@@ -37,12 +38,13 @@ def is_zone_name(zone: Column) -> Column:
     return shape & ~abbreviation & ~prefixed & readable
 
 
-def fixed_offset(zone: Column) -> Offset:
+def fixed_offset(zone: Column, hold: Holder = inline) -> Offset:
     """``Z``, ``UTC``, ``+HH``, ``+HHMM`` and ``+HH:MM``."""
-    digits = F.regexp_replace(F.substring(zone, 2, 5), ":", "")
+    digits = hold(DECODED, F.replace(F.substring(zone, 2, 5), F.lit(":"), F.lit("")))
     hours = F.substring(digits, 1, 2).try_cast("int")
     minutes = F.when(F.length(digits) > 2, F.substring(digits, 3, 2).try_cast("int")).otherwise(F.lit(0))
-    total = hours * 60 + minutes
+    minutes = hold(SPLIT, minutes)
+    total = hold(SCALED, hours * 60 + minutes)
     shaped = zone.rlike(FIXED_OFFSET)
     good = shaped & (minutes < 60) & (total <= MAX_OFFSET_MINUTES)
     signed = F.when(zone.startswith("-"), -total).otherwise(total)
@@ -52,15 +54,15 @@ def fixed_offset(zone: Column) -> Offset:
     return Offset(value, code)
 
 
-def zone_offset(timestamp: Column, zone: Column) -> Offset:
+def zone_offset(timestamp: Column, zone: Column, hold: Holder = inline) -> Offset:
     """Offset of ``timestamp`` (with zone) in the zone a column names."""
     utc = F.upper(zone).isin("Z", "UTC")
     signed = zone.rlike("^[+-]")
-    fixed = fixed_offset(zone)
-    named = is_zone_name(zone)
+    fixed = fixed_offset(zone, hold)
+    named = hold(DECODED, is_zone_name(zone))
     # Unusable names must not reach the conversion, which would fail the job.
     usable = F.when(named & ~utc & ~signed, zone).otherwise(F.lit("UTC"))
-    micros = F.unix_micros(F.from_utc_timestamp(timestamp, usable)) - F.unix_micros(timestamp)
+    micros = hold(SPLIT, F.unix_micros(F.from_utc_timestamp(timestamp, usable)) - F.unix_micros(timestamp))
     whole = micros % 60_000_000 == 0
     minutes = quotient(micros, 60_000_000).cast("int")
     fits = whole & (F.abs(minutes) <= MAX_OFFSET_MINUTES)
@@ -74,7 +76,7 @@ def zone_offset(timestamp: Column, zone: Column) -> Offset:
     return Offset(value, code)
 
 
-def named_offset(timestamp: Column, zone: str) -> Offset:
+def named_offset(timestamp: Column, zone: str, hold: Holder = inline) -> Offset:
     """Offset in one zone that is known when the plan is made.
 
     Only the rule that applies is put into the plan: a fixed offset is a literal.
@@ -84,7 +86,8 @@ def named_offset(timestamp: Column, zone: str) -> Offset:
         return fixed_offset(literal)
     named = is_zone_name(literal)
     usable = F.when(named, literal).otherwise(F.lit("UTC"))
-    micros = F.unix_micros(F.from_utc_timestamp(timestamp, usable)) - F.unix_micros(timestamp)
+    micros = hold(SPLIT, F.unix_micros(F.from_utc_timestamp(timestamp, usable)) - F.unix_micros(timestamp))
     fits = (micros % 60_000_000 == 0) & (F.abs(micros) <= MAX_OFFSET_MINUTES * 60_000_000)
     code = F.when(~named | (timestamp.isNotNull() & ~fits), F.lit(P.TIMEZONE))
-    return Offset(F.when(named & fits, quotient(micros, 60_000_000).cast("int")), code)
+    minutes = F.when(named & fits, quotient(micros, 60_000_000).cast("int"))
+    return Offset(hold(SCALED, minutes), hold(SCALED, code))

@@ -7,16 +7,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from quayload import policy as P
 from quayload.functions import checks, temporal, zones
 from quayload.functions.checks import Checked, code_when, no_code
+from quayload.functions.hold import Hold, Holder, inline
 from quayload.policy import LoadPlan, PlannedColumn, PlanOptions
 
 #: Carrier of each integer target in Spark.
 CARRIERS = {"bit": "boolean", "tinyint": "smallint", "smallint": "smallint", "int": "int", "bigint": "bigint"}
 
 
-def conform_column(planned: PlannedColumn, options: PlanOptions, column: Column | None = None) -> Checked:
+def conform_column(planned: PlannedColumn, options: PlanOptions, column: Column | None = None,
+                   hold: Holder = inline) -> Checked:
     """Value and code of one planned column, including the NULL rule."""
     source = F.col("`" + planned.name.replace("`", "``") + "`") if column is None else column
-    return checks.not_null(_value_rule(planned, options, source), source, planned.nullable)
+    return checks.not_null(_value_rule(planned, options, source, hold), source, planned.nullable, hold)
 
 
 def conform_table(df: DataFrame, plan: LoadPlan, keep: list[str] | None = None) -> DataFrame:
@@ -25,14 +27,14 @@ def conform_table(df: DataFrame, plan: LoadPlan, keep: list[str] | None = None)
     ``errors`` is an array of (severity, code, field_index, field_name) in column
     order. Everything is one projection, so column pruning still reaches the scan.
     """
-    kept = [F.col(name) for name in keep or []]
-    conformed = [(c, conform_column(c, plan.options)) for c in plan.columns]
+    kept, hold = [F.col(name) for name in keep or []], Hold()
+    conformed = [(c, conform_column(c, plan.options, hold=hold)) for c in plan.columns]
     entries = [
         F.when(checked.code.isNotNull(), diagnostic(checked.code, c.index, c.name))
         for c, checked in conformed
     ]
     errors = F.array_compact(F.array(*entries))
-    return df.select(
+    return hold.add_to(df).select(
         *kept,
         *[checked.value.alias(c.column_name) for c, checked in conformed if c.column_name not in (keep or [])],
         errors.alias("errors"),
@@ -41,12 +43,12 @@ def conform_table(df: DataFrame, plan: LoadPlan, keep: list[str] | None = None)
 
 def conform_columns(df: DataFrame, plan: LoadPlan, keep: list[str] | None = None) -> DataFrame:
     """Value and ``<name>_code`` of every planned column, side by side."""
-    columns = []
+    columns, hold = [], Hold()
     for planned in plan.columns:
-        checked = conform_column(planned, plan.options)
+        checked = conform_column(planned, plan.options, hold=hold)
         columns += [checked.value.alias(planned.column_name),
                     checked.code.cast("string").alias(f"{planned.column_name}_code")]
-    return df.select(*(keep or []), *columns)
+    return hold.add_to(df).select(*(keep or []), *columns)
 
 
 def diagnostic(code: Column, index: int, name: str) -> Column:
@@ -79,56 +81,57 @@ def loadable(df: DataFrame, plan: LoadPlan) -> DataFrame:
     return df.select(*extra, *columns)
 
 
-def instant_of(planned: PlannedColumn, options: PlanOptions, column: Column) -> temporal.Instant:
+def instant_of(planned: PlannedColumn, options: PlanOptions, column: Column,
+               hold: Holder = inline) -> temporal.Instant:
     """Instant of a timestamp column, whatever carries it in Spark."""
     source = planned.source
     if source.kind == "date64":
-        return temporal.instant_from_units(column, "ms")
+        return temporal.instant_from_units(column, "ms", hold)
     if source.unit == "ns":
-        return temporal.instant_from_nanos(column, options.nanosecond)
+        return temporal.instant_from_nanos(column, options.nanosecond, hold)
     if source.unit == "us" and source.zone is None:
-        return temporal.instant_from_ntz(column)
+        return temporal.instant_from_ntz(column, hold)
     if source.unit == "us":
-        return temporal.instant_from_timestamp(column)
-    return temporal.instant_from_units(column, source.unit)
+        return temporal.instant_from_timestamp(column, hold)
+    return temporal.instant_from_units(column, source.unit, hold)
 
 
-def _value_rule(planned: PlannedColumn, options: PlanOptions, column: Column) -> Checked:
+def _value_rule(planned: PlannedColumn, options: PlanOptions, column: Column, hold: Holder) -> Checked:
     source, target = planned.source, planned.target
     if source.kind == "uint64":
         if target.kind == "decimal":
             return checks.uint64_as_decimal(column)
-        return checks.uint64_as_bigint(column)
+        return checks.uint64_as_bigint(column, hold)
     if target.kind == "tinyint":
-        return checks.tinyint(column)
+        return checks.tinyint(column, hold)
     if target.kind in CARRIERS:
         return checks.widen(column, CARRIERS[target.kind])
     if target.kind == "real":
-        return checks.finite(column, "float")
+        return checks.finite(column, "float", hold)
     if target.kind == "float":
-        return checks.finite(column, "double")
+        return checks.finite(column, "double", hold)
     if target.kind == "nvarchar":
-        return checks.nvarchar(column, target.length)
+        return checks.nvarchar(column, target.length, hold)
     if target.kind == "varbinary":
-        return checks.varbinary(column, target.length)
+        return checks.varbinary(column, target.length, hold)
     if target.kind == "binary":
-        return checks.fixed_binary(column, target.length)
+        return checks.fixed_binary(column, target.length, hold)
     if target.kind == "decimal":
-        return _decimal_rule(planned, column)
+        return _decimal_rule(planned, column, hold)
     if target.kind == "date":
-        return temporal.date64_midnight(column) if source.kind == "date64" else temporal.date_number(column)
+        return temporal.date64_midnight(column, hold) if source.kind == "date64" else temporal.date_number(column, hold)
     if target.kind == "time":
-        return temporal.time_of_day(column, source.unit, options.nanosecond)
+        return temporal.time_of_day(column, source.unit, options.nanosecond, hold)
     if target.kind == "datetime2":
-        return temporal.datetime2(instant_of(planned, options, column), target.precision)
+        return temporal.datetime2(instant_of(planned, options, column, hold), target.precision, hold)
     if target.kind == "datetime":
-        return temporal.datetime_fragments(instant_of(planned, options, column), options.datetime_rounding)
+        return temporal.datetime_fragments(instant_of(planned, options, column, hold), options.datetime_rounding, hold)
     if target.kind == "datetimeoffset":
-        return _offset_rule(planned, options, column)
+        return _offset_rule(planned, options, column, hold)
     return Checked(F.lit(None), code_when(column.isNotNull(), P.TYPE_MISMATCH))
 
 
-def _decimal_rule(planned: PlannedColumn, column: Column) -> Checked:
+def _decimal_rule(planned: PlannedColumn, column: Column, hold: Holder) -> Checked:
     source, target = planned.source, planned.target
     if max(source.scale, 0) != target.scale:
         return Checked(
@@ -136,15 +139,15 @@ def _decimal_rule(planned: PlannedColumn, column: Column) -> Checked:
             code_when(column.isNotNull(), P.SCHEMA_MISMATCH),
         )
     if source.kind == "wide_decimal":
-        return checks.wide_decimal(column, target.precision, source.scale)
+        return checks.wide_decimal(column, target.precision, source.scale, hold)
     if source.scale < 0:
-        return checks.negative_scale_decimal(column, target.precision, -source.scale)
-    return checks.decimal(column, target.precision, target.scale)
+        return checks.negative_scale_decimal(column, target.precision, -source.scale, hold)
+    return checks.decimal(column, target.precision, target.scale, hold)
 
 
-def _offset_rule(planned: PlannedColumn, options: PlanOptions, column: Column) -> Checked:
+def _offset_rule(planned: PlannedColumn, options: PlanOptions, column: Column, hold: Holder) -> Checked:
     source = planned.source
-    instant = instant_of(planned, options, column)
+    instant = instant_of(planned, options, column, hold)
     if source.unit == "us":
         moment = column
     else:
@@ -152,6 +155,6 @@ def _offset_rule(planned: PlannedColumn, options: PlanOptions, column: Column) -
         seconds = instant.day * 86_400 + F.call_function("div", instant.ticks, F.lit(10_000_000).cast("bigint"))
         in_range = instant.day.between(-temporal.EPOCH_DAY_FROM_0001, temporal.MAX_DAY_FROM_0001)
         moment = F.timestamp_seconds(F.when(in_range, seconds))
-    offset = zones.named_offset(moment, source.zone)
+    offset = zones.named_offset(moment, source.zone, hold)
     code = F.coalesce(offset.code, no_code())
-    return temporal.datetimeoffset(instant, offset.minutes, code)
+    return temporal.datetimeoffset(instant, offset.minutes, code, hold)

@@ -164,9 +164,9 @@ def observed_decimal_shape(df: DataFrame, columns: dict[str, int]) -> DataFrame:
     """
     aggregates, rows = [], []
     for i, (c, scale) in enumerate(columns.items()):
-        digits = F.regexp_replace(F.col(c), r"^[+-]?0*", "")
+        digits = F.ltrim(F.col(c), F.lit("+-0"))
         size = F.length(digits)
-        trailing = size - F.length(F.regexp_replace(digits, "0+$", ""))
+        trailing = size - F.length(F.rtrim(digits, F.lit("0")))
         zero = size == 0
         left = F.when(zero, F.lit(0)).otherwise(F.greatest(size - scale, F.lit(0)))
         right = F.when(zero, F.lit(0)).otherwise(F.greatest(F.lit(scale) - trailing, F.lit(0)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quayload.functions import temporal, zones
+from quayload.functions.hold import Hold
 from quayload.operators import conform
 from quayload.operators.planning import plan_schema
 from quayload.plans.registry import query, table
@@ -253,7 +254,7 @@ def conform_date64(spark, sf_dir):
 
 @query("conform_time", """
 WITH s AS (SELECT event_id, event_id * 131 % 90000 - 50 AS s, event_id * 131071 % 86500000 AS ms,
-                  event_id * 8191000007 % 86400000000 AS us, event_id * 7919000000077 % 86400000000000 AS raw FROM events),
+                  event_id % 1000003 * 8191000007 % 86400000000 AS us, event_id % 1000003 * 7919000000077 % 86400000000000 AS raw FROM events),
      n AS (SELECT *, CASE WHEN event_id % 53 = 0 THEN 86399999999950 + event_id % 60 ELSE raw END AS ns FROM s),
      t AS (SELECT *, (ns + 50) // 100 AS tick FROM n)
 SELECT event_id,
@@ -268,12 +269,12 @@ FROM t""")
 def conform_time(spark, sf_dir):
     key = F.col("event_id")
     nanos = F.when(key % 53 == 0, F.lit(86_399_999_999_950) + key % 60).otherwise(
-        (key.cast("decimal(18,0)") * F.lit(7_919_000_000_077).cast("decimal(18,0)") % F.lit(86_400_000_000_000)).cast("bigint"))
+        key % 1_000_003 * 7_919_000_000_077 % 86_400_000_000_000)
     df = table(spark, sf_dir, "events").select(
         "event_id",
         source(key * 131 % 90_000 - 50, "at_s", "time(s)"),
         source(key * 131_071 % 86_500_000, "at_ms", "time(ms)"),
-        source(key * 8_191_000_007 % 86_400_000_000, "at_us", "time(us)"),
+        source(key % 1_000_003 * 8_191_000_007 % 86_400_000_000, "at_us", "time(us)"),
         source(nanos, "at_ns", "time(ns)"),
     )
     return conformed(df, ["event_id"], PlanOptions(nanosecond="round"))
@@ -288,18 +289,18 @@ def _datetime2_sql(name: str, ticks: str, precision: int) -> str:
 
 @query("conform_datetime2", f"""
 WITH s AS (SELECT event_id, epoch_us(ts)::HUGEINT * 10 AS t,
-                  (event_id::HUGEINT - 5000) * 51000001 * 10000000 AS far,
+                  (event_id::HUGEINT % 1000000 - 5000) * 51000001 * 10000000 AS far,
                   CASE WHEN event_id % 11 = 0 THEN 253402300799999 - event_id % 3
-                       ELSE (event_id - 5000) * 9876543211 END::HUGEINT * 10000 AS near FROM events)
+                       ELSE (event_id % 1000000 - 5000) * 9876543211 END::HUGEINT * 10000 AS near FROM events)
 SELECT event_id, {_datetime2_sql('p0', 't', 0)}, {_datetime2_sql('p3', 't', 3)}, {_datetime2_sql('p7', 't', 7)},
        {_datetime2_sql('far', 'far', 0)}, {_datetime2_sql('near', 'near', 2)}
 FROM s""")
 def conform_datetime2(spark, sf_dir):
     key = F.col("event_id")
-    near = F.when(key % 11 == 0, F.lit(253_402_300_799_999) - key % 3).otherwise((key - 5000) * 9_876_543_211)
+    near = F.when(key % 11 == 0, F.lit(253_402_300_799_999) - key % 3).otherwise((key % 1_000_000 - 5000) * 9_876_543_211)
     df = table(spark, sf_dir, "events").select(
         "event_id", F.col("ts").alias("p0"), F.col("ts").alias("p3"), F.col("ts").alias("p7"),
-        ((key - 5000) * 51_000_001).alias("far"), near.alias("near"))
+        ((key % 1_000_000 - 5000) * 51_000_001).alias("far"), near.alias("near"))
     micros, seconds, millis = (SourceType("timestamp", unit=u) for u in ("us", "s", "ms"))
     plan = LoadPlan(tuple(
         PlannedColumn(i, name, True, kind, TargetType("datetime2", precision=p))
@@ -319,9 +320,9 @@ def _fragments_sql(name: str, ticks: str, two_step: bool) -> str:
 def _datetime_oracle(two_step: bool) -> str:
     return f"""
 WITH s AS (SELECT event_id, epoch_us(ts)::HUGEINT * 10 AS t,
-                  ((event_id - 5000) * 1600000007)::HUGEINT * 10000 AS far,
+                  ((event_id % 1000000 - 5000) * 1600000007)::HUGEINT * 10000 AS far,
                   CASE WHEN event_id % 7 = 0 THEN 2534023007999985 + event_id % 20
-                       ELSE (event_id - 5000) * 3333333331 END::HUGEINT AS tenth FROM events)
+                       ELSE (event_id % 1000000 - 5000) * 3333333331 END::HUGEINT AS tenth FROM events)
 SELECT event_id, {_fragments_sql('at', 't', two_step)}, {_fragments_sql('far', 'far', two_step)},
        {_fragments_sql('fine', 'tenth', two_step)}
 FROM s"""
@@ -329,10 +330,10 @@ FROM s"""
 
 def _datetime_query(spark, sf_dir, rounding):
     key = F.col("event_id")
-    fine = F.when(key % 7 == 0, F.lit(2_534_023_007_999_985) + key % 20).otherwise((key - 5000) * 3_333_333_331)
+    fine = F.when(key % 7 == 0, F.lit(2_534_023_007_999_985) + key % 20).otherwise((key % 1_000_000 - 5000) * 3_333_333_331)
     df = table(spark, sf_dir, "events").select(
         "event_id", F.col("ts").alias("at"),
-        source((key - 5000) * 1_600_000_007, "far", "timestamp(ms)"),
+        source((key % 1_000_000 - 5000) * 1_600_000_007, "far", "timestamp(ms)"),
         source(fine * 100, "fine", "timestamp(ns)"))
     options = PlanOptions(timestamp="datetime", datetime_rounding=rounding, nanosecond="reject")
     return flat(conformed(df, ["event_id"], options), ["at", "far", "fine"], ["day", "fragments"])
@@ -357,26 +358,26 @@ def _nanos_sql(name: str, ticks: str, reject: bool = False) -> str:
 
 
 @query("conform_nanos", f"""
-WITH s AS (SELECT event_id, (event_id - 5000) * 123456789012345 + (event_id % 4) * 25 AS ns FROM events)
+WITH s AS (SELECT event_id, (event_id % 70000 - 5000) * 123456789012345 + (event_id % 4) * 25 AS ns FROM events)
 SELECT event_id, {_nanos_sql('strict', fdiv('ns', 100), True)},
        {_nanos_sql('rounded', fdiv('ns + 50', 100))}, {_nanos_sql('cut', fdiv('ns', 100))}
 FROM s""")
 def conform_nanos(spark, sf_dir):
     key = F.col("event_id")
-    nanos = (key - 5000) * 123_456_789_012_345 + (key % 4) * 25
+    nanos = (key % 70_000 - 5000) * 123_456_789_012_345 + (key % 4) * 25
     df = table(spark, sf_dir, "events")
-    columns = []
+    columns, hold = [], Hold()
     for name, rule in (("strict", "reject"), ("rounded", "round"), ("cut", "truncate")):
-        checked = temporal.datetime2(temporal.instant_from_nanos(nanos, rule), 7)
+        checked = temporal.datetime2(temporal.instant_from_nanos(nanos, rule, hold), 7, hold)
         columns += [checked.value.alias(name), checked.code.alias(f"{name}_code")]
-    return flat(df.select("event_id", *columns), ["strict", "rounded", "cut"], ["day", "increments"])
+    return flat(hold.add_to(df).select("event_id", *columns), ["strict", "rounded", "cut"], ["day", "increments"])
 
 
 @query("conform_tz_utc", f"""
-WITH s AS (SELECT event_id, ((event_id - 2000) * 86399999999)::HUGEINT * 10 AS t FROM events)
+WITH s AS (SELECT event_id, ((event_id % 4000000 - 2000) * 86399999999)::HUGEINT * 10 AS t FROM events)
 SELECT event_id, {_datetime2_sql('moment', 't', 3)}, {_fragments_sql('legacy', 't', True)} FROM s""")
 def conform_tz_utc(spark, sf_dir):
-    moment = F.timestamp_micros((F.col("event_id") - 2000) * 86_399_999_999)
+    moment = F.timestamp_micros((F.col("event_id") % 4_000_000 - 2000) * 86_399_999_999)
     df = table(spark, sf_dir, "events").select("event_id", moment.alias("moment"), moment.alias("legacy"))
     zoned = SourceType("timestamp", unit="us", zone="America/New_York")
     plan = LoadPlan((
@@ -405,10 +406,10 @@ ZONES = {"new_york": "America/New_York", "kolkata": "Asia/Kolkata", "half": "+02
 
 
 @query("conform_datetimeoffset", f"""
-WITH s AS (SELECT event_id, (event_id - 9000) * 400000000123 + 1700000000000000 AS us FROM events)
+WITH s AS (SELECT event_id, (event_id % 20000 - 12000) * 400000000123 + 1700000000000000 AS us FROM events)
 SELECT event_id, {', '.join(_offset_sql(n, z) for n, z in ZONES.items())} FROM s""")
 def conform_datetimeoffset(spark, sf_dir):
-    moment = F.timestamp_micros((F.col("event_id") - 9000) * 400_000_000_123 + 1_700_000_000_000_000)
+    moment = F.timestamp_micros((F.col("event_id") % 20_000 - 12_000) * 400_000_000_123 + 1_700_000_000_000_000)
     df = table(spark, sf_dir, "events").select("event_id", *[moment.alias(n) for n in ZONES])
     plan = LoadPlan(tuple(
         PlannedColumn(i, n, True, SourceType("timestamp", unit="us", zone=z), TargetType("datetimeoffset", precision=7))
@@ -427,7 +428,7 @@ _NAME_LIST = "[" + ", ".join(f"'{n}'" for n in ZONE_NAMES) + "]"
 
 @query("conform_tz_names", f"""
 WITH s AS (SELECT event_id, {_NAME_LIST}[(event_id % {len(ZONE_NAMES)})::INTEGER + 1] AS zone,
-                  event_id * 3600000000 + 1600000000000000 AS us FROM events),
+                  event_id % 1000000 * 3600000000 + 1600000000000000 AS us FROM events),
      named(name) AS (VALUES ('America/New_York'), ('Europe/Paris'), ('Australia/Lord_Howe'), ('Asia/Kathmandu'), ('Etc/GMT+5')),
      f AS (SELECT s.*, name, upper(zone) IN ('Z', 'UTC') AS utc,
                   regexp_full_match(zone, '[+-]([0-9]{{2}}|[0-9]{{2}}:?[0-9]{{2}})') AS shaped,
@@ -446,9 +447,10 @@ def conform_tz_names(spark, sf_dir):
     names = F.array(*[F.lit(n) for n in ZONE_NAMES])
     df = table(spark, sf_dir, "events").select(
         "event_id", F.element_at(names, (key % len(ZONE_NAMES)).cast("int") + 1).alias("zone"),
-        F.timestamp_micros(key * 3_600_000_000 + 1_600_000_000_000_000).alias("moment"))
-    offset = zones.zone_offset(F.col("moment"), F.col("zone"))
-    return df.select("event_id", "zone", offset.minutes.alias("offset_minutes"), offset.code.alias("code"))
+        F.timestamp_micros(key % 1_000_000 * 3_600_000_000 + 1_600_000_000_000_000).alias("moment"))
+    hold = Hold()
+    offset = zones.zone_offset(F.col("moment"), F.col("zone"), hold)
+    return hold.add_to(df).select("event_id", "zone", offset.minutes.alias("offset_minutes"), offset.code.alias("code"))
 
 
 @query("conform_not_null", """

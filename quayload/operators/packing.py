@@ -33,10 +33,20 @@ PIECE_SCHEMA = "batch {b}, range_no long, start_row long, row_count long, range_
 
 
 def pack_ranges(df: DataFrame, batch: str, order: list[str], row_bytes: str,
-                limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """Ranges of batches whose row count is bounded, e.g. by ``chunk_batches``."""
+                limit: int = DEFAULT_LIMIT, batch_rows: int | None = None) -> DataFrame:
+    """Ranges of every batch: number, first row in the batch, rows, bytes.
+
+    ``batch_rows`` is the most rows a batch can have, where the way it was cut
+    proves it; a batch that breaks the promise fails the job. Without it batches
+    may be of any size.
+    """
     _check_limit(limit)
-    rows = F.sort_array(F.collect_list(F.struct(*order, F.col(row_bytes).cast("bigint").alias("b"))))
+    if batch_rows is None:
+        return pack_ranges_unbounded(df, batch, order, row_bytes, limit)
+    collected = F.collect_list(F.struct(*order, F.col(row_bytes).cast("bigint").alias("b")))
+    rows = F.when(F.count(F.lit(1)) <= batch_rows, F.sort_array(collected)).otherwise(
+        F.raise_error(F.lit(f"a batch has more than the promised {batch_rows} rows"))
+    )
     ranges = df.groupBy(batch).agg(F.transform(rows, lambda r: r["b"]).alias("sizes"))
     empty = F.array().cast("array<struct<start_row:bigint,row_count:bigint,range_bytes:bigint>>")
     state = F.struct(

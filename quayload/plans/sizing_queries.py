@@ -120,7 +120,8 @@ def _packed(batch: str, limit: int) -> str:
 
 def document_ranges(spark, sf_dir):
     sized = documents(spark, sf_dir).select("batch_id", "doc_id", sizing.row_bytes(DOCUMENT_PLAN).alias("row_bytes"))
-    return packing.pack_ranges(sized, "batch_id", ["doc_id"], "row_bytes", DOC_LIMIT)
+    # Document ids are unique, so a batch cut by id has at most DOC_BATCH rows.
+    return packing.pack_ranges(sized, "batch_id", ["doc_id"], "row_bytes", DOC_LIMIT, batch_rows=DOC_BATCH)
 
 
 @query("pack_ranges", _packed("batch_id", DOC_LIMIT) + "SELECT * FROM ranges")
@@ -133,7 +134,7 @@ def pack_ranges_unbounded(spark, sf_dir):
     """One batch per language: a batch may hold most of the table."""
     sized = documents(spark, sf_dir).select(
         F.coalesce("lang", F.lit("none")).alias("batch_id"), "doc_id", sizing.row_bytes(DOCUMENT_PLAN).alias("row_bytes"))
-    return packing.pack_ranges_unbounded(sized, "batch_id", ["doc_id"], "row_bytes", DOC_LIMIT)
+    return packing.pack_ranges(sized, "batch_id", ["doc_id"], "row_bytes", DOC_LIMIT)
 
 
 @query("range_bytes", _packed("batch_id", DOC_LIMIT) + """

@@ -6,7 +6,10 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: Bound on sort partitions: tables with one row per partition stay small.
+MAX_PARTITIONS = 200_000
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -51,3 +54,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(os.path.join(shared_root(spark), "checkpoints"))
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The planner's estimate of a DataFrame's size, if the session can tell."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except AttributeError:
+        return None
+
+
+def partitions_for(df: DataFrame, bytes_per_partition: int = 256 * 1024 * 1024) -> int:
+    """Partitions for a sort of ``df``: the session's number, or more for large data.
+
+    A range partitioning is not split at run time, so its number has to fit the
+    data when the plan is made.
+    """
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_bytes(df)
+    if size is None:
+        return configured
+    return min(max(configured, -(-size // bytes_per_partition)), MAX_PARTITIONS)

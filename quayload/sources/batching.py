@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quayload.functions.exact import floor_div
-from quayload.session import ensure_checkpoint_dir
+from quayload.session import ensure_checkpoint_dir, partitions_for
 
 #: Spark's generated ids hold the partition above this many bits of row number.
 ROW_BITS = 33
@@ -17,7 +17,8 @@ def batches_by_key(df: DataFrame, key: str, rows: int, name: str = "batch_id") -
     return df.withColumn(name, floor_div(F.col(key).cast("bigint"), rows))
 
 
-def in_sequence(df: DataFrame, order: list[str], name: str = "__sequence") -> DataFrame:
+def in_sequence(df: DataFrame, order: list[str], name: str = "__sequence",
+                partitions: int | None = None) -> DataFrame:
     """Rows range-partitioned and sorted by ``order``, with a sequence number.
 
     The number is the partition above ``ROW_BITS`` bits and the row in it below.
@@ -30,7 +31,7 @@ def in_sequence(df: DataFrame, order: list[str], name: str = "__sequence") -> Da
     tie = "__read_position"
     return (
         df.withColumn(tie, F.monotonically_increasing_id())
-        .repartitionByRange(*order, tie)
+        .repartitionByRange(partitions or partitions_for(df), *order, tie)
         .sortWithinPartitions(*order, tie)
         .drop(tie)
         .withColumn(name, F.monotonically_increasing_id())

@@ -5,9 +5,8 @@ Every column is an expression of the row number, so a shape can be laid over
 needed: no driver data and no shuffle.
 
 Text and bytes step through an alphabet by a fixed stride. The stride is coprime
-to the alphabet's size, so the sequence repeats after one round: a value is a
-stretch of that repeated round, cut at the right start, and no loop over its
-characters is needed.
+to the alphabet's size, so the sequence repeats after one round: every value is a
+stretch of one literal that repeats the round, cut at the right start.
 """
 
 from __future__ import annotations
@@ -78,25 +77,23 @@ def low_32_bits(row: Column, factor: int) -> Column:
     return (upper + base * low) % modulus
 
 
-def stepped_text(row: Column, length: Column, alphabet: str = ASCII_ALPHABET) -> Column:
-    """Character i is ``alphabet[(31 row + 7 i) mod size]``."""
+def stepped_text(row: Column, length: Column, longest: int, alphabet: str = ASCII_ALPHABET) -> Column:
+    """Character i is ``alphabet[(31 row + 7 i) mod size]``, for lengths up to ``longest``."""
     size = len(alphabet)
-    round_ = "".join(alphabet[(7 * i) % size] for i in range(size))
-    start = (row * 31 % size) * pow(7, -1, size) % size
-    copies = quotient(length.cast("bigint") + 2 * size, size).cast("int")
-    return F.substring(F.repeat(F.lit(round_), copies), start.cast("int") + 1, length.cast("int"))
+    start = (row * 31 % size) * pow(7, -1, size) % size + 1
+    text = "".join(alphabet[(7 * i) % size] for i in range(size + longest))
+    if text.isascii():
+        # One byte per character: a stretch of bytes, no search for characters.
+        return F.substring(F.lit(text.encode()), start.cast("int"), length.cast("int")).cast("string")
+    return F.substring(F.lit(text), start.cast("int"), length.cast("int"))
 
 
-def stepped_bytes(row: Column, length: Column, row_step: int, index_step: int) -> Column:
-    """Byte i is ``(row_step row + index_step i) mod 251``."""
+def stepped_bytes(row: Column, length: Column, longest: int, row_step: int, index_step: int) -> Column:
+    """Byte i is ``(row_step row + index_step i) mod 251``, for lengths up to ``longest``."""
     size = 251
-    round_ = bytes((index_step * i) % size for i in range(size)).hex()
-    start = (row * row_step % size) * pow(index_step, -1, size) % size
-    copies = quotient(length.cast("bigint") + 2 * size, size).cast("int")
-    digits = F.substring(
-        F.repeat(F.lit(round_), copies), (start * 2).cast("int") + 1, (length * 2).cast("int")
-    )
-    return F.unhex(digits)
+    start = (row * row_step % size) * pow(index_step, -1, size) % size + 1
+    content = bytes((index_step * i) % size for i in range(size + longest))
+    return F.substring(F.lit(content), start.cast("int"), length.cast("int"))
 
 
 def pick(row: Column, values: list[str]) -> Column:
@@ -120,8 +117,8 @@ def instant_of_millis(millis: Column) -> Column:
 
 
 def scaled(unscaled: Column, precision: int, scale: int) -> Column:
-    factor = F.lit(10 ** scale).cast("decimal(10,0)")
-    return (unscaled.cast("decimal(20,0)") / factor).cast(f"decimal({precision},{scale})")
+    unit = F.lit("0." + "0" * (scale - 1) + "1").cast(f"decimal({scale},{scale})")
+    return (unscaled.cast("decimal(12,0)") * unit).cast(f"decimal({precision},{scale})")
 
 
 def source(column: Column, name: str, kind: str) -> Column:
@@ -211,13 +208,13 @@ def wide_mixed(r: Column) -> list[Column]:
         unless_multiple(r, 19, pick(r, STATUSES)).alias("status"),
         unless_multiple(r, 23, pick(quotient(r, 3), REGIONS)).alias("region"),
         unless_multiple(r, 29, description).alias("description"),
-        unless_multiple(r, 31, stepped_bytes(r, 8 + r % 57, 31, 17)).alias("payload"),
+        unless_multiple(r, 31, stepped_bytes(r, 8 + r % 57, 64, 31, 17)).alias("payload"),
     ]
 
 
 def fixed_size_binary(r: Column) -> list[Column]:
     def payload(length: int) -> Column:
-        return stepped_bytes(r, F.lit(length), 37, 19)
+        return stepped_bytes(r, F.lit(length), length, 37, 19)
 
     return [
         r.alias("row_id"),
@@ -273,9 +270,13 @@ def decimal_temporal_128(r: Column) -> list[Column]:
     return columns
 
 
-def string_heavy(body: Callable[[Column], Column], payload: Callable[[Column], Column],
+def string_heavy(body: tuple[int, int], payload: tuple[int, int],
                  unicode: bool = False) -> Callable[[Column], list[Column]]:
-    """The text and binary shapes differ only in lengths and alphabet."""
+    """The text and binary shapes differ only in alphabet and lengths.
+
+    A length (shortest, spread) is ``shortest + row mod spread``.
+    """
+    longest_body, longest_payload = sum(body) - 1, sum(payload) - 1
 
     def columns(r: Column) -> list[Column]:
         number = padded(r % 512, 4)
@@ -296,9 +297,9 @@ def string_heavy(body: Callable[[Column], Column], payload: Callable[[Column], C
             tenant.alias("tenant"),
             unless_multiple(r, 37, pick(r, kind)).alias("document_type"),
             unless_multiple(r, 41, title).alias("title"),
-            unless_multiple(r, 43, stepped_text(r, body(r), alphabet)).alias("body"),
+            unless_multiple(r, 43, stepped_text(r, body[0] + r % body[1], longest_body, alphabet)).alias("body"),
             unless_multiple(r, 47, metadata).alias("metadata"),
-            unless_multiple(r, 53, stepped_bytes(r, payload(r), 131, 29)).alias("payload"),
+            unless_multiple(r, 53, stepped_bytes(r, payload[0] + r % payload[1], longest_payload, 131, 29)).alias("payload"),
         ]
 
     return columns
@@ -331,14 +332,10 @@ def tpch_lineitem_like(r: Column) -> list[Column]:
         date_of(8_460 + r % 2_500).alias("l_receiptdate"),
         pick(r, SHIP_INSTRUCTIONS).alias("l_shipinstruct"),
         pick(r, SHIP_MODES).alias("l_shipmode"),
-        unless_multiple(r, 101, stepped_text(r, 24 + r % 96)).alias("l_comment"),
+        unless_multiple(r, 101, stepped_text(r, 24 + r % 96, 119)).alias("l_comment"),
     ]
 
 
-def _constant(length: int) -> Callable[[Column], Column]:
-    return lambda r: F.lit(length)
-
-
 SHAPES: dict[str, Callable[[Column], list[Column]]] = {
     "narrow_numeric": narrow_numeric,
     "extended_primitive": extended_primitive,
@@ -350,13 +347,13 @@ SHAPES: dict[str, Callable[[Column], list[Column]]] = {
     "decimal_temporal": decimal_temporal,
     "fixed_width_128": fixed_width_128,
     "decimal_temporal_128": decimal_temporal_128,
-    "string_heavy": string_heavy(lambda r: 512 + r % 2_048, lambda r: 1_024 + r % 4_096),
-    "string_heavy_text_only": string_heavy(lambda r: 512 + r % 2_048, lambda r: 8 + r % 32),
-    "string_heavy_binary_only": string_heavy(lambda r: 24 + r % 96, lambda r: 1_024 + r % 4_096),
-    "string_heavy_inline_4k": string_heavy(_constant(1_024), _constant(2_048)),
-    "string_heavy_edge_7k": string_heavy(_constant(1_536), _constant(4_096)),
-    "string_heavy_lob_9k": string_heavy(_constant(2_048), _constant(5_120)),
-    "string_heavy_unicode": string_heavy(lambda r: 512 + r % 2_048, lambda r: 1_024 + r % 4_096, unicode=True),
+    "string_heavy": string_heavy((512, 2_048), (1_024, 4_096)),
+    "string_heavy_text_only": string_heavy((512, 2_048), (8, 32)),
+    "string_heavy_binary_only": string_heavy((24, 96), (1_024, 4_096)),
+    "string_heavy_inline_4k": string_heavy((1_024, 1), (2_048, 1)),
+    "string_heavy_edge_7k": string_heavy((1_536, 1), (4_096, 1)),
+    "string_heavy_lob_9k": string_heavy((2_048, 1), (5_120, 1)),
+    "string_heavy_unicode": string_heavy((512, 2_048), (1_024, 4_096), unicode=True),
     "wide_sparse": wide_sparse,
     "tpch_lineitem_like": tpch_lineitem_like,
 }

@@ -21,6 +21,11 @@ class Checked:
 
     value: Column
     code: Column
+    checked: bool = True
+
+    def never_fails(self, planned) -> bool:
+        """Nothing to check: a lossless conversion into a nullable column."""
+        return planned.nullable and not self.checked
 
 
 def no_code() -> Column:
@@ -33,7 +38,7 @@ def code_when(bad: Column, code: str) -> Column:
 
 def widen(column: Column, spark_type: str) -> Checked:
     """Lossless widening of booleans and integers."""
-    return Checked(column.cast(spark_type), no_code())
+    return Checked(column.cast(spark_type), no_code(), checked=False)
 
 
 def tinyint(column: Column, hold: Holder = inline) -> Checked:
@@ -44,7 +49,7 @@ def tinyint(column: Column, hold: Holder = inline) -> Checked:
 
 def uint64_as_decimal(column: Column) -> Checked:
     """Unsigned 64-bit value as decimal(20,0)."""
-    return Checked(column.cast("decimal(20,0)"), no_code())
+    return Checked(column.cast("decimal(20,0)"), no_code(), checked=False)
 
 
 def uint64_as_bigint(column: Column, hold: Holder = inline) -> Checked:
@@ -78,7 +83,7 @@ def utf16_units(column: Column) -> Column:
 def nvarchar(column: Column, length: int | None, hold: Holder = inline) -> Checked:
     """Text of at most ``length`` UTF-16 units; never cut short."""
     if length is None:
-        return Checked(column, no_code())
+        return Checked(column, no_code(), checked=False)
     # More code points than units is already too long, and needs no encoding.
     bad = (F.char_length(column) > length) | (utf16_units(column) > length)
     code = hold(JUDGED, code_when(bad, P.TOO_LONG))
@@ -88,7 +93,7 @@ def nvarchar(column: Column, length: int | None, hold: Holder = inline) -> Check
 def varbinary(column: Column, length: int | None, hold: Holder = inline) -> Checked:
     """Bytes of at most ``length``."""
     if length is None:
-        return Checked(column, no_code())
+        return Checked(column, no_code(), checked=False)
     code = hold(JUDGED, code_when(F.octet_length(column) > length, P.TOO_LONG))
     return Checked(F.when(code.isNull(), column), code)
 
@@ -134,5 +139,6 @@ def not_null(checked: Checked, source: Column, nullable: bool, hold: Holder = in
     """NULL where the target column takes none."""
     if nullable:
         return checked
-    code = F.when(source.isNull(), F.lit(P.NULL_VALUE)).otherwise(checked.code)
+    missing = F.when(source.isNull(), F.lit(P.NULL_VALUE))
+    code = missing.otherwise(checked.code) if checked.checked else missing
     return Checked(checked.value, hold(NULL_JUDGED, code))

@@ -1,13 +1,15 @@
 """Dates, times and instants.
 
-An instant is a day since 1970-01-01 plus 100 ns ticks within that day. Both fit
-a long for every 64-bit source value, so nothing here can overflow, and a
-rounding that carries into the next day is a plain ``+ 1``.
+An instant is a raw count of units, split into a day since 1970-01-01 and 100 ns
+ticks within that day. All fit a long for every 64-bit source value, so nothing
+here can overflow, and a rounding that carries into the next day is a plain
+``+ 1``. Whether a value is in range is told from the raw count alone, by two
+constants that allow for the rounding: a filter on violations stays cheap.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, SparkSession, functions as F
 
@@ -27,35 +29,45 @@ EPOCH_DAY_FROM_1900 = 25_567
 MIN_DAY_FROM_1900 = -53_690
 MAX_DAY_FROM_1900 = 2_958_463
 FRAGMENTS_PER_DAY = 25_920_000
+FIRST_TICK = -EPOCH_DAY_FROM_0001 * TICKS_PER_DAY
 UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00")
 
 
 @dataclass(frozen=True)
 class Instant:
-    """``day`` and ``ticks`` are longs; ``code`` marks a value lost on the way."""
+    """``raw`` counts units of ``unit_ticks`` x 100 ns since the epoch. ``day`` and
+    ``ticks`` split it; ``code`` marks a value lost on the way."""
 
+    raw: Column
+    unit_ticks: int
     day: Column
     ticks: Column
     code: Column | None = None
 
+    def outside(self, first_tick: int, last_tick: int) -> Column:
+        """Whether the raw value lies outside two ticks: a comparison with constants."""
+        low = -(-first_tick // self.unit_ticks)
+        return ~self.raw.between(F.lit(low), F.lit(last_tick // self.unit_ticks))
 
-def instant_from_units(value: Column, unit: str, hold: Holder = inline) -> Instant:
-    """Seconds, milliseconds or microseconds since the epoch."""
-    value = value.cast("bigint")
-    per_day = UNITS_PER_DAY[unit]
+
+def _split(raw: Column, unit_ticks: int, hold: Holder, code: Column | None = None) -> Instant:
+    per_day = TICKS_PER_DAY // unit_ticks
+    ticks = floor_mod(raw, per_day)
     return Instant(
-        hold(SPLIT, floor_div(value, per_day)),
-        hold(SPLIT, floor_mod(value, per_day) * TICKS_PER_UNIT[unit]),
+        raw, unit_ticks, hold(SPLIT, floor_div(raw, per_day)),
+        hold(SPLIT, ticks * unit_ticks if unit_ticks > 1 else ticks), code,
     )
 
 
+def instant_from_units(value: Column, unit: str, hold: Holder = inline) -> Instant:
+    """Seconds, milliseconds or microseconds since the epoch."""
+    return _split(value.cast("bigint"), TICKS_PER_UNIT[unit], hold)
+
+
 def instant_from_nanos(value: Column, nanosecond: str, hold: Holder = inline) -> Instant:
     """Nanoseconds since the epoch, brought to 100 ns under the policy."""
     ticks, code = nanos_to_ticks(value.cast("bigint"), nanosecond)
-    ticks = hold(DECODED, ticks)
-    return Instant(
-        hold(SPLIT, floor_div(ticks, TICKS_PER_DAY)), hold(SPLIT, floor_mod(ticks, TICKS_PER_DAY)), code
-    )
+    return _split(hold(DECODED, ticks), 1, hold, code)
 
 
 def instant_from_ntz(value: Column, hold: Holder = inline) -> Instant:
@@ -66,13 +78,13 @@ def instant_from_ntz(value: Column, hold: Holder = inline) -> Instant:
     """
     session = SparkSession.getActiveSession()
     if session is not None and session.conf.get("spark.sql.session.timeZone") in UTC_NAMES:
-        return instant_from_units(hold(DECODED, F.unix_micros(value.cast("timestamp"))), "us", hold)
-    seconds = (F.hour(value) * 60 + F.minute(value)).cast("bigint") * 60
-    fraction = F.extract(F.lit("SECOND"), value).cast("decimal(18,6)") * F.lit(10_000_000)
-    return Instant(
-        hold(SPLIT, F.unix_date(value.cast("date")).cast("bigint")),
-        hold(SPLIT, seconds * 10_000_000 + fraction.cast("bigint")),
-    )
+        micros = F.unix_micros(value.cast("timestamp"))
+    else:
+        day = F.unix_date(value.cast("date")).cast("bigint")
+        minutes = (F.hour(value) * 60 + F.minute(value)).cast("bigint")
+        seconds = F.extract(F.lit("SECOND"), value).cast("decimal(18,6)") * F.lit(1_000_000)
+        micros = day * 86_400_000_000 + minutes * 60_000_000 + seconds.cast("bigint")
+    return instant_from_units(hold(DECODED, micros), "us", hold)
 
 
 def instant_from_timestamp(value: Column, hold: Holder = inline) -> Instant:
@@ -126,15 +138,16 @@ def time_of_day(value: Column, unit: str, nanosecond: str = "reject", hold: Hold
 def datetime2(instant: Instant, precision: int, hold: Holder = inline) -> Checked:
     """Day number and increments of 10^-p s, rounded half up.
 
-    The lower bound is tested before rounding, the upper bound after it.
+    The lower bound holds before rounding, the upper bound after it: the last
+    good tick is the last one that is not rounded up to the year 10000.
     """
     factor = 10 ** (7 - precision)
     per_day = TICKS_PER_DAY // factor
+    last = (MAX_DAY_FROM_0001 - EPOCH_DAY_FROM_0001 + 1) * TICKS_PER_DAY - 1 - factor // 2
+    code = hold(JUDGED, _range_code(instant, instant.outside(FIRST_TICK, last)))
     rounded = instant.ticks if factor == 1 else hold(ROUNDED, quotient(instant.ticks + factor // 2, factor))
     carried = rounded >= per_day
-    first = instant.day + EPOCH_DAY_FROM_0001
-    number = first + F.when(carried, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    code = hold(JUDGED, _range_code(instant, (first < 0) | (number > MAX_DAY_FROM_0001)))
+    number = instant.day + EPOCH_DAY_FROM_0001 + _one_if(carried)
     value = F.struct(
         number.cast("int").alias("day"),
         F.when(carried, F.lit(0).cast("bigint")).otherwise(rounded).alias("increments"),
@@ -148,15 +161,18 @@ def datetime_fragments(instant: Instant, rounding: str, hold: Holder = inline) -
     ``two_step`` rounds to a millisecond before it rounds to a fragment;
     ``one_step`` rounds once.
     """
+    end = (MAX_DAY_FROM_1900 - EPOCH_DAY_FROM_1900 + 1) * FRAGMENTS_PER_DAY
     if rounding == "two_step":
         millis = hold(SCALED, quotient(instant.ticks + 5_000, 10_000))
         rounded = hold(ROUNDED, quotient(millis * 3 + 5, 10))
+        last = -(-(10 * end - 5) // 3) * 10_000 - 5_000 - 1
     else:
         rounded = hold(ROUNDED, quotient(instant.ticks * 300 + 5_000_000, 10_000_000))
+        last = -(-(10_000_000 * end - 5_000_000) // 300) - 1
+    first = (MIN_DAY_FROM_1900 - EPOCH_DAY_FROM_1900) * TICKS_PER_DAY
+    code = hold(JUDGED, _range_code(instant, instant.outside(first, last)))
     carried = rounded >= FRAGMENTS_PER_DAY
-    first = instant.day + EPOCH_DAY_FROM_1900
-    days = first + F.when(carried, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    code = hold(JUDGED, _range_code(instant, (first < MIN_DAY_FROM_1900) | (days > MAX_DAY_FROM_1900)))
+    days = instant.day + EPOCH_DAY_FROM_1900 + _one_if(carried)
     value = F.struct(
         days.cast("int").alias("day"),
         F.when(carried, F.lit(0).cast("bigint")).otherwise(rounded).cast("int").alias("fragments"),
@@ -170,18 +186,17 @@ def datetimeoffset(instant: Instant, offset_minutes: Column, offset_code: Column
 
     A zone that cannot be used is reported for NULL cells, too.
     """
-    local_ticks = hold(ROUNDED, instant.ticks + offset_minutes.cast("bigint") * 600_000_000)
-    local_day = instant.day + floor_div(local_ticks, TICKS_PER_DAY) + EPOCH_DAY_FROM_0001
-    number = instant.day + EPOCH_DAY_FROM_0001
-    outside = ~(
-        local_day.between(0, MAX_DAY_FROM_0001) & number.between(0, MAX_DAY_FROM_0001)
-    )
+    last = (MAX_DAY_FROM_0001 - EPOCH_DAY_FROM_0001 + 1) * TICKS_PER_DAY - 1
+    minute = 600_000_000 // instant.unit_ticks
+    local = replace(instant, raw=instant.raw + offset_minutes.cast("bigint") * minute)
     code = F.when(offset_code.isNotNull(), offset_code)
     if instant.code is not None:
         code = code.when(instant.code.isNotNull(), instant.code)
-    code = hold(JUDGED, code.when(outside, F.lit(P.TIMESTAMP_RANGE)))
+    # The sum of the second test cannot overflow: the first one has bounded it.
+    code = code.when(instant.outside(FIRST_TICK, last), F.lit(P.TIMESTAMP_RANGE))
+    code = hold(JUDGED, code.when(local.outside(FIRST_TICK, last), F.lit(P.TIMESTAMP_RANGE)))
     value = F.struct(
-        number.cast("int").alias("day"),
+        (instant.day + EPOCH_DAY_FROM_0001).cast("int").alias("day"),
         instant.ticks.alias("increments"),
         offset_minutes.cast("int").alias("offset_minutes"),
     )
@@ -240,6 +255,10 @@ def datetimeoffset_text(value: Column) -> Column:
     )
 
 
+def _one_if(condition: Column) -> Column:
+    return F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+
+
 def _range_code(instant: Instant, outside: Column) -> Column:
     if instant.code is None:
         return code_when(outside, P.TIMESTAMP_RANGE)

@@ -10,6 +10,9 @@ from quayload.functions.checks import Checked, code_when, no_code
 from quayload.functions.hold import Hold, Holder, inline
 from quayload.policy import LoadPlan, PlannedColumn, PlanOptions
 
+#: Type of the ``errors`` column.
+ERRORS_TYPE = "array<struct<severity:string,code:string,field_index:int,field_name:string>>"
+
 #: Carrier of each integer target in Spark.
 CARRIERS = {"bit": "boolean", "tinyint": "smallint", "smallint": "smallint", "int": "int", "bigint": "bigint"}
 
@@ -22,25 +25,43 @@ def conform_column(planned: PlannedColumn, options: PlanOptions, column: Column
 
 
 def conform_table(df: DataFrame, plan: LoadPlan, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns as they are, the conformed columns, and ``errors``.
+    """``keep`` columns as they are, the conformed columns, ``error_count`` and ``errors``.
 
     ``errors`` is an array of (severity, code, field_index, field_name) in column
-    order. Everything is one projection, so column pruning still reaches the scan.
+    order. Whoever only asks whether a row is good reads ``error_count``; the
+    array is then pruned from the plan. All is projection, so column pruning still
+    reaches the scan.
     """
     kept, hold = [F.col(name) for name in keep or []], Hold()
     conformed = [(c, conform_column(c, plan.options, hold=hold)) for c in plan.columns]
-    entries = [
-        F.when(checked.code.isNotNull(), diagnostic(checked.code, c.index, c.name))
-        for c, checked in conformed
+    codes = [(c, checked.code) for c, checked in conformed if not checked.never_fails(c)]
+    values = [
+        checked.value.alias(c.column_name) for c, checked in conformed if c.column_name not in (keep or [])
     ]
-    errors = F.array_compact(F.array(*entries))
     return hold.add_to(df).select(
-        *kept,
-        *[checked.value.alias(c.column_name) for c, checked in conformed if c.column_name not in (keep or [])],
-        errors.alias("errors"),
+        *kept, *values, error_count(codes).alias("error_count"), errors(codes).alias("errors")
     )
 
 
+def error_count(codes: list[tuple[PlannedColumn, Column]]) -> Column:
+    """Number of violations of a row."""
+    total = F.lit(0)
+    for _, code in codes:
+        total = total + F.when(code.isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    return total
+
+
+def errors(codes: list[tuple[PlannedColumn, Column]]) -> Column:
+    """Violations of a row; built only for rows that have one."""
+    none = F.array().cast(ERRORS_TYPE)
+    if not codes:
+        return none
+    parts = [
+        F.when(code.isNotNull(), F.array(diagnostic(code, c.index, c.name))).otherwise(none) for c, code in codes
+    ]
+    return F.when(error_count(codes) > 0, F.concat(*parts)).otherwise(none)
+
+
 def conform_columns(df: DataFrame, plan: LoadPlan, keep: list[str] | None = None) -> DataFrame:
     """Value and ``<name>_code`` of every planned column, side by side."""
     columns, hold = [], Hold()

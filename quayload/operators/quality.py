@@ -15,7 +15,7 @@ from quayload.policy import MAX_NAME_LENGTH
 
 def diagnostics(conformed: DataFrame, keys: list[str]) -> DataFrame:
     """One row per violation, with the key columns of its row."""
-    return conformed.where(F.size("errors") > 0).select(*keys, F.inline("errors"))
+    return conformed.where("error_count > 0").select(*keys, F.inline("errors"))
 
 
 def first_violation(violations: DataFrame, batch: str, row: str, by_column: bool = False) -> DataFrame:
@@ -36,8 +36,8 @@ def batch_outcomes(conformed: DataFrame, batch: str) -> DataFrame:
     """Rows, bad rows and violations per batch."""
     return conformed.groupBy(batch).agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.count_if(F.size("errors") > 0).alias("bad_rows"),
-        F.sum(F.size("errors").cast("bigint")).alias("violations"),
+        F.count_if(F.col("error_count") > 0).alias("bad_rows"),
+        F.sum("error_count").alias("violations"),
     )
 
 
@@ -57,16 +57,15 @@ def accepted_rows(conformed: DataFrame, batch: str) -> DataFrame:
     The rejected batch ids are few against the rows but grow with the data, so
     no broadcast is forced: the planner decides by their measured size.
     """
-    bad = conformed.where(F.size("errors") > 0).select(batch).distinct()
-    return conformed.join(bad, batch, "left_anti").drop("errors")
+    bad = conformed.where("error_count > 0").select(batch).distinct()
+    return conformed.join(bad, batch, "left_anti").drop("error_count", "errors")
 
 
 def quarantine(conformed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows without ``errors``, and bad rows with their codes."""
-    bad = F.size("errors") > 0
     return (
-        conformed.where(~bad).drop("errors"),
-        conformed.where(bad).withColumn("codes", F.array_distinct(F.col("errors.code"))),
+        conformed.where("error_count = 0").drop("error_count", "errors"),
+        conformed.where("error_count > 0").withColumn("codes", F.array_distinct(F.col("errors.code"))),
     )
 
 

@@ -497,4 +497,4 @@ def conform_table(spark, sf_dir):
     ))
     out = conform.conform_table(df, plan, keep)
     problems = F.array_join(F.transform("errors", lambda e: F.concat(e["field_name"], F.lit(":"), e["code"])), ",")
-    return flat(out.withColumn("problems", problems).drop("errors"), ["ship"], ["day", "increments"])
+    return flat(out.withColumn("problems", problems).drop("error_count", "errors"), ["ship"], ["day", "increments"])

@@ -198,9 +198,9 @@ def load_readiness(spark, sf_dir):
     sized = rows.withColumn("row_bytes", sizing.row_bytes(LINE_PLAN))
     return sized.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.count_if(F.size("errors") > 0).alias("bad_rows"),
-        F.sum(F.size("errors").cast("bigint")).alias("violations"),
+        F.count_if(F.col("error_count") > 0).alias("bad_rows"),
+        F.sum("error_count").alias("violations"),
         F.sum("row_bytes").alias("payload_bytes"),
         F.max("row_bytes").alias("max_row_bytes"),
-        (F.sum(F.size("errors").cast("bigint")) == 0).alias("accepted"),
+        (F.sum("error_count") == 0).alias("accepted"),
     )

@@ -24,12 +24,10 @@ def table_load(df: DataFrame, plan: LoadPlan, target: str, keep: list[str] | Non
     second pass over the source is needed and nothing is committed.
     """
     conformed = conform.conform_table(df, plan, keep)
-    bad = F.size("errors") > 0
     first = F.element_at("errors", 1)
-    guarded = conformed.withColumn(
-        "errors",
-        F.when(bad, F.raise_error(F.concat(first["code"], F.lit(" in column "), first["field_name"]))),
-    ).where("errors is null").drop("errors")
+    refused = F.raise_error(F.concat(first["code"], F.lit(" in column "), first["field_name"])).cast("boolean")
+    good = F.when(F.col("error_count") > 0, refused).otherwise(F.lit(True))
+    guarded = conformed.where(good).drop("error_count", "errors")
     conform.loadable(guarded, plan).write.mode("append").parquet(target)
 
 
@@ -103,7 +101,7 @@ def jdbc_load(df: DataFrame, plan: LoadPlan, target: JdbcTarget) -> None:
     Create the table first with :func:`planning.create_table_sql`: the writer's
     own column types could not name the planned ones.
     """
-    rows = conform.loadable(df.drop("errors"), plan)
+    rows = conform.loadable(df.drop("error_count", "errors"), plan)
     rows.write.format("jdbc").mode("append").options(**target.options()).save()
 
 

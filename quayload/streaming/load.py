@@ -21,10 +21,10 @@ def stream_load(stream: DataFrame, plan: LoadPlan, target: str, checkpoint: str,
         # Two sinks read the batch: keep it, so the source is read only once.
         conformed.persist()
         try:
-            good = F.size("errors") == 0
-            _replace(conform.loadable(conformed.where(good).drop("errors"), plan), f"{target}/rows")
+            good = conformed.where("error_count = 0").drop("error_count", "errors")
+            _replace(conform.loadable(good, plan), f"{target}/rows")
             _replace(
-                conformed.where(~good).select("micro_batch", *(keep or []), F.inline("errors")),
+                conformed.where("error_count > 0").select("micro_batch", *(keep or []), F.inline("errors")),
                 f"{target}/diagnostics",
             )
         finally:

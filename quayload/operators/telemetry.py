@@ -21,7 +21,7 @@ def wait_deltas(first: DataFrame, last: DataFrame, load: list[str]) -> DataFrame
     """Last minus first counter per wait type; unseen before counts from 0."""
     keys = [*load, "wait_type"]
     deltas = _deltas(first, last, keys, WAIT_COUNTERS, [])
-    return deltas.where("waiting_tasks_count > 0 or wait_time_ms > 0")
+    return active_waits(deltas)
 
 
 def file_io_deltas(first: DataFrame, last: DataFrame, load: list[str]) -> DataFrame:
@@ -29,6 +29,30 @@ def file_io_deltas(first: DataFrame, last: DataFrame, load: list[str]) -> DataFr
     return _deltas(first, last, [*load, "file_id"], FILE_COUNTERS, ["logical_name", "file_type"])
 
 
+def snapshot_deltas(samples: DataFrame, keys: list[str], counters: list[str], order: str, initial: str,
+                    attributes: list[str] | None = None) -> DataFrame:
+    """Last minus initial counters per key from one table of snapshots, in one pass.
+
+    The initial snapshot of a key is its latest row where ``initial`` holds, the
+    last one its latest row of all; both are kept by one aggregate.
+    """
+    kept = F.struct(*(attributes or []), *counters)
+    before = F.struct(*counters)
+    edges = samples.groupBy(*keys).agg(
+        F.max_by(kept, order).alias("l"),
+        F.max_by(F.when(F.col(initial), before), F.when(F.col(initial), F.col(order))).alias("f"),
+    )
+    return edges.select(
+        *keys, *[F.col(f"l.{c}").alias(c) for c in attributes or []],
+        *[(F.col(f"l.{c}") - F.coalesce(F.col(f"f.{c}"), F.lit(0))).alias(c) for c in counters],
+    )
+
+
+def active_waits(deltas: DataFrame) -> DataFrame:
+    """Wait types that occurred at all."""
+    return deltas.where("waiting_tasks_count > 0 or wait_time_ms > 0")
+
+
 def connection_deltas(snapshots: DataFrame, load: list[str], order: str) -> DataFrame:
     """Reads and writes between the first and last snapshot; attributes of the last."""
     attributes = [*CONNECTION_KEY, "last_read", "last_write"]

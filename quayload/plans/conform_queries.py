@@ -475,9 +475,13 @@ WITH s AS (SELECT *, epoch_us(l_shipdate)::HUGEINT * 10 AS t FROM lineitem),
                   CASE WHEN length(l_returnflag || l_linestatus) <= 1 THEN l_returnflag || l_linestatus END AS flags,
                   {datetime2('t', 0)[0]}::INTEGER AS ship_day, {datetime2('t', 0)[1]}::BIGINT AS ship_increments
            FROM s)
-SELECT *, concat_ws(',', CASE WHEN price IS NULL THEN 'price:NonFiniteFloat' END,
-                    CASE WHEN quantity IS NULL THEN 'quantity:NullInNonNullableColumn' END,
-                    CASE WHEN flags IS NULL THEN 'flags:ValueTooLong' END) AS problems
+SELECT *, concat_ws(',', CASE WHEN price IS NULL THEN 'price' END, CASE WHEN quantity IS NULL THEN 'quantity' END,
+                    CASE WHEN flags IS NULL THEN 'flags' END) AS bad_fields,
+       concat_ws(',', CASE WHEN price IS NULL THEN 'NonFiniteFloat' END,
+                 CASE WHEN quantity IS NULL THEN 'NullInNonNullableColumn' END,
+                 CASE WHEN flags IS NULL THEN 'ValueTooLong' END) AS codes,
+       CASE WHEN price IS NULL THEN 1 ELSE 0 END + CASE WHEN quantity IS NULL THEN 1 ELSE 0 END
+       + CASE WHEN flags IS NULL THEN 1 ELSE 0 END AS error_count
 FROM c""")
 def conform_table(spark, sf_dir):
     keep = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -496,5 +500,6 @@ def conform_table(spark, sf_dir):
         PlannedColumn(3, "ship", False, SourceType("timestamp", unit="us"), TargetType("datetime2", precision=0)),
     ))
     out = conform.conform_table(df, plan, keep)
-    problems = F.array_join(F.transform("errors", lambda e: F.concat(e["field_name"], F.lit(":"), e["code"])), ",")
-    return flat(out.withColumn("problems", problems).drop("error_count", "errors"), ["ship"], ["day", "increments"])
+    out = out.withColumns({
+        "bad_fields": F.array_join("errors.field_name", ","), "codes": F.array_join("errors.code", ",")})
+    return flat(out.drop("errors"), ["ship"], ["day", "increments"])

@@ -204,6 +204,17 @@ def schema_drift(spark, sf_dir):
     return drift.schema_drift(planned, actual)
 
 
+@query("schema_drift_on_write", CATALOGS + """
+SELECT table_id, ordinal, pn AS planned_name, an AS actual_name,
+       CASE WHEN NOT ha THEN 'missing_column' WHEN NOT hp THEN 'extra_column' WHEN pn <> an THEN 'name'
+            WHEN pt <> aty AND NOT (pt = 'utf8' AND aty = 'large_utf8') THEN 'type' END AS reason
+FROM j WHERE reason IS NOT NULL""")
+def schema_drift_on_write(spark, sf_dir):
+    """The check made while writing: it leaves nullability to the values."""
+    planned, actual = catalogs(spark, sf_dir)
+    return drift.schema_drift(planned, actual, check_nullability=False)
+
+
 @query("target_drift", CATALOGS + """
 SELECT table_id, ordinal, 'column_count' AS difference FROM j WHERE NOT (hp AND ha)
 UNION ALL SELECT table_id, ordinal, 'ordinal' FROM j WHERE hp AND ha AND claimed <> ordinal

@@ -42,10 +42,9 @@ WITH w AS (SELECT user_id AS load_id, event_type AS wait_type, day(ts)::INTEGER
         FROM l LEFT JOIN f USING (load_id, wait_type))
 SELECT * FROM d WHERE waiting_tasks_count > 0 OR wait_time_ms > 0""")
 def wait_deltas(spark, sf_dir):
-    rows, keys = waits(spark, sf_dir), ["load_id", "wait_type"]
-    first = telemetry.last_snapshot(rows.where("initial"), keys, telemetry.WAIT_COUNTERS, "taken")
-    last = telemetry.last_snapshot(rows, keys, telemetry.WAIT_COUNTERS, "taken")
-    return telemetry.wait_deltas(first, last, LOAD)
+    deltas = telemetry.snapshot_deltas(
+        waits(spark, sf_dir), ["load_id", "wait_type"], telemetry.WAIT_COUNTERS, "taken", "initial")
+    return telemetry.active_waits(deltas)
 
 
 def files(spark, sf_dir):
@@ -76,6 +75,31 @@ _FILE_EDGE = ("QUALIFY row_number() OVER (PARTITION BY file_id ORDER BY l_shipda
 SELECT l.file_id, l.logical_name, l.file_type, {', '.join(f'l.{c} - coalesce(f.{c}, 0) AS {c}' for c in telemetry.FILE_COUNTERS)}
 FROM l LEFT JOIN f USING (file_id)""")
 def file_io_deltas(spark, sf_dir):
+    return telemetry.snapshot_deltas(
+        files(spark, sf_dir), ["file_id"], telemetry.FILE_COUNTERS, "taken", "initial", ["logical_name", "file_type"])
+
+
+@query("wait_deltas_two_tables", WAITS + """
+, f AS (SELECT * FROM w WHERE initial QUALIFY row_number() OVER (PARTITION BY load_id, wait_type ORDER BY ts, event_id) = 1),
+  l AS (SELECT * FROM w WHERE NOT initial QUALIFY row_number() OVER (PARTITION BY load_id, wait_type ORDER BY ts DESC, event_id DESC) = 1),
+  d AS (SELECT l.load_id, l.wait_type, l.waiting_tasks_count - coalesce(f.waiting_tasks_count, 0) AS waiting_tasks_count,
+               l.wait_time_ms - coalesce(f.wait_time_ms, 0) AS wait_time_ms,
+               l.signal_wait_time_ms - coalesce(f.signal_wait_time_ms, 0) AS signal_wait_time_ms
+        FROM l LEFT JOIN f USING (load_id, wait_type))
+SELECT * FROM d WHERE waiting_tasks_count > 0 OR wait_time_ms > 0""")
+def wait_deltas_two_tables(spark, sf_dir):
+    """Snapshots before and after a load kept in tables of their own."""
+    rows, keys = waits(spark, sf_dir), ["load_id", "wait_type"]
+    first = telemetry.first_snapshot(rows.where("initial"), keys, telemetry.WAIT_COUNTERS, "taken")
+    last = telemetry.last_snapshot(rows.where("not initial"), keys, telemetry.WAIT_COUNTERS, "taken")
+    return telemetry.wait_deltas(first, last, LOAD)
+
+
+@query("file_io_deltas_two_tables", FILES + f"""
+, l AS (SELECT * FROM x {_FILE_EDGE}), f AS (SELECT * FROM x WHERE initial {_FILE_EDGE})
+SELECT l.file_id, l.logical_name, l.file_type, {', '.join(f'l.{c} - coalesce(f.{c}, 0) AS {c}' for c in telemetry.FILE_COUNTERS)}
+FROM l LEFT JOIN f USING (file_id)""")
+def file_io_deltas_two_tables(spark, sf_dir):
     rows, names = files(spark, sf_dir), ["logical_name", "file_type"]
     first = telemetry.last_snapshot(rows.where("initial"), ["file_id"], telemetry.FILE_COUNTERS, "taken")
     last = telemetry.last_snapshot(rows, ["file_id"], telemetry.FILE_COUNTERS, "taken", names)

@@ -32,8 +32,10 @@ def shared_root(spark: SparkSession) -> str:
     only in local mode; on a cluster a missing setting is an error, since files
     on one machine are lost with that machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "quayload.localRoot", None
+    configured = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("quayload.localRoot", None)
     )
     if configured:
         return configured.rstrip("/")

@@ -25,9 +25,10 @@ def floor_mod(value: Column, divisor: int) -> Column:
 
 def saturated_sum(value: Column) -> Column:
     """Sum of longs that stops at the 64-bit limits instead of failing."""
-    total = F.sum(value.cast("decimal(20,0)"))
-    low, high = F.lit(-LONG_MAX - 1).cast("decimal(38,0)"), F.lit(LONG_MAX).cast("decimal(38,0)")
-    return F.greatest(F.least(total.cast("decimal(38,0)"), high), low).cast("bigint")
+    total = F.sum(value.cast("decimal(20,0)")).cast("decimal(38,0)")
+    high = F.lit(LONG_MAX).cast("decimal(38,0)")
+    low = F.lit(-LONG_MAX).cast("decimal(38,0)") - 1
+    return F.when(total > high, high).when(total < low, low).otherwise(total).cast("bigint")
 
 
 def _column(value: int | Column) -> Column:

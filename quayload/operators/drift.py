@@ -7,13 +7,58 @@ shuffled on that key, with every difference turned into a row of its own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from quayload import policy as P
+from quayload.policy import LoadPlan, PlanIssue
 
 #: Source types a reader may exchange when the target stays the same.
 STRING_FAMILY = ("utf8", "large_utf8", "utf8_view")
 BINARY_FAMILY = ("binary", "large_binary", "binary_view")
 
 
+CATALOG_SCHEMA = (
+    "table_id string, ordinal long, name string, type string, nullable boolean, precision int, scale int"
+)
+
+
+def plan_mismatches(schema: T.StructType, plan: LoadPlan, check_nullability: bool = True) -> list[PlanIssue]:
+    """How one schema differs from a plan: the first difference of every field.
+
+    The check made while writing leaves nullability to the values.
+    """
+    issues = []
+    fields, columns = schema.fields, plan.columns
+    if len(fields) != len(columns):
+        issues.append(PlanIssue(
+            min(len(fields), len(columns)), "", P.SCHEMA_MISMATCH,
+            f"{len(fields)} fields, but {len(columns)} planned columns"))
+    for position, (field, planned) in enumerate(zip(fields, columns)):
+        found, wanted = P.source_type_of(field), planned.source
+        if planned.index != position:
+            reason = f"planned for position {planned.index}, found at {position}"
+        elif field.name != planned.name:
+            reason = f"found name {field.name}"
+        elif found != wanted and not _one_family(found.kind, wanted.kind):
+            reason = f"found type {found.text}, planned {wanted.text}"
+        elif check_nullability and field.nullable != planned.nullable:
+            reason = f"found nullable {field.nullable}, planned {planned.nullable}"
+        else:
+            continue
+        issues.append(PlanIssue(position, planned.name, P.SCHEMA_MISMATCH, reason))
+    return issues
+
+
+def plan_catalog(spark: SparkSession, plan: LoadPlan, table_id: str) -> DataFrame:
+    """The target columns of a plan as catalog rows."""
+    rows = [
+        (table_id, i, c.column_name, c.target.kind, c.nullable, c.target.precision if c.target.kind == "decimal" else None,
+         c.target.scale if c.target.kind == "decimal" else None)
+        for i, c in enumerate(plan.columns)
+    ]
+    return spark.createDataFrame(rows, CATALOG_SCHEMA)
+
+
 def paired(planned: DataFrame, actual: DataFrame, keys: list[str]) -> DataFrame:
     """Full outer join with ``p_`` and ``a_`` columns beside the key."""
     left = planned.select(*keys, *[F.col(c).alias(f"p_{c}") for c in planned.columns if c not in keys],
@@ -80,6 +125,10 @@ def target_type_drift(planned: DataFrame, actual: DataFrame) -> DataFrame:
     )
 
 
+def _one_family(left: str, right: str) -> bool:
+    return any(left in family and right in family for family in (STRING_FAMILY, BINARY_FAMILY))
+
+
 def _interchangeable(left: Column, right: Column) -> Column:
     return (left.isin(*STRING_FAMILY) & right.isin(*STRING_FAMILY)) | (
         left.isin(*BINARY_FAMILY) & right.isin(*BINARY_FAMILY)

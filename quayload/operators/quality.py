@@ -13,11 +13,32 @@ from quayload.functions.exact import floor_div
 from quayload.policy import MAX_NAME_LENGTH
 
 
+MESSAGES = {
+    P.NULL_VALUE: "NULL in a column that takes none",
+    P.TOO_LONG: "value is longer than the column",
+    P.NON_FINITE: "value is not a finite number",
+    P.INTEGER_RANGE: "integer is out of range",
+    P.DECIMAL_RANGE: "decimal has too many digits",
+    P.TIMESTAMP_RANGE: "date or time is out of range",
+    P.TIMEZONE: "time zone has no usable offset",
+    P.LOSSY: "value would lose precision",
+    P.TYPE_MISMATCH: "value does not have the planned type",
+    P.SCHEMA_MISMATCH: "schema differs from the plan",
+}
+
+
 def diagnostics(conformed: DataFrame, keys: list[str]) -> DataFrame:
     """One row per violation, with the key columns of its row."""
     return conformed.where("error_count > 0").select(*keys, F.inline("errors"))
 
 
+def with_messages(violations: DataFrame) -> DataFrame:
+    """A sentence for every violation, for people who read the report."""
+    parts = [F.when(F.col("code") == code, F.lit(text)) for code, text in MESSAGES.items()]
+    sentence = F.coalesce(*parts, F.lit("value does not fit the planned column"))
+    return violations.withColumn("message", F.concat(F.lit("column "), "field_name", F.lit(": "), sentence))
+
+
 def first_violation(violations: DataFrame, batch: str, row: str, by_column: bool = False) -> DataFrame:
     """The first bad cell of every batch.
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from quayload.operators import conform, drift, quality
 from quayload.plans.registry import query, table
 from quayload.policy import LoadPlan, PlannedColumn, SourceType, TargetType
+from quayload.session import shared_path
+from quayload.sources import sinks
 from quayload.sources.batching import batches_by_key
 
 BATCH_ROWS = 256
@@ -60,6 +62,25 @@ def diagnostics(spark, sf_dir):
     return violations(spark, sf_dir)
 
 
+@query("diagnostic_messages", FAULTS + """
+SELECT batch_id, event_id, severity, code, field_index, field_name, 'column ' || field_name || ': ' || CASE code
+       WHEN 'ValueTooLong' THEN 'value is longer than the column' WHEN 'NonFiniteFloat' THEN 'value is not a finite number'
+       ELSE 'NULL in a column that takes none' END AS message FROM bad""")
+def diagnostic_messages(spark, sf_dir):
+    return quality.with_messages(violations(spark, sf_dir))
+
+
+@query("batch_load", FAULTS + """
+SELECT e.event_id // 256 AS batch_id, e.event_id, e.user_id, e.event_type, e.value, 'nightly' AS load_id FROM events e
+WHERE e.event_id // 256 NOT IN (SELECT batch_id FROM bad)""")
+def batch_load(spark, sf_dir):
+    """Rows of good batches, published and read back."""
+    target = shared_path(spark, "batches")
+    sinks.batch_load(events_with_faults(spark, sf_dir), EVENTS_PLAN, "batch_id", target, "nightly")
+    schema = T.StructType.fromDDL("batch_id long, event_id long, ts string, user_id long, event_type string, value double")
+    return sinks.read_published(spark, target, schema).drop("ts")
+
+
 @query("first_violation_row_major", FAULTS + """
 SELECT batch_id, event_id, field_index, field_name, code FROM bad
 QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY event_id, field_index) = 1""")
@@ -135,14 +156,16 @@ def running_load_stats(spark, sf_dir):
 
 
 @query("failure_phase", FAULTS + """
-, drifted AS (SELECT DISTINCT batch_id, 'SchemaMismatch' AS code FROM src WHERE batch_id % 7 = 0),
+, drifted AS (SELECT DISTINCT batch_id, CASE WHEN batch_id % 7 = 0 THEN 'SchemaMismatch' ELSE 'ValueTypeMismatch' END AS code FROM src),
   everything AS (SELECT batch_id, code FROM bad UNION ALL SELECT batch_id, code FROM drifted)
 SELECT batch_id, count(*) AS violations,
        CASE WHEN bool_and(code = 'SchemaMismatch') THEN 'batch_schema_validation' ELSE 'value_conversion' END AS phase
 FROM everything GROUP BY batch_id""")
 def failure_phase(spark, sf_dir):
+    """Every batch fails: one in seven by its schema, unless it has bad values as well."""
     batches = events_with_faults(spark, sf_dir).select("batch_id").distinct()
-    drifted = batches.where("batch_id % 7 = 0").select("batch_id", F.lit("SchemaMismatch").alias("code"))
+    code = F.when(F.col("batch_id") % 7 == 0, F.lit("SchemaMismatch")).otherwise(F.lit("ValueTypeMismatch"))
+    drifted = batches.select("batch_id", code.alias("code"))
     return quality.failure_phases(violations(spark, sf_dir).select("batch_id", "code").unionByName(drifted), "batch_id")
 
 

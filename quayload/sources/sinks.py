@@ -7,8 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from quayload.operators import conform, reconcile
+from quayload.operators import conform, quality, reconcile
 from quayload.policy import LoadPlan
+from quayload.session import ensure_checkpoint_dir
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("load_id", T.StringType()),
@@ -54,6 +55,38 @@ def staged_load(df: DataFrame, target: str, load_id: str) -> int:
     return expected
 
 
+@dataclass(frozen=True)
+class BatchLoad:
+    """What a load by batches wrote and refused."""
+
+    rows_written: int
+    batches_written: int
+    batches_rejected: int
+
+
+def batch_load(df: DataFrame, plan: LoadPlan, batch: str, target: str, load_id: str,
+               keep: list[str] | None = None) -> BatchLoad:
+    """Publish the rows of all batches without a violation.
+
+    A bad row rejects its whole batch and no other one. The verdicts, one row per
+    batch, are checkpointed, as rows and totals are both told from them; rows are
+    conformed again for the write, which costs less than storing them twice.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    conformed = conform.conform_table(df, plan, [batch, *(keep or [])])
+    outcomes = quality.batch_outcomes(conformed, batch).checkpoint()
+    rejected = outcomes.where("bad_rows > 0").select(batch)
+    good = conformed.join(rejected, batch, "left_anti").drop("error_count", "errors")
+    written = staged_load(conform.loadable(good, plan), target, load_id)
+    accepted = F.col("bad_rows") == 0
+    totals = outcomes.agg(
+        F.coalesce(F.sum(F.when(accepted, F.col("row_count"))), F.lit(0)).alias("rows"),
+        F.count_if(accepted).alias("batches"), F.count_if(~accepted).alias("rejected"),
+    ).first()
+    reconcile.require_reconciled(totals["rows"], written, target)
+    return BatchLoad(written, totals["batches"], totals["rejected"])
+
+
 def read_published(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     """Rows of the latest published attempt of every load.
 
@@ -112,6 +145,23 @@ def target_count(spark: SparkSession, target: JdbcTarget) -> int:
     return int(spark.read.format("jdbc").options(**options).load().first()["row_count"])
 
 
+def target_columns(spark: SparkSession, target: JdbcTarget, schema: str, table: str) -> DataFrame:
+    """Columns of a database table as catalog rows, to hold against a plan."""
+    schema, table = schema.replace("'", "''"), table.replace("'", "''")
+    query = (
+        "(SELECT TABLE_NAME AS table_id, ORDINAL_POSITION - 1 AS ordinal, COLUMN_NAME AS name, DATA_TYPE AS type, "
+        "CASE IS_NULLABLE WHEN 'YES' THEN 1 ELSE 0 END AS nullable_flag, NUMERIC_PRECISION AS precision, "
+        "NUMERIC_SCALE AS scale FROM INFORMATION_SCHEMA.COLUMNS "
+        f"WHERE TABLE_SCHEMA = '{schema}' AND TABLE_NAME = '{table}') AS target_columns"
+    )
+    found = spark.read.format("jdbc").options(**{**target.options(), "dbtable": query}).load()
+    return found.select(
+        "table_id", F.col("ordinal").cast("bigint").alias("ordinal"), "name", "type",
+        (F.col("nullable_flag") == 1).alias("nullable"), F.col("precision").cast("int").alias("precision"),
+        F.col("scale").cast("int").alias("scale"), F.col("ordinal").cast("bigint").alias("claimed_ordinal"),
+    )
+
+
 def file_target_count(spark: SparkSession, target: str) -> DataFrame:
     """Rows of a file target; a count reads no column data."""
     return spark.read.parquet(target).agg(F.count(F.lit(1)).alias("row_count"))

@@ -150,3 +150,12 @@ def test_shape_rows_beyond_64_bit_products(spark):
     got = spark.range(1).select(shapes.mixed_int(F.lit(row)).alias("m"), shapes.low_32_bits(F.lit(row), shapes.SECOND_FACTOR).alias("w")).first()
     assert got["m"] == (row * 1103515245 + 12345) % 2**64 % 1_000_000
     assert got["w"] == row * 2654435761 % 2**32
+
+
+def test_batch_load_rejects_only_bad_batches(spark, tmp_path):
+    target = str(tmp_path / "b")
+    df = batching.batches_by_key(rows(spark, 100, bad=[5, 6, 50]), "id", 10)
+    result = sinks.batch_load(df, PLAN, "batch_id", target, "one")
+    assert (result.rows_written, result.batches_written, result.batches_rejected) == (80, 8, 2)
+    seen = sinks.read_published(spark, target, df.select("batch_id", "id", "value").schema)
+    assert seen.count() == 80 and seen.where("batch_id in (0, 5)").count() == 0

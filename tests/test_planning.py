@@ -88,3 +88,30 @@ def test_create_table_text():
 def test_bad_policy_is_refused():
     with pytest.raises(ValueError):
         PlanOptions(uint64="maybe")
+
+
+def test_schema_against_plan():
+    from quayload.operators.drift import plan_mismatches
+
+    base = T.StructType([T.StructField("a", T.LongType(), False), T.StructField("b", T.StringType())])
+    plan = planning.plan_schema(base)
+    assert plan_mismatches(base, plan) == []
+    view = T.StructType([base.fields[0], T.StructField("b", T.StringType(), True, {SOURCE_TYPE_KEY: "utf8_view"})])
+    assert plan_mismatches(view, plan) == []
+    nullable = T.StructType([T.StructField("a", T.LongType(), True), base.fields[1]])
+    assert [i.index for i in plan_mismatches(nullable, plan)] == [0]
+    assert plan_mismatches(nullable, plan, check_nullability=False) == []
+    for fields in ([base.fields[0]], [base.fields[1], base.fields[0]], [T.StructField("a", T.IntegerType(), False), base.fields[1]]):
+        issues = plan_mismatches(T.StructType(fields), plan)
+        assert issues and all(i.code == P.SCHEMA_MISMATCH for i in issues)
+
+
+def test_plan_as_catalog_has_no_drift_against_itself(spark):
+    from quayload.operators import drift
+
+    schema = T.StructType([T.StructField("a", T.LongType(), False), T.StructField("d", T.DecimalType(9, 2))])
+    catalog = drift.plan_catalog(spark, planning.plan_schema(schema), "t")
+    actual = catalog.withColumn("claimed_ordinal", F.col("ordinal"))
+    assert drift.target_drift(catalog, actual).count() == 0 and drift.target_type_drift(catalog, actual).count() == 0
+    widened = actual.withColumn("scale", F.lit(3))
+    assert [r["difference"] for r in drift.target_type_drift(catalog, widened).collect()] == ["decimal_shape"]

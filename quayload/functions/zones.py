@@ -76,13 +76,21 @@ def zone_offset(timestamp: Column, zone: Column, hold: Holder = inline) -> Offse
     return Offset(value, code)
 
 
+def zone_code(zone: str) -> Column:
+    """A code where a zone known to the plan cannot be used; folds to a constant."""
+    literal = F.lit(zone)
+    if _is_fixed(zone):
+        return fixed_offset(literal).code
+    return F.when(~is_zone_name(literal), F.lit(P.TIMEZONE))
+
+
 def named_offset(timestamp: Column, zone: str, hold: Holder = inline) -> Offset:
     """Offset in one zone that is known when the plan is made.
 
     Only the rule that applies is put into the plan: a fixed offset is a literal.
     """
     literal = F.lit(zone)
-    if zone.upper() in ("Z", "UTC") or zone[:1] in ("+", "-"):
+    if _is_fixed(zone):
         return fixed_offset(literal)
     named = is_zone_name(literal)
     usable = F.when(named, literal).otherwise(F.lit("UTC"))
@@ -91,3 +99,7 @@ def named_offset(timestamp: Column, zone: str, hold: Holder = inline) -> Offset:
     code = F.when(~named | (timestamp.isNotNull() & ~fits), F.lit(P.TIMEZONE))
     minutes = F.when(named & fits, quotient(micros, 60_000_000).cast("int"))
     return Offset(hold(SCALED, minutes), hold(SCALED, code))
+
+
+def _is_fixed(zone: str) -> bool:
+    return zone.upper() in ("Z", "UTC") or zone[:1] in ("+", "-")

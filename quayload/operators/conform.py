@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quayload import policy as P
@@ -144,14 +146,23 @@ def _value_rule(planned: PlannedColumn, options: PlanOptions, column: Column, ho
     if target.kind == "time":
         return temporal.time_of_day(column, source.unit, options.nanosecond, hold)
     if target.kind == "datetime2":
-        return temporal.datetime2(instant_of(planned, options, column, hold), target.precision, hold)
+        return temporal.datetime2(_utc_instant(planned, options, column, hold), target.precision, hold)
     if target.kind == "datetime":
-        return temporal.datetime_fragments(instant_of(planned, options, column, hold), options.datetime_rounding, hold)
+        return temporal.datetime_fragments(_utc_instant(planned, options, column, hold), options.datetime_rounding, hold)
     if target.kind == "datetimeoffset":
         return _offset_rule(planned, options, column, hold)
     return Checked(F.lit(None), code_when(column.isNotNull(), P.TYPE_MISMATCH))
 
 
+def _utc_instant(planned: PlannedColumn, options: PlanOptions, column: Column, hold: Holder) -> temporal.Instant:
+    """Instant whose zone only has to be valid: the value is stored in UTC."""
+    instant = instant_of(planned, options, column, hold)
+    if not planned.source.zone:
+        return instant
+    code = zones.zone_code(planned.source.zone)
+    return replace(instant, code=code if instant.code is None else F.coalesce(code, instant.code))
+
+
 def _decimal_rule(planned: PlannedColumn, column: Column, hold: Holder) -> Checked:
     source, target = planned.source, planned.target
     if max(source.scale, 0) != target.scale:

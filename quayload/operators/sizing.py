@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quayload.functions import checks
@@ -11,9 +13,16 @@ from quayload.policy import LoadPlan, PlannedColumn
 FIXED_BYTES = {"bit": 1, "tinyint": 1, "smallint": 2, "int": 4, "real": 4, "bigint": 8, "float": 8, "datetime": 8}
 
 
-def decimal_bytes(precision: int) -> int:
-    """Bytes of a decimal's digits."""
-    return next(size for digits, size in ((9, 4), (19, 8), (28, 12), (38, 16)) if precision <= digits)
+def decimal_bytes(column: Column, precision: int, scale: int) -> Column:
+    """Bytes of a decimal's digits: they follow the digits of the value itself."""
+    size = F.lit(16)
+    for digits, width in ((28, 12), (19, 8), (9, 4)):
+        if precision <= digits:
+            size = F.lit(width)
+            continue
+        limit = F.lit(Decimal(1).scaleb(digits - scale))
+        size = F.when(F.abs(column) < limit, F.lit(width)).otherwise(size)
+    return size
 
 
 def time_bytes(precision: int) -> int:
@@ -22,7 +31,7 @@ def time_bytes(precision: int) -> int:
 
 
 def cell_bytes(planned: PlannedColumn, column: Column) -> Column:
-    """Bytes of one cell; ``column`` is the source or the conformed value."""
+    """Bytes of one cell; ``column`` holds the conformed value."""
     target = planned.target
     if target.kind in FIXED_BYTES:
         size = FIXED_BYTES[target.kind]
@@ -30,7 +39,7 @@ def cell_bytes(planned: PlannedColumn, column: Column) -> Column:
             return F.lit(size).cast("bigint")
         return _or_null(column, F.lit(1 + size), 1)
     if target.kind == "decimal":
-        return _or_null(column, F.lit(2 + decimal_bytes(target.precision)), 1)
+        return _or_null(column, decimal_bytes(column, target.precision, target.scale) + 2, 1)
     if target.kind == "date":
         return _or_null(column, F.lit(1 + 3), 1)
     if target.kind in ("time", "datetime2", "datetimeoffset"):

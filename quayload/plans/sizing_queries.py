@@ -65,11 +65,13 @@ def _typed(index, name, target, value, null_size, rule="false"):
 
 @query("cell_bytes_typed", " UNION ALL ".join([
     _typed(0, "transaction_id", "bigint", 9, 1), _typed(1, "account_id", "int", 5, 1),
-    _typed(2, "amount", "decimal(18,4)", 10, 1), _typed(3, "fee", "decimal(12,4)", 10, 1, "event_id % 11 = 0"),
+    _typed(2, "amount", "decimal(18,4)", 6, 1), _typed(3, "fee", "decimal(12,4)", 6, 1, "event_id % 11 = 0"),
     _typed(4, "trade_date", "date", 4, 1), _typed(5, "posted_at_ms", "datetime2(3)", 8, 1),
     _typed(6, "approved", "bit", 2, 1, "event_id % 17 = 0"), _typed(7, "digest", "binary(16)", 18, 2),
     _typed(8, "blob", "varbinary(64)", "2 + event_id % 60", 2, "event_id % 29 = 0"),
     _typed(9, "at", "time(7)", 6, 1), _typed(10, "moment", "datetimeoffset(7)", 11, 1), _typed(11, "ratio", "real", 5, 1),
+    _typed(12, "spread", "decimal(38,4)", "CASE WHEN event_id % 34 <= 4 THEN 6 WHEN event_id % 34 <= 14 THEN 10 "
+           "WHEN event_id % 34 <= 23 THEN 14 ELSE 18 END", 1),
 ]))
 def cell_bytes_typed(spark, sf_dir):
     key = F.col("event_id")
@@ -77,14 +79,16 @@ def cell_bytes_typed(spark, sf_dir):
     df = df.select(
         *df.columns, F.unhex(F.md5(key.cast("string"))).alias("digest"),
         F.when(key % 29 != 0, F.encode(F.repeat(F.lit("x"), (key % 60).cast("int")), "UTF-8")).alias("blob"),
-        (key * 100).alias("at"), F.timestamp_micros(key).alias("moment"), F.col("value").cast("float").alias("ratio"))
-    base = plan_schema(df.drop("event_id", "value", "digest", "blob", "at", "moment", "ratio").schema, PlanOptions(timestamp=3))
+        (key * 100).alias("at"), F.timestamp_micros(key).alias("moment"), F.col("value").cast("float").alias("ratio"),
+        F.concat(F.lit("-1"), F.repeat(F.lit("0"), (key % 34).cast("int"))).cast("decimal(38,4)").alias("spread"))
+    base = plan_schema(df.drop("event_id", "value", "digest", "blob", "at", "moment", "ratio", "spread").schema, PlanOptions(timestamp=3))
     extra = (
         ("digest", SourceType("fixed_binary", length=16), TargetType("binary", length=16)),
         ("blob", SourceType("binary"), TargetType("varbinary", length=64)),
         ("at", SourceType("time", unit="ns"), TargetType("time", precision=7)),
         ("moment", SourceType("timestamp", unit="us", zone="UTC"), TargetType("datetimeoffset", precision=7)),
         ("ratio", SourceType("float32"), TargetType("real")),
+        ("spread", SourceType("decimal", precision=38, scale=4), TargetType("decimal", precision=38, scale=4)),
     )
     columns = tuple(
         PlannedColumn(c.index, c.name, True, c.source, c.target) for c in base.columns

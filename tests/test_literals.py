@@ -112,6 +112,25 @@ def test_unusable_zone_is_reported_for_null_cells(spark):
     assert conform.conform_table(df, plan).first()["errors"][0]["code"] == "TimezoneUnsupported"
 
 
+@pytest.mark.parametrize("zone, code", [("Europe/Paris", None), ("+02:30", None), ("UTC", None), ("Mars/Olympus", "TimezoneUnsupported"), ("+15", "TimezoneUnsupported")])
+def test_utc_policy_still_needs_a_usable_zone(spark, zone, code):
+    plan = LoadPlan((PlannedColumn(0, "v", True, SourceType("timestamp", unit="s", zone=zone),
+                                   TargetType("datetime2", precision=0)),), PlanOptions(timezone="utc"))
+    df = spark.createDataFrame([(0,), (None,)], "v bigint")
+    got = [r["v_code"] for r in conform.conform_columns(df, plan).collect()]
+    assert got == [code, code]
+
+
+def test_decimal_bytes_follow_the_value(spark):
+    from quayload.operators import sizing
+
+    digits = {1: 4, 9: 4, 10: 8, 19: 8, 20: 12, 28: 12, 29: 16, 38: 16}
+    planned = PlannedColumn(0, "v", True, SourceType("decimal", precision=38, scale=2), TargetType("decimal", precision=38, scale=2))
+    values = [Decimal(sign + "9" * n + "E-2") for n in digits for sign in ("", "-")] + [None]
+    got = evaluate(spark, values, "decimal(38,2)", sizing.cell_bytes(planned, V))
+    assert got == [2 + digits[n] for n in digits for _ in (1, -1)] + [1]
+
+
 def test_zone_names(spark):
     names = ["Z", "utc", "+14:00", "+14:01", "+12:60", "-0030", "+5", "+05:3", "Europe/Paris", "EST5EDT", "PST",
              "UTC+1", "GMT0", " Europe/Paris", "Nowhere"]

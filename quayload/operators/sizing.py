@@ -20,8 +20,10 @@ def decimal_bytes(column: Column, precision: int, scale: int) -> Column:
         if precision <= digits:
             size = F.lit(width)
             continue
-        limit = F.lit(Decimal(1).scaleb(digits - scale))
-        size = F.when(F.abs(column) < limit, F.lit(width)).otherwise(size)
+        limit = Decimal(1).scaleb(digits - scale)
+        # Two comparisons: the absolute value of a wide negative decimal is rounded.
+        inside = (column < F.lit(limit)) & (column > F.lit(-limit))
+        size = F.when(inside, F.lit(width)).otherwise(size)
     return size
 
 

@@ -19,10 +19,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quayload.session import partitions_for
 from quayload.sources.batching import ROW_BITS, in_sequence
 
 DEFAULT_LIMIT = 8 * 1024 * 1024
 FAN_IN = 32
+#: Size of a segment of (batch, order, bytes) rows: some million rows.
+SEGMENT_BYTES = 64 * 1024 * 1024
 
 SEGMENT_SCHEMA = (
     "segment long, first_batch {b}, last_batch {b}, through boolean, row_total long, "
@@ -69,7 +72,8 @@ def pack_ranges_unbounded(df: DataFrame, batch: str, order: list[str], row_bytes
     sizes = df.select(F.col(batch).alias("batch"), *[c for c in order if c != batch],
                       F.col(row_bytes).cast("bigint").alias("size"))
     rest = [c for c in order if c != batch]
-    rows = in_sequence(sizes, ["batch", *rest]).select(
+    parts = partitions_for(sizes, SEGMENT_BYTES)
+    rows = in_sequence(sizes, ["batch", *rest], partitions=parts).select(
         F.shiftright("__sequence", ROW_BITS).alias("segment"), "batch", "size"
     )
     levels = [rows.mapInPandas(_describe(limit), SEGMENT_SCHEMA.format(b=kind)).checkpoint()]

@@ -164,8 +164,9 @@ def load_counters(spark, sf_dir):
     packed = packing.range_summary(document_ranges(spark, sf_dir), "batch_id").agg(
         F.sum("row_count").alias("row_count"), F.count(F.lit(1)).alias("batches"), F.sum("ranges").alias("row_ranges"),
         F.sum("payload_bytes").alias("encoded_bytes"), F.max("max_range_bytes").alias("max_range_bytes"))
-    # Two single rows side by side.
-    return packed.withColumn("one", F.lit(1)).join(totals.withColumn("one", F.lit(1)), "one").drop("one")
+    # Two single rows made one: each column is known to one of them only.
+    both = packed.unionByName(totals, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 LINE_BATCH = 256

@@ -53,7 +53,7 @@ def files(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("file_id"), F.concat(F.lit("file_"), F.col("l_suppkey")).alias("logical_name"),
         F.when(F.col("l_suppkey") % 10 == 0, F.lit("LOG")).otherwise(F.lit("ROWS")).alias("file_type"),
-        F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("taken"),
+        F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity").alias("taken"),
         (F.year("l_shipdate") <= 1995).alias("initial"),
         F.col("l_orderkey").alias("read_count"), price.alias("read_bytes"), F.col("l_linenumber").cast("bigint").alias("read_stall_ms"),
         F.col("l_partkey").alias("write_count"), (price * 2).alias("write_bytes"), F.col("l_quantity").cast("bigint").alias("write_stall_ms"))
@@ -64,10 +64,10 @@ WITH x AS (SELECT l_suppkey AS file_id, 'file_' || l_suppkey::VARCHAR AS logical
                   CASE WHEN l_suppkey % 10 = 0 THEN 'LOG' ELSE 'ROWS' END AS file_type, year(l_shipdate) <= 1995 AS initial,
                   l_orderkey AS read_count, round(l_extendedprice * 100)::BIGINT AS read_bytes, l_linenumber::BIGINT AS read_stall_ms,
                   l_partkey AS write_count, round(l_extendedprice * 100)::BIGINT * 2 AS write_bytes, l_quantity::BIGINT AS write_stall_ms,
-                  l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem)
+                  l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity FROM lineitem)
 """
 _FILE_EDGE = ("QUALIFY row_number() OVER (PARTITION BY file_id ORDER BY l_shipdate DESC, l_orderkey DESC, "
-              "l_linenumber DESC, l_partkey DESC, l_extendedprice DESC) = 1")
+              "l_linenumber DESC, l_partkey DESC, l_extendedprice DESC, l_quantity DESC) = 1")
 
 
 @query("file_io_deltas", FILES + f"""

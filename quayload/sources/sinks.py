@@ -25,10 +25,13 @@ def table_load(df: DataFrame, plan: LoadPlan, target: str, keep: list[str] | Non
     second pass over the source is needed and nothing is committed.
     """
     conformed = conform.conform_table(df, plan, keep)
-    first = F.element_at("errors", 1)
-    refused = F.raise_error(F.concat(first["code"], F.lit(" in column "), first["field_name"])).cast("boolean")
-    good = F.when(F.col("error_count") > 0, refused).otherwise(F.lit(True))
-    guarded = conformed.where(good).drop("error_count", "errors")
+    problem = F.element_at("errors", 1)
+    refused = F.raise_error(F.concat(problem["code"], F.lit(" in column "), problem["field_name"]))
+    # The check sits in a written column: as a filter it would be pushed down and
+    # conform every row twice.
+    first = plan.columns[0].column_name
+    guard = F.when(F.col("error_count") > 0, refused).otherwise(F.col(f"`{first}`"))
+    guarded = conformed.withColumn(first, guard).drop("error_count", "errors")
     conform.loadable(guarded, plan).write.mode("append").parquet(target)
 
 

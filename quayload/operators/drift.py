@@ -10,12 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quayload import policy as P
-from quayload.policy import LoadPlan, PlanIssue
-
-#: Source types a reader may exchange when the target stays the same.
-STRING_FAMILY = ("utf8", "large_utf8", "utf8_view")
-BINARY_FAMILY = ("binary", "large_binary", "binary_view")
-
+from quayload.policy import BINARY_FAMILY, STRING_FAMILY, LoadPlan, PlanIssue
 
 CATALOG_SCHEMA = (
     "table_id string, ordinal long, name string, type string, nullable boolean, precision int, scale int"

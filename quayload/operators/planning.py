@@ -77,9 +77,9 @@ def observation_columns(schema: T.StructType, options: PlanOptions) -> dict[tupl
     needed: dict[tuple[int, str], Column] = {}
     for index, field in enumerate(schema.fields):
         source, column = P.source_type_of(field), F.col(_quoted(field.name))
-        if source.kind == "utf8" and options.string == "observed":
+        if source.kind in P.STRING_FAMILY and options.string == "observed":
             needed[index, "units"] = F.max(checks.utf16_units(column))
-        elif source.kind == "binary" and options.binary == "observed":
+        elif source.kind in P.BINARY_FAMILY and options.binary == "observed":
             needed[index, "shortest"] = F.min(F.octet_length(column))
             needed[index, "longest"] = F.max(F.octet_length(column))
         elif source.kind == "date64" and options.date64 == "midnight":
@@ -236,9 +236,9 @@ def _target_of(index: int, source: SourceType, options: PlanOptions, observed: d
         if options.uint64 == "reject":
             return P.POLICY_REQUIRED, "uint64 needs the decimal or the bigint policy"
         return TargetType("decimal", precision=20, scale=0) if options.uint64 == "decimal" else TargetType("bigint")
-    if kind == "utf8":
+    if kind in P.STRING_FAMILY:
         return _sized("nvarchar", options.string, options.observed_limit, index, "units", observed)
-    if kind == "binary":
+    if kind in P.BINARY_FAMILY:
         return _observed_binary_target(options, index, observed)
     if kind == "fixed_binary":
         if not 1 <= (source.length or 0) <= P.MAX_BINARY_LENGTH:

@@ -27,6 +27,13 @@ MAX_DECIMAL_PRECISION = 38
 MAX_BINARY_LENGTH = 8000
 MAX_NAME_LENGTH = 128
 
+# Source types that stand for one another.
+STRING_FAMILY = ("utf8", "large_utf8", "utf8_view")
+BINARY_FAMILY = ("binary", "large_binary", "binary_view")
+DECIMAL_ALIASES = {
+    "decimal32": "decimal", "decimal64": "decimal", "decimal128": "decimal", "decimal256": "wide_decimal",
+}
+
 #: Field metadata key that names a source type Spark itself cannot hold.
 SOURCE_TYPE_KEY = "source_type"
 
@@ -74,7 +81,7 @@ class PlanOptions:
 @dataclass(frozen=True)
 class SourceType:
     """A source column type. ``kind`` is one of int8..uint64, float32, float64,
-    boolean, utf8, binary, fixed_binary, decimal, wide_decimal, date32, date64,
+    boolean, utf8, binary (and their families), fixed_binary, decimal, wide_decimal, date32, date64,
     time, timestamp, or an unsupported family."""
 
     kind: str
@@ -164,6 +171,7 @@ class PlanningError(ValueError):
 def parse_source_type(text: str) -> SourceType:
     """Read the metadata form, e.g. ``uint8``, ``time(ns)``, ``timestamp(ns,UTC)``."""
     kind, _, rest = text.partition("(")
+    kind = DECIMAL_ALIASES.get(kind, kind)
     arguments = [part.strip() for part in rest.rstrip(")").split(",")] if rest else []
     if kind in ("decimal", "wide_decimal"):
         return SourceType(kind, precision=int(arguments[0]), scale=int(arguments[1]))

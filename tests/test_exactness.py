@@ -1,11 +1,12 @@
 """Conversions of many values, extremes included, against whole-number arithmetic in Python."""
 
+import datetime
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from quayload.functions import exact, temporal
+from quayload.functions import exact, temporal, zones
 
 TICKS = {"s": 10_000_000, "ms": 10_000, "us": 10}
 DAY = 864_000_000_000
@@ -94,3 +95,21 @@ def test_sums_stop_at_the_limits(spark):
     df = spark.createDataFrame([(0, 2**63 - 1), (0, 5), (1, -(2**63)), (1, -5), (2, 7), (3, None)], "k int, v long")
     got = {r["k"]: r["s"] for r in df.groupBy("k").agg(exact.saturated_sum(F.col("v")).alias("s")).collect()}
     assert got == {0: 2**63 - 1, 1: -(2**63), 2: 7, 3: None}
+
+
+def test_offsets_of_named_zones(spark):
+    """Random instants of 1970 to 2036 against Python's own zone data."""
+    zoneinfo = pytest.importorskip("zoneinfo")
+    names = ["America/New_York", "Europe/London", "Australia/Lord_Howe", "Asia/Kathmandu", "Pacific/Apia", "America/St_Johns"]
+    available = zoneinfo.available_timezones()
+    names = [n for n in names if n in available]
+    if not names:
+        pytest.skip("no zone data")
+    rng = random.Random(11)
+    data = [(i, n, rng.randint(0, 2_082_758_400)) for i, n in enumerate(names * 400)]
+    df = spark.createDataFrame(data, "i int, zone string, s long")
+    offset = zones.zone_offset(F.timestamp_seconds("s"), F.col("zone"))
+    for row in df.select("i", offset.minutes.alias("m"), offset.code.alias("c")).collect():
+        _, name, second = data[row["i"]]
+        moment = datetime.datetime.fromtimestamp(second, zoneinfo.ZoneInfo(name))
+        assert (row["m"], row["c"]) == (moment.utcoffset().total_seconds() // 60, None)

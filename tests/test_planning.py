@@ -18,6 +18,8 @@ def schema_of(kind, name="c", spark_type=None):
     ("float64", {}, "float(53)"), ("utf8", {}, "nvarchar(max)"), ("utf8", {"string": 40}, "nvarchar(40)"),
     ("binary", {}, "varbinary(max)"), ("binary", {"binary": 16}, "varbinary(16)"), ("fixed_binary(16)", {}, "binary(16)"),
     ("uint64", {"uint64": "decimal"}, "decimal(20,0)"), ("uint64", {"uint64": "bigint"}, "bigint"),
+    ("large_utf8", {}, "nvarchar(max)"), ("utf8_view", {"string": 7}, "nvarchar(7)"), ("large_binary", {}, "varbinary(max)"),
+    ("binary_view", {"binary": 9}, "varbinary(9)"), ("decimal32(9,2)", {}, "decimal(9,2)"), ("decimal256(30,0)", {}, "decimal(30,0)"),
     ("decimal(9,2)", {}, "decimal(9,2)"), ("decimal(38,38)", {}, "decimal(38,38)"), ("wide_decimal(30,0)", {}, "decimal(30,0)"),
     ("decimal(3,-2)", {"decimal": "normalize"}, "decimal(5,0)"), ("date32", {}, "date"),
     ("date64", {"date64": "datetime2"}, "datetime2(3)"), ("time(s)", {}, "time(0)"), ("time(ms)", {}, "time(3)"),

@@ -159,3 +159,14 @@ def test_batch_load_rejects_only_bad_batches(spark, tmp_path):
     assert (result.rows_written, result.batches_written, result.batches_rejected) == (80, 8, 2)
     seen = sinks.read_published(spark, target, df.select("batch_id", "id", "value").schema)
     assert seen.count() == 80 and seen.where("batch_id in (0, 5)").count() == 0
+
+
+def test_sort_partitions_follow_the_size(spark):
+    from quayload import session
+
+    small = spark.range(1000)
+    assert session.partitions_for(small) == 8
+    assert session.partitions_for(small, bytes_per_partition=100) > 50
+    assert session.partitions_for(small, bytes_per_partition=1) <= session.MAX_PARTITIONS
+    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")
+    assert session.partitions_for(unknown) == 8

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayload.llm.registry import llm_query
-from quayload.llm.workspace import shuffle_partitions
+from quayload.llm.workspace import shuffle_partitions, stage
 from quayload.plans.registry import table
 
 HEAD_CHARS = 32
@@ -45,26 +45,28 @@ def classes(df: DataFrame, text: str = "text", id_column: str = "doc_id", salts:
     ranged = rows.repartitionByRange(shuffle_partitions(df.sparkSession), "_head", "_hash", "_salt")
     same = Window.partitionBy("_head", "_hash", "_salt", "_norm")
     first = same.orderBy(F.col("_n").desc(), F.col("doc_id").asc_nulls_last())
-    sorted_rows = ranged.select(
-        "doc_id",
-        "_salt",
-        "_n",
-        F.row_number().over(first).alias("_rank"),
-        F.count(F.lit(1)).over(same).alias("_size"),
-        F.sha2("_norm", 256).alias("text_sha256"),
+    # Read twice below, so it is written: the texts are sorted once.
+    sorted_rows = stage(
+        ranged.select(
+            "doc_id",
+            "_salt",
+            "_n",
+            F.row_number().over(first).alias("_rank"),
+            F.count(F.lit(1)).over(same).alias("_size"),
+            F.sha2("_norm", 256).alias("text_sha256"),
+        ),
+        "content-sort",
     )
-    heads = sorted_rows.where("_rank = 1").select("text_sha256", "_n", "doc_id", "_size")
+    heads = sorted_rows.where("_rank = 1").select("text_sha256", "_salt", "_n", "doc_id", "_size")
     # One row per (text, salt) at most; map-side combine leaves less.
     merged = heads.groupBy("text_sha256").agg(
         F.min_by("doc_id", F.struct(-F.col("_n"), F.col("doc_id").isNull(), F.col("doc_id"))).alias("keep_id"),
-        F.sum("_size").alias("group_size"),
+        F.sum("_size").cast("long").alias("group_size"),
     )
-    return sorted_rows.select("doc_id", "text_sha256").join(merged, "text_sha256").select(
-        "doc_id",
-        "keep_id",
-        F.col("group_size").cast("long"),
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        "text_sha256",
+    # Back to the rows by text and salt, so that no key has more than its share of a group.
+    salted = heads.select("text_sha256", "_salt").join(merged, "text_sha256")
+    return sorted_rows.select("doc_id", "text_sha256", "_salt").join(salted, ["text_sha256", "_salt"]).select(
+        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
 
 

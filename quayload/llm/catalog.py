@@ -1,6 +1,15 @@
 """Every query of the training-data operators, by name."""
 
-from quayload.llm import byte_bpe, exact_dedup, html_extract, packing, quality_rules, warc  # noqa: F401
+from quayload.llm import (  # noqa: F401
+    byte_bpe,
+    exact_dedup,
+    html_extract,
+    packing,
+    quality_rules,
+    substring_dedup,
+    suffix_dedup,
+    warc,
+)
 from quayload.llm.registry import LLM_REGISTRY
 
 __all__ = ["LLM_REGISTRY"]

@@ -241,9 +241,13 @@ def _by_document(table: pa.Table) -> pa.Table:
 NULL_ID = (1 << 63) - 1
 
 
-def keyed(df: DataFrame, text: str, id_column: str) -> DataFrame:
-    """id, text and text_hash: together they tell rows apart even where identifiers repeat."""
-    rows = df.select(F.coalesce(F.col(id_column).cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+def keyed(df: DataFrame, text: str, id_column: str, carried: tuple[str, ...] = ()) -> DataFrame:
+    """id, text and text_hash, which tell rows apart even where identifiers repeat; other columns in struct ``row``."""
+    rows = df.select(
+        F.coalesce(F.col(id_column).cast("long"), F.lit(NULL_ID)).alias("id"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
+        *([F.struct(*(F.col(f"`{c}`") for c in carried)).alias("row")] if carried else []),
+    )
     return rows.withColumn("text_hash", F.xxhash64("text"))
 
 

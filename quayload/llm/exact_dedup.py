@@ -23,6 +23,7 @@ from quayload.llm.registry import llm_query
 from quayload.llm.workspace import shuffle_partitions, stage
 from quayload.plans.registry import table
 
+BLANKS = r"[\x20\x09-\x0D]+"
 HEAD_CHARS = 32
 SALTS = 64
 
@@ -33,7 +34,7 @@ def classes(df: DataFrame, text: str = "text", id_column: str = "doc_id", salts:
     rows = df.select(
         F.col(id_column).alias("doc_id"),
         F.length(original).alias("_n"),
-        F.regexp_replace(original, r"[\x20\x09-\x0D]+", "").alias("_norm"),
+        F.regexp_replace(original, BLANKS, "").alias("_norm"),
     ).select(
         "*",
         F.substring("_norm", 1, HEAD_CHARS).alias("_head"),
@@ -65,11 +66,25 @@ def classes(df: DataFrame, text: str = "text", id_column: str = "doc_id", salts:
     )
     # Back to the rows by text and salt, so that no key has more than its share of a group.
     salted = heads.select("text_sha256", "_salt").join(merged, "text_sha256")
-    return sorted_rows.select("doc_id", "text_sha256", "_salt").join(salted, ["text_sha256", "_salt"]).select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
+    return sorted_rows.select("doc_id", "text_sha256", "_salt", "_rank").join(salted, ["text_sha256", "_salt"]).select(
+        "doc_id",
+        "keep_id",
+        "group_size",
+        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_rank") == 1)).alias("kept"),
+        "text_sha256",
     )
 
 
+def deduplicate(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """The rows of ``df`` that stay, all columns unchanged; one of rows that repeat both identifier and text."""
+    kept = classes(df, text, id_column).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    normal = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), BLANKS, "")
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), F.col(id_column).alias("_own"), F.sha2(normal, 256).alias("_text"))
+    stays = rows.join(kept, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_sha")), "left_semi")
+    once = stays.dropDuplicates(["_own", "_text"])
+    return once.select(*(F.col("_row").getField(c).alias(c) for c in df.columns))
+
+
 ORACLE = """
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
                   regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm FROM documents),

@@ -448,6 +448,14 @@ def classes(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> Dat
     )
 
 
+def keep_one(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """The rows of ``df`` whose identifier is the smallest of their component, all columns unchanged."""
+    kept = classes(df, text, id_column).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), F.col(id_column).cast("long").alias("_own"))
+    stays = rows.join(kept, F.col("_own").eqNullSafe(F.col("_id")), "left_semi")
+    return stays.select(*(F.col("_row").getField(c).alias(c) for c in df.columns))
+
+
 @llm_query("op1_ngram_join")
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents"))

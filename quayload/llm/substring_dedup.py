@@ -18,7 +18,7 @@ read by the query and are carried unchanged by :func:`drop_repeats`.
 
 from __future__ import annotations
 
-import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +34,8 @@ from quayload.plans.registry import table
 
 WINDOW = 20
 SCHEME = Scheme("words", WINDOW, 4)
+#: A word and the blanks after it.
+WORD = re.compile(rb"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*")
 
 
 def decide(contest: Contest, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -68,33 +70,52 @@ def _later(contest: Contest, segment: np.ndarray, offset: np.ndarray, low: np.nd
     return segment[order[later]], offset[order[later]]
 
 
-def judged(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """doc_id, text_hash, n_words, n_removed and kept_text (kept words joined by one blank) of every document."""
-    docs = keyed(df, text, id_column)
-    removed = repeated_windows(docs, SCHEME, True, decide)
-    joined = docs.join(removed, ["id", "text_hash"], "left").select("id", "text_hash", "text", "starts", "counts")
+def _judge(docs: DataFrame) -> DataFrame:
+    """``keyed`` docs with n_words, n_removed, kept_words (joined by one blank) and kept_text (blanks as they were)."""
+    removed = repeated_windows(docs.select("id", "text", "text_hash"), SCHEME, True, decide)
+    joined = docs.join(removed, ["id", "text_hash"], "left")
+    rest = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
-                rows = []
-                for text, starts, counts in zip(*(part.column(c).to_pylist() for c in ("text", "starts", "counts")), strict=True):
-                    words = text.encode().split()
-                    n = len(words)
-                    if starts:
-                        gone = covered(n, WINDOW, starts, counts).tolist()
-                        words = [w for w, g in zip(words, gone, strict=True) if not g]
-                    rows.append((n, n - len(words), b" ".join(words).decode()))
-                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.string()), strict=True)]
-                names = ["id", "text_hash", "n_words", "n_removed", "kept_text"]
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text_hash"), *columns], names)
-
-    out = joined.mapInArrow(run, "id long, text_hash long, n_words long, n_removed long, kept_text string")
-    return out.withColumn("doc_id", F.when(F.col("id") != NULL_ID, F.col("id"))).drop("id")
+                rows = [_keep(*x) for x in zip(*(part.column(c).to_pylist() for c in ("text", "starts", "counts")), strict=True)]
+                kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), *columns], [*rest, "n_words", "n_removed", "kept_words", "kept_text"])
+
+    schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in rest)
+    return joined.select(*rest, "text", "starts", "counts").mapInArrow(run, schema + ", n_words long, n_removed long, kept_words string, kept_text string")
+
+
+def _keep(text: str, starts: list[bytes] | None, counts: list[bytes] | None) -> tuple[int, int, str, str]:
+    data = text.encode()
+    if not starts:
+        words = data.split()
+        return len(words), 0, b" ".join(words).decode(), text
+    found = list(WORD.finditer(data))
+    gone = covered(len(found), WINDOW, starts, counts).tolist()
+    kept = [m for m, g in zip(found, gone, strict=True) if not g]
+    # A word goes with the blanks that follow it.
+    left = data[: found[0].start()] + b"".join(m[0] for m in kept)
+    return len(found), len(found) - len(kept), b" ".join(m[1] for m in kept).decode(), left.decode()
+
+
+def judged(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """doc_id, n_words, n_removed, kept_words and kept_text of every document."""
+    out = _judge(keyed(df, text, id_column))
+    return out.withColumn("doc_id", F.when(F.col("id") != NULL_ID, F.col("id"))).drop("id", "text_hash")
+
+
+def drop_repeats(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """All rows and columns of ``df``, with repeated windows cut out of the text; null texts become empty."""
+    others = tuple(c for c in df.columns if c != text)
+    out = _judge(keyed(df, text, id_column, others))
+    return out.select(*((F.col("kept_text") if c == text else F.col("row").getField(c)).alias(c) for c in df.columns))
 
 
 @llm_query("op9_substring_dedup")
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+        "doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256")
     )

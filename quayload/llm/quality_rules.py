@@ -116,6 +116,9 @@ def measures(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> Da
         covered.alias("n_repeat_words"),
         F.size("_l").cast("long").alias("n_lines"),
         F.size(F.filter("_w", lambda w: F.lower(F.rtrim(w, F.lit(".,;:"))).isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
+        # Not deterministic to the optimizer: a filter that reads it stays above this projection. Pushed
+        # below, it would hold the expressions of all measures once for every time they are read.
+        F.spark_partition_id().alias("_above"),
     )
 
 
@@ -143,10 +146,14 @@ def judge(df: DataFrame, text: str = "text", id_column: str = "doc_id", rules: t
     )
 
 
+def _public(judged: DataFrame) -> DataFrame:
+    return judged.drop("n_lines", "n_stop_words", "_above")
+
+
 def apply_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``df`` that pass, all columns unchanged; no shuffle, no join."""
     packed = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), F.col(text).alias("_text"))
-    verdicts = judge(packed, "_text", "_row", rules).where("kept")
+    verdicts = judge(packed, "_text", "_row", rules).where("kept and _above >= 0")
     return verdicts.select(*(F.col("_row").getField(c).alias(c) for c in df.columns))
 
 
@@ -174,4 +181,4 @@ FROM b
 
 @llm_query("op10_quality_rules", ORACLE)
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(table(spark, sf_dir, "documents")).drop("n_lines", "n_stop_words")
+    return _public(judge(table(spark, sf_dir, "documents")))

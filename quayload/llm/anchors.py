@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayload.llm.hashing import U64, Words, chunks, mix, stream, text_bytes, window_hashes
-from quayload.llm.workspace import shuffle_partitions
+from quayload.llm.workspace import release, shuffle_partitions, stage
 
 #: Symbols' text that one unit of questions covers.
 UNIT_BYTES = 32 << 20
@@ -325,10 +325,12 @@ def _mail(ranked: Ranked, buckets: int) -> Iterator[tuple[int, bytes]]:
         by_bucket.setdefault(gram % buckets, []).extend((gram, body, *h) for h in holders)
     for bucket, items in by_bucket.items():
         grams, bodies, docs, starts, hashes, counts = zip(*items, strict=True)
-        yield bucket, pack_arrays(
+        packed = pack_arrays(
             np.array(docs, np.int64), np.array(starts, np.uint32), np.array(hashes, np.int64), np.array(counts, np.uint32),
             np.array(grams, np.uint64), np.array([len(b) for b in bodies], np.uint32), np.frombuffer(b"".join(bodies), np.uint8),
         )
+        # Segments repeat most of their neighbours' text, which the shuffle's own light codec does not use.
+        yield bucket, len(packed).to_bytes(8, "little") + pa.Codec("zstd").compress(packed, asbytes=True)
     if ranked.decided:
         # Any bucket will do: these rows only pass through.
         yield buckets + ranked.decided[0][0] % buckets, _decided_arrays(ranked.decided)
@@ -412,7 +414,8 @@ def resolve(mail: DataFrame, within: bool, decide: Decide, buckets: int) -> Data
             found = [unpack_arrays(p) for p in payloads]
             return _removed(*(np.concatenate([f[i] for f in found]) for i in range(4)))
         for payload in payloads:
-            docs, starts, hashes, counts, grams, lengths, data = unpack_arrays(payload)
+            packed = pa.Codec("zstd").decompress(payload[8:], int.from_bytes(payload[:8], "little"), asbytes=True)
+            docs, starts, hashes, counts, grams, lengths, data = unpack_arrays(packed)
             body, at = data.tobytes(), 0
             for doc, start, text_hash, count, gram, length in zip(
                 *(x.tolist() for x in (docs, starts, hashes, counts, grams, lengths)), strict=True
@@ -455,9 +458,13 @@ def _removed(docs: np.ndarray, starts: np.ndarray, hashes: np.ndarray, counts: n
 
 def repeated_windows(docs: DataFrame, scheme: Scheme, within: bool, decide: Decide) -> DataFrame:
     """Per document of ``keyed`` docs: (id, text_hash, starts, counts), lists of packed runs of windows to remove."""
-    buckets = 4 * shuffle_partitions(docs.sparkSession)
-    mail = segments(docs, repeated_anchors(docs, scheme), scheme, within)
-    found = resolve(mail, within, decide, buckets)
+    spark = docs.sparkSession
+    buckets = 4 * shuffle_partitions(spark)
+    # Each step is written, so that the shuffles before it can go.
+    anchors = stage(repeated_anchors(docs, scheme), "anchors")
+    release(spark)
+    found = stage(resolve(segments(docs, anchors, scheme, within), within, decide, buckets), "repeats")
+    release(spark)
     return found.groupBy("id", "text_hash").agg(F.collect_list("starts").alias("starts"), F.collect_list("counts").alias("counts"))
 
 

@@ -161,8 +161,9 @@ ORACLE = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws,
              list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
-g AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) >= 3),
-k AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS c FROM g),
+g AS (SELECT doc_id, unnest(ws) AS a, generate_subscripts(ws, 1) AS i FROM w),
+h AS (SELECT doc_id, i, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c FROM g WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+k AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS c FROM h WHERE c IS NOT NULL),
 r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
         SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM k WHERE c > 1) GROUP BY doc_id),
 m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,

@@ -41,15 +41,23 @@ def widen(column: Column, spark_type: str) -> Checked:
     return Checked(column.cast(spark_type), no_code(), checked=False)
 
 
+def unsigned(column: Column, bits: int, spark_type: str, hold: Holder = inline) -> Checked:
+    """Unsigned integer of ``bits`` bits; its carrier is wider and signed, so the range is checked."""
+    code = hold(JUDGED, code_when(~column.between(0, (1 << bits) - 1), P.INTEGER_RANGE))
+    return Checked(F.when(code.isNull(), column.cast(spark_type)), code)
+
+
 def tinyint(column: Column, hold: Holder = inline) -> Checked:
     """Unsigned byte: 0..255 carried in a smallint."""
     code = hold(JUDGED, code_when(~column.between(0, 255), P.INTEGER_RANGE))
     return Checked(F.when(code.isNull(), column.cast("smallint")), code)
 
 
-def uint64_as_decimal(column: Column) -> Checked:
-    """Unsigned 64-bit value as decimal(20,0)."""
-    return Checked(column.cast("decimal(20,0)"), no_code(), checked=False)
+def uint64_as_decimal(column: Column, hold: Holder = inline) -> Checked:
+    """Unsigned 64-bit value as decimal(20,0); its carrier also holds signed and larger numbers."""
+    limit = F.lit(str((1 << 64) - 1)).cast("decimal(20,0)")
+    code = hold(JUDGED, code_when(~column.between(F.lit(0).cast("decimal(20,0)"), limit), P.INTEGER_RANGE))
+    return Checked(F.when(code.isNull(), column.cast("decimal(20,0)")), code)
 
 
 def uint64_as_bigint(column: Column, hold: Holder = inline) -> Checked:
@@ -110,8 +118,10 @@ def decimal(column: Column, precision: int, scale: int, hold: Holder = inline) -
         code = code_when(column.isNotNull(), P.DECIMAL_RANGE)
         return Checked(F.lit(None).cast(f"decimal({precision},{scale})"), code)
     value = hold(DECODED, column.try_cast(f"decimal({precision},{scale})"))
-    code = hold(JUDGED, code_when(column.isNotNull() & value.isNull(), P.DECIMAL_RANGE))
-    return Checked(value, code)
+    # A source of another scale would be rounded by the cast.
+    wrong = F.when(column.isNotNull() & value.isNull(), F.lit(P.DECIMAL_RANGE)).when(value != column, F.lit(P.SCHEMA_MISMATCH))
+    code = hold(JUDGED, wrong)
+    return Checked(F.when(code.isNull(), value), code)
 
 
 def negative_scale_decimal(unscaled: Column, precision: int, digits: int, hold: Holder = inline) -> Checked:
@@ -131,8 +141,10 @@ def wide_decimal(unscaled_text: Column, precision: int, scale: int, hold: Holder
         value = F.lit(None).cast(f"decimal({precision},{target})")
     else:
         value = hold(DECODED, shifted.try_cast(f"decimal({precision},{target})"))
-    code = hold(JUDGED, code_when(unscaled_text.isNotNull() & value.isNull(), P.DECIMAL_RANGE))
-    return Checked(value, code)
+    whole = unscaled_text.rlike("^[+-]?[0-9]+$")
+    wrong = F.when(~whole, F.lit(P.TYPE_MISMATCH)).when(whole & value.isNull(), F.lit(P.DECIMAL_RANGE))
+    code = hold(JUDGED, wrong)
+    return Checked(F.when(code.isNull(), value), code)
 
 
 def not_null(checked: Checked, source: Column, nullable: bool, hold: Holder = inline) -> Checked:

@@ -31,5 +31,12 @@ def saturated_sum(value: Column) -> Column:
     return F.when(total > high, high).when(total < low, low).otherwise(total).cast("bigint")
 
 
+def saturated_difference(left: Column, right: Column) -> Column:
+    """``left - right`` of longs, held at the 64-bit limits instead of failing."""
+    exact = F.try_subtract(left.cast("bigint"), right.cast("bigint"))
+    limit = F.when(left < right, F.lit(-LONG_MAX).cast("bigint") - 1).otherwise(F.lit(LONG_MAX))
+    return F.when(left.isNotNull() & right.isNotNull(), F.coalesce(exact, limit))
+
+
 def _column(value: int | Column) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("bigint")

@@ -18,6 +18,9 @@ ERRORS_TYPE = "array<struct<severity:string,code:string,field_index:int,field_na
 #: Carrier of each integer target in Spark.
 CARRIERS = {"bit": "boolean", "tinyint": "smallint", "smallint": "smallint", "int": "int", "bigint": "bigint"}
 
+#: Unsigned sources whose carriers are wider and signed, by bits.
+UNSIGNED = {"uint16": 16, "uint32": 32}
+
 
 def conform_column(planned: PlannedColumn, options: PlanOptions, column: Column | None = None,
                    hold: Holder = inline) -> Checked:
@@ -123,10 +126,12 @@ def _value_rule(planned: PlannedColumn, options: PlanOptions, column: Column, ho
     source, target = planned.source, planned.target
     if source.kind == "uint64":
         if target.kind == "decimal":
-            return checks.uint64_as_decimal(column)
+            return checks.uint64_as_decimal(column, hold)
         return checks.uint64_as_bigint(column, hold)
     if target.kind == "tinyint":
         return checks.tinyint(column, hold)
+    if source.kind in UNSIGNED:
+        return checks.unsigned(column, UNSIGNED[source.kind], CARRIERS[target.kind], hold)
     if target.kind in CARRIERS:
         return checks.widen(column, CARRIERS[target.kind])
     if target.kind == "real":

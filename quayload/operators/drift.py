@@ -70,11 +70,11 @@ def schema_drift(planned: DataFrame, actual: DataFrame, check_nullability: bool
     reason = (
         F.when(F.col("a_there").isNull(), F.lit("missing_column"))
         .when(F.col("p_there").isNull(), F.lit("extra_column"))
-        .when(F.col("p_name") != F.col("a_name"), F.lit("name"))
-        .when((F.col("p_type") != F.col("a_type")) & ~same_family, F.lit("type"))
+        .when(_differs("name"), F.lit("name"))
+        .when(_differs("type") & ~F.coalesce(same_family, F.lit(False)), F.lit("type"))
     )
     if check_nullability:
-        reason = reason.when(both & (F.col("p_nullable") != F.col("a_nullable")), F.lit("nullability"))
+        reason = reason.when(both & _differs("nullable"), F.lit("nullability"))
     return (
         paired(planned, actual, ["table_id", "ordinal"])
         .withColumn("reason", reason)
@@ -92,9 +92,9 @@ def target_drift(planned: DataFrame, actual: DataFrame) -> DataFrame:
     p, a = F.col("p_there").isNotNull(), F.col("a_there").isNotNull()
     differences = F.array_compact(F.array(
         F.when(~(p & a), F.lit("column_count")),
-        F.when(p & a & (F.col("a_claimed_ordinal") != F.col("ordinal")), F.lit("ordinal")),
-        F.when(p & a & (F.col("p_name") != F.col("a_name")), F.lit("name")),
-        F.when(p & a & (F.col("p_nullable") != F.col("a_nullable")), F.lit("nullability")),
+        F.when(p & a & ~F.col("a_claimed_ordinal").eqNullSafe(F.col("ordinal")), F.lit("ordinal")),
+        F.when(p & a & _differs("name"), F.lit("name")),
+        F.when(p & a & _differs("nullable"), F.lit("nullability")),
     ))
     return paired(planned, actual, ["table_id", "ordinal"]).select(
         "table_id", "ordinal", F.explode(differences).alias("difference")
@@ -109,7 +109,7 @@ def target_type_drift(planned: DataFrame, actual: DataFrame) -> DataFrame:
     same_shape = (F.col("p_precision") == F.col("a_precision")) & (F.col("p_scale") == F.col("a_scale"))
     # A plain datetime target takes the nullable datetime encoding.
     differences = F.array_compact(F.array(
-        F.when(both & (F.col("p_type") != F.col("a_type")), F.lit("type")),
+        F.when(both & _differs("type"), F.lit("type")),
         F.when(both & decimal & ~known, F.lit("decimal_shape_unknown")),
         F.when(both & decimal & known & ~same_shape, F.lit("decimal_shape")),
     ))
@@ -120,6 +120,11 @@ def target_type_drift(planned: DataFrame, actual: DataFrame) -> DataFrame:
     )
 
 
+def _differs(what: str) -> Column:
+    """Planned and actual are not the same; metadata that is not known is a difference."""
+    return ~F.col(f"p_{what}").eqNullSafe(F.col(f"a_{what}"))
+
+
 def _one_family(left: str, right: str) -> bool:
     return any(left in family and right in family for family in (STRING_FAMILY, BINARY_FAMILY))
 

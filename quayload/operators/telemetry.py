@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from quayload.functions.exact import saturated_sum
+from quayload.functions.exact import saturated_difference, saturated_sum
 
 WAIT_COUNTERS = ["waiting_tasks_count", "wait_time_ms", "signal_wait_time_ms"]
 FILE_COUNTERS = ["read_count", "read_bytes", "read_stall_ms", "write_count", "write_bytes", "write_stall_ms"]
@@ -44,7 +44,7 @@ def snapshot_deltas(samples: DataFrame, keys: list[str], counters: list[str], or
     )
     return edges.select(
         *keys, *[F.col(f"l.{c}").alias(c) for c in attributes or []],
-        *[(F.col(f"l.{c}") - F.coalesce(F.col(f"f.{c}"), F.lit(0))).alias(c) for c in counters],
+        *[saturated_difference(F.col(f"l.{c}"), F.coalesce(F.col(f"f.{c}"), F.lit(0))).alias(c) for c in counters],
     )
 
 
@@ -60,8 +60,8 @@ def connection_deltas(snapshots: DataFrame, load: list[str], order: str) -> Data
     at_first = F.min_by(F.struct("num_reads", "num_writes"), order).alias("f")
     return snapshots.groupBy(*load).agg(at_first, at_last).select(
         *load, *[F.col(f"l.{c}").alias(c) for c in CONNECTION_KEY],
-        (F.col("l.num_reads") - F.col("f.num_reads")).alias("num_reads"),
-        (F.col("l.num_writes") - F.col("f.num_writes")).alias("num_writes"),
+        saturated_difference(F.col("l.num_reads"), F.col("f.num_reads")).alias("num_reads"),
+        saturated_difference(F.col("l.num_writes"), F.col("f.num_writes")).alias("num_writes"),
         F.col("l.last_read").alias("last_read"), F.col("l.last_write").alias("last_write"),
     )
 
@@ -202,5 +202,5 @@ def _deltas(first, last, keys, counters, attributes) -> DataFrame:
     before = first.select(*keys, *[F.col(c).alias(f"__first_{c}") for c in counters])
     return last.join(before, keys, "left").select(
         *keys, *attributes,
-        *[(F.col(c) - F.coalesce(f"__first_{c}", F.lit(0))).alias(c) for c in counters],
+        *[saturated_difference(F.col(c), F.coalesce(f"__first_{c}", F.lit(0))).alias(c) for c in counters],
     )

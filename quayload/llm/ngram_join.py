@@ -36,7 +36,7 @@ from quayload.llm.anchors import NULL_ID, UNIT_BYTES, keyed, pack_arrays, unpack
 from quayload.llm.components import components
 from quayload.llm.hashing import U64, Words, chunks, shingle_sets, text_bytes
 from quayload.llm.registry import llm_query
-from quayload.llm.workspace import shuffle_partitions, stage
+from quayload.llm.workspace import release, shuffle_partitions, stage
 from quayload.plans.registry import table
 
 WORDS = 5
@@ -93,7 +93,9 @@ class _Sieve:
         count = np.diff(np.append(begin, len(every)))
         shared = np.bincount(owner[np.repeat(count > 1, count)], minlength=len(fingers))
         at = np.flatnonzero(shared)
-        yield 1, 0, pack_arrays(fingers[at], shared[at].astype(np.int64))
+        if len(at):
+            # Any bucket can add these up.
+            yield 1, int(fingers[at[0]]) % buckets, pack_arrays(fingers[at], shared[at].astype(np.int64))
         asked, holder = every[begin], np.where(count > 1, MANY, owner[begin])
         target = asked % U64(buckets)
         order = np.argsort(target, kind="stable")
@@ -103,91 +105,114 @@ class _Sieve:
             if len(mine):
                 names, index = np.unique(holder[mine], return_inverse=True)
                 known = np.append(fingers, 0)[np.where(names == MANY, len(fingers), names.astype(np.int64))]
-                yield 2, bucket, pack_arrays(known, (names == MANY).astype(np.uint8), index.astype(np.uint32),
+                index = index.astype(np.uint16 if len(names) <= 1 << 16 else np.uint32)
+                yield 2, bucket, pack_arrays(known, (names == MANY).astype(np.uint8), index,
                                              ((asked[mine] >> U64(20)) & U64(0xFFFFFFFF)).astype(np.uint32))
 
 
-SET_SCHEMA = "kind int, bucket int, payload binary, id long, text_hash long, n long, f1 long, f2 long, sent long"
-SET_NAMES = ["kind", "bucket", "payload", "id", "text_hash", "n", "f1", "f2", "sent"]
-SET_TYPES = [pa.int32(), pa.int32(), pa.binary()] + [pa.int64()] * 6
+def sets(docs: DataFrame) -> DataFrame:
+    """(id, text_hash, n, f1, f2, sent) of every document: its set's size, fingerprints and columns below the sieve's bound."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, made in _made(batch):
+                rows = [(len(own), *_finger(own), _low(own)) for own in made]
+                columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text_hash"), *columns], ["id", "text_hash", "n", "f1", "f2", "sent"])
 
-def _set_batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), SET_TYPES, strict=True)], SET_NAMES)
+    return docs.mapInArrow(run, "id long, text_hash long, n long, f1 long, f2 long, sent long")
 
 
-def sets(docs: DataFrame) -> DataFrame:
-    """Per document its set's size and fingerprints (kind 0), and the sieve's rows (kinds 1 and 2)."""
+def _made(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    raw, offsets = text_bytes(batch.column("text"))
+    for first, last in chunks(offsets):
+        yield batch.slice(first, last - first), list(shingle_sets(Words(raw, offsets, first, last, lower=True), WORDS))
+
+
+BOUND = U64(int(SIEVE * (1 << 64)))
+
+
+def _low(own: np.ndarray) -> int:
+    return int(np.searchsorted(own, BOUND))
+
+
+def questions(docs: DataFrame) -> DataFrame:
+    """(kind, bucket, payload): what the sieve shuffles; a second look at the texts is cheaper than storing this."""
     buckets = 2 * shuffle_partitions(docs.sparkSession)
-    bound = U64(int(SIEVE * (1 << 64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve = _Sieve()
         for batch in batches:
-            raw, offsets = text_bytes(batch.column("text"))
-            ids, hashes = batch.column("id").to_pylist(), batch.column("text_hash").to_pylist()
-            for first, last in chunks(offsets):
-                rows = []
-                for i, own in enumerate(shingle_sets(Words(raw, offsets, first, last, lower=True), WORDS), first):
-                    f1, f2 = _finger(own)
-                    low = own[: int(np.searchsorted(own, bound))]
-                    rows.append((0, None, None, ids[i], hashes[i], len(own), f1, f2, len(low)))
+            for part, made in _made(batch):
+                for own in made:
                     if len(own):
-                        sieve.add(f1, low)
-                sieve.bytes += int(offsets[last] - offsets[first])
-                yield _set_batch(rows)
+                        sieve.add(_finger(own)[0], own[: _low(own)])
+                sieve.bytes += part.column("text").nbytes
                 if sieve.bytes >= UNIT_BYTES:
-                    yield from _sieved(sieve, buckets)
+                    yield _sieve_batch(sieve, buckets)
                     sieve = _Sieve()
-        yield from _sieved(sieve, buckets)
-
-    return docs.mapInArrow(run, SET_SCHEMA)
-
-
-def _sieved(sieve: _Sieve, buckets: int) -> Iterator[pa.RecordBatch]:
-    rows = [(*row, *[None] * 6) for row in sieve.rows(buckets)]
-    if rows:
-        yield _set_batch(rows)
-
-
-def _shared_counts(table: pa.Table) -> pa.Table:
-    """For one bucket: per set the asked columns that another set has too."""
-    schema = pa.schema([("f1", pa.int64()), ("shared", pa.int64())])
+        yield _sieve_batch(sieve, buckets)
+
+    return docs.select("text").mapInArrow(run, "kind int, bucket int, payload binary")
+
+
+def _sieve_batch(sieve: _Sieve, buckets: int) -> pa.RecordBatch:
+    columns = list(zip(*sieve.rows(buckets), strict=True)) or [[], [], []]
+    kinds = [pa.int32(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["kind", "bucket", "payload"])
+
+
+def _shared_counts(table: pa.Table, slices: int) -> pa.Table:
+    """For one bucket: per set the asked columns that another set has too, in a few rows of packed counts."""
+    kinds, payloads = table.column("kind").to_pylist(), table.column("payload").to_pylist()
+    told = [unpack_arrays(p) for k, p in zip(kinds, payloads, strict=True) if k == 1]
+    fingers, counts = [p[0] for p in told], [p[1] for p in told]
+    parts = [unpack_arrays(p) for k, p in zip(kinds, payloads, strict=True) if k == 2]
+    if parts:
+        finger = np.concatenate([p[0][p[2]] for p in parts])
+        many = np.concatenate([p[1][p[2]] for p in parts]) > 0
+        column = np.concatenate([p[3] for p in parts])
+        order = np.lexsort((finger, many, column))
+        finger, many, column = finger[order], many[order], column[order]
+        new = np.ones(len(column), bool)
+        new[1:] = column[1:] != column[:-1]
+        differs = np.zeros(len(column), bool)
+        differs[1:] = ~new[1:] & ((finger[1:] != finger[:-1]) | many[1:])
+        group = np.cumsum(new) - 1
+        shared = (np.bincount(group, differs) > 0) | (np.bincount(group, many) > 0)
+        names, found = np.unique(finger[shared[group] & (new | differs) & ~many], return_counts=True)
+        fingers.append(names)
+        counts.append(found.astype(np.int64))
+    names, sums = _sums(fingers, counts)
+    target = names.astype(U64) % U64(slices)
+    order = np.argsort(target, kind="stable")
+    cuts = np.searchsorted(target[order], np.arange(slices + 1, dtype=U64))
+    rows = [(i, pack_arrays(names[order[a:b]], sums[order[a:b]])) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+    schema = pa.schema([("slice", pa.int32()), ("payload", pa.binary())])
+    return pa.table([list(c) for c in zip(*rows, strict=True)] if rows else [[], []], schema=schema)
+
+
+def _sums(fingers: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    if not fingers:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    names, index = np.unique(np.concatenate(fingers), return_inverse=True)
+    return names, np.bincount(index, np.concatenate(counts), len(names)).astype(np.int64)
+
+
+def _summed(table: pa.Table) -> pa.Table:
     parts = [unpack_arrays(p) for p in table.column("payload").to_pylist()]
-    if not parts:
-        return pa.table([[], []], schema=schema)
-    finger = np.concatenate([p[0][p[2]] for p in parts])
-    many = np.concatenate([p[1][p[2]] for p in parts]) > 0
-    column = np.concatenate([p[3] for p in parts])
-    order = np.lexsort((finger, many, column))
-    finger, many, column = finger[order], many[order], column[order]
-    new = np.ones(len(column), bool)
-    new[1:] = column[1:] != column[:-1]
-    differs = np.zeros(len(column), bool)
-    differs[1:] = ~new[1:] & ((finger[1:] != finger[:-1]) | many[1:])
-    group = np.cumsum(new) - 1
-    shared = (np.bincount(group, differs) > 0) | (np.bincount(group, many) > 0)
-    first = new | differs
-    kept = finger[shared[group] & first & ~many]
-    names, counts = np.unique(kept, return_counts=True)
-    return pa.table([pa.array(names), pa.array(counts.astype(np.int64))], schema=schema)
-
-
-def candidates(made: DataFrame) -> DataFrame:
-    """(id, text_hash, f1) of one document per set that may have a link; ``made`` is a staged :func:`sets`."""
+    names, sums = _sums([p[0] for p in parts], [p[1] for p in parts])
+    return pa.table([pa.array(names), pa.array(sums)], schema=pa.schema([("f1", pa.int64()), ("shared", pa.int64())]))
 
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for payload in batch.column(0).to_pylist():
-                finger, shared = unpack_arrays(payload)
-                yield pa.RecordBatch.from_arrays([pa.array(finger), pa.array(shared)], ["f1", "shared"])
 
-    here = made.where("kind = 1").select("payload").mapInArrow(local, "f1 long, shared long")
-    there = made.where("kind = 2").select("bucket", "payload").groupBy("bucket").applyInArrow(_shared_counts, "f1 long, shared long")
+def candidates(docs: DataFrame, made: DataFrame) -> DataFrame:
+    """(id, text_hash, f1) of one document per set that may have a link; ``made`` is a staged :func:`sets`."""
+    slices = shuffle_partitions(docs.sparkSession)
+    counted = questions(docs).groupBy("bucket").applyInArrow(lambda t: _shared_counts(t, slices), "slice int, payload binary")
     # A column may be counted in several units: that only keeps more rows.
-    shared = here.union(there).groupBy("f1").agg(F.sum("shared").alias("shared"))
+    shared = counted.groupBy("slice").applyInArrow(_summed, "f1 long, shared long")
     rows = (
-        made.where("kind = 0 and n > 0")
+        made.where("n > 0")
         .groupBy("f1", "f2")
         .agg(F.min(F.struct("id", "text_hash")).alias("head"), F.first("n").alias("n"), F.first("sent").alias("sent"))
     )
@@ -203,7 +228,8 @@ def candidates(made: DataFrame) -> DataFrame:
 
 def incidence(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """(row, n, column) of the chosen documents; ``row`` is the set's fingerprint."""
-    joined = docs.join(chosen, ["id", "text_hash"]).select("text", "f1")
+    # The chosen grow with the corpus, so they are never broadcast: one plan at every size.
+    joined = docs.join(chosen.hint("merge"), ["id", "text_hash"]).select("text", "f1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,8 +245,7 @@ def incidence(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                     ["row", "n", "columns"],
                 )
 
-    # Rows that repeat identifier and text would be one row of the matrix twice.
-    return joined.mapInArrow(run, "row long, n long, columns array<long>").dropDuplicates(["row"])
+    return joined.mapInArrow(run, "row long, n long, columns array<long>")
 
 
 def shared_rows(full: DataFrame) -> DataFrame:
@@ -230,7 +255,8 @@ def shared_rows(full: DataFrame) -> DataFrame:
     own = (
         entries.join(counts, "column")
         .groupBy("row", "n")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "column"))).alias("found"))
+        # A set: documents that repeat identifier and text bring their row twice.
+        .agg(F.array_sort(F.collect_set(F.struct("df", "column"))).alias("found"))
         .withColumn("prefix", F.expr(f"{prefix_sql('n')} - (n - size(found))"))
         .where("prefix > 0")
     )
@@ -433,10 +459,14 @@ def classes(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> Dat
     """doc_id, n_shingles and component_id of every document."""
     docs = keyed(df, text, id_column)
     made = stage(sets(docs), "sets")
-    chosen = stage(candidates(made), "candidates")
-    rows = stage(shared_rows(incidence(docs, chosen)), "rows")
+    chosen = stage(candidates(docs, made), "candidates")
+    release(df.sparkSession)
+    full = stage(incidence(docs, chosen), "incidence")
+    release(df.sparkSession)
+    rows = stage(shared_rows(full), "rows")
+    release(df.sparkSession)
     label = components(stage(links(rows), "links")).select(F.col("node").alias("f1"), "label")
-    own = made.where("kind = 0").select("id", "n", "f1", "f2")
+    own = made.select("id", "n", "f1", "f2")
     heads = own.where("n > 0").groupBy("f1", "f2").agg(F.min("id").alias("least"))
     joined = heads.join(label, "f1", "left").withColumn("label", F.coalesce("label", "f1"))
     least = joined.groupBy("label").agg(F.min("least").alias("component_id"))

@@ -248,7 +248,8 @@ def keyed(df: DataFrame, text: str, id_column: str, carried: tuple[str, ...] = (
         F.coalesce(F.col(text), F.lit("")).alias("text"),
         *([F.struct(*(F.col(f"`{c}`") for c in carried)).alias("row")] if carried else []),
     )
-    return rows.withColumn("text_hash", F.xxhash64("text"))
+    # 32 bits: it only tells apart the texts of one identifier.
+    return rows.withColumn("text_hash", F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))
 
 
 def repeated_anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
@@ -299,6 +300,7 @@ class Ranked:
 
     def __init__(self, within: bool):
         self.within = within
+        #: Holders (document, first window, text hash, windows) by (place of the gram, content).
         self.held: dict[tuple[int, bytes], list[tuple[int, int, int, int]]] = {}
         self.decided: list[tuple[int, int, int, int]] = []
 
@@ -318,16 +320,20 @@ class Ranked:
             held.append(mine)
 
 
-def _mail(ranked: Ranked, buckets: int) -> Iterator[tuple[int, bytes]]:
+#: Place of the gram of a window that travels alone: all of it is the gram.
+ALONE = 0xFFFF
+
+
+def _mail(ranked: Ranked, targets: dict[tuple[int, bytes], int], buckets: int) -> Iterator[tuple[int, bytes]]:
     """Segments by bucket, and what is decided already."""
     by_bucket: dict[int, list] = {}
-    for (gram, body), holders in ranked.held.items():
-        by_bucket.setdefault(gram % buckets, []).extend((gram, body, *h) for h in holders)
+    for (place, body), holders in ranked.held.items():
+        by_bucket.setdefault(targets[place, body], []).extend((place, body, *h) for h in holders)
     for bucket, items in by_bucket.items():
-        grams, bodies, docs, starts, hashes, counts = zip(*items, strict=True)
+        places, bodies, docs, starts, hashes, counts = zip(*items, strict=True)
         packed = pack_arrays(
-            np.array(docs, np.int64), np.array(starts, np.uint32), np.array(hashes, np.int64), np.array(counts, np.uint32),
-            np.array(grams, np.uint64), np.array([len(b) for b in bodies], np.uint32), np.frombuffer(b"".join(bodies), np.uint8),
+            np.array(docs, np.int64), np.array(starts, np.uint32), np.array(hashes, np.uint32), np.array(counts, np.uint16),
+            np.array(places, np.uint16), np.array([len(b) for b in bodies], np.uint32), np.frombuffer(b"".join(bodies), np.uint8),
         )
         # Segments repeat most of their neighbours' text, which the shuffle's own light codec does not use.
         yield bucket, len(packed).to_bytes(8, "little") + pa.Codec("zstd").compress(packed, asbytes=True)
@@ -353,7 +359,7 @@ def segments(docs: DataFrame, anchors: DataFrame, scheme: Scheme, within: bool)
             raw, offsets = text_bytes(batch.column("text"))
             ids, hashes = (batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("id", "text_hash"))
             flagged = batch.column("anchors")
-            ranked, held = Ranked(within), 0
+            ranked, targets, held = Ranked(within), {}, 0
             for first, last in chunks(offsets):
                 runs = Runs(scheme, raw, offsets, first, last)
                 known = [[unpack_arrays(p) for p in flagged[i].as_py()] for i in range(first, last)]
@@ -370,15 +376,18 @@ def segments(docs: DataFrame, anchors: DataFrame, scheme: Scheme, within: bool)
                     if is_hot:
                         for k in range(start, start + count):
                             body = _plain(scheme, runs.segment(owner, k, 1))
-                            ranked.add((xxhash.xxh64_intdigest(body), body), doc, k, text_hash, 1)
+                            ranked.add((ALONE, body), doc, k, text_hash, 1)
+                            targets[ALONE, body] = xxhash.xxh64_intdigest(body) % buckets
                     else:
                         body = _plain(scheme, runs.segment(owner, start, count))
-                        ranked.add((int(runs.gram[i]), body), doc, start, text_hash, count)
+                        key = (int(runs.anchor[i]) - start, body)
+                        ranked.add(key, doc, start, text_hash, count)
+                        targets[key] = int(runs.gram[i]) % buckets
                         held += len(body)
                 if held > UNIT_BYTES:
-                    yield _mail_batch(_mail(ranked, buckets))
-                    ranked, held = Ranked(within), 0
-            yield _mail_batch(_mail(ranked, buckets))
+                    yield _mail_batch(_mail(ranked, targets, buckets))
+                    ranked, targets, held = Ranked(within), {}, 0
+            yield _mail_batch(_mail(ranked, targets, buckets))
 
     return joined.mapInArrow(send, "bucket int, payload binary")
 
@@ -404,7 +413,15 @@ class Contest:
 Decide = Callable[[Contest], tuple[np.ndarray, np.ndarray]]
 
 
-def resolve(mail: DataFrame, within: bool, decide: Decide, buckets: int) -> DataFrame:
+def _gram(scheme: Scheme, place: int, body: bytes) -> bytes:
+    if place == ALONE:
+        return b""
+    if scheme.symbols == "words":
+        return b" ".join(body.split(b" ", place + scheme.gram)[place : place + scheme.gram])
+    return body[place : place + scheme.gram]
+
+
+def resolve(mail: DataFrame, scheme: Scheme, within: bool, decide: Decide, buckets: int) -> DataFrame:
     """(id, text_hash, starts, counts): runs of windows to remove, by document; several rows a document."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -415,19 +432,21 @@ def resolve(mail: DataFrame, within: bool, decide: Decide, buckets: int) -> Data
             return _removed(*(np.concatenate([f[i] for f in found]) for i in range(4)))
         for payload in payloads:
             packed = pa.Codec("zstd").decompress(payload[8:], int.from_bytes(payload[:8], "little"), asbytes=True)
-            docs, starts, hashes, counts, grams, lengths, data = unpack_arrays(packed)
+            docs, starts, hashes, counts, places, lengths, data = unpack_arrays(packed)
             body, at = data.tobytes(), 0
-            for doc, start, text_hash, count, gram, length in zip(
-                *(x.tolist() for x in (docs, starts, hashes, counts, grams, lengths)), strict=True
+            for doc, start, text_hash, count, place, length in zip(
+                *(x.tolist() for x in (docs, starts, hashes, counts, places, lengths)), strict=True
             ):
-                ranked.add((gram, body[at : at + length]), doc, start, text_hash, count)
+                ranked.add((place, body[at : at + length]), doc, start, text_hash, count)
                 at += length
-        grams: dict[int, int] = {}
-        for gram, _ in ranked.held:
+        # Different segments compete where they hold the same gram.
+        grams: dict[bytes, int] = {}
+        for place, body in ranked.held:
+            gram = _gram(scheme, place, body)
             grams[gram] = grams.get(gram, 0) + 1
         contest = Contest([], [])
-        for (gram, body), holders in ranked.held.items():
-            if grams[gram] > 1:
+        for (place, body), holders in ranked.held.items():
+            if grams[_gram(scheme, place, body)] > 1:
                 contest.bodies += [body] * len(holders)
                 contest.holders += holders
         decided = [np.array(c, np.int64) for c in zip(*ranked.decided, strict=True)] or [np.zeros(0, np.int64)] * 4
@@ -461,17 +480,33 @@ def repeated_windows(docs: DataFrame, scheme: Scheme, within: bool, decide: Deci
     spark = docs.sparkSession
     buckets = 4 * shuffle_partitions(spark)
     # Each step is written, so that the shuffles before it can go.
-    anchors = stage(repeated_anchors(docs, scheme), "anchors")
+    later = stage(copies(docs), "copies")
+    anchors = repeated_anchors(docs, scheme).join(later.select("id", "text_hash"), ["id", "text_hash"], "left_anti")
+    anchors = stage(anchors, "anchors")
     release(spark)
-    found = stage(resolve(segments(docs, anchors, scheme, within), within, decide, buckets), "repeats")
+    found = stage(resolve(segments(docs, anchors, scheme, within), scheme, within, decide, buckets), "repeats")
     release(spark)
-    return found.groupBy("id", "text_hash").agg(F.collect_list("starts").alias("starts"), F.collect_list("counts").alias("counts"))
+    return found.union(later).groupBy("id", "text_hash").agg(F.collect_list("starts").alias("starts"), F.collect_list("counts").alias("counts"))
+
+
+def copies(docs: DataFrame) -> DataFrame:
+    """Documents whose whole text a smaller identifier has too, with all their windows to remove.
+
+    Their segments need not travel: what they hold, the smallest of them holds earlier.
+    """
+    own = docs.select("id", "text_hash", F.sha2("text", 256).alias("sha"))
+    first = own.groupBy("sha").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    every = lambda value: F.lit(np.array([value], np.uint32).tobytes())
+    return own.join(first, "sha").where("id > least").select("id", "text_hash", every(0).alias("starts"), every(0xFFFFFFFF).alias("counts"))
 
 
 def covered(n: int, window: int, starts: list[bytes], counts: list[bytes]) -> np.ndarray:
     """Which of ``n`` symbols the given runs of windows cover."""
     begin = np.concatenate([np.frombuffer(s, np.uint32) for s in starts]).astype(np.int64)
     count = np.concatenate([np.frombuffer(c, np.uint32) for c in counts]).astype(np.int64)
+    # A copy's windows are given without their number.
+    count = np.minimum(count, n - window + 1 - begin)
+    begin, count = begin[count > 0], count[count > 0]
     steps = np.zeros(n + 1, np.int64)
     np.add.at(steps, begin, 1)
     np.add.at(steps, begin + count - 1 + window, -1)

@@ -94,6 +94,8 @@ def _keep(text: str, starts: list[bytes] | None, counts: list[bytes] | None) ->
         words = data.split()
         return len(words), 0, b" ".join(words).decode(), text
     found = list(WORD.finditer(data))
+    if not found:
+        return 0, 0, "", text
     gone = covered(len(found), WINDOW, starts, counts).tolist()
     kept = [m for m, g in zip(found, gone, strict=True) if not g]
     # A word goes with the blanks that follow it.

@@ -3,9 +3,7 @@
 A range is closed when the next row would take it over the limit; a row larger
 than the limit is a range of its own.
 
-Small batches (those cut to a known number of rows) are folded one by one inside
-the JVM. Batches of any size are packed by :func:`pack_ranges_unbounded`: rows
-are range-partitioned into segments, and every segment is described by how it
+Rows are range-partitioned into segments, and every segment is described by how it
 changes the state "bytes in the open range". Those descriptions are combined in
 groups of ``FAN_IN`` up to one, entry states are handed back down, and each
 segment then cuts its own rows. No task ever sees more than one segment of rows.
@@ -24,8 +22,8 @@ from quayload.sources.batching import ROW_BITS, in_sequence
 
 DEFAULT_LIMIT = 8 * 1024 * 1024
 FAN_IN = 32
-#: Size of a segment of (batch, order, bytes) rows: some million rows.
-SEGMENT_BYTES = 64 * 1024 * 1024
+#: Rows of a segment, on average: what one task holds at once.
+SEGMENT_ROWS = 1 << 20
 
 SEGMENT_SCHEMA = (
     "segment long, first_batch {b}, last_batch {b}, through boolean, row_total long, "
@@ -36,47 +34,23 @@ PIECE_SCHEMA = "batch {b}, range_no long, start_row long, row_count long, range_
 
 
 def pack_ranges(df: DataFrame, batch: str, order: list[str], row_bytes: str,
-                limit: int = DEFAULT_LIMIT, batch_rows: int | None = None) -> DataFrame:
+                limit: int = DEFAULT_LIMIT) -> DataFrame:
     """Ranges of every batch: number, first row in the batch, rows, bytes.
 
-    ``batch_rows`` is the most rows a batch can have, where the way it was cut
-    proves it; a batch that breaks the promise fails the job. Without it batches
-    may be of any size.
+    Batches may be of any size, one batch over many tasks if need be. A row without a
+    size fails the job before rows are moved. Rows without a batch are a batch.
     """
     _check_limit(limit)
-    if batch_rows is None:
-        return pack_ranges_unbounded(df, batch, order, row_bytes, limit)
-    collected = F.collect_list(F.struct(*order, F.col(row_bytes).cast("bigint").alias("b")))
-    rows = F.when(F.count(F.lit(1)) <= batch_rows, F.sort_array(collected)).otherwise(
-        F.raise_error(F.lit(f"a batch has more than the promised {batch_rows} rows"))
-    )
-    ranges = df.groupBy(batch).agg(F.transform(rows, lambda r: r["b"]).alias("sizes"))
-    empty = F.array().cast("array<struct<start_row:bigint,row_count:bigint,range_bytes:bigint>>")
-    state = F.struct(
-        empty.alias("closed"),
-        F.lit(0).cast("bigint").alias("start_row"),
-        F.lit(0).cast("bigint").alias("row_count"),
-        F.lit(0).cast("bigint").alias("range_bytes"),
-    )
-    folded = F.aggregate("sizes", state, lambda s, b: _add_row(s, b, limit), _close)
-    return ranges.select(batch, F.posexplode(folded).alias("range_no", "piece")).select(
-        batch, F.col("range_no").cast("bigint").alias("range_no"), "piece.*"
-    )
-
-
-def pack_ranges_unbounded(df: DataFrame, batch: str, order: list[str], row_bytes: str,
-                          limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """Ranges of batches of any size, one batch over many tasks if need be."""
-    _check_limit(limit)
     kind = df.schema[batch].dataType.simpleString()
-    sizes = df.select(F.col(batch).alias("batch"), *[c for c in order if c != batch],
-                      F.col(row_bytes).cast("bigint").alias("size"))
+    size = F.coalesce(F.col(row_bytes).cast("bigint"), F.raise_error(F.lit("a row without a size cannot be packed")).cast("bigint"))
     rest = [c for c in order if c != batch]
-    parts = partitions_for(sizes, SEGMENT_BYTES)
+    sizes = df.select(F.col(batch).alias("batch"), *rest, size.alias("size"))
+    parts = partitions_for(df, SEGMENT_ROWS)
     rows = in_sequence(sizes, ["batch", *rest], partitions=parts).select(
-        F.shiftright("__sequence", ROW_BITS).alias("segment"), "batch", "size"
+        F.shiftright("__sequence", ROW_BITS).alias("segment"), batch_key(F.col("batch"), kind).alias("batch"), "size"
     )
-    levels = [rows.mapInPandas(_describe(limit), SEGMENT_SCHEMA.format(b=kind)).checkpoint()]
+    text = "string"
+    levels = [rows.mapInPandas(_describe(limit), SEGMENT_SCHEMA.format(b=text)).checkpoint()]
     # Segment numbers are partition numbers, so this is at most the partition count.
     top = levels[0].agg(F.max("segment")).first()[0]
     if top is None:
@@ -85,9 +59,9 @@ def pack_ranges_unbounded(df: DataFrame, batch: str, order: list[str], row_bytes
         )
     while top >= FAN_IN:
         below = levels[-1].withColumn("parent", F.call_function("div", F.col("segment"), F.lit(FAN_IN)))
-        levels.append(below.groupBy("parent").applyInPandas(_combine, SEGMENT_SCHEMA.format(b=kind)).checkpoint())
+        levels.append(below.groupBy("parent").applyInPandas(_combine, SEGMENT_SCHEMA.format(b=text)).checkpoint())
         top //= FAN_IN
-    entry_schema = ENTRY_SCHEMA.format(b=kind)
+    entry_schema = ENTRY_SCHEMA.format(b=text)
     entries = levels[-1].withColumn("parent", F.lit(0)).groupBy("parent").applyInPandas(_enter_first, entry_schema)
     for level in reversed(levels[:-1]):
         members = level.withColumn("parent", F.call_function("div", F.col("segment"), F.lit(FAN_IN)))
@@ -98,12 +72,27 @@ def pack_ranges_unbounded(df: DataFrame, batch: str, order: list[str], row_bytes
     placed = rows.join(F.broadcast(entries), "segment", "left").select(
         "segment", "batch", "size", "open_batch", "open_bytes", "open_range", "open_rows"
     )
-    pieces = placed.mapInPandas(_cut(limit), PIECE_SCHEMA.format(b=kind))
-    return pieces.groupBy(F.col("batch").alias(batch), "range_no").agg(
+    pieces = placed.mapInPandas(_cut(limit), PIECE_SCHEMA.format(b=text))
+    whole = pieces.groupBy("batch", "range_no").agg(
         F.min("start_row").alias("start_row"),
         F.sum("row_count").alias("row_count"),
         F.sum("range_bytes").alias("range_bytes"),
     )
+    return whole.select(batch_of_key(F.col("batch"), kind).alias(batch), "range_no", "start_row", "row_count", "range_bytes")
+
+
+def batch_key(batch: Column, kind: str) -> Column:
+    """A text for every batch, none of them NULL: pandas keeps it as it is, whatever the batch's type.
+
+    Numbers would become floats beside a NULL and lose digits there.
+    """
+    value = F.base64(batch) if kind == "binary" else batch.cast("string")
+    return F.coalesce(F.concat(F.lit("v"), value), F.lit("n"))
+
+
+def batch_of_key(key: Column, kind: str) -> Column:
+    value = F.when(key != "n", F.substring(key, 2, 2**31 - 1))
+    return F.unbase64(value) if kind == "binary" else value.cast(kind)
 
 
 def range_summary(ranges: DataFrame, batch: str) -> DataFrame:
@@ -121,23 +110,6 @@ def _check_limit(limit: int) -> None:
         raise ValueError("the byte limit of a range must be greater than zero")
 
 
-def _add_row(state: Column, size: Column, limit: int) -> Column:
-    full = (state["row_count"] > 0) & (state["range_bytes"] + size > limit)
-    closed = F.struct(state["start_row"], state["row_count"], state["range_bytes"])
-    one = F.lit(1).cast("bigint")
-    return F.struct(
-        F.when(full, F.concat(state["closed"], F.array(closed))).otherwise(state["closed"]).alias("closed"),
-        F.when(full, state["start_row"] + state["row_count"]).otherwise(state["start_row"]).alias("start_row"),
-        F.when(full, one).otherwise(state["row_count"] + 1).alias("row_count"),
-        F.when(full, size).otherwise(state["range_bytes"] + size).alias("range_bytes"),
-    )
-
-
-def _close(state: Column) -> Column:
-    last = F.struct(state["start_row"], state["row_count"], state["range_bytes"])
-    return F.concat(state["closed"], F.array(last))
-
-
 def cut_starts(prefix: np.ndarray, open_bytes: int, limit: int) -> tuple[list[int], int]:
     """Rows that start a new range, and the bytes left open; ``prefix`` has n + 1 sums."""
     rows, at, starts = len(prefix) - 1, 0, []

@@ -116,7 +116,7 @@ def _packed(batch: str, limit: int) -> str:
        UNION ALL
        SELECT n.b, n.i, CASE WHEN g.open_bytes + n.row_bytes > {limit} THEN g.range_no + 1 ELSE g.range_no END,
               CASE WHEN g.open_bytes + n.row_bytes > {limit} THEN n.row_bytes ELSE g.open_bytes + n.row_bytes END, n.row_bytes
-       FROM g JOIN n ON n.b = g.b AND n.i = g.i + 1),
+       FROM g JOIN n ON n.b IS NOT DISTINCT FROM g.b AND n.i = g.i + 1),
      ranges AS (SELECT b AS batch_id, range_no, min(i) AS start_row, count(*) AS row_count,
                        sum(row_bytes)::BIGINT AS range_bytes FROM g GROUP BY b, range_no)
 """
@@ -124,8 +124,7 @@ def _packed(batch: str, limit: int) -> str:
 
 def document_ranges(spark, sf_dir):
     sized = documents(spark, sf_dir).select("batch_id", "doc_id", sizing.row_bytes(DOCUMENT_PLAN).alias("row_bytes"))
-    # Document ids are unique, so a batch cut by id has at most DOC_BATCH rows.
-    return packing.pack_ranges(sized, "batch_id", ["doc_id"], "row_bytes", DOC_LIMIT, batch_rows=DOC_BATCH)
+    return packing.pack_ranges(sized, "batch_id", ["doc_id"], "row_bytes", DOC_LIMIT)
 
 
 @query("pack_ranges", _packed("batch_id", DOC_LIMIT) + "SELECT * FROM ranges")
@@ -133,11 +132,11 @@ def pack_ranges(spark, sf_dir):
     return document_ranges(spark, sf_dir)
 
 
-@query("pack_ranges_unbounded", _packed("coalesce(lang, 'none')", DOC_LIMIT) + "SELECT * FROM ranges")
+@query("pack_ranges_unbounded", _packed("nullif(lang, 'fr')", DOC_LIMIT) + "SELECT * FROM ranges")
 def pack_ranges_unbounded(spark, sf_dir):
-    """One batch per language: a batch may hold most of the table."""
+    """One batch per language, one of them NULL: a batch may hold most of the table."""
     sized = documents(spark, sf_dir).select(
-        F.coalesce("lang", F.lit("none")).alias("batch_id"), "doc_id", sizing.row_bytes(DOCUMENT_PLAN).alias("row_bytes"))
+        F.nullif("lang", F.lit("fr")).alias("batch_id"), "doc_id", sizing.row_bytes(DOCUMENT_PLAN).alias("row_bytes"))
     return packing.pack_ranges(sized, "batch_id", ["doc_id"], "row_bytes", DOC_LIMIT)
 
 
@@ -170,7 +169,6 @@ def load_counters(spark, sf_dir):
 
 
 LINE_BATCH = 256
-LINE_LIMIT = 16_384
 LINE_PLAN = LoadPlan((
     PlannedColumn(0, "l_orderkey", False, SourceType("int64"), TargetType("bigint")),
     PlannedColumn(1, "l_partkey", False, SourceType("int64"), TargetType("bigint")),

@@ -67,11 +67,16 @@ SELECT event_id, event_type, value,
               (inc // 600000 % 60)::BIGINT, (inc // 10000 % 60)::BIGINT, (inc % 10000)::BIGINT) AS ts FROM d"""
 
 
+def planned(df, *more):
+    """The planned columns in the plan's order: a load refuses any other shape."""
+    return df.select(*[c.name for c in SHIPMENT_PLAN.columns], *more)
+
+
 @query("table_load", LOADED)
 def table_load(spark, sf_dir):
     """Conform, append, read back; times are stored as exact text."""
     target = shared_path(spark, "table")
-    sinks.table_load(table(spark, sf_dir, "events"), SHIPMENT_PLAN, target)
+    sinks.table_load(planned(table(spark, sf_dir, "events")), SHIPMENT_PLAN, target)
     return spark.read.parquet(target)
 
 
@@ -111,7 +116,7 @@ def _streamed(spark, sf_dir):
     value = F.when(F.col("event_id") % 331 == 0, F.lit("Infinity").cast("double")).otherwise(F.col("value"))
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).withColumn("value", value).withColumn("row_key", F.col("event_id"))
     out = shared_path(spark, "stream")
-    stream_load(stream, SHIPMENT_PLAN, f"{out}/table", f"{out}/progress", ["row_key"]).awaitTermination()
+    stream_load(planned(stream, "row_key"), SHIPMENT_PLAN, f"{out}/table", f"{out}/progress", ["row_key"]).awaitTermination()
     return out
 
 

@@ -8,13 +8,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Bound on sort partitions: tables with one row per partition stay small.
-MAX_PARTITIONS = 200_000
-#: Estimates from here on are the planner's way of saying that it does not know.
-UNKNOWN_BYTES = 1 << 60
-#: How much larger than its sources a joined table is assumed to be, at most.
-JOIN_GROWTH = 8
-
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
@@ -64,37 +57,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(os.path.join(shared_root(spark), "checkpoints"))
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The planner's estimate of a DataFrame's size, where it has one.
-
-    A join is estimated as the product of its sides, so the estimate is held
-    against the size of what is read.
-    """
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        leaves = plan.collectLeaves()
-        read = sum(_size_of(leaves.apply(i)) for i in range(leaves.size()))
-        size = min(_size_of(plan), JOIN_GROWTH * read)
-    except AttributeError:
-        return None
-    # Data of unknown origin counts as "as large as a long can say".
-    return size if size < UNKNOWN_BYTES else None
-
-
-def _size_of(plan) -> int:
-    return int(str(plan.stats().sizeInBytes()))
-
-
-def partitions_for(df: DataFrame, bytes_per_partition: int = 256 * 1024 * 1024) -> int:
-    """Partitions for a sort of ``df``: by its size, and no fewer than keep the cores busy.
+def partitions_for(df: DataFrame, rows_per_partition: int = 1 << 22) -> int:
+    """Partitions for a sort of ``df``: by its counted rows, and no fewer than keep the cores busy.
 
-    A range partitioning is not split at run time, so its number has to fit the
-    data when the plan is made. Without an estimate the session's number is used.
+    A range partitioning is not split at run time, so its number has to fit the data
+    when the plan is made. Rows are counted, which reads no column that need not be
+    read; a guess of the planner may be off by any factor.
     """
     spark = df.sparkSession
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = estimated_bytes(df)
-    if size is None:
-        return configured
-    fewest = min(configured, spark.sparkContext.defaultParallelism)
-    return min(max(fewest, -(-size // bytes_per_partition)), MAX_PARTITIONS)
+    fewest = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return max(fewest, -(-df.count() // rows_per_partition))

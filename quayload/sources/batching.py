@@ -12,7 +12,11 @@ ROW_BITS = 33
 
 
 def batches_by_key(df: DataFrame, key: str, rows: int, name: str = "batch_id") -> DataFrame:
-    """Batches of a dense integer key: no shuffle, no order needed."""
+    """Batches of a dense integer key: no shuffle, no order needed.
+
+    ``rows`` bounds a batch only where the key is unique, which the caller has to know;
+    rows of a repeated key share a batch. :func:`chunk_batches` bounds batches of any rows.
+    """
     _positive(rows)
     return df.withColumn(name, floor_div(F.col(key).cast("bigint"), rows))
 
@@ -34,11 +38,19 @@ def in_sequence(df: DataFrame, order: list[str], name: str = "__sequence",
         .repartitionByRange(partitions or partitions_for(df), *order, tie)
         .sortWithinPartitions(*order, tie)
         .drop(tie)
-        .withColumn(name, F.monotonically_increasing_id())
+        .withColumn(name, _row_in_partition())
         .checkpoint()
     )
 
 
+def _row_in_partition():
+    """Generated ids, refused where a partition has more rows than they leave room for."""
+    number = F.monotonically_increasing_id()
+    last = F.lit((1 << ROW_BITS) - 1).cast("bigint")
+    full = F.raise_error(F.lit("a sort partition has too many rows to number: use more partitions")).cast("bigint")
+    return F.when(number.bitwiseAND(last) == last, full).otherwise(number)
+
+
 def with_rank(df: DataFrame, order: list[str], name: str = "row_rank") -> DataFrame:
     """Global row number from 0 by ``order``.
 

@@ -5,25 +5,62 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from quayload.operators import conform, quality, reconcile
+from quayload.operators import conform, drift, quality, reconcile
 from quayload.policy import LoadPlan
 from quayload.session import ensure_checkpoint_dir
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("load_id", T.StringType()),
     T.StructField("attempt", T.StringType()),
+    T.StructField("attempt_no", T.LongType()),
     T.StructField("rows_written", T.LongType()),
 ])
 
 
-def table_load(df: DataFrame, plan: LoadPlan, target: str, keep: list[str] | None = None) -> None:
-    """Conform and append to a file target; a violation fails the whole load.
+class PlanMismatch(ValueError):
+    """What is to be loaded, or its target, is not what the plan says."""
+
+
+def require_plan(df: DataFrame, plan: LoadPlan, keep: list[str] | None = None) -> None:
+    """Refuse a DataFrame that differs from the plan, before a row is read.
 
-    The check rides along in the write: a bad row raises in its task, so no
-    second pass over the source is needed and nothing is committed.
+    Columns of ``keep`` that are not planned travel beside the plan; any other column
+    must be planned, in the plan's order, with its name and type. Nullability is left
+    to the values.
     """
+    planned = {c.name for c in plan.columns}
+    fields = [f for f in df.schema.fields if f.name in planned or f.name not in (keep or [])]
+    issues = drift.plan_mismatches(T.StructType(fields), plan, check_nullability=False)
+    if issues:
+        raise PlanMismatch("; ".join(f"{i.name or i.index}: {i.message}" for i in issues))
+
+
+def require_target(rows: DataFrame, target: str) -> None:
+    """Refuse an append whose columns are not those of the target, if there is one."""
+    found = _schema_of(rows.sparkSession, target)
+    if found is None:
+        return
+    have = [(f.name, f.dataType.simpleString()) for f in found.fields]
+    want = [(f.name, f.dataType.simpleString()) for f in rows.schema.fields]
+    if have != want:
+        raise PlanMismatch(f"the target has columns {have}, the load {want}")
+
+
+def _schema_of(spark: SparkSession, target: str) -> T.StructType | None:
+    try:
+        return spark.read.parquet(target).schema
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def guarded(df: DataFrame, plan: LoadPlan, keep: list[str] | None = None) -> DataFrame:
+    """Conformed rows ready for a sink; a violation raises in its task while rows are written."""
+    require_plan(df, plan, keep)
     conformed = conform.conform_table(df, plan, keep)
     problem = F.element_at("errors", 1)
     refused = F.raise_error(F.concat(problem["code"], F.lit(" in column "), problem["field_name"]))
@@ -31,33 +68,55 @@ def table_load(df: DataFrame, plan: LoadPlan, target: str, keep: list[str] | Non
     # conform every row twice.
     first = plan.columns[0].column_name
     guard = F.when(F.col("error_count") > 0, refused).otherwise(F.col(f"`{first}`"))
-    guarded = conformed.withColumn(first, guard).drop("error_count", "errors")
-    conform.loadable(guarded, plan).write.mode("append").parquet(target)
+    return conform.loadable(conformed.withColumn(first, guard).drop("error_count", "errors"), plan)
+
+
+def table_load(df: DataFrame, plan: LoadPlan, target: str, keep: list[str] | None = None) -> None:
+    """Conform and append to a file target; a violation fails the whole load.
+
+    The check rides along in the write, so no second pass over the source is needed and
+    nothing is committed. A schema that is not the plan's, or a target with other columns,
+    is refused first.
+    """
+    rows = guarded(df, plan, keep)
+    require_target(rows, target)
+    rows.write.mode("append").parquet(target)
 
 
 def staged_load(df: DataFrame, target: str, load_id: str) -> int:
     """Write a load so that readers see all of it or nothing.
 
-    Rows go to a folder of this attempt below ``data``. They are counted where
-    they landed, against the count observed while writing, and only then one
-    small manifest row makes them visible. A load that is repeated, or that dies
-    half-way and runs again, replaces its earlier attempt for readers.
+    Rows go to a folder of this attempt below ``data``; only the attempt's own random
+    name is in the path, the load's id is in the manifest. Rows are counted where they
+    landed, against the count observed while writing, and only then one small manifest
+    row makes them visible. A load that is repeated, or that dies half-way and runs
+    again, replaces its earlier attempt for readers: attempts of a load are numbered,
+    and two that took the same number at once are an error for the later one.
     """
     attempt = uuid.uuid4().hex
-    staging = f"{target}/data/load_id={load_id}/attempt={attempt}"
+    staging = f"{target}/data/attempt={attempt}"
     spark = df.sparkSession
+    number = _last_attempt(spark, target, load_id) + 1
     seen = Observation("staged_load")
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(staging)
     expected = int(seen.get["rows"])
-    found = spark.read.parquet(staging).count() if expected else 0
+    found = spark.read.schema(df.schema).parquet(staging).count()
     reconcile.require_reconciled(expected, found, staging)
-    row = spark.createDataFrame([(load_id, attempt, expected)], MANIFEST_SCHEMA)
-    row.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(
-        f"{target}/manifest"
-    )
+    if _last_attempt(spark, target, load_id) >= number:
+        raise RuntimeError(f"another attempt of load {load_id!r} was published meanwhile")
+    row = spark.createDataFrame([(load_id, attempt, number, expected)], MANIFEST_SCHEMA)
+    row.coalesce(1).write.mode("append").parquet(f"{target}/manifest")
     return expected
 
 
+def _last_attempt(spark: SparkSession, target: str, load_id: str) -> int:
+    if _schema_of(spark, f"{target}/manifest") is None:
+        return 0
+    manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{target}/manifest")
+    last = manifest.where(F.col("load_id").eqNullSafe(F.lit(load_id))).agg(F.max("attempt_no")).first()[0]
+    return last or 0
+
+
 @dataclass(frozen=True)
 class BatchLoad:
     """What a load by batches wrote and refused."""
@@ -76,6 +135,7 @@ def batch_load(df: DataFrame, plan: LoadPlan, batch: str, target: str, load_id:
     conformed again for the write, which costs less than storing them twice.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    require_plan(df, plan, [batch, *(keep or [])])
     conformed = conform.conform_table(df, plan, [batch, *(keep or [])])
     outcomes = quality.batch_outcomes(conformed, batch).checkpoint()
     rejected = outcomes.where("bad_rows > 0").select(batch)
@@ -93,16 +153,14 @@ def batch_load(df: DataFrame, plan: LoadPlan, batch: str, target: str, load_id:
 def read_published(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     """Rows of the latest published attempt of every load.
 
-    The manifest decides by (load_id, attempt), both partition columns, so the
-    join prunes folders. It grows with loads, not rows, and is left to the
+    The manifest decides by attempt, a partition column, so the join prunes folders. It grows with loads, not rows, and is left to the
     planner: no broadcast is forced.
     """
-    manifest = spark.read.parquet(f"{target}/manifest")
-    current = manifest.groupBy("load_id").agg(F.max_by("attempt", "published_at").alias("attempt"))
-    full = T.StructType([*schema.fields, T.StructField("load_id", T.StringType()),
-                         T.StructField("attempt", T.StringType())])
+    manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{target}/manifest")
+    current = manifest.groupBy("load_id").agg(F.max_by("attempt", F.struct("attempt_no", "attempt")).alias("attempt"))
+    full = T.StructType([*schema.fields, T.StructField("attempt", T.StringType())])
     rows = spark.read.schema(full).option("basePath", f"{target}/data").parquet(f"{target}/data")
-    return rows.join(current, ["load_id", "attempt"], "left_semi").drop("attempt")
+    return rows.join(current, "attempt").drop("attempt")
 
 
 @dataclass(frozen=True)
@@ -131,14 +189,16 @@ class JdbcTarget:
         return values
 
 
-def jdbc_load(df: DataFrame, plan: LoadPlan, target: JdbcTarget) -> None:
-    """Append conformed rows to an existing table; times travel as exact text.
+def jdbc_load(df: DataFrame, plan: LoadPlan, target: JdbcTarget, keep: list[str] | None = None) -> None:
+    """Conform and append to an existing database table; times travel as exact text.
 
-    Create the table first with :func:`planning.create_table_sql`: the writer's
-    own column types could not name the planned ones.
+    A violation raises in its task instead of arriving as NULL. Appends of several
+    connections are not one transaction, so ``target.table`` should be a staging table
+    that is counted with :func:`target_count` and published by the database. Create it
+    first with :func:`planning.create_table_sql`: the writer's own column types could
+    not name the planned ones.
     """
-    rows = conform.loadable(df.drop("error_count", "errors"), plan)
-    rows.write.format("jdbc").mode("append").options(**target.options()).save()
+    guarded(df, plan, keep).write.format("jdbc").mode("append").options(**target.options()).save()
 
 
 def target_count(spark: SparkSession, target: JdbcTarget) -> int:

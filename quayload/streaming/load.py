@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quayload.operators import conform
 from quayload.policy import LoadPlan
+from quayload.sources.sinks import require_plan
 
 
 def stream_load(stream: DataFrame, plan: LoadPlan, target: str, checkpoint: str,
@@ -30,6 +31,7 @@ def stream_load(stream: DataFrame, plan: LoadPlan, target: str, checkpoint: str,
         finally:
             conformed.unpersist()
 
+    require_plan(stream, plan, keep)
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()

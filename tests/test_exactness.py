@@ -113,3 +113,45 @@ def test_offsets_of_named_zones(spark):
         _, name, second = data[row["i"]]
         moment = datetime.datetime.fromtimestamp(second, zoneinfo.ZoneInfo(name))
         assert (row["m"], row["c"]) == (moment.utcoffset().total_seconds() // 60, None)
+
+
+def test_values_a_conversion_would_change_are_refused(spark):
+    """Carriers out of an unsigned range, decimals of another scale, text that is no whole number."""
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from quayload.functions import checks
+
+    def codes(values, kind, rule):
+        df = spark.createDataFrame([(v,) for v in values], f"v {kind}")
+        checked = rule(F.col("v"))
+        return [(r["value"], r["code"]) for r in df.select(checked.value.alias("value"), checked.code.alias("code")).collect()]
+
+    bad = (None, "IntegerOutOfRange")
+    assert codes([-5, 0, 65535, 70000, None], "int", lambda c: checks.unsigned(c, 16, "int")) == [bad, (0, None), (65535, None), bad, (None, None)]
+    assert codes([-7, 2**32 - 1, 2**40], "long", lambda c: checks.unsigned(c, 32, "bigint")) == [bad, (2**32 - 1, None), bad]
+    most = Decimal(2**64 - 1)
+    got = codes([Decimal(-1), most, Decimal(5 * 10**19)], "decimal(20,0)", checks.uint64_as_decimal)
+    assert got == [bad, (most, None), bad]
+    assert codes([Decimal("12.345"), Decimal("12.300")], "decimal(9,3)", lambda c: checks.decimal(c, 5, 1)) == [
+        (None, "SchemaMismatch"), (Decimal("12.3"), None)]
+    got = codes(["1.5", "15", "-3", "", "1e3", None], "string", lambda c: checks.wide_decimal(c, 9, 1))
+    wrong = (None, "ValueTypeMismatch")
+    assert got == [wrong, (Decimal("1.5"), None), (Decimal("-0.3"), None), wrong, wrong, (None, None)]
+
+
+def test_deltas_and_drift_at_the_limits(spark):
+    from quayload.operators import drift, telemetry
+
+    top = 2**63 - 1
+    first = spark.createDataFrame([("w", -top, 0, 5)], "wait_type string, waiting_tasks_count long, wait_time_ms long, signal_wait_time_ms long")
+    last = spark.createDataFrame([("w", top, 9, 5)], first.schema)
+    row = telemetry.wait_deltas(first, last, []).first()
+    assert (row["waiting_tasks_count"], row["wait_time_ms"], row["signal_wait_time_ms"]) == (top, 9, 0)
+    schema = drift.CATALOG_SCHEMA + ", claimed_ordinal long"
+    plan = spark.createDataFrame([("t", 0, "a", "int", True, None, None, 0)], schema)
+    unknown = spark.createDataFrame([("t", 0, None, None, None, None, None, None)], schema)
+    assert {r["difference"] for r in drift.target_drift(plan, unknown).collect()} == {"ordinal", "name", "nullability"}
+    assert [r["difference"] for r in drift.target_type_drift(plan, unknown).collect()] == ["type"]
+    assert [r["reason"] for r in drift.schema_drift(plan, unknown).collect()] == ["name"]

@@ -44,6 +44,43 @@ def test_staged_load_is_all_or_nothing(spark, tmp_path):
     assert counts == {"a": 3, "b": 7}
 
 
+@pytest.mark.parametrize("ids", [["a/b", "a%41b", "__HIVE_DEFAULT_PARTITION__", " ", "", "x=1"]])
+def test_any_load_id_is_read_back(spark, tmp_path, ids):
+    target = str(tmp_path / "s")
+    for n, load_id in enumerate(ids, 1):
+        assert sinks.staged_load(rows(spark, n), target, load_id) == n
+    seen = sinks.read_published(spark, target, rows(spark, 1).schema)
+    counts = {r["load_id"]: r["count"] for r in seen.groupBy("load_id").count().collect()}
+    assert counts == {load_id: n for n, load_id in enumerate(ids, 1)}
+
+
+def test_an_empty_load_replaces_an_earlier_one(spark, tmp_path):
+    target = str(tmp_path / "s")
+    sinks.staged_load(rows(spark, 5), target, "a")
+    assert sinks.staged_load(rows(spark, 0), target, "a") == 0
+    assert sinks.read_published(spark, target, rows(spark, 1).schema).count() == 0
+
+
+def test_loads_refuse_what_is_not_planned(spark, tmp_path):
+    """A double under an integer plan, text, an unplanned column, another order: nothing is written."""
+    target = str(tmp_path / "t")
+    sinks.table_load(rows(spark, 3), PLAN, target)
+    good = rows(spark, 3)
+    for df in (
+        good.withColumn("id", F.col("id") + 0.9), good.withColumn("id", F.col("id").cast("string")),
+        good.withColumn("z", F.lit(1)), good.select("value", "id"), good.select("id"),
+    ):
+        with pytest.raises(sinks.PlanMismatch):
+            sinks.table_load(df, PLAN, target)
+        with pytest.raises(sinks.PlanMismatch):
+            sinks.batch_load(df.withColumn("b", F.lit(1)), PLAN, "b", str(tmp_path / "b"), "one")
+    assert spark.read.parquet(target).count() == 3
+    longer = LoadPlan((*PLAN.columns, PlannedColumn(2, "z", True, SourceType("int32"), TargetType("int"))))
+    with pytest.raises(sinks.PlanMismatch):
+        sinks.table_load(good.withColumn("z", F.lit(1)), longer, target)
+    assert spark.read.parquet(target).columns == ["id", "value"]
+
+
 def test_written_batches_and_summary(spark, tmp_path):
     path = str(tmp_path / "d")
     datasets.write_dataset(rows(spark, 100).coalesce(1), path, 30)
@@ -161,12 +198,10 @@ def test_batch_load_rejects_only_bad_batches(spark, tmp_path):
     assert seen.count() == 80 and seen.where("batch_id in (0, 5)").count() == 0
 
 
-def test_sort_partitions_follow_the_size(spark):
+def test_sort_partitions_follow_the_rows(spark):
     from quayload import session
 
-    small = spark.range(1000)
-    assert session.partitions_for(small) == 8
-    assert session.partitions_for(small, bytes_per_partition=100) > 50
-    assert session.partitions_for(small, bytes_per_partition=1) <= session.MAX_PARTITIONS
-    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")
-    assert session.partitions_for(unknown) == 8
+    assert session.partitions_for(spark.range(1000)) == 8
+    assert session.partitions_for(spark.range(1000), rows_per_partition=10) == 100
+    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(i,) for i in range(50)]), "a int")
+    assert session.partitions_for(unknown, rows_per_partition=1) == 50

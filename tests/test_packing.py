@@ -72,10 +72,9 @@ def test_steps_cover_every_entry_state():
     (10, [(0, 0, 2, 10), (1, 2, 2, 10)]),
     (4, [(i, i, 1, 5) for i in range(4)]),
 ])
-@pytest.mark.parametrize("bound", [4, None])
-def test_four_rows_of_five_bytes(spark, limit, expected, bound):
+def test_four_rows_of_five_bytes(spark, limit, expected):
     df = spark.createDataFrame([(0, i, 5) for i in range(4)], "batch int, row int, bytes long")
-    got = packing.pack_ranges(df, "batch", ["row"], "bytes", limit, batch_rows=bound).orderBy("range_no").collect()
+    got = packing.pack_ranges(df, "batch", ["row"], "bytes", limit).orderBy("range_no").collect()
     assert [(r["range_no"], r["start_row"], r["row_count"], r["range_bytes"]) for r in got] == expected
 
 
@@ -85,10 +84,30 @@ def test_zero_limit_is_an_error(spark):
         packing.pack_ranges(df, "batch", ["row"], "bytes", 0)
 
 
-def test_broken_promise_fails(spark):
-    df = spark.createDataFrame([(0, i, 5) for i in range(4)], "batch int, row int, bytes long")
-    with pytest.raises(Exception, match="promised"):
-        packing.pack_ranges(df, "batch", ["row"], "bytes", 10, batch_rows=3).collect()
+@pytest.mark.parametrize("kind, batches", [
+    ("long", [None, 2**53 + 1, 2**53]), ("string", [None, "n", "v"]), ("binary", [None, b"\xff", b""]), ("date", [None]), ("double", [None, 0.1]),
+])
+def test_batches_of_any_type_and_null(spark, kind, batches):
+    """Ten rows of 60 bytes in each batch, limit 100: one row a range."""
+    df = spark.createDataFrame([(b, i, 60) for b in batches for i in range(10)], f"batch {kind}, row int, bytes long")
+    got = packing.pack_ranges(df, "batch", ["row"], "bytes", 100).collect()
+    assert df.schema["batch"].dataType == packing.pack_ranges(df, "batch", ["row"], "bytes", 100).schema["batch"].dataType
+    want = sorted(repr((b, i, i, 1, 60)) for b in batches for i in range(10))
+    assert sorted(repr(tuple(r)) for r in got) == want
+
+
+def test_row_without_a_size_is_refused(spark):
+    df = spark.createDataFrame([(1, 1, 5), (1, 2, None)], "batch int, row int, bytes long")
+    with pytest.raises(Exception, match="without a size"):
+        packing.pack_ranges(df, "batch", ["row"], "bytes", 10).collect()
+
+
+def test_partitions_follow_counted_rows(spark, monkeypatch):
+    """The planner takes an exploded row for one row."""
+    monkeypatch.setattr(packing, "SEGMENT_ROWS", 100)
+    df = spark.range(1).selectExpr("1 AS batch", "explode(sequence(1, 5000)) AS row", "7L AS bytes")
+    got = packing.pack_ranges(df, "batch", ["row"], "bytes", 70)
+    assert got.count() == 500 and got.agg({"range_bytes": "max"}).first()[0] == 70
 
 
 @pytest.mark.parametrize("kind", ["int", "string"])

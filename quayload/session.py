@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,30 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     )
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Workers import functions by module name, and a driver may have the package on its
+    own path only. The archive is made on the driver and handed out by Spark.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="quayload-package-"), "quayload.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach.
 

@@ -9,6 +9,7 @@ from quayload.llm import (  # noqa: F401
     quality_rules,
     substring_dedup,
     suffix_dedup,
+    token_output,
     warc,
 )
 from quayload.llm.registry import LLM_REGISTRY

@@ -52,12 +52,24 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         (self.mark,) = self._ids([self.MARK])[0].tolist()
+        self.ends = {e: self._ids([e])[0].tobytes() for e in ".,"}
         self.store = ChunkStore(self._encode_chunks)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_chunks(self, chunks: list[str]) -> Iterator[bytes]:
+        """A point or comma after a letter or digit is a match of its own, so the word before it is looked up."""
+        known = self.store.known
+        ends = [c[-1] if len(c) > 1 and c[-1] in self.ends and _plain(c[-2]) else "" for c in chunks]
+        words = [c[:-1] if e else c for c, e in zip(chunks, ends, strict=True)]
+        new = list({w for w in words if w not in known})
+        made = dict(zip(new, self._encode_words(new), strict=True))
+        for word, end in zip(words, ends, strict=True):
+            own = made.get(word)
+            yield (known[word] if own is None else own) + (self.ends[end] if end else b"")
+
+    def _encode_words(self, chunks: list[str]) -> Iterator[bytes]:
         """Many chunks go through the tokenizer as one text, told apart by a character none of them has."""
         for first in range(0, len(chunks), 256):
             (ids,) = self._ids([f" {self.MARK} ".join(chunks[first : first + 256])])
@@ -74,6 +86,11 @@ class WordTokenizer:
         return [next(joined) if p else next(whole).tobytes() for p in plain]
 
 
+def _plain(character: str) -> bool:
+    """A letter or digit that lower case leaves one: some capitals become a letter and a mark."""
+    return character.isalnum() and (character < "\x80" or character.lower() == character)
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)

@@ -53,18 +53,29 @@ def first_violation(violations: DataFrame, batch: str, row: str, by_column: bool
     )
 
 
-def batch_outcomes(conformed: DataFrame, batch: str) -> DataFrame:
-    """Rows, bad rows and violations per batch."""
-    return conformed.groupBy(batch).agg(
+def batch_outcomes(conformed: DataFrame, batch: str, batches: DataFrame | None = None) -> DataFrame:
+    """Rows, bad rows and violations per batch.
+
+    ``batches`` names every batch that was sent, in column ``batch``; one without rows is
+    an outcome of zeros. Without it only batches with rows are known.
+    """
+    seen = conformed.groupBy(batch).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(F.col("error_count") > 0).alias("bad_rows"),
         F.sum("error_count").alias("violations"),
     )
+    if batches is None:
+        return seen
+    sent = batches.select(F.col(batch).alias("__sent")).distinct()
+    counts = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("row_count", "bad_rows", "violations")]
+    joined = sent.join(seen, F.col("__sent").eqNullSafe(F.col(batch)), "full_outer")
+    # A batch nobody announced is still an outcome.
+    return joined.select(F.when(F.col("row_count").isNull(), F.col("__sent")).otherwise(F.col(batch)).alias(batch), *counts)
 
 
-def accepted_batches(conformed: DataFrame, batch: str) -> DataFrame:
+def accepted_batches(conformed: DataFrame, batch: str, batches: DataFrame | None = None) -> DataFrame:
     """Batches without any violation."""
-    return batch_outcomes(conformed, batch).where("bad_rows = 0").select(batch, "row_count")
+    return batch_outcomes(conformed, batch, batches).where("bad_rows = 0").select(batch, "row_count")
 
 
 def rejected_batches(conformed: DataFrame, batch: str) -> DataFrame:
@@ -115,8 +126,7 @@ def running_totals(df: DataFrame, order: str, values: list[str], block: int = 40
     """Running sums of ``values`` by a dense integer ``order``, without one big window.
 
     Ids are cut into blocks of ``block``; block sums are far fewer than rows, and
-    their running sums are the offsets of the windows inside each block. Both
-    sides read the same aggregate, so the shuffle of the input is reused.
+    their running sums are the offsets of the windows inside each block.
     """
     blocks = F.col("__block")
     keyed = df.withColumn("__block", floor_div(F.col(order).cast("bigint"), block))
@@ -134,9 +144,9 @@ def running_totals(df: DataFrame, order: str, values: list[str], block: int = 40
     return running
 
 
-def running_load_stats(conformed: DataFrame, batch: str) -> DataFrame:
-    """Rows and batches accepted so far after each accepted batch."""
-    accepted = accepted_batches(conformed, batch)
+def running_load_stats(conformed: DataFrame, batch: str, batches: DataFrame | None = None) -> DataFrame:
+    """Rows and batches accepted so far after each accepted batch, those without rows included if ``batches`` names them."""
+    accepted = accepted_batches(conformed, batch, batches)
     counted = accepted.withColumn("batch_count", F.lit(1).cast("bigint"))
     return running_totals(counted, batch, ["row_count", "batch_count"]).select(
         batch, "row_count",

@@ -104,6 +104,16 @@ def test_one_key_is_cut_over_many_tasks(spark):
     assert sum(sizes) == 20_000 and max(sizes) < 10_000
 
 
+def test_batches_without_rows_are_counted(spark):
+    """After batches of 0, 2 and 2 rows: (0, 1), (2, 2), (4, 3)."""
+    df = spark.createDataFrame([(1, 0), (1, 0), (2, 0), (2, 0), (9, 1)], "batch_id long, error_count int")
+    sent = spark.createDataFrame([(0,), (1,), (2,)], "batch_id long")
+    got = quality.running_load_stats(df, "batch_id", sent).orderBy("batch_id").collect()
+    assert [(r["rows_written"], r["batches_written"]) for r in got] == [(0, 1), (2, 2), (4, 3)]
+    outcomes = {r["batch_id"]: tuple(r)[1:] for r in quality.batch_outcomes(df, "batch_id", sent).collect()}
+    assert outcomes == {0: (0, 0, 0), 1: (2, 0, 0), 2: (2, 0, 0), 9: (1, 1, 1)}
+
+
 def test_running_totals_across_blocks(spark):
     df = spark.range(1000).select((F.col("id") - 300).alias("batch_id"), F.col("id").alias("n"))
     got = quality.running_totals(df, "batch_id", ["n"], block=64).orderBy("batch_id").collect()

@@ -19,7 +19,7 @@ comparison is of the symbols themselves.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -147,7 +147,7 @@ class _Unit:
 
     def add(self, runs: Runs, ids: np.ndarray, hashes: np.ndarray) -> None:
         self.ids.append(ids)
-        self.hashes.append(hashes)
+        self.hashes.append(hashes.ravel())
         self.starts.append(self.symbols + runs.bounds[:-1])
         self.grams.append(runs.gram)
         self.places.append((self.symbols + runs.bounds[runs.owner] + runs.anchor).astype(np.uint32))
@@ -208,7 +208,7 @@ def _answers(table: pa.Table, buckets: int) -> pa.Table:
 
 def _by_document(table: pa.Table) -> pa.Table:
     """For one unit: the repeated anchors of each of its documents."""
-    schema = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("anchors", pa.binary())])
+    schema = pa.schema([("id", pa.int64()), ("text_hash", pa.binary()), ("anchors", pa.binary())])
     own, places, hot = None, [np.zeros(0, np.uint32)], [np.zeros(0, np.uint8)]
     for kind, payload in zip(table.column("kind").to_pylist(), table.column("payload").to_pylist(), strict=True):
         if kind == 0:
@@ -218,6 +218,7 @@ def _by_document(table: pa.Table) -> pa.Table:
             places.append(a)
             hot.append(b)
     ids, hashes, starts, heads, every = own
+    hashes = hashes.reshape(-1, 2)
     place, is_hot = np.concatenate(places), np.concatenate(hot)
     hottest = np.sort(place[is_hot > 0])
     at = np.searchsorted(hottest, heads)
@@ -233,7 +234,7 @@ def _by_document(table: pa.Table) -> pa.Table:
     cuts = np.flatnonzero(np.diff(owner, prepend=-1, append=len(starts)))
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         doc = int(owner[a])
-        rows.append((int(ids[doc]), int(hashes[doc]), pack_arrays((place[a:b] - starts[doc]).astype(np.uint32), is_hot[a:b])))
+        rows.append((int(ids[doc]), hashes[doc].tobytes(), pack_arrays((place[a:b] - starts[doc]).astype(np.uint32), is_hot[a:b])))
     return pa.table([list(c) for c in zip(*rows, strict=True)] if rows else [[], [], []], schema=schema)
 
 
@@ -248,8 +249,17 @@ def keyed(df: DataFrame, text: str, id_column: str, carried: tuple[str, ...] = (
         F.coalesce(F.col(text), F.lit("")).alias("text"),
         *([F.struct(*(F.col(f"`{c}`") for c in carried)).alias("row")] if carried else []),
     )
-    # 32 bits: it only tells apart the texts of one identifier.
-    return rows.withColumn("text_hash", F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))
+    # 128 bits: all rows without identifier share one, so the texts of one may be as many as the corpus has.
+    return rows.withColumn("text_hash", F.unhex(F.substring(F.sha2("text", 256), 1, 32)))
+
+
+def hash_halves(column: pa.Array) -> np.ndarray:
+    """The two 64-bit halves of each text hash, one row a text."""
+    return text_bytes(column)[0].view(np.int64).reshape(-1, 2)
+
+
+def _halves(hashes: Iterable[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
 
 
 def repeated_anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
@@ -262,7 +272,8 @@ def repeated_anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
         base, made, unit = TaskContext.get().partitionId() << 32, 0, None
         for batch in batches:
             raw, offsets = text_bytes(batch.column("text"))
-            ids, hashes = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("id", "text_hash"))
+            ids = batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
+            hashes = hash_halves(batch.column("text_hash"))
             for first, last in chunks(offsets):
                 if unit is None:
                     unit = _Unit(base + made)
@@ -279,7 +290,7 @@ def repeated_anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
     answered = asked.groupBy("bucket").applyInArrow(
         lambda t: _answers(t, buckets), "unit long, kind int, payload binary"
     )
-    found = answered.groupBy("unit").applyInArrow(_by_document, "id long, text_hash long, anchors binary")
+    found = answered.groupBy("unit").applyInArrow(_by_document, "id long, text_hash binary, anchors binary")
     return found.groupBy("id", "text_hash").agg(F.collect_list("anchors").alias("anchors"))
 
 
@@ -301,10 +312,10 @@ class Ranked:
     def __init__(self, within: bool):
         self.within = within
         #: Holders (document, first window, text hash, windows) by (place of the gram, content).
-        self.held: dict[tuple[int, bytes], list[tuple[int, int, int, int]]] = {}
-        self.decided: list[tuple[int, int, int, int]] = []
+        self.held: dict[tuple[int, bytes], list[tuple[int, int, bytes, int]]] = {}
+        self.decided: list[tuple[int, int, bytes, int]] = []
 
-    def add(self, key: tuple[int, bytes], doc: int, start: int, text_hash: int, count: int) -> None:
+    def add(self, key: tuple[int, bytes], doc: int, start: int, text_hash: bytes, count: int) -> None:
         mine = (doc, start, text_hash, count)
         held = self.held.get(key)
         if held is None:
@@ -331,9 +342,13 @@ def _mail(ranked: Ranked, targets: dict[tuple[int, bytes], int], buckets: int) -
         by_bucket.setdefault(targets[place, body], []).extend((place, body, *h) for h in holders)
     for bucket, items in by_bucket.items():
         places, bodies, docs, starts, hashes, counts = zip(*items, strict=True)
+        # A text may hold many of a bucket's segments; its key is sent once.
+        numbers: dict[tuple[int, bytes], int] = {}
+        own = [numbers.setdefault(key, len(numbers)) for key in zip(docs, hashes, strict=True)]
         packed = pack_arrays(
-            np.array(docs, np.int64), np.array(starts, np.uint32), np.array(hashes, np.uint32), np.array(counts, np.uint16),
-            np.array(places, np.uint16), np.array([len(b) for b in bodies], np.uint32), np.frombuffer(b"".join(bodies), np.uint8),
+            np.array([d for d, _ in numbers], np.int64), _halves(h for _, h in numbers).ravel(), np.array(own, np.uint32),
+            np.array(starts, np.uint32), np.array(counts, np.uint16), np.array(places, np.uint16),
+            np.array([len(b) for b in bodies], np.uint32), np.frombuffer(b"".join(bodies), np.uint8),
         )
         # Segments repeat most of their neighbours' text, which the shuffle's own light codec does not use.
         yield bucket, len(packed).to_bytes(8, "little") + pa.Codec("zstd").compress(packed, asbytes=True)
@@ -342,9 +357,9 @@ def _mail(ranked: Ranked, targets: dict[tuple[int, bytes], int], buckets: int) -
         yield buckets + ranked.decided[0][0] % buckets, _decided_arrays(ranked.decided)
 
 
-def _decided_arrays(decided: list[tuple[int, int, int, int]]) -> bytes:
+def _decided_arrays(decided: list[tuple[int, int, bytes, int]]) -> bytes:
     docs, starts, hashes, counts = zip(*decided, strict=True)
-    return pack_arrays(np.array(docs, np.int64), np.array(starts, np.uint32), np.array(hashes, np.int64), np.array(counts, np.uint32))
+    return pack_arrays(np.array(docs, np.int64), np.array(starts, np.uint32), _halves(hashes).ravel(), np.array(counts, np.uint32))
 
 
 def segments(docs: DataFrame, anchors: DataFrame, scheme: Scheme, within: bool) -> DataFrame:
@@ -357,7 +372,7 @@ def segments(docs: DataFrame, anchors: DataFrame, scheme: Scheme, within: bool)
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = text_bytes(batch.column("text"))
-            ids, hashes = (batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("id", "text_hash"))
+            ids, hashes = (batch.column(c).to_pylist() for c in ("id", "text_hash"))
             flagged = batch.column("anchors")
             ranked, targets, held = Ranked(within), {}, 0
             for first, last in chunks(offsets):
@@ -406,7 +421,7 @@ class Contest:
     """Different segments that share a gram: their bodies and holders (document, first window, text hash, windows)."""
 
     bodies: list[bytes]
-    holders: list[tuple[int, int, int, int]]
+    holders: list[tuple[int, int, bytes, int]]
 
 
 #: From a contest to (segment, offset of a window in it) pairs of the windows that an earlier holder has too.
@@ -432,11 +447,11 @@ def resolve(mail: DataFrame, scheme: Scheme, within: bool, decide: Decide, bucke
             return _removed(*(np.concatenate([f[i] for f in found]) for i in range(4)))
         for payload in payloads:
             packed = pa.Codec("zstd").decompress(payload[8:], int.from_bytes(payload[:8], "little"), asbytes=True)
-            docs, starts, hashes, counts, places, lengths, data = unpack_arrays(packed)
+            docs, hashes, own, starts, counts, places, lengths, data = unpack_arrays(packed)
+            keys = [(doc, half.tobytes()) for doc, half in zip(docs.tolist(), hashes.reshape(-1, 2), strict=True)]
             body, at = data.tobytes(), 0
-            for doc, start, text_hash, count, place, length in zip(
-                *(x.tolist() for x in (docs, starts, hashes, counts, places, lengths)), strict=True
-            ):
+            for number, start, count, place, length in zip(*(x.tolist() for x in (own, starts, counts, places, lengths)), strict=True):
+                doc, text_hash = keys[number]
                 ranked.add((place, body[at : at + length]), doc, start, text_hash, count)
                 at += length
         # Different segments compete where they hold the same gram.
@@ -449,29 +464,34 @@ def resolve(mail: DataFrame, scheme: Scheme, within: bool, decide: Decide, bucke
             if grams[_gram(scheme, place, body)] > 1:
                 contest.bodies += [body] * len(holders)
                 contest.holders += holders
-        decided = [np.array(c, np.int64) for c in zip(*ranked.decided, strict=True)] or [np.zeros(0, np.int64)] * 4
+        decided = _columns(ranked.decided)
         if contest.bodies:
             segment, offset = decide(contest)
-            holders = np.array([h[:3] for h in contest.holders], np.int64)[segment]
-            decided = [
-                np.concatenate([a, b])
-                for a, b in zip(decided, (holders[:, 0], holders[:, 1] + offset, holders[:, 2], np.ones(len(segment), np.int64)), strict=True)
-            ]
+            docs, starts, hashes, _ = (c[segment] for c in _columns(contest.holders))
+            found = (docs, starts + offset, hashes, np.ones(len(segment), np.int64))
+            decided = [np.concatenate([a, b]) for a, b in zip(decided, found, strict=True)]
         return _removed(*decided)
 
-    return mail.groupBy("bucket").applyInArrow(run, "id long, text_hash long, starts binary, counts binary")
+    return mail.groupBy("bucket").applyInArrow(run, "id long, text_hash binary, starts binary, counts binary")
+
+
+def _columns(holders: list[tuple[int, int, bytes, int]]) -> list[np.ndarray]:
+    """Documents, first windows, text hashes (two halves a row) and windows of holders."""
+    docs, starts, hashes, counts = zip(*holders, strict=True) if holders else ((), (), (), ())
+    return [np.array(docs, np.int64), np.array(starts, np.int64), _halves(hashes), np.array(counts, np.int64)]
 
 
 def _removed(docs: np.ndarray, starts: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> pa.Table:
     """Decided windows by document."""
-    schema = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("starts", pa.binary()), ("counts", pa.binary())])
-    order = np.lexsort((starts, hashes, docs))
+    hashes = hashes.reshape(-1, 2)
+    schema = pa.schema([("id", pa.int64()), ("text_hash", pa.binary()), ("starts", pa.binary()), ("counts", pa.binary())])
+    order = np.lexsort((starts, hashes[:, 1], hashes[:, 0], docs))
     docs, starts, hashes, counts = docs[order], starts[order], hashes[order], counts[order]
     new = np.ones(len(docs), bool)
-    new[1:] = (docs[1:] != docs[:-1]) | (hashes[1:] != hashes[:-1])
+    new[1:] = (docs[1:] != docs[:-1]) | (hashes[1:] != hashes[:-1]).any(1)
     cuts = np.append(np.flatnonzero(new), len(docs))
     starts, counts = starts.astype(np.uint32), counts.astype(np.uint32)
-    rows = [(int(docs[a]), int(hashes[a]), starts[a:b].tobytes(), counts[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    rows = [(int(docs[a]), hashes[a].tobytes(), starts[a:b].tobytes(), counts[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     return pa.table([list(c) for c in zip(*rows, strict=True)] if rows else [[], [], [], []], schema=schema)
 
 

@@ -120,7 +120,7 @@ def sets(docs: DataFrame) -> DataFrame:
                 columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text_hash"), *columns], ["id", "text_hash", "n", "f1", "f2", "sent"])
 
-    return docs.mapInArrow(run, "id long, text_hash long, n long, f1 long, f2 long, sent long")
+    return docs.mapInArrow(run, "id long, text_hash binary, n long, f1 long, f2 long, sent long")
 
 
 def _made(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:

@@ -186,3 +186,30 @@ def test_exact_content_sort_moves_texts_once(spark, odd):
     rows = odd.selectExpr("text as t").repartitionByRange(4, "t").selectExpr("count(1) over (partition by t) as c")
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def collided_texts():
+    """Two different texts whose xxhash64 has equal low 32 bits."""
+    made = [" ".join(f"w{i}x{j}" for j in range(30)) for i in (948, 74123)]
+    import xxhash
+
+    assert len({xxhash.xxh64_intdigest(t, seed=42) & 0xFFFFFFFF for t in made}) == 1
+    return made
+
+
+def test_texts_without_id_and_equal_short_hashes(spark):
+    """A copy's removals, and a set's columns, stay with their own text."""
+    one, two = collided_texts()
+    near = [t.rsplit(" ", 1)[0] for t in (one, two)]
+    rows = [(1, one), (None, one), (None, two)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert rows_of(word_digest(df), *WORD) == Counter(repeated_words(rows))
+    assert rows_of(byte_digest(df), *BYTE) == Counter(repeated_bytes(rows))
+    # Parts of texts are repeated, not whole ones.
+    rows = [(1, near[0] + " a b c"), (None, one), (None, two)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert rows_of(word_digest(df), *WORD) == Counter(repeated_words(rows))
+    assert rows_of(byte_digest(df), *BYTE) == Counter(repeated_bytes(rows))
+    rows = [(None, one), (None, two), (1, near[0]), (2, near[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert rows_of(ngram_join.classes(df), *NEAR) == Counter(near_classes(rows))

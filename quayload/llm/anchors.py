@@ -166,7 +166,8 @@ class _Unit:
         table = pack_arrays(
             np.concatenate(self.ids), np.concatenate(self.hashes), np.concatenate(self.starts).astype(np.int64), heads[many], places[many]
         )
-        yield buckets + self.number % buckets, self.number, table
+        # A group of its own: this row only passes through to its unit.
+        yield buckets + self.number, self.number, table
         asked = grams[begin]
         target = asked % U64(buckets)
         order = np.argsort(target, kind="stable")
@@ -286,7 +287,7 @@ def repeated_anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
         if unit is not None:
             yield _row_batch(unit.rows(buckets))
 
-    asked = docs.mapInArrow(ask, "bucket int, unit long, payload binary")
+    asked = docs.mapInArrow(ask, "bucket long, unit long, payload binary")
     answered = asked.groupBy("bucket").applyInArrow(
         lambda t: _answers(t, buckets), "unit long, kind int, payload binary"
     )
@@ -296,7 +297,7 @@ def repeated_anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
 
 def _row_batch(rows: Iterator[tuple[int, int, bytes]]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [[], [], []]
-    kinds = [pa.int32(), pa.int64(), pa.binary()]
+    kinds = [pa.int64(), pa.int64(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "unit", "payload"])
 
 

@@ -213,3 +213,18 @@ def test_texts_without_id_and_equal_short_hashes(spark):
     rows = [(None, one), (None, two), (1, near[0]), (2, near[1])]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
     assert rows_of(ngram_join.classes(df), *NEAR) == Counter(near_classes(rows))
+
+
+@pytest.mark.parametrize("scheme", [substring_dedup.SCHEME, suffix_dedup.SCHEME])
+def test_unit_tables_do_not_gather(scheme):
+    """Tables of units from many tasks are dealt to groups of their own, whatever the number of buckets."""
+    data = " ".join(f"word{i}" for i in range(60)).encode()
+    raw, offsets = np.frombuffer(data, np.uint8), np.array([0, len(data)])
+    for buckets in (32, 96, 800):
+        groups = Counter()
+        for task in range(40):
+            for made in range(4):
+                unit = anchors._Unit((task << 32) + made)
+                unit.add(anchors.Runs(scheme, raw, offsets, 0, 1), np.array([1]), np.zeros((1, 2), np.int64))
+                groups.update(group for group, _, _ in unit.rows(buckets) if group >= buckets)
+        assert len(groups) == 160 and max(groups.values()) == 1

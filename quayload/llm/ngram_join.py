@@ -10,13 +10,21 @@ The rows left are cut to the columns they share with others and to prefixes of r
 columns; rows that share prefix columns form clusters. The product runs cluster by
 cluster: prefix blocks of columns give partial overlaps, pairs that their sizes or the
 columns left rule out are discarded, and the rest of the columns completes the counts.
-Rows of the largest component found so far are not multiplied among themselves: a pair
-of them links nothing new. Clusters above ``TILE_ENTRIES`` are cut into tiles of row
-blocks, after a round against a few pivot rows has merged most of what is alike.
+Clusters above ``TILE_ENTRIES`` are cut into row blocks, and every pair of blocks is a tile.
 
-No link between different sets is lost; the result is one row per document with its
-set size and the smallest identifier reachable over links. Defined results: a text
-without words has an empty set and no links; fewer words than an n-gram are one n-gram;
+The query counts every link: the result is one row per document with its set size, the
+smallest identifier reachable over links and its number of links, that is of other
+documents whose set is at least ``THRESHOLD`` like its own; copies of the set count as
+linked documents without being multiplied. :func:`linked_sets` gives the linked pairs of
+different sets with both sizes and the overlap, :func:`members` the documents of each set.
+
+:func:`keep_one` needs components only, which a spanning part of the links gives
+(:func:`links`): rows of the largest component found so far are not multiplied among
+themselves, since a pair of them connects nothing new, and a round against a few pivot
+rows merges most of what is alike in a large cluster before its tiles.
+
+Defined results: a text without words has an empty set and no links; fewer words than an
+n-gram are one n-gram;
 null identifiers are later than all others and come back as null; rows that repeat an
 identifier are rows of their own; an empty table gives an empty result; other columns
 are not read.
@@ -29,7 +37,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayload.llm.anchors import NULL_ID, UNIT_BYTES, keyed, pack_arrays, unpack_arrays
@@ -206,7 +214,7 @@ def _summed(table: pa.Table) -> pa.Table:
 
 
 def candidates(docs: DataFrame, made: DataFrame) -> DataFrame:
-    """(id, text_hash, f1) of one document per set that may have a link; ``made`` is a staged :func:`sets`."""
+    """(id, text_hash, f1, copies) of one document per set that may have a link; ``made`` is a staged :func:`sets`."""
     slices = shuffle_partitions(docs.sparkSession)
     counted = questions(docs).groupBy("bucket").applyInArrow(lambda t: _shared_counts(t, slices), "slice int, payload binary")
     # A column may be counted in several units: that only keeps more rows.
@@ -214,12 +222,17 @@ def candidates(docs: DataFrame, made: DataFrame) -> DataFrame:
     rows = (
         made.where("n > 0")
         .groupBy("f1", "f2")
-        .agg(F.min(F.struct("id", "text_hash")).alias("head"), F.first("n").alias("n"), F.first("sent").alias("sent"))
+        .agg(
+            F.min(F.struct("id", "text_hash")).alias("head"),
+            F.first("n").alias("n"),
+            F.first("sent").alias("sent"),
+            F.count(F.lit(1)).alias("copies"),
+        )
     )
     return (
         rows.join(shared, "f1", "left")
         .where(f"sent - coalesce(shared, 0) < {prefix_sql('n')}")
-        .select("head.id", "head.text_hash", "f1")
+        .select("head.id", "head.text_hash", "f1", "copies")
     )
 
 
@@ -455,32 +468,198 @@ def links(rows: DataFrame) -> DataFrame:
     return found.union(first).union(second)
 
 
-def classes(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
-    docs = keyed(df, text, id_column)
+# ---- every link ---------------------------------------------------------------------------------
+
+
+def _spread(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The places of ranges, one range after the other."""
+    return np.repeat(begin - np.cumsum(length) + length, length) + np.arange(int(length.sum()))
+
+
+def every_link(
+    sizes: np.ndarray, prefixes: np.ndarray, columns: list[np.ndarray], sides: np.ndarray | None = None
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, linked rows, overlaps): each linked pair of rows once, and with ``sides`` those between side 0 and side 1.
+
+    A row's columns come rarest first.
+    """
+    n = len(sizes)
+    lengths = np.array([len(c) for c in columns])
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    names, column = np.unique(np.concatenate(columns), return_inverse=True)
+    row = np.repeat(np.arange(n), lengths)
+
+    def postings(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = entries[np.argsort(column[entries], kind="stable")]
+        starts = np.searchsorted(column[order], np.arange(len(names) + 1))
+        return row[order], starts[:-1], np.diff(starts)
+
+    meets = np.ones(n, bool) if sides is None else sides == 1
+    full = np.flatnonzero(meets[row])
+    in_prefix = np.flatnonzero(meets[row] & ((np.arange(len(column)) - bounds[row]) < prefixes[row]))
+    # Prefix blocks name the pairs that may link; then the rest of the columns completes the counts.
+    prefix_rows, prefix_at, prefix_df = postings(in_prefix)
+    full_rows, full_at, full_df = postings(full)
+    marks = np.zeros(len(names), bool)
+    t = THRESHOLD
+    for r in range(n) if sides is None else np.flatnonzero(sides == 0).tolist():
+        own = column[bounds[r] : bounds[r + 1]]
+        head = own[: prefixes[r]]
+        overlap = np.bincount(prefix_rows[_spread(prefix_at[head], prefix_df[head])], minlength=n)
+        near = np.flatnonzero(overlap)
+        if sides is None:
+            near = near[near > r]
+        small, large = np.minimum(sizes[near], sizes[r]), np.maximum(sizes[near], sizes[r])
+        need = -(-t.numerator * (sizes[near] + sizes[r]) // (t.numerator + t.denominator))
+        # What both sets share outside both prefixes lies behind the prefix that ends first.
+        most = overlap[near] + np.maximum(lengths[r] - prefixes[r], lengths[near] - prefixes[near])
+        near = near[(t.denominator * small >= t.numerator * large) & (most >= need)]
+        if not len(near):
+            continue
+        if int(lengths[near].sum()) < int(full_df[own].sum()):
+            marks[own] = True
+            hits = np.add.reduceat(marks[column[_spread(bounds[near], lengths[near])]].astype(np.int64), np.cumsum(lengths[near]) - lengths[near])
+            marks[own] = False
+        else:
+            hits = np.bincount(full_rows[_spread(full_at[own], full_df[own])], minlength=n)[near]
+        linked = t.denominator * hits >= t.numerator * (sizes[near] + sizes[r] - hits)
+        if linked.any():
+            yield r, near[linked], hits[linked]
+
+
+def _parts(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, Iterator[tuple[int, np.ndarray, np.ndarray]]]]:
+    """Per cluster or tile of a task: names, sizes and copies of its rows, and their links."""
+    names, parts, sizes, prefixes, copies, sides = (
+        rows.column(c).to_numpy() for c in ("row", "part", "n", "prefix", "copies", "side")
+    )
+    lists = rows.column("columns").combine_chunks()
+    flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+    order = np.argsort(parts, kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(parts[order])) + 1):
+        if len(own) > 1:
+            columns = [flat[offsets[i] : offsets[i + 1]] for i in own.tolist()]
+            two = sides[own] if sides[own].any() else None
+            yield names[own], sizes[own], copies[own], every_link(sizes[own], prefixes[own], columns, two)
+
+
+def _tile_counts(rows: pa.Table) -> pa.Table:
+    """(a, b, linked): how many documents of other sets each row is linked to, and links that connect what is connected."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.int64())])
+    out: list[tuple[int, int | None, int | None]] = []
+    for names, _, copies, found in _parts(rows):
+        union, linked = _Union(np.arange(len(names))), np.zeros(len(names), np.int64)
+        for r, near, _ in found:
+            linked[r] += copies[near].sum()
+            linked[near] += copies[r]
+            out += [(int(names[r]), int(names[x]), None) for x in near.tolist() if union.join(r, x)]
+        at = np.flatnonzero(linked)
+        out += [(a, None, k) for a, k in zip(names[at].tolist(), linked[at].tolist(), strict=True)]
+    return pa.table([list(c) for c in zip(*out, strict=True)] if out else [[], [], []], schema=schema)
+
+
+def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(set_a, set_b, n_a, n_b, n_both) of every linked pair of one task, row by row."""
+    for names, sizes, _, found in _parts(pa.Table.from_batches(list(batches))):
+        for r, near, hits in found:
+            own = np.full(len(near), r)
+            columns = [names[own], names[near], sizes[own], sizes[near], hits]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["set_a", "set_b", "n_a", "n_b", "n_both"])
+
+
+def _tiles(rows: DataFrame, copies: DataFrame) -> DataFrame:
+    """``rows`` with the task and part they are multiplied in: small clusters whole, of large ones every pair of blocks."""
+    tasks = 4 * shuffle_partitions(rows.sparkSession)
+    member = stage(clusters(rows), "clusters")
+    placed = rows.join(copies, "row").join(member, "row")
+    weights = stage(placed.groupBy("cluster").agg(F.sum(F.size("columns").cast("long")).alias("total")), "cluster-weights")
+    small = (
+        placed.join(weights.where(f"total <= {TILE_ENTRIES}"), "cluster")
+        .withColumn("task", F.pmod(F.xxhash64("cluster"), F.lit(tasks)).cast("string"))
+        .withColumn("part", F.col("cluster"))
+        .withColumn("side", F.lit(0))
+    )
+    large = (
+        placed.join(weights.where(f"total > {TILE_ENTRIES}"), "cluster")
+        .withColumn("blocks", F.ceil(F.col("total") / TILE_ENTRIES).cast("long"))
+        .withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .withColumn("task", F.concat_ws("/", "cluster", F.least("block", "other"), F.greatest("block", "other")))
+        .withColumn("part", F.lit(0).cast("long"))
+        .withColumn("side", (F.col("block") > F.col("other")).cast("int"))
+    )
+    columns = ["task", "part", "side", "row", "n", "prefix", "copies", "columns"]
+    # Of a tile of two blocks the smaller number is side 0; a block with itself has side 0 only.
+    return small.select(*columns).union(large.select(*columns))
+
+
+def _matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Staged :func:`sets`, :func:`shared_rows` and (row, copies) of those."""
+    spark = docs.sparkSession
     made = stage(sets(docs), "sets")
     chosen = stage(candidates(docs, made), "candidates")
-    release(df.sparkSession)
+    release(spark)
     full = stage(incidence(docs, chosen), "incidence")
-    release(df.sparkSession)
+    release(spark)
     rows = stage(shared_rows(full), "rows")
-    release(df.sparkSession)
-    label = components(stage(links(rows), "links")).select(F.col("node").alias("f1"), "label")
+    release(spark)
+    return made, rows, chosen.select(F.col("f1").alias("row"), "copies")
+
+
+def linked_sets(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """(set_a, set_b, n_a, n_b, n_both) of every linked pair of different sets, once; documents come from :func:`members`."""
+    _, rows, copies = _matrix(keyed(df, text, id_column))
+    return _tiles(rows, copies).groupBy("task").applyInArrow(_tile_pairs, "set_a long, set_b long, n_a long, n_b long, n_both long")
+
+
+def members(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """(doc_id, set_id, n_shingles) of every document with words; documents of one set are linked to each other as well."""
+    made = sets(keyed(df, text, id_column)).where("n > 0")
+    return made.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), F.col("f1").alias("set_id"), F.col("n").alias("n_shingles"))
+
+
+def _labelled(made: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents (id, n, f1, f2) of staged sets, and (f1, f2, component_id, copies) of their sets."""
+    label = components(links).select(F.col("node").alias("f1"), "label")
     own = made.select("id", "n", "f1", "f2")
-    heads = own.where("n > 0").groupBy("f1", "f2").agg(F.min("id").alias("least"))
+    heads = own.where("n > 0").groupBy("f1", "f2").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
     joined = heads.join(label, "f1", "left").withColumn("label", F.coalesce("label", "f1"))
     least = joined.groupBy("label").agg(F.min("least").alias("component_id"))
-    component = joined.join(least, "label").select("f1", "f2", "component_id")
-    real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    linked = own.where("n > 0").join(component, ["f1", "f2"]).select("id", "n", "component_id")
-    return linked.union(own.where("n = 0").select("id", "n", "id")).select(
-        real("id").alias("doc_id"), F.col("n").alias("n_shingles"), real("component_id").alias("component_id")
+    return own, joined.join(least, "label").select("f1", "f2", "component_id", "copies")
+
+
+def _real(column: str) -> Column:
+    return F.when(F.col(column) != NULL_ID, F.col(column))
+
+
+def classes(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links of every document."""
+    made, rows, copies = _matrix(keyed(df, text, id_column))
+    found = stage(
+        _tiles(rows, copies).groupBy("task").applyInArrow(_tile_counts, "a long, b long, linked long"),
+        "links",
+    )
+    own, component = _labelled(made, found.where("b is not null").select("a", "b"))
+    linked = found.where("b is null").groupBy(F.col("a").alias("f1")).agg(F.sum("linked").alias("linked"))
+    counted = component.join(linked, "f1", "left").select(
+        "f1", "f2", "component_id", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
     )
+    known = own.where("n > 0").join(counted, ["f1", "f2"]).select("id", "n", "component_id", "n_links")
+    return known.union(own.where("n = 0").select("id", "n", "id", F.lit(0).cast("long"))).select(
+        _real("id").alias("doc_id"), F.col("n").alias("n_shingles"), _real("component_id").alias("component_id"), "n_links"
+    )
+
+
+def _components(df: DataFrame, text: str, id_column: str) -> DataFrame:
+    """doc_id and component_id of every document, by a spanning part of the links."""
+    made, rows, _ = _matrix(keyed(df, text, id_column))
+    own, component = _labelled(made, stage(links(rows), "links"))
+    known = own.where("n > 0").join(component, ["f1", "f2"]).select("id", "component_id")
+    return known.union(own.where("n = 0").select("id", "id")).select(_real("id").alias("doc_id"), _real("component_id").alias("component_id"))
 
 
 def keep_one(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """The rows of ``df`` whose identifier is the smallest of their component, all columns unchanged."""
-    kept = classes(df, text, id_column).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    kept = _components(df, text, id_column).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
     rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), F.col(id_column).cast("long").alias("_own"))
     stays = rows.join(kept, F.col("_own").eqNullSafe(F.col("_id")), "left_semi")
     return stays.select(*(F.col("_row").getField(c).alias(c) for c in df.columns))

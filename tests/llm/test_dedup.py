@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from brute import exact_classes, near_classes, repeated_bytes, repeated_words
+from brute import exact_classes, near_classes, repeated_bytes, repeated_words, words
 from conftest import SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -228,3 +228,38 @@ def test_unit_tables_do_not_gather(scheme):
                 unit.add(anchors.Runs(scheme, raw, offsets, 0, 1), np.array([1]), np.zeros((1, 2), np.int64))
                 groups.update(group for group, _, _ in unit.rows(buckets) if group >= buckets)
         assert len(groups) == 160 and max(groups.values()) == 1
+
+
+def near_links(rows):
+    """Per row its links to other rows, and the sizes and overlaps of linked different sets."""
+    lower = {i: i + 32 for i in range(65, 91)}
+    sets = []
+    for _, text in rows:
+        w = words((text or "").translate(lower))
+        sets.append(frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else []))
+    like = lambda a, b: bool(a) and 4 * len(a & b) >= 3 * len(a | b)
+    counts = Counter((doc, sum(like(s, x) for j, x in enumerate(sets) if j != i)) for i, ((doc, _), s) in enumerate(zip(rows, sets, strict=True)))
+    once = sorted(set(sets), key=sorted)
+    return counts, Counter(
+        (*sorted((len(a), len(b))), len(a & b)) for i, a in enumerate(once) for b in once[:i] if like(a, b)
+    )
+
+
+@pytest.mark.parametrize("entries", [1 << 19, 300])
+def test_near_counts_every_link(odd, odd_pairs, monkeypatch, entries):
+    """Also inside a group that a few of its links would connect, and between tiles."""
+    monkeypatch.setattr(ngram_join, "TILE_ENTRIES", entries)
+    counts, pairs = near_links(odd_pairs)
+    assert rows_of(ngram_join.classes(odd), "doc_id", "n_links") == counts
+    found = ngram_join.linked_sets(odd).collect()
+    assert Counter((*sorted((r.n_a, r.n_b)), r.n_both) for r in found) == pairs
+    sizes = {r.set_id: r.n_shingles for r in ngram_join.members(odd).collect()}
+    assert all(sizes[r.set_a] == r.n_a and sizes[r.set_b] == r.n_b for r in found)
+
+
+def test_near_keeps_one_of_large_clusters(odd, odd_pairs, monkeypatch):
+    """The spanning part of the links over pivots and tiles gives the components of all links."""
+    monkeypatch.setattr(ngram_join, "TILE_ENTRIES", 300)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 1)
+    got = rows_of(ngram_join._components(odd, "text", "doc_id"), "doc_id", "component_id")
+    assert got == Counter((doc, least) for doc, _, least in near_classes(odd_pairs))

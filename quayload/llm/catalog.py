@@ -4,6 +4,7 @@ from quayload.llm import (  # noqa: F401
     byte_bpe,
     exact_dedup,
     html_extract,
+    merkle,
     ngram_join,
     packing,
     quality_rules,

@@ -21,6 +21,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(staged: DataFrame) -> None:
+    """Empty a staged table that nothing reads any more; its folder keeps an empty table.
+
+    Written over by Spark itself, so any shared file system will do.
+    """
+    spark = staged.sparkSession
+    folders = {file.rsplit("/", 1)[0] for file in staged.inputFiles()}
+    for folder in folders:
+        spark.createDataFrame([], staged.schema).write.mode("overwrite").parquet(folder)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of jobs whose results are written."""
     import gc

@@ -2,6 +2,8 @@
 
 from quayload.llm import (  # noqa: F401
     byte_bpe,
+    chat_format,
+    collocations,
     exact_dedup,
     html_extract,
     merkle,

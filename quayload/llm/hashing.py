@@ -54,7 +54,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 _POWERS: list[np.ndarray] = []
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, kept up to a fixed length and made anew above it."""
     if n > 2 * CHUNK_BYTES:
         return _powers(_BASE, n), _powers(_BASE_INVERSE, n)
@@ -118,7 +118,7 @@ class Words:
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of the bytes of every word."""
         n = len(self.data)
-        power, inverse = _power_tables(n + 1)
+        power, inverse = power_tables(n + 1)
         sums = np.zeros(n + 1, U64)
         np.cumsum(BYTE_CODES[self.data] * power[:n], out=sums[1:])
         return mix((sums[self.ends] - sums[self.starts]) * inverse[self.starts] + (self.ends - self.starts).astype(U64))

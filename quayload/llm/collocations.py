@@ -71,7 +71,7 @@ def occurrences(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     inside = kind == _WORD
     edges = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
     starts, ends = edges[0::2], edges[1::2]
-    piece = np.cumsum(kind == _END, dtype=np.int64)[starts]
+    piece = np.searchsorted(np.flatnonzero(kind == _END), starts)
     first = np.flatnonzero(np.diff(piece, prepend=-1)).astype(np.int32)
     bounds = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(ends - starts, out=bounds[1:])

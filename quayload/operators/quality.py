@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from quayload import policy as P
 from quayload.functions.exact import floor_div
 from quayload.policy import MAX_NAME_LENGTH
+from quayload.session import written
 
 
 MESSAGES = {
@@ -84,13 +85,13 @@ def rejected_batches(conformed: DataFrame, batch: str) -> DataFrame:
 
 
 def accepted_rows(conformed: DataFrame, batch: str) -> DataFrame:
-    """Rows of accepted batches.
+    """Rows of accepted batches; rows without a batch id are one batch.
 
     The rejected batch ids are few against the rows but grow with the data, so
     no broadcast is forced: the planner decides by their measured size.
     """
-    bad = conformed.where("error_count > 0").select(batch).distinct()
-    return conformed.join(bad, batch, "left_anti").drop("error_count", "errors")
+    bad = conformed.where("error_count > 0").select(F.col(batch).alias("__bad")).distinct()
+    return conformed.join(bad, F.col(batch).eqNullSafe(F.col("__bad")), "left_anti").drop("error_count", "errors")
 
 
 def quarantine(conformed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -122,30 +123,55 @@ def overall_summary(violations: DataFrame) -> DataFrame:
     )
 
 
-def running_totals(df: DataFrame, order: str, values: list[str], block: int = 4096) -> DataFrame:
-    """Running sums of ``values`` by a dense integer ``order``, without one big window.
+def running_totals(df: DataFrame, order: str, values: list[str], block: int = 1 << 16) -> DataFrame:
+    """Running sums of ``values`` by an integer ``order``, by prefix sums of several levels.
 
-    Ids are cut into blocks of ``block``; block sums are far fewer than rows, and
-    their running sums are the offsets of the windows inside each block.
+    Ids are cut into blocks of ``block``, blocks into blocks of blocks, until one block
+    is left; each level is an aggregate of the one below, and its running sums inside a
+    block are the offsets of the level below. No window holds more than ``block`` ids, so
+    sparse ids and ids of any range do. ``df`` is written once and read from there.
+    Rows without id come first and count for all that follow.
     """
-    blocks = F.col("__block")
-    keyed = df.withColumn("__block", floor_div(F.col(order).cast("bigint"), block))
-    sums = keyed.groupBy("__block").agg(*[F.sum(v).alias(f"__sum_{v}") for v in values])
-    before = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
-        "__block",
-        *[F.coalesce(F.sum(f"__sum_{v}").over(before), F.lit(0)).alias(f"__before_{v}") for v in values],
+    rows = written(df, "running-totals")
+    smallest, largest = rows.agg(F.min(order), F.max(order)).first()
+    lowest, span = (0, 1) if smallest is None else (smallest // block, largest // block - smallest // block + 1)
+    here = F.coalesce(floor_div(F.col(order).cast("bigint"), block) - F.lit(lowest), F.lit(0)).cast("bigint")
+    keyed = rows.withColumn("__known", F.col(order).isNotNull()).withColumn("__b1", here)
+    levels = [keyed]
+    while True:
+        n = len(levels)
+        sums = [F.sum(v if n == 1 else f"__sum_{v}").alias(f"__sum_{v}") for v in values]
+        above = levels[-1].groupBy("__known", f"__b{n}").agg(*sums)
+        if span <= block:
+            break
+        span = -(-span // block)
+        levels.append(above.withColumn(f"__b{n + 1}", floor_div(F.col(f"__b{n}"), block)))
+    # The top has at most ``block`` rows, and one more for rows without id.
+    inside = Window.partitionBy("__known").orderBy(f"__b{n}").rowsBetween(Window.unboundedPreceding, -1)
+    unknown = above.where("not __known").select(F.lit(True).alias("__known"), *(F.col(f"__sum_{v}").alias(f"__first_{v}") for v in values))
+    offsets = above.join(unknown, "__known", "left").select(
+        "__known", f"__b{n}",
+        *(sum((F.coalesce(c, F.lit(0)) for c in (F.sum(f"__sum_{v}").over(inside), F.col(f"__first_{v}"))), F.lit(0)).alias(f"__before_{v}") for v in values),
     )
-    inside = Window.partitionBy("__block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    running = keyed.join(offsets, "__block").select(
-        *[F.col(c) for c in df.columns],
-        *[(F.sum(v).over(inside) + F.col(f"__before_{v}")).alias(f"{v}_so_far") for v in values],
+    for n in range(len(levels) - 1, 0, -1):
+        inside = Window.partitionBy("__known", f"__b{n + 1}").orderBy(f"__b{n}").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = levels[n].join(offsets, ["__known", f"__b{n + 1}"]).select(
+            "__known", f"__b{n}",
+            *((F.coalesce(F.sum(f"__sum_{v}").over(inside), F.lit(0)) + F.col(f"__before_{v}")).alias(f"__before_{v}") for v in values),
+        )
+    inside = Window.partitionBy("__known", "__b1").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return keyed.join(offsets, ["__known", "__b1"]).select(
+        *(F.col(c) for c in df.columns),
+        *((F.sum(v).over(inside) + F.col(f"__before_{v}")).alias(f"{v}_so_far") for v in values),
     )
-    return running
 
 
 def running_load_stats(conformed: DataFrame, batch: str, batches: DataFrame | None = None) -> DataFrame:
-    """Rows and batches accepted so far after each accepted batch, those without rows included if ``batches`` names them."""
+    """Rows and batches accepted so far after each accepted batch, those without rows included if ``batches`` names them.
+
+    The conformed rows are read once: what is summed up are the outcomes, one row per
+    batch. A batch without id comes first.
+    """
     accepted = accepted_batches(conformed, batch, batches)
     counted = accepted.withColumn("batch_count", F.lit(1).cast("bigint"))
     return running_totals(counted, batch, ["row_count", "batch_count"]).select(

@@ -8,18 +8,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def count_reconcile(written: DataFrame, found: DataFrame, key: str) -> DataFrame:
-    """Rows written against rows found, per load; either side may be missing."""
-    sent = written.groupBy(key).agg(F.count(F.lit(1)).alias("rows_written"))
-    seen = found.groupBy(key).agg(F.count(F.lit(1)).alias("rows_found"))
-    return (
-        sent.join(seen, key, "full_outer")
-        .select(
-            key,
-            F.coalesce("rows_written", F.lit(0)).alias("rows_written"),
-            F.coalesce("rows_found", F.lit(0)).alias("rows_found"),
-        )
-        .withColumn("matches", F.col("rows_written") == F.col("rows_found"))
-    )
+    """Rows written against rows found, per load; either side may be missing.
+
+    Both sides are counted in one aggregate, so rows without a load are a load like any other.
+    """
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    sent = written.select(key, one.alias("rows_written"), none.alias("rows_found"))
+    seen = found.select(key, none.alias("rows_written"), one.alias("rows_found"))
+    counts = sent.unionByName(seen).groupBy(key).agg(F.sum("rows_written").alias("rows_written"), F.sum("rows_found").alias("rows_found"))
+    return counts.withColumn("matches", F.col("rows_written") == F.col("rows_found"))
 
 
 def require_reconciled(written: int, found: int, target: str) -> None:
@@ -57,10 +54,10 @@ def roundtrip_diff(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def writer_parity(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Per key and column where two loads disagree; NULL equals NULL."""
+    """Per key and column where two loads disagree; NULL equals NULL, also in the keys."""
     columns = [c for c in left.columns if c not in keys]
-    a = left.select(*keys, F.struct(*columns).alias("l"))
-    b = right.select(*keys, F.struct(*columns).alias("r"))
+    a = left.select(*[F.col(k).alias(f"__l_{k}") for k in keys], F.struct(*columns).alias("l"))
+    b = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], F.struct(*columns).alias("r"))
     differing = F.array_compact(F.array(*[
         F.when(~F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")), F.lit(c)) for c in columns
     ]))
@@ -70,8 +67,9 @@ def writer_parity(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFra
         .otherwise(F.lit("differs"))
     )
     fields = F.when(F.col("l").isNotNull() & F.col("r").isNotNull(), differing).otherwise(F.array(F.lit("*")))
-    joined = a.join(b, keys, "full_outer")
-    return joined.select(*keys, state.alias("state"), F.explode(fields).alias("field_name"))
+    joined = a.join(b, reduce(Column.__and__, [F.col(f"__l_{k}").eqNullSafe(F.col(f"__r_{k}")) for k in keys]), "full_outer")
+    found = [F.when(F.col("l").isNull(), F.col(f"__r_{k}")).otherwise(F.col(f"__l_{k}")).alias(k) for k in keys]
+    return joined.select(*found, state.alias("state"), F.explode(fields).alias("field_name"))
 
 
 def expected_vs_actual(actual: DataFrame, expected: DataFrame, key: str, columns: list[str]) -> DataFrame:

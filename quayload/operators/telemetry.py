@@ -8,7 +8,9 @@ ordering belongs to the reader of a report (:func:`report_order`).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quayload.functions.exact import saturated_difference, saturated_sum
 
@@ -199,8 +201,10 @@ def _edge(samples, keys, columns, order, pick) -> DataFrame:
 
 
 def _deltas(first, last, keys, counters, attributes) -> DataFrame:
-    before = first.select(*keys, *[F.col(c).alias(f"__first_{c}") for c in counters])
-    return last.join(before, keys, "left").select(
+    before = first.select(*[F.col(k).alias(f"__key_{k}") for k in keys], *[F.col(c).alias(f"__first_{c}") for c in counters])
+    # A key without a load, or without a name, meets its own first snapshot.
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])
+    return last.join(before, same, "left").select(
         *keys, *attributes,
         *[saturated_difference(F.col(c), F.coalesce(f"__first_{c}", F.lit(0))).alias(c) for c in counters],
     )

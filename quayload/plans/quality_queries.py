@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
+from quayload.functions.exact import floor_div
 from quayload.operators import conform, drift, quality
 from quayload.plans.registry import query, table
+from quayload.plans.sqltext import datetime2
 from quayload.policy import LoadPlan, PlannedColumn, SourceType, TargetType
 from quayload.session import shared_path
 from quayload.sources import sinks
@@ -45,9 +47,23 @@ def violations(spark, sf_dir):
     return quality.diagnostics(events_conformed(spark, sf_dir), KEYS)
 
 
-# Batches and violations of the same load, stated without the operators.
-FAULTS = f"""
-WITH src AS (SELECT event_id, event_id // {BATCH_ROWS} AS batch_id FROM events),
+def events_with_unnamed_batch(spark, sf_dir, which: str):
+    """The same load, the rows of some batches without a batch id."""
+    return events_with_faults(spark, sf_dir).withColumn("batch_id", F.when(~F.expr(which), F.col("batch_id")))
+
+
+def conformed_with_unnamed_batch(spark, sf_dir, which: str):
+    return conform.conform_table(events_with_unnamed_batch(spark, sf_dir, which), EVENTS_PLAN, KEYS)
+
+
+#: Batches that lose their id: together rejected (one has a bad value), or accepted.
+UNNAMED_BAD, UNNAMED_GOOD = "batch_id % 13 = 4", "batch_id in (2, 36)"
+
+
+def faults_sql(batch: str) -> str:
+    """Batches and violations of the same load, stated without the operators."""
+    return f"""
+WITH src AS (SELECT event_id, {batch} AS batch_id FROM (SELECT event_id, event_id // {BATCH_ROWS} AS batch_id FROM events)),
      bad AS (
        SELECT batch_id, event_id, 'error' AS severity, 'ValueTooLong' AS code, 3 AS field_index, 'event_type' AS field_name
        FROM src WHERE event_id % 997 IN (0, 1)
@@ -57,6 +73,20 @@ WITH src AS (SELECT event_id, event_id // {BATCH_ROWS} AS batch_id FROM events),
 """
 
 
+FAULTS = faults_sql("batch_id")
+_DAY, _INC, _ = datetime2("t", 3)
+#: Events as they are stored, with the time as text.
+STORED = f"""
+, timed AS (SELECT *, epoch_us(ts)::HUGEINT * 10 AS t FROM events), split AS (SELECT *, {_DAY} AS day, {_INC} AS inc FROM timed),
+  stored AS (SELECT * REPLACE (strftime(DATE '0001-01-01' + day::INTEGER, '%Y-%m-%d') || 'T' || printf('%02d:%02d:%02d.%03d',
+    (inc // 3600000)::BIGINT, (inc // 60000 % 60)::BIGINT, (inc // 1000 % 60)::BIGINT, (inc % 1000)::BIGINT) AS ts) FROM split)
+"""
+#: Rows of accepted batches with all their columns; rows without a batch id are a batch.
+ACCEPTED_ROWS = faults_sql(f"CASE WHEN NOT ({UNNAMED_BAD}) THEN batch_id END") + STORED + """
+SELECT s.batch_id, e.event_id, e.ts, e.user_id, e.event_type, e.value{more} FROM stored e JOIN src s USING (event_id)
+WHERE NOT EXISTS (SELECT 1 FROM bad b WHERE b.batch_id IS NOT DISTINCT FROM s.batch_id)"""
+
+
 @query("diagnostics", FAULTS + "SELECT * FROM bad")
 def diagnostics(spark, sf_dir):
     return violations(spark, sf_dir)
@@ -70,15 +100,13 @@ def diagnostic_messages(spark, sf_dir):
     return quality.with_messages(violations(spark, sf_dir))
 
 
-@query("batch_load", FAULTS + """
-SELECT e.event_id // 256 AS batch_id, e.event_id, e.user_id, e.event_type, e.value, 'nightly' AS load_id FROM events e
-WHERE e.event_id // 256 NOT IN (SELECT batch_id FROM bad)""")
+@query("batch_load", ACCEPTED_ROWS.format(more=", 'nightly' AS load_id"))
 def batch_load(spark, sf_dir):
-    """Rows of good batches, published and read back."""
+    """Rows of good batches, published and read back; rows without a batch id are one bad batch."""
     target = shared_path(spark, "batches")
-    sinks.batch_load(events_with_faults(spark, sf_dir), EVENTS_PLAN, "batch_id", target, "nightly")
+    sinks.batch_load(events_with_unnamed_batch(spark, sf_dir, UNNAMED_BAD), EVENTS_PLAN, "batch_id", target, "nightly")
     schema = T.StructType.fromDDL("batch_id long, event_id long, ts string, user_id long, event_type string, value double")
-    return sinks.read_published(spark, target, schema).drop("ts")
+    return sinks.read_published(spark, target, schema)
 
 
 @query("first_violation_row_major", FAULTS + """
@@ -102,11 +130,10 @@ def accepted_batches(spark, sf_dir):
     return quality.accepted_batches(events_conformed(spark, sf_dir), "batch_id")
 
 
-@query("accepted_rows", FAULTS + """
-SELECT e.event_id, e.event_id // 256 AS batch_id, e.user_id, e.event_type, e.value FROM events e
-WHERE e.event_id // 256 NOT IN (SELECT batch_id FROM bad)""")
+@query("accepted_rows", ACCEPTED_ROWS.format(more=""))
 def accepted_rows(spark, sf_dir):
-    return quality.accepted_rows(events_conformed(spark, sf_dir), "batch_id").drop("ts")
+    rows = quality.accepted_rows(conformed_with_unnamed_batch(spark, sf_dir, UNNAMED_BAD), "batch_id")
+    return conform.loadable(rows, EVENTS_PLAN)
 
 
 @query("rejected_batches", FAULTS + """
@@ -146,13 +173,23 @@ def diagnostic_overview(spark, sf_dir):
     return quality.overall_summary(violations(spark, sf_dir))
 
 
-@query("running_load_stats", FAULTS + """
-, ok AS (SELECT batch_id, count(*) AS row_count FROM src
-         WHERE batch_id NOT IN (SELECT batch_id FROM bad) GROUP BY batch_id)
-SELECT batch_id, row_count, sum(row_count) OVER (ORDER BY batch_id)::BIGINT AS rows_written,
-       count(*) OVER (ORDER BY batch_id) AS batches_written FROM ok""")
+#: Far apart, from below zero.
+_SPARSE = "batch_id * 25000000 - 300000000"
+
+
+@query("running_load_stats", faults_sql(f"CASE WHEN NOT ({UNNAMED_GOOD}) THEN {_SPARSE} END") + f"""
+, sent AS (SELECT DISTINCT batch_id FROM src UNION SELECT {_SPARSE} + 1 FROM (SELECT DISTINCT event_id // {BATCH_ROWS} AS batch_id FROM events) WHERE batch_id % 5 = 0),
+  ok AS (SELECT t.batch_id, count(s.event_id) AS row_count FROM sent t LEFT JOIN src s ON s.batch_id IS NOT DISTINCT FROM t.batch_id
+         WHERE NOT EXISTS (SELECT 1 FROM bad b WHERE b.batch_id IS NOT DISTINCT FROM t.batch_id) GROUP BY t.batch_id)
+SELECT batch_id, row_count, sum(row_count) OVER (ORDER BY batch_id NULLS FIRST)::BIGINT AS rows_written,
+       count(*) OVER (ORDER BY batch_id NULLS FIRST) AS batches_written FROM ok""")
 def running_load_stats(spark, sf_dir):
-    return quality.running_load_stats(events_conformed(spark, sf_dir), "batch_id")
+    """Ids far apart, rows without a batch id, and batches that were sent without rows."""
+    conformed = conformed_with_unnamed_batch(spark, sf_dir, UNNAMED_GOOD).withColumn("batch_id", F.expr(_SPARSE))
+    batches = table(spark, sf_dir, "events").select(floor_div(F.col("event_id"), BATCH_ROWS).alias("batch_id")).distinct()
+    named = batches.where(f"not ({UNNAMED_GOOD})").select(F.expr(_SPARSE).alias("batch_id"))
+    empty = batches.where("batch_id % 5 = 0").select(F.expr(f"{_SPARSE} + 1").alias("batch_id"))
+    return quality.running_load_stats(conformed, "batch_id", named.unionByName(empty))
 
 
 @query("failure_phase", FAULTS + """

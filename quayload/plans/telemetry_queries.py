@@ -33,14 +33,17 @@ WITH w AS (SELECT user_id AS load_id, event_type AS wait_type, day(ts)::INTEGER
 """
 
 
-@query("wait_deltas", WAITS + """
+WAIT_DELTAS = WAITS + """
 , f AS (SELECT * FROM w WHERE initial QUALIFY row_number() OVER (PARTITION BY load_id, wait_type ORDER BY ts DESC, event_id DESC) = 1),
   l AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY load_id, wait_type ORDER BY ts DESC, event_id DESC) = 1),
   d AS (SELECT l.load_id, l.wait_type, l.waiting_tasks_count - coalesce(f.waiting_tasks_count, 0) AS waiting_tasks_count,
                l.wait_time_ms - coalesce(f.wait_time_ms, 0) AS wait_time_ms,
                l.signal_wait_time_ms - coalesce(f.signal_wait_time_ms, 0) AS signal_wait_time_ms
         FROM l LEFT JOIN f USING (load_id, wait_type))
-SELECT * FROM d WHERE waiting_tasks_count > 0 OR wait_time_ms > 0""")
+SELECT * FROM d WHERE waiting_tasks_count > 0 OR wait_time_ms > 0"""
+
+
+@query("wait_deltas", WAIT_DELTAS)
 def wait_deltas(spark, sf_dir):
     deltas = telemetry.snapshot_deltas(
         waits(spark, sf_dir), ["load_id", "wait_type"], telemetry.WAIT_COUNTERS, "taken", "initial")
@@ -70,26 +73,31 @@ _FILE_EDGE = ("QUALIFY row_number() OVER (PARTITION BY file_id ORDER BY l_shipda
               "l_linenumber DESC, l_partkey DESC, l_extendedprice DESC, l_quantity DESC) = 1")
 
 
-@query("file_io_deltas", FILES + f"""
+FILE_DELTAS = FILES + f"""
 , f AS (SELECT * FROM x WHERE initial {_FILE_EDGE}), l AS (SELECT * FROM x {_FILE_EDGE})
 SELECT l.file_id, l.logical_name, l.file_type, {', '.join(f'l.{c} - coalesce(f.{c}, 0) AS {c}' for c in telemetry.FILE_COUNTERS)}
-FROM l LEFT JOIN f USING (file_id)""")
+FROM l LEFT JOIN f USING (file_id)"""
+
+
+@query("file_io_deltas", FILE_DELTAS)
 def file_io_deltas(spark, sf_dir):
     return telemetry.snapshot_deltas(
         files(spark, sf_dir), ["file_id"], telemetry.FILE_COUNTERS, "taken", "initial", ["logical_name", "file_type"])
 
 
 @query("wait_deltas_two_tables", WAITS + """
-, f AS (SELECT * FROM w WHERE initial QUALIFY row_number() OVER (PARTITION BY load_id, wait_type ORDER BY ts, event_id) = 1),
-  l AS (SELECT * FROM w WHERE NOT initial QUALIFY row_number() OVER (PARTITION BY load_id, wait_type ORDER BY ts DESC, event_id DESC) = 1),
+, n AS (SELECT * REPLACE (CASE WHEN load_id % 50 <> 3 THEN load_id END AS load_id) FROM w),
+  f AS (SELECT * FROM n WHERE initial QUALIFY row_number() OVER (PARTITION BY load_id, wait_type ORDER BY ts, event_id) = 1),
+  l AS (SELECT * FROM n WHERE NOT initial QUALIFY row_number() OVER (PARTITION BY load_id, wait_type ORDER BY ts DESC, event_id DESC) = 1),
   d AS (SELECT l.load_id, l.wait_type, l.waiting_tasks_count - coalesce(f.waiting_tasks_count, 0) AS waiting_tasks_count,
                l.wait_time_ms - coalesce(f.wait_time_ms, 0) AS wait_time_ms,
                l.signal_wait_time_ms - coalesce(f.signal_wait_time_ms, 0) AS signal_wait_time_ms
-        FROM l LEFT JOIN f USING (load_id, wait_type))
+        FROM l LEFT JOIN f ON l.load_id IS NOT DISTINCT FROM f.load_id AND l.wait_type = f.wait_type)
 SELECT * FROM d WHERE waiting_tasks_count > 0 OR wait_time_ms > 0""")
 def wait_deltas_two_tables(spark, sf_dir):
-    """Snapshots before and after a load kept in tables of their own."""
+    """Snapshots before and after a load kept in tables of their own; those of some loads have no load id."""
     rows, keys = waits(spark, sf_dir), ["load_id", "wait_type"]
+    rows = rows.withColumn("load_id", F.when(F.col("load_id") % 50 != 3, F.col("load_id")))
     first = telemetry.first_snapshot(rows.where("initial"), keys, telemetry.WAIT_COUNTERS, "taken")
     last = telemetry.last_snapshot(rows.where("not initial"), keys, telemetry.WAIT_COUNTERS, "taken")
     return telemetry.wait_deltas(first, last, LOAD)
@@ -125,11 +133,14 @@ WITH c AS (SELECT user_id AS load_id, ts, event_id, day(ts)::INTEGER AS phase,
 """
 
 
-@query("connection_deltas", CONNECTIONS + """
+CONNECTION_DELTAS = CONNECTIONS + """
 , f AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY load_id ORDER BY ts, event_id) = 1),
   l AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY load_id ORDER BY ts DESC, event_id DESC) = 1)
 SELECT l.load_id, l.net_transport, l.protocol_type, l.encrypt_option, l.net_packet_size, l.num_reads - f.num_reads AS num_reads,
-       l.num_writes - f.num_writes AS num_writes, l.last_read, l.last_write FROM l JOIN f USING (load_id)""")
+       l.num_writes - f.num_writes AS num_writes, l.last_read, l.last_write FROM l JOIN f USING (load_id)"""
+
+
+@query("connection_deltas", CONNECTION_DELTAS)
 def connection_deltas(spark, sf_dir):
     return telemetry.connection_deltas(connections(spark, sf_dir), LOAD, "taken")
 

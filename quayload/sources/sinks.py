@@ -83,9 +83,12 @@ def table_load(df: DataFrame, plan: LoadPlan, target: str, keep: list[str] | Non
     rows.write.mode("append").parquet(target)
 
 
-def staged_load(df: DataFrame, target: str, load_id: str) -> int:
+def staged_load(df: DataFrame, target: str, load_id: str, rows_due: int | None = None) -> int:
     """Write a load so that readers see all of it or nothing.
 
+    ``rows_due`` is the number of rows the load must have, if the caller knows it: another
+    number is an error before anything is visible.
+
     Rows go to a folder of this attempt below ``data``; only the attempt's own random
     name is in the path, the load's id is in the manifest. Rows are counted where they
     landed, against the count observed while writing, and only then one small manifest
@@ -102,6 +105,8 @@ def staged_load(df: DataFrame, target: str, load_id: str) -> int:
     expected = int(seen.get["rows"])
     found = spark.read.schema(df.schema).parquet(staging).count()
     reconcile.require_reconciled(expected, found, staging)
+    if rows_due is not None:
+        reconcile.require_reconciled(rows_due, found, staging)
     if _last_attempt(spark, target, load_id) >= number:
         raise RuntimeError(f"another attempt of load {load_id!r} was published meanwhile")
     row = spark.createDataFrame([(load_id, attempt, number, expected)], MANIFEST_SCHEMA)
@@ -130,7 +135,8 @@ def batch_load(df: DataFrame, plan: LoadPlan, batch: str, target: str, load_id:
                keep: list[str] | None = None) -> BatchLoad:
     """Publish the rows of all batches without a violation.
 
-    A bad row rejects its whole batch and no other one. The verdicts, one row per
+    A bad row rejects its whole batch and no other one; rows without a batch id are one
+    batch. Rows that landed are counted against the verdicts before they are published. The verdicts, one row per
     batch, are checkpointed, as rows and totals are both told from them; rows are
     conformed again for the write, which costs less than storing them twice.
     """
@@ -138,15 +144,14 @@ def batch_load(df: DataFrame, plan: LoadPlan, batch: str, target: str, load_id:
     require_plan(df, plan, [batch, *(keep or [])])
     conformed = conform.conform_table(df, plan, [batch, *(keep or [])])
     outcomes = quality.batch_outcomes(conformed, batch).checkpoint()
-    rejected = outcomes.where("bad_rows > 0").select(batch)
-    good = conformed.join(rejected, batch, "left_anti").drop("error_count", "errors")
-    written = staged_load(conform.loadable(good, plan), target, load_id)
     accepted = F.col("bad_rows") == 0
     totals = outcomes.agg(
         F.coalesce(F.sum(F.when(accepted, F.col("row_count"))), F.lit(0)).alias("rows"),
         F.count_if(accepted).alias("batches"), F.count_if(~accepted).alias("rejected"),
     ).first()
-    reconcile.require_reconciled(totals["rows"], written, target)
+    rejected = outcomes.where("bad_rows > 0").select(F.col(batch).alias("__bad"))
+    good = conformed.join(rejected, F.col(batch).eqNullSafe(F.col("__bad")), "left_anti").drop("error_count", "errors")
+    written = staged_load(conform.loadable(good, plan), target, load_id, totals["rows"])
     return BatchLoad(written, totals["batches"], totals["rejected"])
 
 

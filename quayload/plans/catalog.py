@@ -7,6 +7,7 @@ from quayload.plans import (  # noqa: F401
     shape_queries,
     sizing_queries,
     source_queries,
+    stream_queries,
     telemetry_queries,
 )
 from quayload.plans.registry import REGISTRY

@@ -15,21 +15,18 @@ def stream_load(stream: DataFrame, plan: LoadPlan, target: str, checkpoint: str,
 
     Both are partitioned by micro-batch and written with partition overwrite, so
     a micro-batch that is run again after a failure replaces what it had written.
+    :mod:`quayload.streaming.batches` rejects whole batches instead.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        # A micro-batch has fixed offsets, so each sink can read it for itself.
         conformed = conform.conform_table(batch, plan, keep).withColumn("micro_batch", F.lit(batch_id))
-        # Two sinks read the batch: keep it, so the source is read only once.
-        conformed.persist()
-        try:
-            good = conformed.where("error_count = 0").drop("error_count", "errors")
-            _replace(conform.loadable(good, plan), f"{target}/rows")
-            _replace(
-                conformed.where("error_count > 0").select("micro_batch", *(keep or []), F.inline("errors")),
-                f"{target}/diagnostics",
-            )
-        finally:
-            conformed.unpersist()
+        good = conformed.where("error_count = 0").drop("error_count", "errors")
+        _replace(conform.loadable(good, plan), f"{target}/rows")
+        _replace(
+            conformed.where("error_count > 0").select("micro_batch", *(keep or []), F.inline("errors")),
+            f"{target}/diagnostics",
+        )
 
     require_plan(stream, plan, keep)
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

@@ -2,7 +2,7 @@
 
 Chunks are whitespace-delimited pieces. A batch's new chunks are encoded once; every
 text is then the concatenation of its chunks' ids. The store of known chunks is bounded
-and belongs to one Python worker.
+in bytes and belongs to one Python worker.
 """
 
 from __future__ import annotations
@@ -11,28 +11,64 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from quayload.llm.hashing import chunks as byte_ranges
 from quayload.llm.hashing import text_bytes
 
-KEPT_CHUNKS = 600_000
+#: What a worker keeps of known chunks, and the longest chunk it keeps; longer ones are encoded each time.
+KEPT_BYTES = 128 << 20
+LONGEST_KEPT = 256
+#: Of a kept chunk besides its characters and ids.
+_ENTRY = 160
 
 
 class ChunkStore:
-    """ids of chunks as little-endian unsigned 32-bit bytes."""
+    """ids of chunks as little-endian unsigned 32-bit bytes; the store of known ones is bounded in bytes."""
 
-    def __init__(self, encode_many: Callable[[list[str]], Iterable[bytes]], limit: int = KEPT_CHUNKS):
+    def __init__(self, encode_many: Callable[[list[str]], Iterable[bytes]], limit: int = KEPT_BYTES):
         self.encode_many, self.limit = encode_many, limit
         self.known: dict[str, bytes] = {}
+        self.size = 0
+
+    def ids_of(self, chunks: Iterable[str]) -> dict[str, bytes]:
+        """A map that has all of ``chunks``."""
+        if self.size > self.limit:
+            self.known, self.size = {}, 0
+        new = [c for c in chunks if c not in self.known]
+        made = dict(zip(new, self.encode_many(new), strict=True))
+        kept = {c: ids for c, ids in made.items() if len(c) <= LONGEST_KEPT}
+        self.known.update(kept)
+        self.size += sum(_ENTRY + 2 * len(c) + len(ids) for c, ids in kept.items())
+        return self.known if len(kept) == len(made) else self.known | made
 
     def encode(self, texts: list[list[str]]) -> list[bytes]:
         """The ids of each text, given as its chunks."""
-        if len(self.known) > self.limit:
-            self.known = {}
-        known = self.known
-        new = [c for c in set().union(*texts) if c not in known]
-        known.update(zip(new, self.encode_many(new), strict=True))
-        return [b"".join(map(known.__getitem__, t)) for t in texts]
+        ids = self.ids_of(set().union(*texts))
+        return [b"".join(map(ids.__getitem__, t)) for t in texts]
+
+    def encode_split(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text, cut at white space as :meth:`str.split` does.
+
+        Chunks are coded by Arrow and looked up once a call, ids are gathered by their codes.
+        """
+        lists = pc.utf8_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        ids = self.ids_of(c for c in distinct if c)
+        packed = [ids[c] if c else b"" for c in distinct]
+        flat = np.frombuffer(b"".join(packed), "<u4")
+        sizes = np.array([len(p) // 4 for p in packed], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        codes = coded.indices.to_numpy()
+        each = sizes[codes]
+        ends = np.cumsum(each)
+        total = int(ends[-1]) if len(ends) else 0
+        found = flat[np.repeat(starts[codes] - ends + each, each) + np.arange(total)].tobytes()
+        # Ids before each chunk, at the first chunk of each text and after the last.
+        before = np.append(0, ends)
+        bounds = (4 * before[np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))]).tolist()
+        return [found[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:

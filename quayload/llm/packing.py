@@ -18,12 +18,14 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -61,7 +63,7 @@ class WordTokenizer:
     def _encode_chunks(self, chunks: list[str]) -> Iterator[bytes]:
         """A point or comma after a letter or digit is a match of its own, so the word before it is looked up."""
         known = self.store.known
-        ends = [c[-1] if len(c) > 1 and c[-1] in self.ends and _plain(c[-2]) else "" for c in chunks]
+        ends = [c[-1] if len(c) > 1 and c[-1] in self.ends and _plain(c[:-1]) else "" for c in chunks]
         words = [c[:-1] if e else c for c, e in zip(chunks, ends, strict=True)]
         new = list({w for w in words if w not in known})
         made = dict(zip(new, self._encode_words(new), strict=True))
@@ -79,16 +81,29 @@ class WordTokenizer:
                 begin = end + 4
             yield packed[begin:]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [not self.KEPT.search(t) for t in texts]
-        joined = iter(self.store.encode([t.split() for t, p in zip(texts, plain, strict=True) if p]))
-        whole = iter(self._ids([t for t, p in zip(texts, plain, strict=True) if not p]))
-        return [next(joined) if p else next(whole).tobytes() for p in plain]
-
-
-def _plain(character: str) -> bool:
-    """A letter or digit that lower case leaves one: some capitals become a letter and a mark."""
-    return character.isalnum() and (character < "\x80" or character.lower() == character)
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Packed ids of each text; the array has no nulls."""
+        whole = np.flatnonzero(pc.match_substring_regex(texts, self.KEPT.pattern).to_numpy(zero_copy_only=False))
+        if not len(whole):
+            return self.store.encode_split(texts)
+        plain = np.setdiff1d(np.arange(len(texts)), whole)
+        out: list[bytes] = [b""] * len(texts)
+        for i, ids in zip(plain.tolist(), self.store.encode_split(texts.take(pa.array(plain))), strict=True):
+            out[i] = ids
+        for i, ids in zip(whole.tolist(), self._ids(texts.take(pa.array(whole)).to_pylist()), strict=True):
+            out[i] = ids.tobytes()
+        return out
+
+
+def _plain(word: str) -> bool:
+    """Whether a mark after ``word`` is a match of its own.
+
+    It ends in a letter or digit that lower case leaves one (some capitals become a letter and
+    a mark), and normal form leaves the word as it is (some letters are split into a letter and
+    a mark).
+    """
+    last = word[-1]
+    return last.isalnum() and (last < "\x80" or last.lower() == last) and (word.isascii() or unicodedata.is_normalized("NFC", word))
 
 
 @lru_cache(maxsize=2)
@@ -109,7 +124,7 @@ def tokenize(
         tokenizer = _tokenizer(path)
         for batch in batches:
             for part in text_slices(batch, "text"):
-                encoded = [e + end for e in tokenizer.encode(part.column("text").to_pylist())]
+                encoded = [e + end for e in tokenizer.encode(part.column("text"))]
                 cuts = [(i, b) for i, e in enumerate(encoded) for b in range(0, len(e), width)]
                 pieces = [encoded[i][b : b + width] for i, b in cuts]
                 columns = [

@@ -2,8 +2,8 @@
 
 The occurrence relation R1 has every word of every piece, sorted by piece and position, and is
 written once. It is kept by chunk: the documents of one language in about 8 MiB of text, words
-as codes of the chunk's dictionary and pieces as runs of codes; no piece crosses a chunk. Then,
-length by length:
+as codes of the chunk's dictionary and pieces as runs of codes, both compressed; no piece
+crosses a chunk. Then, length by length:
 
 - merge-join: an occurrence of k words meets the one that begins a word later in its piece;
   sorted runs make that one step over neighbouring entries;
@@ -30,11 +30,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quayload.llm.hashing import BYTE_CODES, LOWER, U64, mix, power_tables, stream, text_bytes
+from quayload.llm.hashing import BYTE_CODES, LOWER, U64, mix, stream, text_bytes
 from quayload.llm.hashing import chunks as byte_ranges
 from quayload.llm.registry import llm_query
 from quayload.llm.workspace import discard, stage
@@ -54,7 +55,7 @@ _KIND = np.full(256, _WORD, np.uint8)
 _KIND[list(BLANKS)] = _BLANK
 _KIND[list(PIECE_ENDS)] = _END
 
-RELATION = "lang string, chunk long, n_words long, words array<string>, counts array<long>, codes array<int>, pieces array<int>"
+RELATION = "lang string, chunk long, n_words long, words array<string>, counts array<int>, codes binary, pieces binary"
 
 # ---- the occurrence relation ----------------------------------------------------------------------
 
@@ -81,6 +82,17 @@ def occurrences(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return coded.dictionary.view(pa.large_string()).cast(pa.string()), coded.indices.to_numpy(), first
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32, their bytes by significance, compressed."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=3).compress(planes)
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int32)
+
+
 def _listed(values) -> pa.Array:
     values = values if isinstance(values, pa.Array) else pa.array(values)
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
@@ -105,15 +117,20 @@ def relation(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFra
                 for a, b in zip(runs[:-1], runs[1:], strict=True):
                     words, found, pieces = occurrences(part.column("text").take(pa.array(order[a:b])))
                     if len(found):
+                        # Frequent words have small codes, which leaves little to store of the others' bytes.
+                        counts = np.bincount(found, minlength=len(words))
+                        order = np.argsort(-counts, kind="stable")
+                        rank = np.empty(len(order), np.int32)
+                        rank[order] = np.arange(len(order))
                         yield pa.RecordBatch.from_arrays(
                             [
                                 pa.array([langs.dictionary[int(codes[order[a]])].as_py()]),
                                 pa.array([chunk]),
                                 pa.array([len(found)]),
-                                _listed(words),
-                                _listed(np.bincount(found, minlength=len(words))),
-                                _listed(found),
-                                _listed(pieces),
+                                _listed(words.take(pa.array(order))),
+                                _listed(counts[order].astype(np.int32)),
+                                pa.array([packed(rank[found])], pa.binary()),
+                                pa.array([packed(np.diff(pieces, append=len(found)))], pa.binary()),
                             ],
                             ["lang", "chunk", "n_words", "words", "counts", "codes", "pieces"],
                         )
@@ -126,13 +143,14 @@ def relation(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFra
 
 
 def _word_hashes(words: pa.Array) -> np.ndarray:
-    """A 64-bit hash of every word's bytes."""
+    """A 64-bit hash of every word's bytes; no word is empty."""
     raw, offsets = text_bytes(words)
-    power, inverse = power_tables(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, U64)
-    np.cumsum(BYTE_CODES[raw] * power[: len(raw)], out=sums[1:])
-    begin, end = offsets[:-1], offsets[1:]
-    return mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(U64))
+    lengths = np.diff(offsets)
+    if not len(lengths):
+        return np.zeros(0, U64)
+    place = np.arange(len(raw)) - np.repeat(offsets[:-1], lengths)
+    factors = stream(37, int(lengths.max())) | U64(1)
+    return mix(np.add.reduceat(BYTE_CODES[raw] * factors[place], offsets[:-1]) + lengths.astype(U64))
 
 
 class Mining:
@@ -142,11 +160,10 @@ class Mining:
     are the codes of each distinct phrase, one array for each place.
     """
 
-    def __init__(self, lang: str, words: pa.Array, codes: np.ndarray, pieces: np.ndarray):
+    def __init__(self, lang: str, words: pa.Array, codes: np.ndarray, lengths: np.ndarray):
         self.words, self.codes = words, codes
         # Words that follow in the same piece, itself included.
-        lengths = np.diff(np.append(pieces, len(codes)))
-        self.left = np.repeat(pieces + lengths, lengths) - np.arange(len(codes))
+        self.left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))
         self.size = 1
         self.at = np.arange(len(codes))
         self.group, self.phrases = codes.astype(np.int64), [np.arange(len(words))]
@@ -193,8 +210,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Minin
         replies = [c for c in batch.schema.names if c.startswith("reply")]
         for row in range(batch.num_rows):
             values = {c: batch.column(c)[row] for c in ("lang", "chunk", "words", "codes", "pieces", *replies)}
-            inside = {c: values[c].values for c in ("words", "codes", "pieces")}
-            mining = Mining(values["lang"].as_py(), inside["words"], inside["codes"].to_numpy(), inside["pieces"].to_numpy())
+            codes, lengths = unpacked(values["codes"].as_py()), unpacked(values["pieces"].as_py())
+            mining = Mining(values["lang"].as_py(), values["words"].values, codes, lengths)
             known = [values[c].values for c in replies]
             yield (
                 values["lang"].as_py(), values["chunk"].as_py(), mining,

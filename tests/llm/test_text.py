@@ -32,7 +32,7 @@ def test_query_matches_sql(spark, name):
 
 def test_every_operator_has_a_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in LLM_REGISTRY)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 # ---- quality ------------------------------------------------------------------------------------

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from quayload.session import written
 
-def count_reconcile(written: DataFrame, found: DataFrame, key: str) -> DataFrame:
+
+def count_reconcile(sent_rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
     """Rows written against rows found, per load; either side may be missing.
 
     Both sides are counted in one aggregate, so rows without a load are a load like any other.
     """
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    sent = written.select(key, one.alias("rows_written"), none.alias("rows_found"))
+    sent = sent_rows.select(key, one.alias("rows_written"), none.alias("rows_found"))
     seen = found.select(key, none.alias("rows_written"), one.alias("rows_found"))
     counts = sent.unionByName(seen).groupBy(key).agg(F.sum("rows_written").alias("rows_written"), F.sum("rows_found").alias("rows_found"))
     return counts.withColumn("matches", F.col("rows_written") == F.col("rows_found"))
@@ -35,17 +37,99 @@ def sentinel_count(df: DataFrame, column: str, first: int, second: int) -> DataF
     ).withColumn("all_rows_match", F.col("row_count") == F.col("sentinel_rows"))
 
 
-def roundtrip_diff(source: DataFrame, target: DataFrame) -> DataFrame:
+# ---- multiset checksums -------------------------------------------------------------------------
+
+#: Leaves of a checksum tree, and children of its nodes: levels of 1, 64 and 4096 nodes.
+LEAVES, CHILDREN = 4096, 64
+_SUMS = ("rows", "low_1", "high_1", "low_2", "high_2")
+_SEED = 0x5EED
+
+
+def _hashable(field: T.StructField) -> list[Column]:
+    """What tells values apart as a grouping does; NULL is a value of its own."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        value = F.when(column == 0, F.lit(0.0).cast(field.dataType)).otherwise(column)
+    elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        # The hash leaves out NULLs inside nested values.
+        value = F.to_json(F.struct(column), {"ignoreNullFields": "false"})
+    else:
+        value = column
+    return [value, column.isNull()]
+
+
+def _hashes(df: DataFrame, columns: list[str]) -> tuple[Column, Column]:
+    """Two independent 64-bit hashes of a row."""
+    values = [part for name in columns for part in _hashable(df.schema[name])]
+    return F.xxhash64(*values), F.xxhash64(F.lit(_SEED), *values, F.lit(_SEED))
+
+
+def _leaf(row_hash: Column, leaves: int) -> Column:
+    return F.pmod(row_hash, F.lit(leaves)).cast("int")
+
+
+def checksum_leaves(df: DataFrame, columns: list[str] | None = None, leaves: int = LEAVES) -> DataFrame:
+    """Per leaf the rows and the sums of two row hashes, each in halves that cannot overflow below 2^31 rows.
+
+    A task sends at most one narrow row for each leaf, whatever the width of the table.
+    """
+    first, second = _hashes(df, columns or df.columns)
+    hashed = df.select(first.alias("h1"), second.alias("h2")).withColumn("node", _leaf(F.col("h1"), leaves))
+    low = F.lit((1 << 32) - 1)
+    halves = {
+        "low_1": F.col("h1").bitwiseAND(low), "high_1": F.shiftright("h1", 32),
+        "low_2": F.col("h2").bitwiseAND(low), "high_2": F.shiftright("h2", 32),
+    }
+    return hashed.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), *(F.sum(v).alias(n) for n, v in halves.items()))
+
+
+def checksum_tree(leaf_sums: DataFrame, leaves: int = LEAVES, children: int = CHILDREN) -> DataFrame:
+    """(level, node, rows, sums) from the root, level 0, to the leaves; small enough to be stored beside a load."""
+    levels, size = [leaf_sums], leaves
+    while size > 1:
+        size = -(-size // children)
+        up = levels[0].withColumn("node", F.expr(f"node div {children}").cast("int"))
+        levels.insert(0, up.groupBy("node").agg(*(F.sum(c).alias(c) for c in _SUMS)))
+    out = None
+    for level, nodes in enumerate(levels):
+        rows = nodes.select(F.lit(level).alias("level"), "node", *_SUMS)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def tree_differences(left: DataFrame, right: DataFrame, leaves: int = LEAVES, children: int = CHILDREN) -> DataFrame:
+    """Leaves (column ``node``) that differ between two trees, found from the root down."""
+    depth, size = 0, leaves
+    while size > 1:
+        depth, size = depth + 1, -(-size // children)
+    pairs = left.select("level", "node", F.struct(*_SUMS).alias("l")).join(
+        right.select("level", "node", F.struct(*_SUMS).alias("r")), ["level", "node"], "full_outer")
+    differ = pairs.where(~F.col("l").eqNullSafe(F.col("r"))).select("level", "node")
+    found = differ.where("level = 0").select("node")
+    for level in range(1, depth + 1):
+        above = found.select(F.col("node").alias("__above"))
+        here = differ.where(F.col("level") == level)
+        found = here.join(above, F.expr(f"node div {children}") == F.col("__above"), "left_semi").select("node")
+    return found
+
+
+def roundtrip_diff(source: DataFrame, target: DataFrame, exact: bool = False, leaves: int = LEAVES) -> DataFrame:
     """Rows with different multiplicity, with ``missing`` and ``unexpected`` copies.
 
-    Both sides are counted in one aggregate over all columns, which combines on
-    the map side: many copies of one row cost one row per task.
+    Both tables are summed up in multiset checksums first; where these agree, nothing but
+    narrow sums is shuffled. Rows of the leaves that differ, and only those, are counted in
+    one aggregate over all columns, which combines on the map side: many copies of one row
+    cost one row per task. ``exact`` compares all rows and trusts no checksum.
     """
     columns = source.columns
-    signed = source.select(*columns, F.lit(1).alias("__sign")).unionByName(
-        target.select(*columns, F.lit(-1).alias("__sign"))
-    )
-    balance = signed.groupBy(*columns).agg(F.sum("__sign").alias("__balance"))
+    sides = [(source.select(*columns), 1), (target.select(*columns), -1)]
+    if not exact:
+        trees = [checksum_tree(written(checksum_leaves(df, columns, leaves), "checksums"), leaves) for df, _ in sides]
+        # At most one number for each leaf.
+        wrong = [row["node"] for row in tree_differences(*trees, leaves).collect()]
+        sides = [(df.where(_leaf(_hashes(df, columns)[0], leaves).isin(wrong)), sign) for df, sign in sides]
+    left, right = (df.withColumn("__sign", F.lit(sign)) for df, sign in sides)
+    balance = left.unionByName(right).groupBy(*columns).agg(F.sum("__sign").alias("__balance"))
     return balance.where("__balance <> 0").select(
         *columns,
         F.greatest(F.col("__balance"), F.lit(0)).alias("missing"),

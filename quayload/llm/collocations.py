@@ -119,16 +119,16 @@ def relation(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFra
                     if len(found):
                         # Frequent words have small codes, which leaves little to store of the others' bytes.
                         counts = np.bincount(found, minlength=len(words))
-                        order = np.argsort(-counts, kind="stable")
-                        rank = np.empty(len(order), np.int32)
-                        rank[order] = np.arange(len(order))
+                        by_count = np.argsort(-counts, kind="stable")
+                        rank = np.empty(len(by_count), np.int32)
+                        rank[by_count] = np.arange(len(by_count))
                         yield pa.RecordBatch.from_arrays(
                             [
                                 pa.array([langs.dictionary[int(codes[order[a]])].as_py()]),
                                 pa.array([chunk]),
                                 pa.array([len(found)]),
-                                _listed(words.take(pa.array(order))),
-                                _listed(counts[order].astype(np.int32)),
+                                _listed(words.take(pa.array(by_count))),
+                                _listed(counts[by_count].astype(np.int32)),
                                 pa.array([packed(rank[found])], pa.binary()),
                                 pa.array([packed(np.diff(pieces, append=len(found)))], pa.binary()),
                             ],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quayload import policy as P
 from quayload.functions import checks, temporal, zones
@@ -36,7 +36,37 @@ def conform_table(df: DataFrame, plan: LoadPlan, keep: list[str] | None = None)
     order. Whoever only asks whether a row is good reads ``error_count``; the
     array is then pruned from the plan. All is projection, so column pruning still
     reaches the scan.
+
+    A frame whose columns are not the planned ones is not converted: every row has a
+    ``SchemaMismatch`` for each column that is missing or has another type, and no other
+    violation. Its value there is NULL. Columns that are not planned do not matter.
     """
+    wrong = schema_mismatches(df.schema, plan)
+    if wrong:
+        return _mismatched(df, plan, keep, wrong)
+    return _conformed(df, plan, keep)
+
+
+def schema_mismatches(schema: T.StructType, plan: LoadPlan) -> list[PlannedColumn]:
+    """Planned columns that a frame lacks, has twice, or has with a type that cannot carry them."""
+    fields: dict[str, list[T.StructField]] = {}
+    for field in schema.fields:
+        fields.setdefault(field.name, []).append(field)
+    return [c for c in plan.columns if len(found := fields.get(c.name, [])) != 1 or not P.carries(found[0], c.source)]
+
+
+def _mismatched(df: DataFrame, plan: LoadPlan, keep: list[str] | None, wrong: list[PlannedColumn]) -> DataFrame:
+    lost = {c.name for c in wrong}
+    # Kept columns stay as they came, also those that are planned with another type.
+    have = [F.col(f"`{n}`") for n in dict.fromkeys([*(keep or []), *(c.name for c in plan.columns if c.name not in lost)])]
+    nothing = [F.lit(None).cast(P.carrier_of(c.source)).alias(c.name) for c in wrong if c.name not in (keep or [])]
+    usable = LoadPlan(tuple(c for c in plan.columns if c.name not in lost or c.name not in (keep or [])), plan.options)
+    issues = [diagnostic(F.lit(P.SCHEMA_MISMATCH), c.index, c.name) for c in wrong]
+    rows = _conformed(df.select(*have, *nothing), usable, keep)
+    return rows.withColumn("error_count", F.lit(len(issues))).withColumn("errors", F.array(*issues).cast(ERRORS_TYPE))
+
+
+def _conformed(df: DataFrame, plan: LoadPlan, keep: list[str] | None) -> DataFrame:
     kept, hold = [F.col(name) for name in keep or []], Hold()
     conformed = [(c, conform_column(c, plan.options, hold=hold)) for c in plan.columns]
     codes = [(c, checked.code) for c, checked in conformed if not checked.never_fails(c)]

@@ -7,11 +7,15 @@ Rows are range-partitioned into segments, and every segment is described by how
 changes the state "bytes in the open range". Those descriptions are combined in
 groups of ``FAN_IN`` up to one, entry states are handed back down, and each
 segment then cuts its own rows. No task ever sees more than one segment of rows.
+
+Where the caller knows how many rows a batch has at most, because batches were cut to
+that number, each batch is folded inside the JVM instead, after one shuffle by batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -34,15 +38,19 @@ PIECE_SCHEMA = "batch {b}, range_no long, start_row long, row_count long, range_
 
 
 def pack_ranges(df: DataFrame, batch: str, order: list[str], row_bytes: str,
-                limit: int = DEFAULT_LIMIT) -> DataFrame:
+                limit: int = DEFAULT_LIMIT, batch_rows: int | None = None) -> DataFrame:
     """Ranges of every batch: number, first row in the batch, rows, bytes.
 
-    Batches may be of any size, one batch over many tasks if need be. A row without a
-    size fails the job before rows are moved. Rows without a batch are a batch.
+    Batches may be of any size, one batch over many tasks if need be. ``batch_rows`` is
+    the caller's promise of how many rows a batch has at most; a batch that breaks it
+    fails the job. A row without a size fails the job before rows are moved. Rows without
+    a batch are a batch.
     """
     _check_limit(limit)
     kind = df.schema[batch].dataType.simpleString()
     size = F.coalesce(F.col(row_bytes).cast("bigint"), F.raise_error(F.lit("a row without a size cannot be packed")).cast("bigint"))
+    if batch_rows is not None:
+        return _fold_batches(df, batch, order, size, limit, batch_rows)
     rest = [c for c in order if c != batch]
     sizes = df.select(F.col(batch).alias("batch"), *rest, size.alias("size"))
     parts = partitions_for(df, SEGMENT_ROWS)
@@ -81,6 +89,33 @@ def pack_ranges(df: DataFrame, batch: str, order: list[str], row_bytes: str,
     return whole.select(batch_of_key(F.col("batch"), kind).alias(batch), "range_no", "start_row", "row_count", "range_bytes")
 
 
+def _fold_batches(df: DataFrame, batch: str, order: list[str], size: Column, limit: int, batch_rows: int) -> DataFrame:
+    """One fold over the sorted sizes of each batch, which has ``batch_rows`` rows at most."""
+    rows = F.collect_list(F.struct(*(F.col(c).alias(f"o{i}") for i, c in enumerate(order)), size.alias("size")))
+    refused = F.raise_error(F.lit(f"a batch has more than the {batch_rows} rows it may have"))
+    held = F.when(F.count(F.lit(1)) <= batch_rows, F.array_sort(rows)).otherwise(refused)
+    piece = "struct<start_row:bigint,row_count:bigint,range_bytes:bigint>"
+    nothing = F.lit(0).cast("bigint")
+    start = F.struct(F.array().cast(f"array<{piece}>").alias("closed"), *(nothing.alias(n) for n in ("start_row", "row_count", "range_bytes")))
+
+    def open_range(state: Column) -> Column:
+        return F.array(F.struct(state["start_row"].alias("start_row"), state["row_count"].alias("row_count"), state["range_bytes"].alias("range_bytes")))
+
+    def add(state: Column, row: Column) -> Column:
+        full = (state["row_count"] > 0) & (state["range_bytes"] + row["size"] > limit)
+        return F.struct(
+            F.when(full, F.concat(state["closed"], open_range(state))).otherwise(state["closed"]).alias("closed"),
+            F.when(full, state["start_row"] + state["row_count"]).otherwise(state["start_row"]).alias("start_row"),
+            F.when(full, F.lit(1).cast("bigint")).otherwise(state["row_count"] + 1).alias("row_count"),
+            F.when(full, row["size"]).otherwise(state["range_bytes"] + row["size"]).alias("range_bytes"),
+        )
+
+    ranges = F.aggregate("__rows", start, add, lambda state: F.concat(state["closed"], open_range(state)))
+    folded = df.groupBy(batch).agg(held.alias("__rows")).select(batch, ranges.alias("__ranges"))
+    return folded.select(batch, F.posexplode("__ranges").alias("range_no", "__piece")).select(
+        batch, F.col("range_no").cast("bigint").alias("range_no"), "__piece.start_row", "__piece.row_count", "__piece.range_bytes")
+
+
 def batch_key(batch: Column, kind: str) -> Column:
     """A text for every batch, none of them NULL: pandas keeps it as it is, whatever the batch's type.
 
@@ -150,6 +185,28 @@ def _whole_segments(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held, ignore_index=True)
 
 
+STEP_COLUMNS = ["fresh", "entry_max", "exit_bytes", "cuts"]
+
+
+def _table(tops: np.ndarray, exits: np.ndarray, cuts: np.ndarray) -> pd.DataFrame:
+    """Steps in the order of their entries; neighbours with the same outcome become one."""
+    order = np.argsort(tops, kind="stable")
+    tops, exits, cuts = tops[order], exits[order], cuts[order]
+    if len(tops):
+        last = np.append((exits[1:] != exits[:-1]) | (cuts[1:] != cuts[:-1]), True)
+        tops, exits, cuts = tops[last], exits[last], cuts[last]
+    return pd.DataFrame({"fresh": False, "entry_max": tops, "exit_bytes": exits, "cuts": cuts})
+
+
+def _description(segment: int, first, last, through: bool, row_total: int, exit_rows: int, fresh: tuple[int, int],
+                 steps: pd.DataFrame | None) -> pd.DataFrame:
+    """A segment's rows: what it does when nothing is open, then its steps if one batch runs through it."""
+    head = pd.DataFrame({"fresh": [True], "entry_max": [0], "exit_bytes": [fresh[0]], "cuts": [fresh[1]]})
+    out = head if steps is None or steps.empty else pd.concat([head, steps], ignore_index=True)
+    out = out.assign(segment=segment, first_batch=first, last_batch=last, through=through, row_total=row_total, exit_rows=exit_rows)
+    return out[["segment", "first_batch", "last_batch", "through", "row_total", *STEP_COLUMNS, "exit_rows"]]
+
+
 def _describe(limit: int):
     """Per segment: the state it leaves behind, as a step function of the state it meets."""
 
@@ -160,30 +217,19 @@ def _describe(limit: int):
             prefix = _prefix(rows["size"].to_numpy()[low:high])
             starts, left = cut_starts(prefix, 0, limit)
             through = len(runs) == 1
-            tables = [(True, 0, left, len(starts))]
-            if through:
-                tables += _steps(prefix, limit)
-            yield pd.DataFrame({
-                "segment": rows["segment"].iat[0],
-                "first_batch": rows["batch"].iat[0],
-                "last_batch": rows["batch"].iat[-1],
-                "through": through,
-                "row_total": high - low,
-                "fresh": [t[0] for t in tables],
-                "entry_max": [t[1] for t in tables],
-                "exit_bytes": [t[2] for t in tables],
-                "cuts": [t[3] for t in tables],
-                "exit_rows": high - low,
-            })
+            yield _description(
+                rows["segment"].iat[0], rows["batch"].iat[0], rows["batch"].iat[-1], through, high - low, high - low,
+                (left, len(starts)), _steps(prefix, limit) if through else None)
 
     return describe
 
 
-def _steps(prefix: np.ndarray, limit: int) -> list[tuple[bool, int, int, int]]:
-    """(fresh, entry_max, exit_bytes, cuts): valid for entry bytes up to ``entry_max``.
+def _steps(prefix: np.ndarray, limit: int) -> pd.DataFrame:
+    """Steps (entry_max, exit_bytes, cuts): valid for entry bytes up to ``entry_max``.
 
     An entry of c bytes is first cut at the row where c plus the rows before and
-    including it passes the limit. Each such row starts a chain of its own.
+    including it passes the limit. Each such row starts a chain of its own. A step without
+    a cut carries its bytes on; its exit is the entry less ``exit_bytes``.
     """
     rows, total = len(prefix) - 1, int(prefix[-1])
     # Row p is the first cut for c in (limit - prefix[p+1], limit - prefix[p]].
@@ -200,22 +246,10 @@ def _steps(prefix: np.ndarray, limit: int) -> list[tuple[bool, int, int, int]]:
     exits = total - prefix[at]
     # An entry beyond the limit (one oversized row) is cut at once, like the largest.
     tops = np.where(candidates == 0, np.iinfo(np.int64).max, limit - prefix[candidates])
-    steps = [(False, int(tops[i]), int(exits[i]), int(cuts[i])) for i in range(len(candidates))]
     if total < limit:
-        # What fits without a cut carries its bytes on: exit is entry + total.
-        steps.append((False, limit - total, -total, 0))
-    return _merged(sorted(steps, key=lambda s: s[1]))
-
-
-def _merged(steps: list[tuple[bool, int, int, int]]) -> list[tuple[bool, int, int, int]]:
-    """Neighbouring steps with the same outcome become one."""
-    kept: list[tuple[bool, int, int, int]] = []
-    for step in steps:
-        if kept and kept[-1][2:] == step[2:]:
-            kept[-1] = step
-        else:
-            kept.append(step)
-    return kept
+        # What fits without a cut carries its bytes on.
+        tops, exits, cuts = np.append(tops, limit - total), np.append(exits, -total), np.append(cuts, 0)
+    return _table(tops, exits, cuts)
 
 
 def _apply(steps: pd.DataFrame, open_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -249,60 +283,36 @@ def _combine(table: pd.DataFrame) -> pd.DataFrame:
     members = _members(table)
     batch = members[0]["first_batch"].iat[0]
     through = all(m["through"].iat[0] and m["first_batch"].iat[0] == batch for m in members)
-    fresh = (None, 0, 0, 0)
+    state = (None, 0, 0, 0)
     for member in members:
-        fresh = _leave(fresh, member)
+        state = _leave(state, member)
     total = int(sum(m["row_total"].iat[0] for m in members)) if through else 0
-    out = [(True, 0, fresh[1], fresh[2])]
-    if through:
-        out += _compose([_split(m)[1] for m in members])
-    return pd.DataFrame({
-        "segment": int(table["parent"].iat[0]),
-        "first_batch": batch,
-        "last_batch": members[-1]["last_batch"].iat[0],
-        "through": through,
-        "row_total": total,
-        "fresh": [o[0] for o in out],
-        "entry_max": [o[1] for o in out],
-        "exit_bytes": [o[2] for o in out],
-        "cuts": [o[3] for o in out],
-        "exit_rows": fresh[3],
-    })
-
-
-def _compose(tables: list[pd.DataFrame]) -> list[tuple[bool, int, int, int]]:
-    """Step functions one after the other.
-
-    Entries that the first tables cut are followed as values. Entries not cut so
-    far carry ``entry + total``, and the next table splits them by its own steps.
+    steps = reduce(_then, (_split(m)[1] for m in members)) if through else None
+    return _description(
+        int(table["parent"].iat[0]), batch, members[-1]["last_batch"].iat[0], through, total, state[3], (state[1], state[2]), steps)
+
+
+def _then(first: pd.DataFrame, second: pd.DataFrame) -> pd.DataFrame:
+    """One step function after the other.
+
+    Entries that the first one cuts leave it as values, which the second one moves on.
+    Entries that it does not cut arrive as ``entry + total``, and are split where the
+    second one has its steps.
     """
-    steps: list[tuple[bool, int, int, int]] = []
-    uncut_max, total = None, 0  # entries up to uncut_max pass with total added
-    for position, table in enumerate(tables):
-        tops = table["entry_max"].to_numpy()
-        exits, cuts = table["exit_bytes"].to_numpy(), table["cuts"].to_numpy()
-        if steps:
-            moved, more = _apply(table, np.array([s[2] for s in steps], dtype=np.int64))
-            steps = [(False, s[1], int(m), s[3] + int(c)) for s, m, c in zip(steps, moved, more)]
-        if position and uncut_max is None:
-            continue
-        passing = None
-        for top, exit_bytes, count in zip(tops.tolist(), exits.tolist(), cuts.tolist()):
-            reach = top if position == 0 else min(top - total, uncut_max)
-            if position and reach <= 0:
-                continue
-            if count == 0:
-                passing = (reach, total - exit_bytes)
-            else:
-                steps.append((False, reach, exit_bytes, count))
-            if position and top - total >= uncut_max:
-                break
-        uncut_max, total = passing if passing else (None, total)
-        steps.sort(key=lambda s: s[1])
-    if uncut_max is not None:
-        steps.append((False, uncut_max, -total, 0))
-    steps.sort(key=lambda s: s[1])
-    return _merged(steps)
+    tops, exits, cuts = (first[c].to_numpy() for c in STEP_COLUMNS[1:])
+    cut = cuts > 0
+    moved, more = _apply(second, exits[cut])
+    made = [(tops[cut], moved, cuts[cut] + more)]
+    for at in np.flatnonzero(~cut):
+        total, below = -exits[at], tops[at - 1] if at else -1
+        their_tops, their_exits, their_cuts = (second[c].to_numpy() for c in STEP_COLUMNS[1:])
+        reach = their_tops - total
+        until = int(np.searchsorted(reach, tops[at], side="left")) + 1
+        reach = np.minimum(reach[:until], tops[at])
+        met = reach > below
+        value = np.where(their_cuts == 0, their_exits - total, their_exits)[:until]
+        made.insert(0, (reach[met], value[met], their_cuts[:until][met]))
+    return _table(*(np.concatenate(parts) for parts in zip(*made)))
 
 
 def _entries(members: list[pd.DataFrame], state: tuple, batch_dtype) -> pd.DataFrame:

@@ -124,7 +124,8 @@ def _packed(batch: str, limit: int) -> str:
 
 def document_ranges(spark, sf_dir):
     sized = documents(spark, sf_dir).select("batch_id", "doc_id", sizing.row_bytes(DOCUMENT_PLAN).alias("row_bytes"))
-    return packing.pack_ranges(sized, "batch_id", ["doc_id"], "row_bytes", DOC_LIMIT)
+    # Batches are cut by a unique key, so none has more rows than the cut allows.
+    return packing.pack_ranges(sized, "batch_id", ["doc_id"], "row_bytes", DOC_LIMIT, DOC_BATCH)
 
 
 @query("pack_ranges", _packed("batch_id", DOC_LIMIT) + "SELECT * FROM ranges")

@@ -218,3 +218,45 @@ def source_type_of(field: T.StructField) -> SourceType:
     if isinstance(spark_type, (T.ArrayType, T.MapType, T.StructType)):
         return SourceType("nested")
     return SourceType("unsupported")
+
+
+def carrier_of(source: SourceType) -> T.DataType:
+    """The Spark type that carries a source type."""
+    simple = {
+        "boolean": T.BooleanType, "int8": T.ByteType, "int16": T.ShortType, "int32": T.IntegerType, "int64": T.LongType,
+        "uint8": T.ShortType, "uint16": T.IntegerType, "uint32": T.LongType, "float16": T.FloatType, "float32": T.FloatType,
+        "float64": T.DoubleType, "date32": T.DateType, "date64": T.LongType, "time": T.LongType, "fixed_binary": T.BinaryType,
+        "wide_decimal": T.StringType, **dict.fromkeys(STRING_FAMILY, T.StringType), **dict.fromkeys(BINARY_FAMILY, T.BinaryType),
+    }
+    if source.kind in simple:
+        return simple[source.kind]()
+    if source.kind == "uint64":
+        return T.DecimalType(20, 0)
+    if source.kind == "decimal":
+        return T.DecimalType(min(source.precision, MAX_DECIMAL_PRECISION), max(source.scale, 0))
+    if source.kind == "timestamp" and source.unit == "us":
+        return T.TimestampType() if source.zone else T.TimestampNTZType()
+    return T.LongType() if source.kind == "timestamp" else T.NullType()
+
+
+def carries(field: T.StructField, source: SourceType) -> bool:
+    """Whether a column may hold values of ``source``: as it declares, else by its Spark type.
+
+    Unsigned numbers, times and dates in milliseconds may come in any wider integer.
+    """
+    declared = (field.metadata or {}).get(SOURCE_TYPE_KEY)
+    if declared:
+        found = parse_source_type(declared)
+        return found == source or any(found.kind in f and source.kind in f for f in (STRING_FAMILY, BINARY_FAMILY))
+    carrier, own = carrier_of(source), field.dataType
+    if isinstance(carrier, T.NullType) or isinstance(own, type(carrier)) and not isinstance(own, T.DecimalType):
+        return True
+    whole = isinstance(own, T.IntegralType)
+    if isinstance(own, T.DecimalType):
+        return source.kind in ("uint64", "wide_decimal") and own.scale == 0 or source.kind == "decimal" and own.scale == max(source.scale, 0)
+    if source.kind in ("uint64", "wide_decimal", "date64", "time") or source.kind == "timestamp" and source.unit != "us":
+        return whole
+    if source.kind == "decimal":
+        return whole and source.scale < 0
+    wider = {"uint8": (T.IntegerType, T.LongType), "uint16": (T.LongType,)}
+    return isinstance(own, wider.get(source.kind, ()))

@@ -131,3 +131,49 @@ def test_one_batch_over_many_partitions(spark, monkeypatch, kind):
 def test_no_rows(spark):
     df = spark.createDataFrame([], "batch int, row int, bytes long")
     assert packing.pack_ranges(df, "batch", ["row"], "bytes", 400).count() == 0
+
+
+@pytest.mark.parametrize("kind, batches", [("long", [None, 2**53 + 1]), ("string", ["n", None]), ("binary", [None, b"\xff"])])
+def test_promised_batches_give_the_same_ranges(spark, kind, batches):
+    random = np.random.default_rng(5)
+    rows = [(b, i, int(random.choice([0, 1, 30, 99, 100, 101, 250]))) for b in batches for i in range(200)]
+    df = spark.createDataFrame(rows, f"batch {kind}, row int, bytes long").repartition(4)
+    promised = packing.pack_ranges(df, "batch", ["row"], "bytes", 100, 200)
+    free = packing.pack_ranges(df, "batch", ["row"], "bytes", 100)
+    assert sorted(repr(tuple(r)) for r in promised.collect()) == sorted(repr(tuple(r)) for r in free.collect())
+    assert promised.columns == free.columns and promised.dtypes == free.dtypes
+    with pytest.raises(Exception, match="more than the 199 rows"):
+        packing.pack_ranges(df, "batch", ["row"], "bytes", 100, 199).collect()
+    with pytest.raises(Exception, match="without a size"):
+        packing.pack_ranges(df.withColumn("bytes", packing.F.lit(None).cast("long")), "batch", ["row"], "bytes", 100, 200).collect()
+
+
+def test_composed_steps_hold_for_every_entry():
+    """Steps of many segments as one function, against cutting all rows at once."""
+    random = np.random.default_rng(2)
+    for _ in range(60):
+        limit = int(random.integers(5, 60))
+        parts = [random.integers(1, 25, random.integers(1, 12)) for _ in range(6)]
+        tables = [packing._steps(packing._prefix(p), limit) for p in parts]
+        whole = packing.reduce(packing._then, tables)
+        prefix = packing._prefix(np.concatenate(parts))
+        entries = np.arange(1, 80)
+        exits, cuts = _apply(whole, entries)
+        for entry, left, count in zip(entries.tolist(), exits.tolist(), cuts.tolist()):
+            starts, open_bytes = packing.cut_starts(prefix, entry, limit)
+            assert (open_bytes, len(starts)) == (left, count)
+        assert (np.diff(whole["entry_max"]) > 0).all()
+
+
+def test_large_segments_compose_in_bounded_memory():
+    """Eight segments of 200,000 rows of few bytes each: a step for nearly every row, in arrays."""
+    import tracemalloc
+
+    random = np.random.default_rng(1)
+    limit = 8 << 20
+    tracemalloc.start()
+    tables = [packing._steps(packing._prefix(random.integers(1, 80, 200_000)), limit) for _ in range(8)]
+    whole = packing.reduce(packing._then, tables)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250 << 20 and len(whole) > 0

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quayload import policy as P
 from quayload.functions.exact import quotient
-from quayload.functions.hold import DECODED, SCALED, SPLIT, Holder, inline
+from quayload.functions.hold import DECODED, SCALED, SPLIT, Hold, Holder, inline
 
 # Offsets are at most 14 hours; these three-letter names are zones
 # of the tz database, other three-letter names are only abbreviations.
@@ -76,6 +76,39 @@ def zone_offset(timestamp: Column, zone: Column, hold: Holder = inline) -> Offse
     return Offset(value, code)
 
 
+def judged_names(df: DataFrame, zone: str) -> DataFrame:
+    """One row for each zone name of ``df``: ``__zone``, whether it is a tz database name, and its fixed offset.
+
+    What it takes to judge a name, among it reading a timestamp, is done once for each
+    name instead of once for each row.
+    """
+    names = df.select(F.col(zone).alias("__zone")).distinct()
+    held = Hold()
+    fixed = fixed_offset(F.col("__zone"), held)
+    return held.add_to(names).select(
+        "__zone", (F.upper("__zone").isin("Z", "UTC") | F.col("__zone").rlike("^[+-]")).alias("__signed"),
+        is_zone_name(F.col("__zone")).alias("__named"), fixed.minutes.alias("__minutes"))
+
+
+def with_offsets(df: DataFrame, timestamp: str, zone: str, minutes: str = "offset_minutes", code: str = "code") -> DataFrame:
+    """``df`` with the offset of ``timestamp`` in the zone that column ``zone`` names, and a code where it has none.
+
+    The same result as :func:`zone_offset` gives row by row. Names are joined by the
+    planner's choice: they are few in a clean table, and as many as its errors in another.
+    """
+    names = judged_names(df, zone)
+    joined = df.join(names, F.col(zone) == F.col("__zone"), "left")
+    at, named = F.col(timestamp), F.coalesce("__named", F.lit(False)) & ~F.coalesce("__signed", F.lit(False))
+    # Unusable names must not reach the conversion, which would fail the job.
+    usable = F.when(named, F.col("__zone")).otherwise(F.lit("UTC"))
+    shifted = joined.withColumn("__micros", F.unix_micros(F.from_utc_timestamp(at, usable)) - F.unix_micros(at))
+    whole = F.call_function("div", F.col("__micros"), F.lit(60_000_000)).cast("int")
+    fits = (F.col("__micros") % 60_000_000 == 0) & (F.abs(whole) <= MAX_OFFSET_MINUTES)
+    value = F.when(F.col("__signed"), F.col("__minutes")).when(named & fits, whole)
+    bad = F.when(F.col("__signed"), F.col("__minutes").isNull()).otherwise(~named | (at.isNotNull() & ~fits))
+    return shifted.select(*df.columns, value.alias(minutes), F.when(bad, F.lit(P.TIMEZONE)).alias(code))
+
+
 def zone_code(zone: str) -> Column:
     """A code where a zone known to the plan cannot be used; folds to a constant."""
     literal = F.lit(zone)

@@ -7,7 +7,9 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quayload.functions import checks
+from quayload.operators import packing
 from quayload.policy import LoadPlan, PlannedColumn
+from quayload.session import written
 
 # Bytes of a required value per target kind.
 FIXED_BYTES = {"bit": 1, "tinyint": 1, "smallint": 2, "int": 4, "real": 4, "bigint": 8, "float": 8, "datetime": 8}
@@ -112,3 +114,46 @@ def content_counters(df: DataFrame, plan: LoadPlan) -> list[Column]:
 
 def _or_null(column: Column, size: Column, null_size: int) -> Column:
     return F.when(column.isNull(), F.lit(null_size)).otherwise(size).cast("bigint")
+
+
+def load_counters(df: DataFrame, plan: LoadPlan, batch: str, order: list[str], limit: int = packing.DEFAULT_LIMIT,
+                  batches: DataFrame | None = None, batch_rows: int | None = None) -> DataFrame:
+    """One row: rows, batches, ranges, encoded bytes, largest range, text bytes, binary bytes, NULL cells.
+
+    The rows are read and measured once; ranges and sums are taken from their sizes, which
+    are written. ``batches`` names every batch that was sent, also those without rows.
+    """
+    content = ["text_bytes", "binary_bytes", "null_cells"]
+    keys = list(dict.fromkeys([batch, *order]))
+    sizes = written(df.select(*keys, row_bytes(plan).alias("__bytes"), *content_counters(df, plan)), "row-sizes")
+    totals = sizes.agg(
+        F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum("__bytes"), F.lit(0)).alias("encoded_bytes"),
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in content))
+    named = sizes.select(batch) if batches is None else sizes.select(batch).unionByName(batches.select(batch))
+    counted = named.distinct().agg(F.count(F.lit(1)).alias("batches"))
+    ranges = packing.pack_ranges(sizes, batch, order, "__bytes", limit, batch_rows).agg(
+        F.count(F.lit(1)).alias("row_ranges"), F.coalesce(F.max("range_bytes"), F.lit(0)).alias("max_range_bytes"))
+    # Single rows made one: each column is known to one of them only.
+    parts = totals.unionByName(counted, allowMissingColumns=True).unionByName(ranges, allowMissingColumns=True)
+    names = ["row_count", "batches", "row_ranges", "encoded_bytes", "max_range_bytes", *content]
+    return parts.agg(*(F.max(c).alias(c) for c in names))
+
+
+def readiness(conformed: DataFrame, plan: LoadPlan, batch: str, order: list[str], limit: int = packing.DEFAULT_LIMIT,
+              batch_rows: int | None = None) -> DataFrame:
+    """Per batch rows, bad rows, violations, bytes, the verdict, and the ranges an accepted batch is sent in.
+
+    ``order`` puts the rows of a batch in a row; rows it leaves equal are ordered by size.
+    A rejected batch is sent in no range.
+    """
+    keys = list(dict.fromkeys([batch, *order]))
+    sizes = written(conformed.select(*keys, "error_count", row_bytes(plan).alias("__bytes")), "row-sizes")
+    verdicts = sizes.groupBy(batch).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("error_count") > 0).alias("bad_rows"),
+        F.sum("error_count").alias("violations"), F.sum("__bytes").alias("payload_bytes"), F.max("__bytes").alias("max_row_bytes"))
+    verdicts = verdicts.withColumn("accepted", F.col("bad_rows") == 0)
+    packed = packing.pack_ranges(sizes.drop("error_count"), batch, [*order, "__bytes"], "__bytes", limit, batch_rows)
+    ranges = packing.range_summary(packed, batch).select(F.col(batch).alias("__batch"), "ranges", "max_range_bytes")
+    none = F.lit(0).cast("bigint")
+    return verdicts.join(ranges, F.col(batch).eqNullSafe(F.col("__batch")), "left").drop("__batch").withColumns({
+        c: F.when(F.col("accepted"), F.col(c)).otherwise(none) for c in ("ranges", "max_range_bytes")})

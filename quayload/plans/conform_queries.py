@@ -448,9 +448,7 @@ def conform_tz_names(spark, sf_dir):
     df = table(spark, sf_dir, "events").select(
         "event_id", F.element_at(names, (key % len(ZONE_NAMES)).cast("int") + 1).alias("zone"),
         F.timestamp_micros(key % 1_000_000 * 3_600_000_000 + 1_600_000_000_000_000).alias("moment"))
-    hold = Hold()
-    offset = zones.zone_offset(F.col("moment"), F.col("zone"), hold)
-    return hold.add_to(df).select("event_id", "zone", offset.minutes.alias("offset_minutes"), offset.code.alias("code"))
+    return zones.with_offsets(df, "moment", "zone").drop("moment")
 
 
 @query("conform_not_null", """

@@ -149,24 +149,19 @@ def range_bytes(spark, sf_dir):
 
 
 @query("load_counters", _packed("batch_id", DOC_LIMIT) + f"""
-SELECT (SELECT count(*) FROM r) AS row_count, (SELECT count(DISTINCT batch_id) FROM r) AS batches,
+SELECT (SELECT count(*) FROM r) AS row_count,
+       (SELECT count(DISTINCT batch_id) + count(DISTINCT batch_id) FILTER (batch_id % 4 = 1) FROM r) AS batches,
        (SELECT count(*) FROM ranges) AS row_ranges, (SELECT sum(row_bytes)::BIGINT FROM r) AS encoded_bytes,
        (SELECT max(range_bytes) FROM ranges) AS max_range_bytes,
        (SELECT (coalesce(sum({_TEXT}), 0) + coalesce(sum({_LANG}), 0) + coalesce(sum({_SRC}), 0))::BIGINT FROM r) AS text_bytes,
        0::BIGINT AS binary_bytes,
        (SELECT count(*) FILTER (text IS NULL) + count(*) FILTER (lang IS NULL) + count(*) FILTER (n_chars IS NULL) FROM r) AS null_cells""")
 def load_counters(spark, sf_dir):
-    """Counters of a load: content from the rows, ranges from the packing."""
+    """Counters of a load, in which some batches had no rows."""
     rows = documents(spark, sf_dir)
-    content = sizing.content_counters(rows, DOCUMENT_PLAN)
-    names = ["text_bytes", "binary_bytes", "null_cells"]
-    totals = rows.select(*content).agg(*[F.sum(n).alias(n) for n in names])
-    packed = packing.range_summary(document_ranges(spark, sf_dir), "batch_id").agg(
-        F.sum("row_count").alias("row_count"), F.count(F.lit(1)).alias("batches"), F.sum("ranges").alias("row_ranges"),
-        F.sum("payload_bytes").alias("encoded_bytes"), F.max("max_range_bytes").alias("max_range_bytes"))
-    # Two single rows made one: each column is known to one of them only.
-    both = packed.unionByName(totals, allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+    ids = rows.select("batch_id").distinct()
+    sent = ids.unionByName(ids.where("batch_id % 4 = 1").select((-F.col("batch_id")).alias("batch_id")))
+    return sizing.load_counters(rows, DOCUMENT_PLAN, "batch_id", ["doc_id"], DOC_LIMIT, sent, DOC_BATCH)
 
 
 LINE_BATCH = 256
@@ -182,23 +177,33 @@ LINE_PLAN = LoadPlan((
 ))
 
 
-@query("load_readiness", f"""
-WITH s AS (SELECT l_orderkey // {LINE_BATCH} AS batch_id,
+_LINES = f"""
+WITH RECURSIVE s AS (SELECT l_orderkey // {LINE_BATCH} AS batch_id, l_orderkey, l_linenumber,
                   CASE WHEN l_partkey % 997 = 0 THEN 1 ELSE 0 END + CASE WHEN l_suppkey % 991 = 7 AND l_linenumber = 3 THEN 1 ELSE 0 END AS bad,
                   CASE WHEN l_partkey % 997 = 0 THEN 1 ELSE 9 END + CASE WHEN l_suppkey % 991 = 7 AND l_linenumber = 3 THEN 2 ELSE 4 END
                   + 1 + 8 + 8 + 8 + 4 + 9 + 7 AS row_bytes
-           FROM lineitem)
-SELECT batch_id, count(*) AS row_count, count(*) FILTER (bad > 0) AS bad_rows, sum(bad)::BIGINT AS violations,
-       sum(row_bytes)::BIGINT AS payload_bytes, max(row_bytes)::BIGINT AS max_row_bytes, sum(bad) = 0 AS accepted
-FROM s GROUP BY batch_id""")
-def load_readiness(spark, sf_dir):
-    """Is ``lineitem`` ready to load? One projection, one aggregate per batch."""
+           FROM lineitem),
+     v AS (SELECT batch_id, count(*) AS row_count, count(*) FILTER (bad > 0) AS bad_rows, sum(bad)::BIGINT AS violations,
+                  sum(row_bytes)::BIGINT AS payload_bytes, max(row_bytes)::BIGINT AS max_row_bytes, sum(bad) = 0 AS accepted
+           FROM s GROUP BY batch_id)
+"""
+LINE_LIMIT = 16_384
+
+
+def lines_conformed(spark, sf_dir):
+    """``lineitem`` by batches of keys, with rare values that break a rule."""
     part, faulty = F.col("l_partkey"), (F.col("l_suppkey") % 991 == 7) & (F.col("l_linenumber") == 3)
     df = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         F.when(part % 997 == 0, F.lit("NaN").cast("double")).otherwise(F.col("l_extendedprice")).alias("l_extendedprice"),
         F.when(faulty, F.lit("RR")).otherwise(F.col("l_returnflag")).alias("l_returnflag"), "l_shipdate")
-    rows = conform.conform_table(batches_by_key(df, "l_orderkey", LINE_BATCH), LINE_PLAN, ["batch_id"])
+    return conform.conform_table(batches_by_key(df, "l_orderkey", LINE_BATCH), LINE_PLAN, ["batch_id"])
+
+
+@query("load_readiness", _LINES + "SELECT * FROM v")
+def load_readiness(spark, sf_dir):
+    """Is ``lineitem`` ready to load? One projection, one aggregate per batch."""
+    rows = lines_conformed(spark, sf_dir)
     sized = rows.withColumn("row_bytes", sizing.row_bytes(LINE_PLAN))
     return sized.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -208,3 +213,19 @@ def load_readiness(spark, sf_dir):
         F.max("row_bytes").alias("max_row_bytes"),
         (F.sum("error_count") == 0).alias("accepted"),
     )
+
+
+@query("load_readiness_ranges", _LINES + f"""
+   , n AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY l_orderkey, l_linenumber, row_bytes) - 1 AS i FROM s),
+     g(b, i, range_no, open_bytes) AS (
+       SELECT batch_id, i, 0::BIGINT, row_bytes::BIGINT FROM n WHERE i = 0
+       UNION ALL
+       SELECT n.batch_id, n.i, CASE WHEN g.open_bytes + n.row_bytes > {LINE_LIMIT} THEN g.range_no + 1 ELSE g.range_no END,
+              CASE WHEN g.open_bytes + n.row_bytes > {LINE_LIMIT} THEN n.row_bytes ELSE g.open_bytes + n.row_bytes END::BIGINT
+       FROM g JOIN n ON n.batch_id = g.b AND n.i = g.i + 1),
+     k AS (SELECT b, max(range_no) + 1 AS ranges, max(open_bytes) AS max_range_bytes FROM g GROUP BY b)
+SELECT v.*, CASE WHEN accepted THEN ranges ELSE 0 END AS ranges, CASE WHEN accepted THEN max_range_bytes ELSE 0 END AS max_range_bytes
+FROM v JOIN k ON k.b = v.batch_id""")
+def load_readiness_ranges(spark, sf_dir):
+    """The same, with the ranges that accepted batches are sent in."""
+    return sizing.readiness(lines_conformed(spark, sf_dir), LINE_PLAN, "batch_id", ["l_orderkey", "l_linenumber"], LINE_LIMIT)

@@ -21,12 +21,17 @@ def write_dataset(df: DataFrame, path: str, batch_rows: int, partition_by: list[
     writer.parquet(path)
 
 
-def dataset_summary(df: DataFrame, batch: str) -> DataFrame:
-    """Rows and batches.
+def dataset_summary(df: DataFrame, batch: str, batches: DataFrame | None = None) -> DataFrame:
+    """Rows and batches; ``batches`` names every batch of the dataset, also those without rows.
 
-    Counted per batch first: the distinct count then works on one row per batch.
+    Counted per batch first: the distinct count then works on one row per batch. Rows
+    without a batch id are a batch.
     """
-    per_batch = df.groupBy(batch).agg(F.count(F.lit(1)).alias("rows_in_batch"))
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    seen = df.select(batch, one.alias("__row"))
+    if batches is not None:
+        seen = seen.unionByName(batches.select(batch, none.alias("__row")))
+    per_batch = seen.groupBy(batch).agg(F.sum("__row").alias("rows_in_batch"))
     return per_batch.agg(
         F.coalesce(F.sum("rows_in_batch"), F.lit(0)).alias("row_count"),
         F.count(F.lit(1)).alias("batch_count"),

@@ -132,8 +132,10 @@ def proved(nodes: DataFrame, largest: int, crown: Callable[[DataFrame], DataFram
     """
     if largest <= 1:
         return crown(nodes)
-    block = fanout**levels
-    rows = climbed(nodes, fanout, levels)
+    # No more levels than the largest group has.
+    taken = next(n for n in range(1, levels + 1) if n == levels or fanout**n >= largest)
+    block = fanout**taken
+    rows = climbed(nodes, fanout, taken)
     parents = rows.where(F.col("_pos") % block == 0).select(
         "_key", F.col("_block").alias("_pos"), F.expr(f"(_n + {block - 1}) div {block}").alias("_n"), F.col("_up").alias("_hash")
     )

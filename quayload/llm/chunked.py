@@ -17,34 +17,45 @@ from quayload.llm.hashing import chunks as byte_ranges
 from quayload.llm.hashing import text_bytes
 
 #: What a worker keeps of known chunks, and the longest chunk it keeps; longer ones are encoded each time.
-KEPT_BYTES = 128 << 20
+KEPT_BYTES = 80 << 20
 LONGEST_KEPT = 256
 #: Of a kept chunk besides its characters and ids.
-_ENTRY = 160
+_ENTRY = 210
 
 
 class ChunkStore:
-    """ids of chunks as little-endian unsigned 32-bit bytes; the store of known ones is bounded in bytes."""
+    """ids of chunks as little-endian unsigned 32-bit bytes; the store of known ones is bounded in bytes.
+
+    It has two halves. A full half becomes the old one, and what is asked for again moves
+    from there to the new one, so frequent chunks stay and the others go.
+    """
 
     def __init__(self, encode_many: Callable[[list[str]], Iterable[bytes]], limit: int = KEPT_BYTES):
         self.encode_many, self.limit = encode_many, limit
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.size = 0
 
-    def ids_of(self, chunks: Iterable[str]) -> dict[str, bytes]:
-        """A map that has all of ``chunks``."""
-        if self.size > self.limit:
-            self.known, self.size = {}, 0
-        new = [c for c in chunks if c not in self.known]
+    def ids_of(self, chunks: Iterable[str]) -> list[bytes]:
+        """The ids of each of ``chunks``."""
+        if self.size > self.limit // 2:
+            self.known, self.old, self.size = {}, self.known, 0
+        chunks = chunks if isinstance(chunks, list) else list(chunks)
+        known, old = self.known, self.old
+        asked = dict.fromkeys(c for c in chunks if c not in known)
+        again = {c: old[c] for c in asked if c in old}
+        new = [c for c in asked if c not in again]
         made = dict(zip(new, self.encode_many(new), strict=True))
-        kept = {c: ids for c, ids in made.items() if len(c) <= LONGEST_KEPT}
-        self.known.update(kept)
-        self.size += sum(_ENTRY + 2 * len(c) + len(ids) for c, ids in kept.items())
-        return self.known if len(kept) == len(made) else self.known | made
+        for found in (again, made):
+            kept = {c: ids for c, ids in found.items() if len(c) <= LONGEST_KEPT}
+            known.update(kept)
+            self.size += sum(map(len, kept.values())) + sum(map(len, kept)) + _ENTRY * len(kept)
+        return [known[c] if c in known else made[c] for c in chunks]
 
     def encode(self, texts: list[list[str]]) -> list[bytes]:
         """The ids of each text, given as its chunks."""
-        ids = self.ids_of(set().union(*texts))
+        distinct = list(set().union(*texts))
+        ids = dict(zip(distinct, self.ids_of(distinct), strict=True))
         return [b"".join(map(ids.__getitem__, t)) for t in texts]
 
     def encode_split(self, texts: pa.Array) -> list[bytes]:
@@ -55,8 +66,7 @@ class ChunkStore:
         lists = pc.utf8_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        ids = self.ids_of(c for c in distinct if c)
-        packed = [ids[c] if c else b"" for c in distinct]
+        packed = self.ids_of(distinct)
         flat = np.frombuffer(b"".join(packed), "<u4")
         sizes = np.array([len(p) // 4 for p in packed], np.int64)
         starts = np.cumsum(sizes) - sizes

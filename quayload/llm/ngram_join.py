@@ -44,7 +44,7 @@ from quayload.llm.anchors import NULL_ID, UNIT_BYTES, keyed, pack_arrays, unpack
 from quayload.llm.components import components
 from quayload.llm.hashing import U64, Words, chunks, shingle_sets, text_bytes
 from quayload.llm.registry import llm_query
-from quayload.llm.workspace import release, shuffle_partitions, stage
+from quayload.llm.workspace import WORD, release, shuffle_partitions, stage
 from quayload.plans.registry import table
 
 WORDS = 5
@@ -657,12 +657,30 @@ def _components(df: DataFrame, text: str, id_column: str) -> DataFrame:
     return known.union(own.where("n = 0").select("id", "id")).select(_real("id").alias("doc_id"), _real("component_id").alias("component_id"))
 
 
+def _kept_rows(docs: DataFrame) -> DataFrame:
+    """(id, text_hash) of the row that stays of each component, by a spanning part of the links.
+
+    The smallest identifier stays, of rows that share it or have none the smallest hash.
+    """
+    made, rows, _ = _matrix(docs)
+    label = components(stage(links(rows), "links")).select(F.col("node").alias("f1"), "label")
+    own = made.where("n > 0").select("id", "text_hash", "f1").join(label, "f1", "left")
+    least = own.groupBy(F.coalesce("label", "f1").alias("label")).agg(F.min(F.struct("id", "text_hash")).alias("least"))
+    return least.select("least.id", "least.text_hash")
+
+
 def keep_one(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """The rows of ``df`` whose identifier is the smallest of their component, all columns unchanged."""
-    kept = _components(df, text, id_column).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), F.col(id_column).cast("long").alias("_own"))
-    stays = rows.join(kept, F.col("_own").eqNullSafe(F.col("_id")), "left_semi")
-    return stays.select(*(F.col("_row").getField(c).alias(c) for c in df.columns))
+    """One row of each component, all columns unchanged; rows without words are linked with nothing and all stay.
+
+    The row with the smallest identifier stays. Rows that share an identifier, or have
+    none, are told apart by their texts; of rows equal in both any one stays.
+    """
+    kept = _kept_rows(keyed(df, text, id_column)).select(F.col("id").alias("_kept"), F.col("text_hash").alias("_hash"))
+    own = keyed(df, text, id_column, tuple(df.columns)).select("row", "id", "text_hash", F.col("text").rlike(WORD).alias("_words"))
+    same = (F.col("id") == F.col("_kept")) & (F.col("text_hash") == F.col("_hash"))
+    linked = own.where("_words").join(kept, same, "left_semi").dropDuplicates(["id", "text_hash"])
+    stays = linked.unionByName(own.where("not _words"))
+    return stays.select(*(F.col("row").getField(c).alias(c) for c in df.columns))
 
 
 @llm_query("op1_ngram_join")

@@ -61,6 +61,18 @@ def test_near_keeps_one_with_all_columns(odd):
     assert 13 not in ids and 107 not in ids and 23 in ids and 1 in ids
 
 
+@pytest.mark.parametrize("ids", [(None, None, None), (7, 7, 8), (7, 8, 7), (None, 3, None), (5, 5, 5), (9, None, 9)])
+def test_near_keeps_one_of_null_and_repeated_ids(spark, ids):
+    """Three near copies, one of them twice, beside texts without words and another document of the same id."""
+    words = [f"w{i}" for i in range(100)]
+    texts = [" ".join([*words[:n], "changed", *words[n + 1 :]]) for n in (10, 50, 90)]
+    rows = [(i, t) for i, t in zip(ids, texts, strict=True)] + [(ids[0], texts[0]), (ids[0], "some other text of six words"), (ids[0], ""), (ids[0], None)]
+    kept = [(r.doc_id, r.text) for r in ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    near = [r for r in kept if r[1] in texts]
+    assert len(near) == 1 and near[0][0] == min((i for i in ids if i is not None), default=None)
+    assert sorted(str(r[1]) for r in kept if r[1] not in texts) == ["", "None", "some other text of six words"]
+
+
 @given(st.lists(st.tuples(st.lists(st.integers(0, 30), max_size=12), st.integers(0, 3)), min_size=2, max_size=12))
 @settings(max_examples=200, deadline=None)
 def test_product_finds_every_link(made):

@@ -7,6 +7,7 @@ in bytes and belongs to one Python worker.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -81,6 +82,14 @@ class ChunkStore:
         return [found[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
+def give_back() -> None:
+    """Return freed memory to the system; a worker that waits for its next task would keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about 4 MiB of text each; a longer text is a part of its own."""
     if batch.num_rows:

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quayload.llm.chunked import ChunkStore, id_lists, text_slices
+from quayload.llm.chunked import ChunkStore, give_back, id_lists, text_slices
 from quayload.llm.registry import llm_query
 from quayload.llm.workspace import shuffle_partitions, stage
 from quayload.plans.registry import table
@@ -138,6 +138,8 @@ def tokenize(
                 yield pa.RecordBatch.from_arrays(
                     columns + [id_lists(pieces)] * with_ids, names + ["ids"] * with_ids
                 )
+                del encoded, pieces, columns
+            give_back()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids

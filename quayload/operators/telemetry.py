@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quayload.functions.exact import saturated_difference, saturated_sum
 
@@ -31,13 +31,33 @@ def file_io_deltas(first: DataFrame, last: DataFrame, load: list[str]) -> DataFr
     return _deltas(first, last, [*load, "file_id"], FILE_COUNTERS, ["logical_name", "file_type"])
 
 
+def packed_order(time: Column, tie: Column) -> Column:
+    """A time and a whole number that tells equal times apart, as one decimal that sorts like both.
+
+    Decimals and numbers have a fixed width, so aggregates that pick a row by this order
+    update their buffers in place and hash; an order made of a struct makes them sort.
+    """
+    day, moment = F.unix_date(time.cast("date")).cast("bigint"), time.cast("timestamp_ntz")
+    seconds = F.hour(moment) * 3600 + F.minute(moment) * 60
+    micros = day * 86_400_000_000 + seconds.cast("bigint") * 1_000_000 + (F.extract(F.lit("SECOND"), moment) * 1_000_000).cast("bigint")
+    above = micros.cast("decimal(18,0)") * F.lit(str(1 << 64)).cast("decimal(20,0)")
+    return (above + tie.cast("decimal(19,0)") + F.lit(str(1 << 63)).cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def snapshot_deltas(samples: DataFrame, keys: list[str], counters: list[str], order: str, initial: str,
                     attributes: list[str] | None = None) -> DataFrame:
     """Last minus initial counters per key from one table of snapshots, in one pass.
 
     The initial snapshot of a key is its latest row where ``initial`` holds, the
-    last one its latest row of all; both are kept by one aggregate.
+    last one its latest row of all; both are kept by one aggregate. Without attributes
+    and with an order of fixed width (:func:`packed_order`) that is a hash aggregate.
     """
+    if not attributes and isinstance(samples.schema[order].dataType, (T.NumericType, T.DatetimeType)):
+        at_first = F.when(F.col(initial), F.col(order))
+        edges = samples.groupBy(*keys).agg(
+            *[F.max_by(c, order).alias(f"__l_{c}") for c in counters], *[F.max_by(c, at_first).alias(f"__f_{c}") for c in counters])
+        return edges.select(*keys, *[
+            saturated_difference(F.col(f"__l_{c}"), F.coalesce(F.col(f"__f_{c}"), F.lit(0))).alias(c) for c in counters])
     kept = F.struct(*(attributes or []), *counters)
     before = F.struct(*counters)
     edges = samples.groupBy(*keys).agg(
@@ -125,16 +145,16 @@ def sample_distribution(samples: DataFrame, load: list[str]) -> DataFrame:
 
 
 def sample_coverage(samples: DataFrame, order: str) -> DataFrame:
-    """Per phase the repeat and elapsed bounds of the first and last sample."""
-    picked = F.struct("repeat_index", "elapsed_start", "elapsed_end")
-    return samples.groupBy("phase").agg(
-        F.min_by(picked, order).alias("f"), F.max_by(picked, order).alias("l")
-    ).select(
-        "phase",
-        *[F.col(f"{side}.{c}").alias(f"{label}_{c}")
-          for side, label in (("f", "first"), ("l", "last"))
-          for c in ("repeat_index", "elapsed_start", "elapsed_end")],
-    )
+    """Per phase the repeat and elapsed bounds of the first and last sample.
+
+    Numbers are picked one by one, which with an order of fixed width (:func:`packed_order`)
+    is a hash aggregate.
+    """
+    return samples.groupBy("phase").agg(*[
+        pick(c, order).alias(f"{label}_{c}")
+        for pick, label in ((F.min_by, "first"), (F.max_by, "last"))
+        for c in ("repeat_index", "elapsed_start", "elapsed_end")
+    ])
 
 
 def page_totals(pages: DataFrame, counters: list[str], group: list[str] | None = None) -> DataFrame:

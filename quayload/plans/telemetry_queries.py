@@ -45,16 +45,16 @@ SELECT * FROM d WHERE waiting_tasks_count > 0 OR wait_time_ms > 0"""
 
 @query("wait_deltas", WAIT_DELTAS)
 def wait_deltas(spark, sf_dir):
-    deltas = telemetry.snapshot_deltas(
-        waits(spark, sf_dir), ["load_id", "wait_type"], telemetry.WAIT_COUNTERS, "taken", "initial")
-    return telemetry.active_waits(deltas)
+    rows = waits(spark, sf_dir).withColumn("taken", telemetry.packed_order(F.col("taken.ts"), F.col("taken.event_id")))
+    return telemetry.active_waits(telemetry.snapshot_deltas(
+        rows, ["load_id", "wait_type"], telemetry.WAIT_COUNTERS, "taken", "initial"))
 
 
 def files(spark, sf_dir):
-    """One counter row per shipment: a supplier's file, the month as repeat."""
+    """One counter row per shipment: a supplier's file, which has another name every year."""
     price = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     return table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").alias("file_id"), F.concat(F.lit("file_"), F.col("l_suppkey")).alias("logical_name"),
+        F.col("l_suppkey").alias("file_id"), F.concat(F.lit("file_"), F.col("l_suppkey"), F.lit("_"), F.year("l_shipdate")).alias("logical_name"),
         F.when(F.col("l_suppkey") % 10 == 0, F.lit("LOG")).otherwise(F.lit("ROWS")).alias("file_type"),
         F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity").alias("taken"),
         (F.year("l_shipdate") <= 1995).alias("initial"),
@@ -63,7 +63,7 @@ def files(spark, sf_dir):
 
 
 FILES = """
-WITH x AS (SELECT l_suppkey AS file_id, 'file_' || l_suppkey::VARCHAR AS logical_name,
+WITH x AS (SELECT l_suppkey AS file_id, 'file_' || l_suppkey::VARCHAR || '_' || year(l_shipdate)::VARCHAR AS logical_name,
                   CASE WHEN l_suppkey % 10 = 0 THEN 'LOG' ELSE 'ROWS' END AS file_type, year(l_shipdate) <= 1995 AS initial,
                   l_orderkey AS read_count, round(l_extendedprice * 100)::BIGINT AS read_bytes, l_linenumber::BIGINT AS read_stall_ms,
                   l_partkey AS write_count, round(l_extendedprice * 100)::BIGINT * 2 AS write_bytes, l_quantity::BIGINT AS write_stall_ms,
@@ -152,11 +152,14 @@ def merge_waits(spark, sf_dir):
     return telemetry.report_order(telemetry.merge_waits(waits(spark, sf_dir)), "waits")
 
 
+# Name and type of the first snapshot.
+_FIRST_FILE = ", ".join(
+    f"arg_min({c}, (l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity)) AS {c}" for c in ("logical_name", "file_type"))
 _FILE_SUMS = ", ".join(f"sum({c})::BIGINT AS {c}" for c in telemetry.FILE_COUNTERS)
 
 
 @query("merge_file_io", FILES + f"""
-SELECT file_id, min(logical_name) AS logical_name, min(file_type) AS file_type, {_FILE_SUMS} FROM x GROUP BY file_id""")
+SELECT file_id, {_FIRST_FILE}, {_FILE_SUMS} FROM x GROUP BY file_id""")
 def merge_file_io(spark, sf_dir):
     return telemetry.report_order(telemetry.merge_file_io(files(spark, sf_dir), "taken"), "files")
 
@@ -181,7 +184,7 @@ def phase_wait_deltas(spark, sf_dir):
 
 
 @query("phase_file_io_deltas", FILES + f"""
-SELECT year(l_shipdate)::INTEGER AS phase, file_id, min(logical_name) AS logical_name, min(file_type) AS file_type, {_FILE_SUMS}
+SELECT year(l_shipdate)::INTEGER AS phase, file_id, {_FIRST_FILE}, {_FILE_SUMS}
 FROM x GROUP BY ALL""")
 def phase_file_io_deltas(spark, sf_dir):
     rows = files(spark, sf_dir).withColumn("phase", F.year("taken.l_shipdate"))
@@ -221,7 +224,8 @@ def sample_coverage(spark, sf_dir):
     start = F.col("event_id") * 250
     rows = table(spark, sf_dir, "events").select(
         F.concat("event_type", F.lit("_"), "user_id").alias("phase"), F.dayofmonth("ts").alias("repeat_index"),
-        start.alias("elapsed_start"), (start + cents()).alias("elapsed_end"), F.struct("ts", "event_id").alias("taken"))
+        start.alias("elapsed_start"), (start + cents()).alias("elapsed_end"),
+        telemetry.packed_order(F.col("ts"), F.col("event_id")).alias("taken"))
     return telemetry.sample_coverage(rows, "taken")
 
 
@@ -300,7 +304,8 @@ def merge_counters(spark, sf_dir):
     key = F.col("event_id")
     rows = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("load_id"), key.alias("rows_sent"), cents().alias("encoded_bytes"), cents().alias("max_range_bytes"),
-        (key % 977).alias("max_packet_bytes"), (key % 4096).alias("buffered_after_last"), F.struct("ts", "event_id").alias("taken"))
+        (key % 977).alias("max_packet_bytes"), (key % 4096).alias("buffered_after_last"),
+        telemetry.packed_order(F.col("ts"), key).alias("taken"))
     return telemetry.merge_counters(
         rows, LOAD, ["rows_sent", "encoded_bytes"], ["max_range_bytes", "max_packet_bytes"], ["buffered_after_last"], "taken")
 

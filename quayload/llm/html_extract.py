@@ -75,10 +75,19 @@ class Tree:
         return len(self.parent) - 1
 
 
+def _kind(name: str) -> str:
+    """What an end tag closes: a heading of any level, else an element of its own name."""
+    return "h" if re.fullmatch("h[1-6]", name) else name
+
+
 def parse(page: str) -> Tree:
-    """The tree of one page."""
+    """The tree of one page, in time that follows its length whatever is left open or closed twice."""
     tree = Tree()
     open_nodes = [tree.add(-1, "html")]
+    # How many elements of a kind are open below the root, and hidden elements that nothing closes any more.
+    open_kinds: Counter[str] = Counter()
+    unclosed: set[str] = set()
+    last_end = page.rfind(">")
     pieces: list[str] = []
     linked = in_link = 0
     at, end = 0, len(page)
@@ -101,9 +110,9 @@ def parse(page: str) -> Tree:
             linked += len(text) if in_link else 0
             at = found
             continue
-        match = MARKUP.match(page, at)
+        match = MARKUP.match(page, at) if at < last_end or page.startswith("<!--", at) else None
         if match is None:
-            if page.find(">", at) < 0 and re.match(r"</?[a-zA-Z]", page[at : at + 3]):
+            if at > last_end and re.match(r"</?[a-zA-Z]", page[at : at + 3]):
                 break  # cut off inside a tag
             pieces.append("<")
             at += 1
@@ -115,10 +124,12 @@ def parse(page: str) -> Tree:
         name = name.lower()
         if name in HIDDEN:
             if not closing and not attributes.endswith("/"):
-                close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
+                close = None if name in unclosed else re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
                 if close:
                     at = close.end()
-                elif name not in ("head", "noscript", "object"):
+                    continue
+                unclosed.add(name)
+                if name not in ("head", "noscript", "object"):
                     break
             continue
         if name == "a":
@@ -132,15 +143,18 @@ def parse(page: str) -> Tree:
         if name in VOID or name == "html":
             continue
         if closing:
-            for depth in range(len(open_nodes) - 1, 0, -1):
-                if tree.tag[open_nodes[depth]] == name or (name[0] == "h" and len(name) == 2 and re.fullmatch("h[1-6]", tree.tag[open_nodes[depth]])):
-                    del open_nodes[depth:]
+            # Without an open one there is nothing to look for; else all above it are closed with it.
+            while open_kinds[_kind(name)]:
+                closed = _kind(tree.tag[open_nodes.pop()])
+                open_kinds[closed] -= 1
+                if closed == _kind(name):
                     break
             continue
         ended = ENDS.get(name, {"p"} if name in NO_PARAGRAPH else set())
         while len(open_nodes) > 1 and tree.tag[open_nodes[-1]] in ended and tree.tag[open_nodes[-1]] not in LISTS:
-            open_nodes.pop()
+            open_kinds[_kind(tree.tag[open_nodes.pop()])] -= 1
         open_nodes.append(tree.add(open_nodes[-1], name, attributes))
+        open_kinds[_kind(name)] += 1
     flush()
     for i in range(len(tree.parent) - 1, 0, -1):
         tree.size[tree.parent[i]] += tree.size[i]

@@ -683,6 +683,24 @@ def keep_one(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> Da
     return stays.select(*(F.col("row").getField(c).alias(c) for c in df.columns))
 
 
-@llm_query("op1_ngram_join")
+#: Shingles as texts, links by counted overlaps, components by following links.
+ORACLE = """
+WITH RECURSIVE
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON b.g = a.g AND b.doc_id <> a.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 75 * (a.n + b.n - k)),
+r(x, least) AS (SELECT doc_id, doc_id FROM d UNION SELECT l.y, r.least FROM r JOIN l ON l.x = r.x),
+c AS (SELECT x, min(least) AS component_id FROM r GROUP BY x),
+m AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+FROM d JOIN c ON c.x = d.doc_id LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.x = d.doc_id
+"""
+
+
+@llm_query("op1_ngram_join", ORACLE)
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents"))

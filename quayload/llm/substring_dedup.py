@@ -116,7 +116,23 @@ def drop_repeats(df: DataFrame, text: str = "text", id_column: str = "doc_id") -
     return out.select(*((F.col("kept_text") if c == text else F.col("row").getField(c)).alias(c) for c in df.columns))
 
 
-@llm_query("op9_substring_dedup")
+#: Windows of 20 words as texts, doubled up from pairs of words.
+ORACLE = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p, len(ws) AS n FROM d),
+w2 AS (SELECT *, w || ' ' || lead(w, 1) OVER o AS g2 FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+w4 AS (SELECT *, g2 || ' ' || lead(g2, 2) OVER o AS g4 FROM w2 WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+w8 AS (SELECT *, g4 || ' ' || lead(g4, 4) OVER o AS g8 FROM w4 WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+w20 AS (SELECT doc_id, p, w, g8 || ' ' || lead(g8, 8) OVER o || ' ' || lead(g4, 16) OVER o AS g FROM w8 WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+a AS (SELECT doc_id, p, w, g IS NOT NULL AND row_number() OVER (PARTITION BY g ORDER BY doc_id, p) > 1 AS again FROM w20),
+c AS (SELECT doc_id, p, w, max(again::INTEGER) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM a),
+k AS (SELECT doc_id, count(*) AS n, sum(gone)::BIGINT AS gone, string_agg(w, ' ' ORDER BY p) FILTER (gone = 0) AS kept FROM c GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_words, coalesce(gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
+@llm_query("op9_substring_dedup", ORACLE)
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256")

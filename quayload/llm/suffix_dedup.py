@@ -180,7 +180,26 @@ def judged(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> Data
     return out.withColumn("doc_id", F.when(F.col("id") != NULL_ID, F.col("id"))).drop("id")
 
 
-@llm_query("op6_suffix_dedup")
+#: Windows of 50 bytes as hexadecimal texts, doubled up from pairs of bytes.
+ORACLE = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+b AS (SELECT doc_id, unnest(regexp_extract_all(h, '..')) AS b, generate_subscripts(regexp_extract_all(h, '..'), 1) AS p FROM d),
+b2 AS (SELECT *, b || lead(b, 1) OVER o AS g2 FROM b WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+b4 AS (SELECT *, g2 || lead(g2, 2) OVER o AS g4 FROM b2 WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+b8 AS (SELECT doc_id, p, b, g2, g4 || lead(g4, 4) OVER o AS g8 FROM b4 WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+b16 AS (SELECT doc_id, p, b, g2, g8 || lead(g8, 8) OVER o AS g16 FROM b8 WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+b50 AS (SELECT doc_id, p, b, g16 || lead(g16, 16) OVER o || lead(g16, 32) OVER o || lead(g2, 48) OVER o AS g FROM b16 WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+f AS (SELECT g, min(doc_id) AS least FROM b50 WHERE g IS NOT NULL GROUP BY g HAVING min(doc_id) < max(doc_id)),
+a AS (SELECT b50.doc_id, p, b, coalesce(f.least < b50.doc_id, false) AS again FROM b50 LEFT JOIN f USING (g)),
+c AS (SELECT doc_id, p, b, max(again::INTEGER) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM a),
+e AS (SELECT *, gone = 1 AND coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), 0) = 0 AS starts FROM c),
+k AS (SELECT doc_id, sum(gone)::BIGINT AS gone, count(*) FILTER (starts) AS spans, string_agg(b, '' ORDER BY p) FILTER (gone = 0) AS kept FROM e GROUP BY doc_id)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(gone, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
+@llm_query("op6_suffix_dedup", ORACLE)
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256")

@@ -18,40 +18,34 @@ from quayload.llm.hashing import chunks as byte_ranges
 from quayload.llm.hashing import text_bytes
 
 #: What a worker keeps of known chunks, and the longest chunk it keeps; longer ones are encoded each time.
-KEPT_BYTES = 80 << 20
+KEPT_BYTES = 150 << 20
 LONGEST_KEPT = 256
 #: Of a kept chunk besides its characters and ids.
 _ENTRY = 210
 
 
 class ChunkStore:
-    """ids of chunks as little-endian unsigned 32-bit bytes; the store of known ones is bounded in bytes.
-
-    It has two halves. A full half becomes the old one, and what is asked for again moves
-    from there to the new one, so frequent chunks stay and the others go.
-    """
+    """ids of chunks as little-endian unsigned 32-bit bytes; the store of known ones is bounded in bytes."""
 
     def __init__(self, encode_many: Callable[[list[str]], Iterable[bytes]], limit: int = KEPT_BYTES):
         self.encode_many, self.limit = encode_many, limit
         self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
         self.size = 0
 
-    def ids_of(self, chunks: Iterable[str]) -> list[bytes]:
-        """The ids of each of ``chunks``."""
-        if self.size > self.limit // 2:
-            self.known, self.old, self.size = {}, self.known, 0
-        chunks = chunks if isinstance(chunks, list) else list(chunks)
-        known, old = self.known, self.old
-        asked = dict.fromkeys(c for c in chunks if c not in known)
-        again = {c: old[c] for c in asked if c in old}
-        new = [c for c in asked if c not in again]
-        made = dict(zip(new, self.encode_many(new), strict=True))
-        for found in (again, made):
-            kept = {c: ids for c, ids in found.items() if len(c) <= LONGEST_KEPT}
-            known.update(kept)
-            self.size += sum(map(len, kept.values())) + sum(map(len, kept)) + _ENTRY * len(kept)
-        return [known[c] if c in known else made[c] for c in chunks]
+    def ids_of(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each of ``chunks``, which are distinct."""
+        if self.size > self.limit:
+            self.known, self.size = {}, 0
+        known = self.known
+        new = [c for c in chunks if c not in known]
+        known.update(zip(new, self.encode_many(new), strict=True))
+        out = [known[c] for c in chunks]
+        for c in new:
+            if len(c) > LONGEST_KEPT:
+                del known[c]
+            else:
+                self.size += _ENTRY + len(c) + len(known[c])
+        return out
 
     def encode(self, texts: list[list[str]]) -> list[bytes]:
         """The ids of each text, given as its chunks."""

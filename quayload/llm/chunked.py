@@ -20,6 +20,8 @@ from quayload.llm.hashing import text_bytes
 #: What a worker keeps of known chunks, and the longest chunk it keeps; longer ones are encoded each time.
 KEPT_BYTES = 150 << 20
 LONGEST_KEPT = 256
+#: Text that is coded at once.
+SLICE_BYTES = 4 << 20
 #: Of a kept chunk besides its characters and ids.
 _ENTRY = 210
 
@@ -88,7 +90,7 @@ def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about 4 MiB of text each; a longer text is a part of its own."""
     if batch.num_rows:
         _, offsets = text_bytes(batch.column(column))
-        for first, last in byte_ranges(offsets):
+        for first, last in byte_ranges(offsets, SLICE_BYTES):
             yield batch.slice(first, last - first)
 
 

@@ -13,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-# Bytes of text that one kernel call works on; longer batches are cut between texts.
-CHUNK_BYTES = 4 << 20
+# Bytes of text that one kernel call works on; longer batches are cut between texts. A call's
+# arrays take some fifty times as much.
+CHUNK_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

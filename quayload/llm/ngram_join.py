@@ -32,7 +32,7 @@ are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -41,6 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayload.llm.anchors import NULL_ID, UNIT_BYTES, keyed, pack_arrays, unpack_arrays
+from quayload.llm.chunked import give_back
 from quayload.llm.components import components
 from quayload.llm.hashing import U64, Words, chunks, shingle_sets, text_bytes
 from quayload.llm.registry import llm_query
@@ -127,10 +128,22 @@ def sets(docs: DataFrame) -> DataFrame:
                 rows = [(len(own), *_finger(own), _low(own)) for own in made]
                 columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text_hash"), *columns], ["id", "text_hash", "n", "f1", "f2", "sent"])
+            give_back()
 
     return docs.mapInArrow(run, "id long, text_hash binary, n long, f1 long, f2 long, sent long")
 
 
+def _frugal(work: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """``work`` on one group, after which its worker keeps no memory: the next stage starts workers beside it."""
+
+    def run(table: pa.Table) -> pa.Table:
+        out = work(table)
+        give_back()
+        return out
+
+    return run
+
+
 def _made(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     raw, offsets = text_bytes(batch.column("text"))
     for first, last in chunks(offsets):
@@ -159,7 +172,10 @@ def questions(docs: DataFrame) -> DataFrame:
                 if sieve.bytes >= UNIT_BYTES:
                     yield _sieve_batch(sieve, buckets)
                     sieve = _Sieve()
+            give_back()
         yield _sieve_batch(sieve, buckets)
+        del sieve
+        give_back()
 
     return docs.select("text").mapInArrow(run, "kind int, bucket int, payload binary")
 
@@ -216,9 +232,9 @@ def _summed(table: pa.Table) -> pa.Table:
 def candidates(docs: DataFrame, made: DataFrame) -> DataFrame:
     """(id, text_hash, f1, copies) of one document per set that may have a link; ``made`` is a staged :func:`sets`."""
     slices = shuffle_partitions(docs.sparkSession)
-    counted = questions(docs).groupBy("bucket").applyInArrow(lambda t: _shared_counts(t, slices), "slice int, payload binary")
+    counted = questions(docs).groupBy("bucket").applyInArrow(_frugal(lambda t: _shared_counts(t, slices)), "slice int, payload binary")
     # A column may be counted in several units: that only keeps more rows.
-    shared = counted.groupBy("slice").applyInArrow(_summed, "f1 long, shared long")
+    shared = counted.groupBy("slice").applyInArrow(_frugal(_summed), "f1 long, shared long")
     rows = (
         made.where("n > 0")
         .groupBy("f1", "f2")
@@ -257,6 +273,7 @@ def incidence(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                     [pa.array(rows[first:last], pa.int64()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))],
                     ["row", "n", "columns"],
                 )
+            give_back()
 
     return joined.mapInArrow(run, "row long, n long, columns array<long>")
 
@@ -391,7 +408,7 @@ def _tile_links(rows: pa.Table) -> pa.Table:
 
 def _multiply(rows: DataFrame) -> DataFrame:
     return rows.select("task", "part", "pivot", "label", "row", "n", "prefix", "columns").groupBy("task").applyInArrow(
-        lambda t: _tile_links(t.drop_columns(["task"])), "a long, b long"
+        _frugal(lambda t: _tile_links(t.drop_columns(["task"]))), "a long, b long"
     )
 
 
@@ -635,7 +652,7 @@ def classes(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> Dat
     """doc_id, n_shingles, component_id and n_links of every document."""
     made, rows, copies = _matrix(keyed(df, text, id_column))
     found = stage(
-        _tiles(rows, copies).groupBy("task").applyInArrow(_tile_counts, "a long, b long, linked long"),
+        _tiles(rows, copies).groupBy("task").applyInArrow(_frugal(_tile_counts), "a long, b long, linked long"),
         "links",
     )
     own, component = _labelled(made, found.where("b is not null").select("a", "b"))

@@ -3,13 +3,14 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import exact_classes, near_classes, repeated_bytes, repeated_words, words
 from conftest import SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quayload.llm import anchors, exact_dedup, ngram_join, substring_dedup, suffix_dedup
+from quayload.llm import anchors, exact_dedup, hashing, ngram_join, substring_dedup, suffix_dedup
 from quayload.llm.components import components
 from quayload.llm.fm_index import FmIndex, suffix_array
 from quayload.llm.suffix_dedup import deep_shallow
@@ -275,3 +276,21 @@ def test_near_keeps_one_of_large_clusters(odd, odd_pairs, monkeypatch):
     monkeypatch.setattr(ngram_join, "PIVOTS", 1)
     got = rows_of(ngram_join._components(odd, "text", "doc_id"), "doc_id", "component_id")
     assert got == Counter((doc, least) for doc, _, least in near_classes(odd_pairs))
+
+
+def test_sets_need_little_memory():
+    """A worker's arrays follow the chunk, not the batch; 226 MB were held at once before."""
+    import tracemalloc
+
+    text = " ".join(f"w{i * 7919 % 9973}" for i in range(400))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(5000)), pa.array([b"0" * 16] * 5000), pa.array([f"{i} {text}" for i in range(5000)])], ["id", "text_hash", "text"]
+    )
+    hashing._POWERS.clear()
+    tracemalloc.start()
+    try:
+        assert sum(1 for _, made in ngram_join._made(batch) for own in made if len(own) == 397) == 5000
+        assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    finally:
+        tracemalloc.stop()
+        hashing._POWERS.clear()

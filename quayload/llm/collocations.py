@@ -7,10 +7,10 @@ crosses a chunk. Then, length by length:
 
 - merge-join: an occurrence of k words meets the one that begins a word later in its piece;
   sorted runs make that one step over neighbouring entries;
-- group-count: each chunk sends a 64-bit hash and a count for each of its distinct phrases, and
-  Spark adds them up by hash;
-- semi-join: hashes that reach the minimum go back to the chunks that hold them, and only
-  occurrences of such phrases are extended.
+- group-count: each chunk deals the hashes of its distinct phrases and their counts to buckets, a
+  bucket's hashes as sorted differences in some three bytes each, and each bucket adds them up;
+- semi-join: one bit for each phrase tells the chunk whether its hash reaches the minimum, and only
+  occurrences of such phrases are extended or counted by their text.
 
 Hashes only leave out phrases that cannot be frequent, since a collision can but add; the counts
 that are returned are added up by the phrases themselves. A phrase that every document has is
@@ -35,10 +35,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quayload.llm.chunked import give_back
 from quayload.llm.hashing import BYTE_CODES, LOWER, U64, mix, stream, text_bytes
 from quayload.llm.hashing import chunks as byte_ranges
 from quayload.llm.registry import llm_query
-from quayload.llm.workspace import discard, stage
+from quayload.llm.workspace import discard, release, shuffle_partitions, stage
 from quayload.plans.registry import table
 
 MIN_WORDS, MAX_WORDS = 2, 3
@@ -47,6 +48,7 @@ TOP = 2000
 #: A phrase goes where a longer one around it has at least this share of its count, in percent.
 INSIDE_PERCENT = 50
 CHUNK_TEXT = 8 << 20
+LOW = U64(0xFFFFFFFF)
 
 # What ends a piece, and what parts words.
 PIECE_ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -191,20 +193,25 @@ class Mining:
             total += self.word_hashes[places] * factor
         return mix(total)
 
-    def keep(self, frequent: np.ndarray) -> np.ndarray:
-        """Leave out occurrences of phrases that are not in ``frequent``; which phrases stayed."""
-        stays = np.isin(self.hashes(), frequent)
+    def keep(self, stays: np.ndarray) -> None:
+        """Leave out occurrences of phrases that do not stay."""
         number = np.cumsum(stays) - 1
         kept = stays[self.group]
         self.at, self.group = self.at[kept], number[self.group[kept]]
         self.phrases = [places[stays] for places in self.phrases]
-        return stays
 
     def texts(self) -> pa.Array:
         return pc.binary_join_element_wise(*(self.words.take(pa.array(places)) for places in self.phrases), " ")
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Mining, list[np.ndarray]]]:
+def _dealt(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of hashes by bucket and the 32 bits that tell them apart there, those bits, and the bounds of the buckets."""
+    target, rest = (hashes & LOW) % U64(buckets), (hashes >> U64(32)).astype(np.uint32)
+    order = np.lexsort((rest, target))
+    return order, rest[order], np.searchsorted(target[order], np.arange(buckets + 1, dtype=U64))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Mining, list[pa.Array | None]]]:
     """Language, number, relation and replies of each chunk."""
     for batch in batches:
         replies = [c for c in batch.schema.names if c.startswith("reply")]
@@ -212,72 +219,108 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Minin
             values = {c: batch.column(c)[row] for c in ("lang", "chunk", "words", "codes", "pieces", *replies)}
             codes, lengths = unpacked(values["codes"].as_py()), unpacked(values["pieces"].as_py())
             mining = Mining(values["lang"].as_py(), values["words"].values, codes, lengths)
-            known = [values[c].values for c in replies]
-            yield (
-                values["lang"].as_py(), values["chunk"].as_py(), mining,
-                [np.zeros(0, U64) if k is None else k.to_numpy(zero_copy_only=False).view(U64) for k in known],
-            )
+            yield values["lang"].as_py(), values["chunk"].as_py(), mining, [values[c].values for c in replies]
 
 
-def _climb(mining: Mining, replies: list[np.ndarray]) -> Iterator[np.ndarray]:
+def _climb(mining: Mining, replies: list[pa.Array | None], buckets: int) -> Iterator[np.ndarray]:
     """Counts of the frequent phrases of each length that has a reply, the relation left at that length."""
-    for frequent in replies:
+    for reply in replies:
         counts = mining.extend()
-        yield counts[mining.keep(frequent)]
+        stays = np.zeros(len(counts), bool)
+        if reply is not None:
+            order, _, cuts = _dealt(mining.hashes(), buckets)
+            for answer in reply.to_pylist():
+                own = order[cuts[answer["bucket"]] : cuts[answer["bucket"] + 1]]
+                stays[own] = np.unpackbits(np.frombuffer(answer["bits"], np.uint8), count=len(own)).astype(bool)
+        mining.keep(stays)
+        yield counts[stays]
 
 
-def hashed_counts(r1: DataFrame) -> DataFrame:
-    """(hash, chunk, count) of the phrases one word longer than the replies of ``r1`` go."""
+def hashed_counts(r1: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, chunk, rest, counts) of the phrases one word longer than the replies of ``r1`` go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, chunk, mining, replies in _chunks(batches):
-            for _ in _climb(mining, replies):
+            for _ in _climb(mining, replies, buckets):
                 pass
             counts = mining.extend()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(mining.hashes().view(np.int64)), pa.array(np.full(len(counts), chunk)), pa.array(counts)], ["hash", "chunk", "count"]
+            order, rest, cuts = _dealt(mining.hashes(), buckets)
+            counts = counts[order]
+            rows = [
+                (k, chunk, packed(np.diff(rest[a:b], prepend=np.uint32(0))), packed(counts[a:b]))
+                for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+                if b > a
+            ]
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+            columns = list(zip(*rows, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "chunk", "rest", "counts"])
+            del mining, counts, order, rest
+            give_back()
+
+    return r1.drop("counts", "n_words").mapInArrow(run, "bucket int, chunk long, rest binary, counts binary")
+
+
+def frequent_hashes(asked: DataFrame, min_count: int) -> DataFrame:
+    """(chunk, bucket, bits): which of a chunk's hashes in a bucket have ``min_count`` occurrences over all chunks."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rest = [np.cumsum(unpacked(r).view(np.uint32), dtype=np.uint32) for r in table.column("rest").to_pylist()]
+        bounds = np.cumsum([0, *map(len, rest)])
+        _, group = np.unique(np.concatenate(rest), return_inverse=True)
+        counts = np.concatenate([unpacked(c) for c in table.column("counts").to_pylist()])
+        # Sums of integers far below 2^53 are exact.
+        frequent = (np.bincount(group, counts) >= min_count)[group]
+        rows = [
+            (chunk, bucket, np.packbits(frequent[a:b]).tobytes())
+            for chunk, bucket, a, b in zip(
+                table.column("chunk").to_pylist(), table.column("bucket").to_pylist(), bounds[:-1], bounds[1:], strict=True
             )
+            if frequent[a:b].any()
+        ]
+        del rest, group, counts, frequent
+        give_back()
+        schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("bits", pa.binary())])
+        return pa.table([list(c) for c in zip(*rows, strict=True)] if rows else [[], [], []], schema=schema)
 
-    return r1.drop("counts", "n_words").mapInArrow(run, "hash long, chunk long, count long")
+    return asked.groupBy("bucket").applyInArrow(run, "chunk long, bucket int, bits binary")
 
 
-def exact_counts(r1: DataFrame, longest: bool) -> DataFrame:
-    """(lang, size, phrase, count) by chunk of all lengths with a reply, and of the next one if it is the ``longest``."""
+def exact_counts(r1: DataFrame, buckets: int) -> DataFrame:
+    """(lang, size, phrase, count) by chunk of the phrases that the replies leave."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, _, mining, replies in _chunks(batches):
-            def made(counts: np.ndarray) -> pa.RecordBatch:
+            for counts in _climb(mining, replies, buckets):
                 n = len(counts)
-                return pa.RecordBatch.from_arrays(
+                yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * n, pa.string()), pa.array(np.full(n, mining.size)), mining.texts(), pa.array(counts)],
                     ["lang", "size", "phrase", "count"],
                 )
 
-            for counts in _climb(mining, replies):
-                yield made(counts)
-            if longest:
-                yield made(mining.extend())
-
     return r1.drop("counts", "n_words").mapInArrow(run, "lang string, size long, phrase string, count long")
 
 
 def frequent_phrases(r1: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT) -> DataFrame:
     """(lang, size, phrase, f) of all phrases of 1 to ``max_words`` words with at least ``min_count`` occurrences."""
+    spark = r1.sparkSession
+    buckets = 4 * shuffle_partitions(spark)
     words = r1.select("lang", F.inline(F.arrays_zip("words", "counts"))).groupBy("lang", F.col("words").alias("phrase"))
     singles = words.agg(F.sum("counts").alias("f")).where(F.col("f") >= min_count)
-    singles = singles.select("lang", F.lit(1).cast("long").alias("size"), "phrase", "f")
+    # Each step is written, so that the shuffles before it can go.
+    singles = stage(singles.select("lang", F.lit(1).cast("long").alias("size"), "phrase", "f"), "words")
     answered, replies = r1, []
-    for size in range(2, max_words):
-        everywhere = F.sum("count").over(Window.partitionBy("hash"))
-        frequent = hashed_counts(answered).select("hash", "chunk", everywhere.alias("f")).where(F.col("f") >= min_count)
-        # No longer than a chunk's own phrases.
-        reply = stage(frequent.groupBy("chunk").agg(F.collect_list("hash").alias(f"reply{size}")), f"frequent-{size}")
+    for size in range(2, max_words + 1):
+        frequent = frequent_hashes(hashed_counts(answered, buckets), min_count)
+        # A bit for each of a chunk's own phrases.
+        reply = stage(frequent.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias(f"reply{size}")), f"frequent-{size}")
+        del frequent
+        release(spark)
         replies.append(reply)
         answered = answered.join(reply, "chunk", "left")
-    longer = exact_counts(answered, max_words > 1).groupBy("lang", "size", "phrase").agg(F.sum("count").alias("f"))
+    longer = exact_counts(answered, buckets).groupBy("lang", "size", "phrase").agg(F.sum("count").alias("f"))
     found = stage(singles.unionByName(longer.where(F.col("f") >= min_count)), "phrases")
-    for reply in replies:
-        discard(reply)
+    for done in (singles, *replies):
+        discard(done)
     return found
 
 

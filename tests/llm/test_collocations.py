@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from conftest import CLASHING, SF
 from pyspark.sql import functions as F
@@ -112,3 +113,15 @@ def test_products_pass_64_bits(spark):
 def test_query_matches_brute_force(spark):
     rows = [(r.lang, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("lang", "text").collect()]
     assert rows_of(LLM_REGISTRY["op13_phrase_mining"].run(spark, SF)) == brute(rows)
+
+
+def test_questions_are_small(odd_docs):
+    """A phrase costs some bytes in the shuffle, not a row; a row of three 64-bit numbers each before."""
+    from quayload.llm.collocations import Mining, hashed_counts, relation, unpacked
+
+    _, df = odd_docs
+    r1 = relation(df).cache()
+    asked = hashed_counts(r1, 4).collect()
+    want = sum(len(Mining(r.lang, pa.array(r.words), unpacked(r.codes), unpacked(r.pieces)).extend()) for r in r1.collect())
+    assert sum(len(unpacked(r.rest)) for r in asked) == want
+    assert sum(len(r.rest) + len(r.counts) for r in asked) < 6 * want + 60 * len(asked)

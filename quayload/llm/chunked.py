@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 
 from quayload.llm.hashing import chunks as byte_ranges
 from quayload.llm.hashing import text_bytes
@@ -22,6 +23,7 @@ KEPT_BYTES = 150 << 20
 LONGEST_KEPT = 256
 #: Text that is coded at once.
 SLICE_BYTES = 4 << 20
+_PRESS = zstandard.ZstdCompressor(level=3)
 #: Of a kept chunk besides its characters and ids.
 _ENTRY = 210
 
@@ -94,6 +96,16 @@ def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
             yield batch.slice(first, last - first)
 
 
+def planes(ids: bytes) -> bytes:
+    """Packed ids, their bytes by significance, compressed: what shuffles and staged tables carry of them."""
+    return _PRESS.compress(np.ascontiguousarray(np.frombuffer(ids, np.uint8).reshape(-1, 4).T))
+
+
+def from_planes(blob: bytes) -> np.ndarray:
+    parts = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(parts.T).view("<u4").ravel()
+
+
 def id_lists(encoded: list[bytes]) -> pa.Array:
     """Arrow lists of 32-bit ids from packed ids."""
     offsets = np.zeros(len(encoded) + 1, np.int32)

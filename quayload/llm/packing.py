@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quayload.llm.chunked import ChunkStore, give_back, id_lists, text_slices
+from quayload.llm.chunked import ChunkStore, give_back, id_lists, planes, text_slices
 from quayload.llm.registry import llm_query
 from quayload.llm.workspace import shuffle_partitions, stage
 from quayload.plans.registry import table
@@ -113,9 +113,12 @@ def _tokenizer(path: str) -> WordTokenizer:
 
 def tokenize(
     df: DataFrame, path: str, text: str = "text", id_column: str = "doc_id", capacity: int = CAPACITY, end_id: int = END_ID,
-    with_ids: bool = True,
+    with_ids: bool = True, compressed: bool = False,
 ) -> DataFrame:
-    """Pieces of every document: doc_id, start, length, ids_crc32, doc_tokens and, if asked for, the ids."""
+    """Pieces of every document: doc_id, start, length, ids_crc32, doc_tokens and, if asked for, the ids.
+
+    ``compressed`` ids are binary, as :func:`chunked.planes` makes them.
+    """
     rows = df.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     end = int(end_id).to_bytes(4, "little")
     width = 4 * capacity
@@ -135,14 +138,15 @@ def tokenize(
                     pa.array([len(encoded[i]) // 4 for i, _ in cuts], pa.int64()),
                 ]
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-                yield pa.RecordBatch.from_arrays(
-                    columns + [id_lists(pieces)] * with_ids, names + ["ids"] * with_ids
-                )
+                if with_ids:
+                    columns.append(pa.array(map(planes, pieces), pa.binary()) if compressed else id_lists(pieces))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(columns, names)
                 del encoded, pieces, columns
             give_back()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
+    schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + f", ids {'binary' if compressed else 'array<int>'}" * with_ids
     return rows.mapInArrow(run, schema)
 
 

@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayload.llm import packing
+from quayload.llm.chunked import from_planes
 from quayload.llm.hashing import U64, mix
 from quayload.llm.registry import llm_query
-from quayload.llm.workspace import stage
+from quayload.llm.workspace import discard, release, stage
 from quayload.plans.registry import table
 from quayload.session import shared_path
 
@@ -94,6 +95,7 @@ def write_shards(
 ) -> DataFrame:
     """Write pieces (doc_id, slot, sequence_id, offset, ids) as shards; one row per sequence.
 
+    ``ids`` are lists or compressed by :func:`chunked.planes`. The rows have
     slot, sequence_id, path, byte_offset, n_tokens, ids_crc32 (of the unpadded ids as
     unsigned 32-bit integers) and doc_ids in the order of their pieces.
     """
@@ -107,7 +109,11 @@ def write_shards(
         slots, sequences, docs = (rows.column(c).to_pylist() for c in ("slot", "sequence_id", "doc_id"))
         lists = rows.column("ids").combine_chunks()
         lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        flat, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
+        if pa.types.is_list(lists.type):
+            flat, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
+        else:
+            parts = [from_planes(p.as_py()) for p in lists]
+            flat, bounds = np.concatenate(parts), np.cumsum([0, *map(len, parts)])
         if len(flat) and int(flat.max()) >= 1 << 8 * width:
             raise ValueError(f"an id does not fit {width} bytes")
         shard = rows.column("shard")[0].as_py()
@@ -155,10 +161,17 @@ def read_slots(
 
 def materialise(docs: DataFrame, tokenizer: str, folder: str, key: int) -> DataFrame:
     """Tokenise, pack, order and write whole documents; the rows of :func:`write_shards`."""
-    pieces = stage(packing.tokenize(docs, tokenizer), "id-pieces")
+    pieces = stage(packing.tokenize(docs, tokenizer, compressed=True), "id-pieces")
     last = packing.pack(pieces.drop("ids")).agg(F.max("sequence_id")).first()[0]
     order = Feistel(1 if last is None else last + 1, key)
-    return stage(write_shards(place(packing.pack(pieces), order), folder), "shard-index")
+    placed = place(packing.pack(pieces), order).select("doc_id", "slot", "sequence_id", "offset", "ids")
+    placed = stage(placed, "placed")
+    # The ids are on disk no more than three times, and twice beside the shards.
+    discard(pieces)
+    release(docs.sparkSession)
+    shards = stage(write_shards(placed, folder), "shard-index")
+    discard(placed)
+    return shards
 
 
 @llm_query("op8_token_output")

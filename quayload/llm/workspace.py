@@ -35,8 +35,11 @@ def discard(staged: DataFrame) -> None:
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of jobs whose results are written."""
     import gc
+    import time
 
     gc.collect()
+    # Python tells the JVM of its dropped frames from a thread of its own; what it still holds is not collected.
+    time.sleep(1)
     spark.sparkContext._jvm.System.gc()
 
 

@@ -55,3 +55,17 @@ def test_width_is_checked(odd, tmp_path):
     pieces = packing.pack(packing.tokenize(odd, WORDS).cache())
     with pytest.raises(Exception, match="does not fit"):
         token_output.write_shards(token_output.place(pieces, Feistel(10**6, 1)), str(tmp_path), width=1).collect()
+
+
+def test_compressed_ids_give_the_same_shards(odd, tmp_path):
+    """Ids travel compressed; four bytes each before."""
+    plain = packing.tokenize(odd, WORDS, capacity=64).cache()
+    small = packing.tokenize(odd, WORDS, capacity=64, compressed=True).cache()
+    total = packing.pack(plain.drop("ids"), capacity=64).agg({"sequence_id": "max"}).first()[0] + 1
+    index = []
+    for name, pieces in (("plain", plain), ("small", small)):
+        placed = token_output.place(packing.pack(pieces, capacity=64), Feistel(total, 9))
+        index.append(sorted(token_output.write_shards(placed, str(tmp_path / name), 64, 100).drop("path", "doc_ids").collect()))
+    assert index[0] == index[1]
+    whole = packing.tokenize(odd, WORDS, compressed=True).where("length > 500").collect()
+    assert whole and all(len(r.ids) < 2 * r.length for r in whole)

@@ -42,13 +42,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
 def merge_plainly(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     """BPE by definition: merge the pair of lowest rank, the leftmost first, until none is left."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        joined = [ranks.get(a + b, NO_RANK) for a, b in zip(parts, parts[1:], strict=False)]
+    joined = [ranks.get(a + b, NO_RANK) for a, b in zip(parts, parts[1:], strict=False)]
+    while joined:
         best = min(joined)
         if best == NO_RANK:
             break
         at = joined.index(best)
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        # Only the neighbours of the new part have another pair.
+        del joined[at]
+        if at:
+            joined[at - 1] = ranks.get(parts[at - 1] + parts[at], NO_RANK)
+        if at < len(joined):
+            joined[at] = ranks.get(parts[at] + parts[at + 1], NO_RANK)
     return parts
 
 
@@ -131,11 +137,20 @@ class ByteBpe:
         return out
 
     def _encode_chunks(self, chunks: list[str]) -> Iterator[bytes]:
+        known, made = self.store.known, {}
         for chunk in chunks:
-            ids: list[int] = []
+            own = []
             for piece in self.split.findall(chunk):
-                ids += self.encode_piece(piece.encode())
-            yield struct.pack(f"<{len(ids)}I", *ids)
+                packed = made.get(piece)
+                if packed is None:
+                    packed = known.get(piece)
+                    # A known chunk is a piece if the pattern takes it whole.
+                    if packed is None or self.split.findall(piece) != [piece]:
+                        ids = self.encode_piece(piece.encode())
+                        packed = struct.pack(f"<{len(ids)}I", *ids)
+                    made[piece] = packed
+                own.append(packed)
+            yield own[0] if len(own) == 1 else b"".join(own)
 
     def _chunks(self, text: str) -> list[str]:
         """Parts that the pattern never matches across, each starting with the blank before it.

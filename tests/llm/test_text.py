@@ -295,3 +295,14 @@ def test_extract_odd_rows(spark, model):
     text = html_extract.main_text(PAGE, model)
     assert got == Counter([(1, "u", ""), (2, None, text), (2, None, text), (None, "u", "")])
     assert html_extract.extract(df.limit(0), model).count() == 0
+
+
+def test_bpe_encodes_a_piece_once(coders, monkeypatch):
+    """A word before several marks is one walk; each chunk took its own before."""
+    own, exact = coders
+    seen = []
+    walk = own.encode_piece
+    monkeypatch.setattr(own, "encode_piece", lambda piece: seen.append(piece) or walk(piece))
+    texts = [f"x zqvartlonk{mark} y" for mark in (".", ",", ";", "!", "")]
+    assert [ids(p) for p in own.encode(texts)] == [exact.encode_ordinary(t) for t in texts]
+    assert seen.count(b" zqvartlonk") == 1

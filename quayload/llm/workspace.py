@@ -37,10 +37,12 @@ def release(spark: SparkSession) -> None:
     import gc
     import time
 
-    gc.collect()
-    # Python tells the JVM of its dropped frames from a thread of its own; what it still holds is not collected.
-    time.sleep(1)
-    spark.sparkContext._jvm.System.gc()
+    # Python tells the JVM of its dropped frames from a thread of its own, and what they held is
+    # only found free in a later collection.
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.5)
+        spark.sparkContext._jvm.System.gc()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 from brute import exact_classes, near_classes, repeated_words, words
 from conftest import SF
+from pyspark.sql import functions as F
 from test_text import check_packing
 
 import corpus_pipeline
@@ -53,3 +54,23 @@ def test_run_and_empty_input(spark, tmp_path):
     for r in corpus_pipeline.run(spark, SF).collect():
         tokens[r.doc_id] += r.length
     assert tokens and all(n > 0 for n in tokens.values())
+
+
+def test_release_drops_shuffles_of_written_steps(spark):
+    """What Python has dropped reaches the JVM before it collects."""
+    import time
+
+    from quayload.llm.workspace import release, stage
+
+    def shuffles():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return sum("shuffle_" in files.apply(i).getName() for i in range(files.size()))
+
+    release(spark)
+    time.sleep(2)
+    before = shuffles()
+    stage(spark.range(1000).repartition(7).groupBy((F.col("id") % 10).alias("k")).count(), "released")
+    assert shuffles() > before
+    release(spark)
+    time.sleep(2)
+    assert shuffles() <= before

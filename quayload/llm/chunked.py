@@ -41,14 +41,15 @@ class ChunkStore:
         if self.size > self.limit:
             self.known, self.size = {}, 0
         known = self.known
-        new = [c for c in chunks if c not in known]
-        known.update(zip(new, self.encode_many(new), strict=True))
-        out = [known[c] for c in chunks]
-        for c in new:
-            if len(c) > LONGEST_KEPT:
-                del known[c]
-            else:
-                self.size += _ENTRY + len(c) + len(known[c])
+        out = list(map(known.get, chunks))
+        new = [i for i, ids in enumerate(out) if ids is None]
+        made = self.encode_many([chunks[i] for i in new])
+        for i, ids in zip(new, made, strict=True):
+            out[i] = ids
+            c = chunks[i]
+            if len(c) <= LONGEST_KEPT:
+                known[c] = ids
+                self.size += _ENTRY + len(c) + len(ids)
         return out
 
     def encode(self, texts: list[list[str]]) -> list[bytes]:
@@ -65,19 +66,13 @@ class ChunkStore:
         lists = pc.utf8_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        packed = self.ids_of(distinct)
-        flat = np.frombuffer(b"".join(packed), "<u4")
-        sizes = np.array([len(p) // 4 for p in packed], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        codes = coded.indices.to_numpy()
-        each = sizes[codes]
-        ends = np.cumsum(each)
-        total = int(ends[-1]) if len(ends) else 0
-        found = flat[np.repeat(starts[codes] - ends + each, each) + np.arange(total)].tobytes()
-        # Ids before each chunk, at the first chunk of each text and after the last.
-        before = np.append(0, ends)
-        bounds = (4 * before[np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))]).tolist()
-        return [found[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        packed = pa.array(self.ids_of(distinct), pa.large_binary())
+        found = packed.take(coded.indices)
+        _, offsets, data = found.buffers()
+        # Where the ids of each chunk begin; of each text, where its first chunk's do.
+        begins = np.frombuffer(offsets, np.int64, len(found) + 1) if len(found) else np.zeros(1, np.int64)
+        bounds = begins[np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))].tolist()
+        return [data.slice(a, b - a).to_pybytes() if b > a else b"" for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 def give_back() -> None:

@@ -20,6 +20,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ from quayload.session import shared_path
 ROUNDS = 6
 SHARD_SEQUENCES = 4096
 PAD_ID = 0
+#: Shards are written in so many runs, in turns, so that shuffles hold only a part of the ids at a time.
+RUNS = 2
 
 
 @dataclass(frozen=True)
@@ -159,19 +162,22 @@ def read_slots(
         slot += take
 
 
-def materialise(docs: DataFrame, tokenizer: str, folder: str, key: int) -> DataFrame:
+def materialise(docs: DataFrame, tokenizer: str, folder: str, key: int, shard_sequences: int = SHARD_SEQUENCES) -> DataFrame:
     """Tokenise, pack, order and write whole documents; the rows of :func:`write_shards`."""
     pieces = stage(packing.tokenize(docs, tokenizer, compressed=True), "id-pieces")
     last = packing.pack(pieces.drop("ids")).agg(F.max("sequence_id")).first()[0]
     order = Feistel(1 if last is None else last + 1, key)
     placed = place(packing.pack(pieces), order).select("doc_id", "slot", "sequence_id", "offset", "ids")
     placed = stage(placed, "placed")
-    # The ids are on disk no more than three times, and twice beside the shards.
+    # The ids are on disk no more than three times; beside the shards once, and the part that is on its way.
     discard(pieces)
-    release(docs.sparkSession)
-    shards = stage(write_shards(placed, folder), "shard-index")
+    shards = []
+    for run in range(min(RUNS, -(-order.n // shard_sequences))):
+        release(docs.sparkSession)
+        part = placed.where(F.expr(f"(slot div {shard_sequences}) % {RUNS} = {run}"))
+        shards.append(stage(write_shards(part, folder, shard_sequences=shard_sequences), "shard-index"))
     discard(placed)
-    return shards
+    return reduce(DataFrame.unionAll, shards)
 
 
 @llm_query("op8_token_output")

@@ -1,5 +1,7 @@
 """Training order: a permutation, whole shards, and reads from any slot."""
 
+import zlib
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -69,3 +71,19 @@ def test_compressed_ids_give_the_same_shards(odd, tmp_path):
     assert index[0] == index[1]
     whole = packing.tokenize(odd, WORDS, compressed=True).where("length > 500").collect()
     assert whole and all(len(r.ids) < 2 * r.length for r in whole)
+
+
+def test_shards_are_written_in_runs(odd, odd_pairs, tmp_path, monkeypatch):
+    """No shuffle carries all ids; one did before, beside all placed pieces and all shards."""
+    write, taken = token_output.write_shards, []
+    monkeypatch.setattr(token_output, "write_shards", lambda placed, *a, **k: taken.append(placed.count()) or write(placed, *a, **k))
+    runs = token_output.materialise(odd, WORDS, str(tmp_path / "runs"), 9, shard_sequences=3).cache()
+    assert len(taken) == token_output.RUNS and max(taken) < 0.8 * sum(taken)
+    once = token_output.materialise(odd, WORDS, str(tmp_path / "once"), 9, shard_sequences=10**6)
+    assert len(taken) == token_output.RUNS + 1 and taken[-1] == sum(taken[:-1])
+    columns = ("slot", "sequence_id", "n_tokens", "ids_crc32")
+    assert sorted(runs.select(*columns).collect()) == sorted(once.select(*columns).collect())
+    paths = {r.shard: r.path for r in runs.select("shard", "path").distinct().collect()}
+    whole = list(token_output.read_slots(paths, 0, runs.count(), shard_sequences=3))
+    for r in runs.collect():
+        assert zlib.crc32(whole[r.slot][: r.n_tokens].astype("<u4").tobytes()) == r.ids_crc32

@@ -38,6 +38,24 @@ def test_random_texts(both):
     assert differing(both, ["".join(r.choice(bits) for _ in range(r.randint(0, 12))) for _ in range(30_000)]) == []
 
 
+def test_capitals(both):
+    """Capitals are made small first, except where that would compose with a mark or spell a special token."""
+    r = random.Random(2)
+    bits = [*"ABHIJKSTWXYZ", "\u030c", "\u0331", "\u0308", "\u030a", "\u0307", "\u0338", "É", "ÿ", "Ÿ", "ß", "ẞ", "×", "÷", "µ", "ª", "K", "Å", "’", "'S", "'Re", "3.5,", "...", ",", ".", " ", "\n", "\x1d"]
+    bits += ["<|startoftext|>", "<|STARTOFTEXT|>", "<|EndOfText|>", "<|endoftext|>", "<|", "|>", "<", "end"]
+    assert differing(both, ["".join(r.choice(bits) for _ in range(r.randint(0, 9))) for _ in range(60_000)]) == []
+    assert differing(both, [a + m for a in map(chr, range(0x41, 0x5B)) for m in map(chr, range(0x300, 0x370))]) == []
+
+
+def test_words_are_kept_once():
+    """A capital or a mark at the end made a chunk of its own, which was encoded again."""
+    own, sent = WordTokenizer(PATH), []
+    encode = own._encode_words
+    own._encode_words = lambda chunks, *a: sent.extend(chunks) or encode(chunks, *a)
+    own.encode(pa.array(["Harbour harbour, HARBOUR. harbour,", "Écluse écluse. éCLUSE,"]))
+    assert sorted(sent) == [",", ".", "harbour", "écluse"] and len(own.store.known) < 8
+
+
 def test_store_is_bounded_in_bytes():
     store = chunked.ChunkStore(lambda chunks: [c.encode() * 4 for c in chunks], limit=10_000)
     for n in range(50):
